@@ -1,0 +1 @@
+"""Micro-batch sinks that apply document mutations from a stream."""
