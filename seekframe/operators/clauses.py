@@ -205,6 +205,17 @@ def each(items: Iterable | None, fn: Callable[[Any], Clause]) -> list[Clause]:
     return [fn(it) for it in items]
 
 
+def merge_multi_match(query: Clause | None, mm: "MultiMatch") -> Clause:
+    """Root-level multi_match: set it when there is no query, append it to the
+    ``must`` of an existing bool, else wrap both in a new bool's ``must``."""
+    if query is None:
+        return mm
+    if isinstance(query, Bool):
+        return Bool(list(_flat(query.must)) + [mm], query.should, query.filter, query.must_not,
+                    query.minimum_should_match, query.adjust_pure_negative, query.boost)
+    return Bool(must=[query, mm])
+
+
 def _flat(items) -> list[Clause]:
     out: list[Clause] = []
     if items is None:

@@ -79,7 +79,7 @@ def lineitem_index(spark, sf_dir) -> Index:
 
 # ---- X1 flagship ----------------------------------------------------------
 
-FLAGSHIP_TEXT = "the winter"
+FLAGSHIP_TEXT = "ering retion"
 
 
 @register("flagship_search")

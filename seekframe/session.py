@@ -25,6 +25,7 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None, app: str
                   extra: dict | None = None) -> SparkSession:
     b = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
          .config("spark.driver.memory", "16g"))
     for k, v in ENGINE_CONF.items():

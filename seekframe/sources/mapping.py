@@ -400,18 +400,18 @@ def _convert(spec: FieldSpec, col: Column, in_type: T.DataType, path: str) -> tu
         if isinstance(in_type, T.StringType) and not spec.coerce:
             errs.append(F.when(col.isNotNull(), F.lit(f"{path}: string not accepted (coerce=false)")))
             return F.lit(None).cast(target), errs
-        out = F.try_cast(col, target) if isinstance(in_type, T.StringType) else col.cast(target)
+        out = col.try_cast(target) if isinstance(in_type, T.StringType) else col.cast(target)
         errs.append(F.when(col.isNotNull() & out.isNull(), F.lit(f"{path}: not a {t}")))
         return out, errs
     if t == "boolean":
-        out = F.try_cast(col, T.BooleanType()) if isinstance(in_type, T.StringType) else col.cast("boolean")
+        out = col.try_cast(T.BooleanType()) if isinstance(in_type, T.StringType) else col.cast("boolean")
         errs.append(F.when(col.isNotNull() & out.isNull(), F.lit(f"{path}: not a boolean")))
         return out, errs
     if t == "date":
         if isinstance(in_type, (T.TimestampType, T.TimestampNTZType, T.DateType)):
             return col.cast("timestamp"), errs
         if isinstance(in_type, (T.LongType, T.IntegerType)) or spec.format == "epoch_millis":
-            out = F.timestamp_millis(F.try_cast(col, T.LongType()))
+            out = F.timestamp_millis(col.try_cast(T.LongType()))
         elif spec.format:
             out = F.try_to_timestamp(col.cast("string"), F.lit(spec.format))
         else:
