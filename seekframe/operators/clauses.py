@@ -961,6 +961,36 @@ def to_json(clause: Clause) -> str:
     return json.dumps(clause, default=lambda o: getattr(o, "__dict__", str(o)))
 
 
+def referenced_fields(clause) -> list[str]:
+    """Field paths a clause reads at the top level (nested element fields excluded)."""
+    out: list[str] = []
+
+    def walk(c):
+        if c is None:
+            return
+        if isinstance(c, dict):
+            c = from_dict(c)
+        if isinstance(c, (Term, Terms, Match, MatchPhrase, MatchPhrasePrefix, Wildcard, Exists, Range)):
+            out.append(c.field)
+        elif isinstance(c, MultiMatch):
+            out.extend(f for f, _ in parse_fields(c.fields))
+        elif isinstance(c, Bool):
+            for x in _flat(c.must) + _flat(c.should) + _flat(c.filter) + _flat(c.must_not):
+                walk(x)
+        elif isinstance(c, FunctionScore):
+            walk(c.query)
+            for fn in c.functions:
+                walk(fn.get("filter") if isinstance(fn, dict) else fn.filter)
+
+    walk(clause)
+    return list(dict.fromkeys(out))
+
+
+def prepare(index: Index, clause) -> Index:
+    """The index with token columns for every text field the clause reads."""
+    return index.with_tokens(referenced_fields(clause))
+
+
 # ---------------------------------------------------------------------------
 # terms to highlight
 # ---------------------------------------------------------------------------

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..operators.clauses import Context, compile_clause
+from ..operators.clauses import Context, compile_clause, prepare
 from ..sources.index import Index
 
 # Largest change set (rows) that is broadcast to the base-table join.
@@ -165,11 +165,13 @@ def bulk_create(base: DataFrame, docs: DataFrame) -> Mutation:
 def delete_by_query(index: Index, query) -> Mutation:
     """Keep the rows that do not match; the deleted count is observed on the
     same pass (``mutation.observation.get['deleted']`` after an action)."""
+    cols = [F.col(f"`{c}`") for c in index.df.columns]
+    index = prepare(index, query)
     comp = compile_clause(query, Context(index))
     obs = Observation("delete_by_query")
     flagged = index.df.withColumn("__hit", F.coalesce(comp.matched, F.lit(False)))
     observed = flagged.observe(obs, F.count_if(F.col("__hit")).alias("deleted"))
-    new = observed.filter(~F.col("__hit")).drop("__hit")
+    new = observed.filter(~F.col("__hit")).select(*cols)
     status = flagged.filter(F.col("__hit")).select(
         F.lit(None).cast("bigint").alias("seq"), F.lit("delete").alias("op"), "_id",
         F.lit(200).alias("status"), F.lit(None).cast("string").alias("error"))

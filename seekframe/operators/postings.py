@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ..functions.analysis import DEFAULT_ANALYZERS, AnalyzerRegistry
 from ..functions.scoring import bm25, round_score
 from ..sources.index import Index
+from ..sources.mapping import token_column_name
 from .mutate import bounded_broadcast
 
 
@@ -58,12 +59,17 @@ def _text_fields(index: Index, fields: list[str] | None) -> list[str]:
 
 
 def build_postings(index: Index, fields: list[str] | None = None, positions: bool = True) -> DataFrame:
+    names = _text_fields(index, fields)
+    # terms come from the index's single Generate (or stored columns), so the
+    # document length below is the size of an attribute, not a re-tokenisation
+    # per emitted posting
+    ix = index.with_tokens(names)
     parts = []
-    for f in _text_fields(index, fields):
-        rf = index.field(f)
-        exploded = index.df.select(
-            "_id", F.lit(f).alias("field"), F.size(rf.tokens).cast("bigint").alias("dl"),
-            F.posexplode(rf.tokens).alias("pos", "term"))
+    for f in names:
+        toks = F.col(f"`{token_column_name(f)}`")
+        exploded = ix.df.select(
+            "_id", F.lit(f).alias("field"), F.size(toks).cast("bigint").alias("dl"),
+            F.posexplode(toks).alias("pos", "term"))
         aggs = [F.count(F.lit(1)).alias("tf")]
         if positions:
             aggs.append(F.sort_array(F.collect_list("pos")).alias("positions"))
@@ -79,11 +85,13 @@ def build_term_stats(postings: DataFrame) -> DataFrame:
 
 
 def build_field_stats(index: Index, fields: list[str] | None = None) -> DataFrame:
+    names = _text_fields(index, fields)
+    ix = index.with_tokens(names)
     parts = []
-    for f in _text_fields(index, fields):
-        rf = index.field(f)
-        parts.append(index.df.agg(F.lit(f).alias("field"), F.count_if(rf.tokens.isNotNull()).alias("n"),
-                                  F.coalesce(F.sum(F.size(rf.tokens)), F.lit(0)).cast("bigint").alias("sum_dl")))
+    for f in names:
+        toks = F.col(f"`{token_column_name(f)}`")
+        parts.append(ix.df.agg(F.lit(f).alias("field"), F.count_if(toks.isNotNull()).alias("n"),
+                               F.coalesce(F.sum(F.size(toks)), F.lit(0)).cast("bigint").alias("sum_dl")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -95,6 +103,28 @@ def build_tables(index: Index, fields: list[str] | None = None, positions: bool
     return SearchTables(postings, build_term_stats(postings), build_field_stats(index, fields))
 
 
+def scan_tables(index: Index, field: str, terms: DataFrame, positions: bool = False) -> SearchTables:
+    """Search tables of ``field`` restricted to the terms in ``terms.term``,
+    built from the index in the same job (no stored postings needed).
+
+    The exploded tokens are semi-joined to the distinct terms (broadcast after
+    a size check) *before* the per-document aggregation, so only postings a
+    query can score are shuffled; document frequencies of those terms are
+    exact because every posting of a kept term is kept."""
+    ix = index.with_tokens([field])
+    toks = F.col(f"`{token_column_name(field)}`")
+    wanted = bounded_broadcast(terms.select("term").distinct())
+    exploded = (ix.df.select("_id", F.lit(field).alias("field"), F.size(toks).cast("bigint").alias("dl"),
+                             F.posexplode(toks).alias("pos", "term"))
+                .join(wanted, "term", "left_semi"))
+    aggs = [F.count(F.lit(1)).alias("tf")]
+    if positions:
+        aggs.append(F.sort_array(F.collect_list("pos")).alias("positions"))
+    post = exploded.groupBy("field", "term", "_id", "dl").agg(*aggs)
+    term_stats = post.groupBy("field", "term").agg(F.count("tf").alias("df"))
+    return SearchTables(post, term_stats, build_field_stats(index, [field]))
+
+
 def write_tables(tables: SearchTables, path: str, files_per_field: int = 64, mode: str = "overwrite") -> SearchTables:
     """Write the three tables under ``path``; postings clustered by term."""
     spark = tables.postings.sparkSession

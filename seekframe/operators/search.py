@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from ..functions.highlight import Highlight, HighlightField, highlight_column
 from ..functions.scoring import round_score
 from ..sources.index import Index
-from .clauses import Clause, Context, compile_clause, highlight_terms
+from .clauses import Clause, Context, compile_clause, highlight_terms, prepare
 
 DEFAULT_SIZE = 10
 
@@ -235,6 +235,7 @@ def search(index: Index, query: Clause | dict | None = None, *, sort=None, size:
            source: Any = True, highlight: Highlight | None = None, track_scores: bool = False,
            min_score: float | None = None) -> SearchResult:
     """Run a search request against ``index``; see the module docstring for the plan."""
+    index = prepare(index, query)
     ctx = Context(index)
     comp = compile_clause(query, ctx)
     keys = parse_sort(sort)
@@ -274,9 +275,13 @@ def search(index: Index, query: Clause | dict | None = None, *, sort=None, size:
 
 def matching(index: Index, query: Clause | dict | None = None, with_score: bool = True) -> DataFrame:
     """Every matching row with ``_score`` (no sort, no page)."""
+    cols = index.df.columns
+    index = prepare(index, query)
     comp = compile_clause(query, Context(index))
     df = index.df.filter(comp.matched)
-    return df.withColumn("_score", round_score(comp.score)) if with_score else df
+    if with_score:
+        df = df.withColumn("_score", round_score(comp.score))
+    return df.select(*[F.col(f"`{c}`") for c in cols], *(["_score"] if with_score else []))
 
 
 def count(index: Index, query: Clause | dict | None = None) -> int:
@@ -285,6 +290,7 @@ def count(index: Index, query: Clause | dict | None = None) -> int:
 
 
 def count_frame(index: Index, query: Clause | dict | None = None) -> DataFrame:
+    index = prepare(index, query)
     comp = compile_clause(query, Context(index))
     return index.df.filter(comp.matched).agg(F.count(F.lit(1)).alias("count"))
 

@@ -17,6 +17,7 @@ from ..operators.clauses import (Bool, Exists, FunctionScore, Match, MatchAll, M
                                  MatchPhrasePrefix, MultiMatch, Nested, Range, Raw, ScoreFunction,
                                  Term, Terms, Wildcard, each, when, when_else)
 from ..operators.search import count_frame, get_by_ids, matching, search
+from ..sources.files import read_table
 from ..sources.index import Index
 from ..sources.mapping import Mapping
 
@@ -32,7 +33,7 @@ def register(name: str):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 # ---- indices over the driver tables --------------------------------------

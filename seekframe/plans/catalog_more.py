@@ -11,7 +11,8 @@ from ..operators import mutate
 from ..operators.clauses import (Bool, Exists, FunctionScore, Match, MatchAll, MatchPhrase, MultiMatch,
                                  Nested, Range, Raw, ScoreFunction, Term, Terms, Wildcard, each,
                                  merge_multi_match, when, when_else)
-from ..operators.postings import batch_search, build_postings, build_tables, build_term_stats, refresh_postings
+from ..operators.postings import (batch_search, build_postings, build_term_stats, query_term_table,
+                                  refresh_postings, scan_tables)
 from ..operators.search import count_frame, get_by_ids, matching, search
 from ..sources.index import Index
 from ..sources.mapping import Mapping
@@ -782,5 +783,7 @@ def postings_refresh(spark, d):
 
 @register("batch_search")
 def batch_search_q(spark, d):
-    tables = build_tables(documents_index(spark, d), ["text"], positions=False)
-    return batch_search(tables, table(spark, d, "benchmark"), "text", "item_id", "text", k=3)
+    queries = table(spark, d, "benchmark")
+    terms = query_term_table(queries, "text", "item_id", "text")
+    tables = scan_tables(documents_index(spark, d), "text", terms)
+    return batch_search(tables, queries, "text", "item_id", "text", k=3)

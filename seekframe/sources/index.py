@@ -137,6 +137,31 @@ class Index:
             df = df.unionByName(ix.df, allowMissingColumns=True)
         return Index(df, mapping=mapping, name=",".join(i.name for i in indices))
 
+    def with_tokens(self, paths) -> "Index":
+        """Index whose rows carry ``<field>__tokens`` for the given text fields.
+
+        The terms are computed by one ``Generate`` (``inline`` of a one-element
+        array), which the optimizer does not inline into the filter and the
+        score expressions, so each row is tokenised once per scan however
+        many clauses read the terms.  Filters on other columns are still
+        pushed below it, into the parquet scan."""
+        need, names = [], set(self.df.columns)
+        for p in dict.fromkeys(paths):
+            name = token_column_name(p)
+            if name in names:
+                continue
+            try:
+                rf = self.field(p)
+            except ValueError:
+                continue
+            if rf.tokens is None:
+                continue
+            need.append(rf.tokens.alias(name))
+            names.add(name)
+        if not need:
+            return self
+        return self.with_df(self.df.select("*", F.inline(F.array(F.struct(*need)))))
+
     # ------------------------------------------------------------------
     def field(self, path: str, element: Column | None = None, element_path: str | None = None) -> ResolvedField:
         """Resolve a dotted field path (optionally relative to a nested element)."""
