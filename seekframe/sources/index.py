@@ -189,6 +189,12 @@ class Index:
                 raise ValueError(f"unknown field {path}")
             dt, crossed = walked
             value = F.col(".".join(f"`{p}`" for p in col_parts))
+        if crossed:
+            # a path through an array of structs reads an array of leaf values
+            if isinstance(dt, T.ArrayType):
+                value = F.flatten(value)
+            else:
+                dt = T.ArrayType(dt)
         if spec is None:
             from .mapping import _infer_spec
             spec = _infer_spec(col_parts[-1], dt, set(), "date")
