@@ -47,10 +47,14 @@ class Mutation:
         return self.status.agg(F.coalesce(F.bool_or(F.col("error").isNotNull()), F.lit(False)).alias("errors"))
 
 
+def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (counts at most max_rows + 1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only if its row count is proven below ``max_rows``."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits(df, max_rows) else df
 
 
 def _fields(changes: DataFrame) -> list[str]:

@@ -27,7 +27,7 @@ from ..functions.analysis import DEFAULT_ANALYZERS, AnalyzerRegistry
 from ..functions.scoring import bm25, round_score
 from ..sources.index import Index
 from ..sources.mapping import token_column_name
-from .mutate import bounded_broadcast
+from .mutate import bounded_broadcast, fits
 
 
 @dataclass
@@ -168,9 +168,12 @@ def batch_search(tables: SearchTables, queries: DataFrame, query_col: str, id_co
     stats = tables.field_stats.filter(F.col("field") == F.lit(field))
     n = stats.agg(F.max("n")).scalar()
     avgdl = stats.agg(F.max("sum_dl").cast("double") / F.max("n").cast("double")).scalar()
+    # the bound is proven on the query-term rows; joining them to term_stats on
+    # its unique key (field, term) cannot add rows, so the joined side keeps it
+    small = fits(qt)
     qt = qt.join(tables.term_stats, ["field", "term"], "inner")
     post = tables.postings.filter(F.col("field") == F.lit(field)).select("field", "term", "_id", "tf", "dl")
-    cand = post.join(bounded_broadcast(qt), ["field", "term"], "inner")
+    cand = post.join(F.broadcast(qt) if small else qt, ["field", "term"], "inner")
     part = bm25(F.col("tf"), F.col("dl"), n, F.col("df"), avgdl)
     summed = cand.groupBy("query_id", "_id").agg(F.sum(part).alias("_raw"))
     ranked = summed.withColumn("_score", round_score(F.col("_raw")))
