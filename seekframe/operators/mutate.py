@@ -88,11 +88,27 @@ def collapse(changes: DataFrame) -> DataFrame:
 
 
 def _apply(base: DataFrame, collapsed: DataFrame, fields: list[str], upsert: bool) -> DataFrame:
-    side = bounded_broadcast(collapsed)
-    marked = base.withColumn("__in_base", F.lit(True))
-    joined = marked.join(side, "_id", "full_outer" if upsert else "left")
+    """Base rows with the collapsed changes applied (+ inserted rows for upsert).
+
+    A full outer join cannot be broadcast, so upsert is split: existing ids are
+    updated by a left join against the (size-checked, broadcast) change side,
+    and new ids are the changes whose id is not found among the base ids
+    (found by a semi join of the base ``_id`` column against the same small
+    side).  The base is never shuffled for a bounded change set."""
+    small = fits(collapsed)
+    side = F.broadcast(collapsed) if small else collapsed
+    updated = _merge(base.join(side, "_id", "left"), base.columns, fields)
+    if not upsert:
+        return updated
+    found = base.select("_id").join(side, "_id", "left_semi")
+    fresh = collapsed.join(F.broadcast(found) if small else found, "_id", "left_anti")
+    empty = base.limit(0)
+    inserted = _merge(empty.join(fresh, "_id", "right"), base.columns, fields)
+    return updated.unionByName(inserted)
+
+
+def _merge(joined: DataFrame, base_cols: list[str], fields: list[str]) -> DataFrame:
     out: list[Column] = []
-    base_cols = [c for c in base.columns]
     for c in base_cols:
         if c == "_id":
             out.append(F.col("_id"))

@@ -299,7 +299,13 @@ def get_by_ids(index: Index, ids: DataFrame, id_col: str = "_id") -> DataFrame:
     """Fetch documents by id; ids without a document give a row of nulls
     (``found`` false).  A left join from the id table: sort-merge on ``_id``
     at scale, broadcast of the id side when AQE sees it is small."""
+    from .mutate import fits
+
     want = ids.select(F.col(id_col).cast("string").alias("_id"))
-    docs = index.df.select("_id", *[F.col(f"`{c}`") for c in index.source_columns])
+    small = fits(want)
+    keys = F.broadcast(want.distinct()) if small else want.distinct()
+    # the index is only filtered (semi join against the id list), never shuffled
+    docs = (index.df.join(keys, "_id", "left_semi")
+            .select("_id", *[F.col(f"`{c}`") for c in index.source_columns]))
     return (want.join(docs.withColumn("found", F.lit(True)), "_id", "left")
             .withColumn("found", F.coalesce(F.col("found"), F.lit(False))))
