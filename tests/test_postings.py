@@ -67,3 +67,18 @@ def test_refresh_equals_rebuild(spark):
     rebuilt = build_postings(new_ix, ["body"], positions=True)
     key = lambda r: (r["term"], r["_id"], r["tf"], tuple(r["positions"]))
     assert sorted(map(key, refreshed.collect())) == sorted(map(key, rebuilt.collect()))
+
+
+def test_written_tables_and_stored_stats(spark):
+    import tempfile
+
+    from seekframe.operators.postings import write_tables
+
+    ix = index(spark)
+    path = tempfile.mkdtemp(prefix="seekframe-tables-")
+    tables = write_tables(build_tables(ix, ["body"], positions=True), path, files_per_field=2)
+    assert tables.postings.count() == build_postings(ix, ["body"]).count()
+    scan = {r["_id"]: r["_score"] for r in matching(ix, Match("body", "cat dog")).collect()}
+    stored = Index(ix.df, ix.mapping, id_col="id", stats=tables)
+    from_stats = {r["_id"]: r["_score"] for r in matching(stored, Match("body", "cat dog")).collect()}
+    assert scan == from_stats
