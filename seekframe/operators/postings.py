@@ -18,6 +18,7 @@ matching most of the corpus sends at most k rows per task to the final step.
 
 from __future__ import annotations
 
+import tempfile
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,6 +28,7 @@ from ..functions.analysis import DEFAULT_ANALYZERS, AnalyzerRegistry
 from ..functions.scoring import bm25, round_score
 from ..sources.index import Index
 from ..sources.mapping import token_column_name
+from ..session import checkpoint_dir
 from .mutate import bounded_broadcast, fits
 
 
@@ -103,7 +105,8 @@ def build_tables(index: Index, fields: list[str] | None = None, positions: bool
     return SearchTables(postings, build_term_stats(postings), build_field_stats(index, fields))
 
 
-def scan_tables(index: Index, field: str, terms: DataFrame, positions: bool = False) -> SearchTables:
+def scan_tables(index: Index, field: str, terms: DataFrame, positions: bool = False,
+                materialize: bool = True) -> SearchTables:
     """Search tables of ``field`` restricted to the terms in ``terms.term``,
     built from the index in the same job (no stored postings needed).
 
@@ -121,6 +124,11 @@ def scan_tables(index: Index, field: str, terms: DataFrame, positions: bool = Fa
     if positions:
         aggs.append(F.sort_array(F.collect_list("pos")).alias("positions"))
     post = exploded.groupBy("field", "term", "_id", "dl").agg(*aggs)
+    if materialize:
+        # read twice below (document frequencies and candidates): cut the lineage
+        # once with a reliable checkpoint in the session's shared checkpoint folder
+        checkpoint_dir(post.sparkSession, lambda: tempfile.mkdtemp(prefix="seekframe-ckpt-"))
+        post = post.checkpoint(eager=True)
     term_stats = post.groupBy("field", "term").agg(F.count("tf").alias("df"))
     return SearchTables(post, term_stats, build_field_stats(index, [field]))
 

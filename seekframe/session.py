@@ -45,7 +45,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     if not d:
         if fallback is None:
             raise RuntimeError("spark.checkpoint.dir is not set")
-        spark.conf.set("spark.checkpoint.dir", fallback)
-        spark.sparkContext.setCheckpointDir(fallback)
-        d = fallback
+        d = fallback() if callable(fallback) else fallback
+        spark.conf.set("spark.checkpoint.dir", d)
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(d)
     return d
