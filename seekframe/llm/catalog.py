@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from seekframe.llm.common import read
+from seekframe.llm.decontaminate import DECONTAMINATE_SQL, decontaminate_digest
+from seekframe.llm.licenses import licenses_digest, licenses_sql
 from seekframe.llm.quality import quality_digest
 from seekframe.llm.secrets import secrets_digest
-from seekframe.llm.topk import topk_digest
+from seekframe.llm.topk import TOPK_SQL, topk_digest
 from seekframe.llm.toxicity import toxicity_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +21,14 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses_digest(read(spark, sf_dir, "documents"))
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate_digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_digest(read(spark, sf_dir, "embeddings"))
 
@@ -32,9 +42,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality, op6_topk, op7_toxicity, op10_secrets)}
+    return {f.__name__: f for f in (op1_quality, op2_licenses, op6_topk, op7_toxicity, op9_decontaminate, op10_secrets)}
 
 
 def llm_sql() -> dict[str, str]:
-    from seekframe.llm.topk import TOPK_SQL
-    return {"op6_topk": TOPK_SQL}
+    return {"op2_licenses": licenses_sql(), "op6_topk": TOPK_SQL, "op9_decontaminate": DECONTAMINATE_SQL}
