@@ -10,6 +10,7 @@ from seekframe.llm.common import read
 from seekframe.llm.decontaminate import DECONTAMINATE_SQL, decontaminate_digest
 from seekframe.llm.licenses import licenses_digest, licenses_sql
 from seekframe.llm.linedup import LINEDUP_SQL, linedup_digest
+from seekframe.llm.mixing import mixing_digest, mixing_sql
 from seekframe.llm.quality import quality_digest
 from seekframe.llm.secrets import secrets_digest
 from seekframe.llm.topk import TOPK_SQL, topk_digest
@@ -30,6 +31,10 @@ def op4_linedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup_digest(read(spark, sf_dir, "documents"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_digest(read(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate_digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -47,8 +52,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality, op2_licenses, op4_linedup, op6_topk, op7_toxicity, op9_decontaminate, op10_secrets)}
+    return {f.__name__: f for f in (op1_quality, op2_licenses, op4_linedup, op6_topk, op7_toxicity, op8_mixing, op9_decontaminate, op10_secrets)}
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op2_licenses": licenses_sql(), "op4_linedup": LINEDUP_SQL, "op6_topk": TOPK_SQL, "op9_decontaminate": DECONTAMINATE_SQL}
+    return {"op2_licenses": licenses_sql(), "op4_linedup": LINEDUP_SQL, "op6_topk": TOPK_SQL, "op8_mixing": mixing_sql(), "op9_decontaminate": DECONTAMINATE_SQL}
