@@ -11,6 +11,7 @@ from seekframe.llm.decontaminate import DECONTAMINATE_SQL, decontaminate_digest
 from seekframe.llm.licenses import licenses_digest, licenses_sql
 from seekframe.llm.linedup import LINEDUP_SQL, linedup_digest
 from seekframe.llm.mixing import mixing_digest, mixing_sql
+from seekframe.llm.neardup import neardup_digest
 from seekframe.llm.quality import quality_digest
 from seekframe.llm.secrets import secrets_digest
 from seekframe.llm.topk import TOPK_SQL, topk_digest
@@ -27,6 +28,10 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses_digest(read(spark, sf_dir, "documents"))
 
 
+def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup_digest(read(spark, sf_dir, "documents"))
+
+
 def op4_linedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup_digest(read(spark, sf_dir, "documents"))
 
@@ -52,7 +57,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality, op2_licenses, op4_linedup, op6_topk, op7_toxicity, op8_mixing, op9_decontaminate, op10_secrets)}
+    return {f.__name__: f for f in (op1_quality, op2_licenses, op3_neardup, op4_linedup, op6_topk, op7_toxicity, op8_mixing, op9_decontaminate, op10_secrets)}
 
 
 def llm_sql() -> dict[str, str]:
