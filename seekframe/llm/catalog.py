@@ -14,6 +14,7 @@ from seekframe.llm.mixing import mixing_digest, mixing_sql
 from seekframe.llm.neardup import neardup_digest
 from seekframe.llm.quality import quality_digest
 from seekframe.llm.secrets import secrets_digest
+from seekframe.llm.tokens import tokens_digest
 from seekframe.llm.topk import TOPK_SQL, topk_digest
 from seekframe.llm.toxicity import toxicity_digest
 
@@ -40,6 +41,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_digest(read(spark, sf_dir, "documents"))
 
 
+def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens_digest(read(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate_digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -57,7 +62,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality, op2_licenses, op3_neardup, op4_linedup, op6_topk, op7_toxicity, op8_mixing, op9_decontaminate, op10_secrets)}
+    return {f.__name__: f for f in (op1_quality, op2_licenses, op3_neardup, op4_linedup, op5_tokens, op6_topk, op7_toxicity, op8_mixing, op9_decontaminate, op10_secrets)}
 
 
 def llm_sql() -> dict[str, str]:
