@@ -36,6 +36,15 @@ def row_key() -> Column:
     return F.xxhash64("text")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``row`` (all columns of ``docs`` as one struct), doc_id, rk and text, so that no name of ``docs`` can clash.
+
+    ``select("row.*")`` gives the rows back as they were.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(row.alias("row"), "doc_id", row_key().alias("rk"), "text")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 

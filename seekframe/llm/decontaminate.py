@@ -33,7 +33,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seekframe.llm.common import ascii_lower, row_key, stored, words
+from seekframe.llm.common import ascii_lower, packed, row_key, stored, words
 
 _BETWEEN_ANY = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -160,9 +160,8 @@ def hit_words(phrases: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """Rows of ``docs`` in which no window occurs, columns as they were."""
     phrases, _ = find_matches(docs, benchmark, **how)
-    bad = phrases.select(F.col("doc_id").alias("_bad_id"), F.col("rk").alias("_bad_rk")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad_id"]) & (F.xxhash64(docs["text"]) == bad["_bad_rk"]),
-                     "left_anti")
+    bad = phrases.select("doc_id", "rk").distinct()
+    return packed(docs).alias("d").join(bad.alias("b"), _same("d", "b"), "left_anti").select("row.*")
 
 
 def decontaminate_digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

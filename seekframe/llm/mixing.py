@@ -33,7 +33,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seekframe.llm.common import row_key, stored
+from seekframe.llm.common import packed, row_key, stored
 
 TOKEN = r"[^\x20\x09-\x0D]+"
 HEX = 3     # hex digits of the order's hash that make a bucket
@@ -131,10 +131,11 @@ def mix_picks(docs: DataFrame, mix: Mix) -> DataFrame:
 
 def mix_documents(docs: DataFrame, mix: Mix) -> DataFrame:
     """Rows of ``docs``, each as often as it is taken, columns as they were."""
-    picks = (mix_picks(docs, mix).select(F.col("doc_id").alias("_p_id"), F.col("rk").alias("_p_rk"), "epoch").distinct()
-             .groupBy("_p_id", "_p_rk").agg(F.count(F.lit(1)).alias("_times")))
-    taken = docs.join(picks, docs["doc_id"].eqNullSafe(picks["_p_id"]) & (F.xxhash64(docs["text"]) == picks["_p_rk"]))
-    return taken.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select(*docs.columns)
+    picks = (mix_picks(docs, mix).select("doc_id", "rk", "epoch").distinct()
+             .groupBy("doc_id", "rk").agg(F.count(F.lit(1)).alias("times")))
+    taken = packed(docs).alias("d").join(picks.alias("p"), F.col("d.doc_id").eqNullSafe(F.col("p.doc_id"))
+                                         & (F.col("d.rk") == F.col("p.rk")))
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("row.*")
 
 
 #: Production mix: sources in three domains by the last character of their name; languages by fixed weights; sources alike.

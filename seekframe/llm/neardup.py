@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seekframe.llm.common import row_key, stored
+from seekframe.llm.common import packed, row_key, stored
 from seekframe.llm.components import components
 
 BUCKET_BITS, MANTISSA, ROWS = 7, 10, 4
@@ -278,16 +278,17 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, shingle: int = 3) ->
 
 def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
     """One row of each group stays, columns as they were."""
-    found = stored(near_duplicates(docs, **how).filter("leads").groupBy(
-        F.col("doc_id").alias("_n_id"), F.col("rk").alias("_n_rk")).agg(F.count(F.lit(1)).alias("_n")), "leading")
-    again = stored(found.filter("_n > 1"), "repeated-rows")
+    found = stored(near_duplicates(docs, **how).filter("leads").groupBy("doc_id", "rk").agg(
+        F.count(F.lit(1)).alias("n")), "leading")
+    again = stored(found.filter("n > 1"), "repeated-rows")
 
     def of(keys: DataFrame) -> DataFrame:
-        return docs.join(keys, docs["doc_id"].eqNullSafe(keys["_n_id"]) & (F.xxhash64(docs["text"]) == keys["_n_rk"]))
+        return (packed(docs).alias("d").join(keys.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
+                                             & (F.col("d.rk") == F.col("k.rk")), "left_semi"))
 
     # of rows that repeat doc_id and text one stays; only those rows are compared
-    once = of(found.filter("_n = 1")).select(*docs.columns)
-    return once.unionByName(of(again).dropDuplicates(["_n_id", "_n_rk"]).select(*docs.columns))
+    once = of(found.filter("n = 1")).select("row.*")
+    return once.union(of(again).dropDuplicates(["doc_id", "rk"]).select("row.*"))
 
 
 def neardup_digest(docs: DataFrame) -> DataFrame:

@@ -9,30 +9,35 @@ full-batch gradient steps; the score is the expected grade.
 
 Features: words and four-letter word beginnings.  Document frequencies of both
 in the toxic and in the clean labelled texts are counted over *all* labelled
-rows in Spark; features whose smoothed log odds reach ``min_odds`` and that
-stand in enough toxic texts form the vocabulary, at most ``max_features`` by
-strength, a bound on the model and not on the data.  The regression is fitted
+rows in Spark; features whose smoothed log odds reach ``min_odds`` and whose
+log-likelihood ratio is beyond what chance gives among so many features form
+the vocabulary, at most ``max_features`` by strength, a bound on the model and
+not on the data.  The regression is fitted
 on a bounded sample (``sample`` rows of each label at most, chosen by a hash).
 
-Defined cases: null and empty texts have no features, grade 0; equal texts get
+Defined cases: a text without any feature of the vocabulary, null and empty
+texts among them, has severity 0; equal texts get
 equal grades; repeated ids and an empty table are harmless, each row is scored
 by itself; without toxic labels nothing is toxic; labels that are null, other
 than 0 and 1, or contradict each other for one document do not teach; extra
-columns of the input are kept, clashing names among them too (the result's
-columns can be renamed by ``prefix``).
+columns of the input are kept; ``severity`` and ``grade`` replace columns of
+these names where scores are asked for.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seekframe.llm.common import packed, stored
+
 _WORDS = re.compile(r"[^\W\d_]+")
 GRADES = 4
 STEM = 4
@@ -78,7 +83,9 @@ class ToxicityModel:
 
     def expected(self, text: str | None) -> float:
         idx, val = self.values(text)
-        z = float(self.weights[idx] @ np.array(val)) if idx else 0.0
+        if not idx:                                  # nothing toxic about it
+            return 0.0
+        z = float(self.weights[idx] @ np.array(val))
         return float(np.sum(1 - _sigmoid(self.thresholds - z)))
 
 
@@ -155,9 +162,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", te
 
     counted = (labelled.select("text", "y").mapInArrow(names, "feature string, clean long, toxic long")
                .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
+    counted = stored(counted, "feature-counts")
     odds = F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("clean") + 0.5) / (n0 + 1.0))
+    both = F.col("toxic") + F.col("clean")
+    # log-likelihood ratio against a feature that does not care; among this many features chance reaches 2 ln(features)
+    ratio = 2 * (_xlog(F.col("toxic"), both * n1 / (n0 + n1)) + _xlog(F.col("clean"), both * n0 / (n0 + n1)))
+    chance = 2 * math.log(max(counted.count(), 2))
     picked = (counted.withColumn("odds", odds)
-              .filter((F.col("odds") >= min_odds) & (F.col("toxic") >= min_docs))
+              .filter((F.col("odds") >= min_odds) & (F.col("toxic") >= min_docs) & (ratio >= chance))
               .orderBy((F.col("odds") * F.col("toxic")).desc(), "feature").limit(max_features)
               .select("feature", "odds").toArrow().to_pylist())
     vocabulary = {r["feature"]: i for i, r in enumerate(picked)}
@@ -191,29 +203,37 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", te
     return ToxicityModel(vocabulary, weights, thresholds)
 
 
+def _xlog(n: Column, expected: Column) -> Column:
+    return F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
+
+
 def _counted(counts: dict[str, list[int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(counts.keys(), pa.string()), pa.array([c[0] for c in counts.values()], pa.int64()),
          pa.array([c[1] for c in counts.values()], pa.int64())], names=["feature", "clean", "toxic"])
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, *, prefix: str = "") -> DataFrame:
-    """``docs`` with ``severity`` (expected grade, 0 to 3) and ``grade`` (the nearest whole grade)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def _severity(spark: SparkSession, model: ToxicityModel) -> Column:
+    shared = spark.sparkContext.broadcast(model)      # bounded by max_features
 
     @F.pandas_udf("double")
     def severity(texts):
         m = shared.value
         return texts.map(m.expected, na_action=None).astype("float64")
 
-    s = f"{prefix}severity"
-    return docs.withColumn(s, severity("text")).withColumn(f"{prefix}grade", F.rint(s).cast("int"))
+    return severity("text")
+
+
+def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """``docs`` with ``severity`` (expected grade, 0 to 3) and ``grade`` (the nearest whole grade), which replace
+    columns of these names."""
+    return docs.withColumn("severity", _severity(docs.sparkSession, model)).withColumn("grade", F.rint("severity").cast("int"))
 
 
 def reject_toxic(docs: DataFrame, model: ToxicityModel, *, limit: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose expected grade is below ``limit``, columns as they were."""
-    kept = score_toxicity(docs, model, prefix="_toxicity_")
-    return kept.filter(F.col("_toxicity_severity") < limit).select(*docs.columns)
+    scored = packed(docs).select("row", _severity(docs.sparkSession, model).alias("severity"))
+    return scored.filter(F.col("severity") < limit).select("row.*")
 
 
 def toxicity_digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
