@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import string
 import tempfile
 import uuid
@@ -45,18 +46,22 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.select(row.alias("row"), "doc_id", row_key().alias("rk"), "text")
 
 
+@functools.cache
+def _own_dir() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="seekframe-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    It is set here only where it is unset and everything runs in one process.
+    A folder of its own only where none is set and everything runs in one process.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
-        d = "file://" + tempfile.mkdtemp(prefix="seekframe-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        d = _own_dir()
     return d.rstrip("/")
 
 

@@ -188,11 +188,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, teaches: Column | None =
 
 def score_quality(docs: DataFrame, model: QualityModel, *, block: int = 256) -> DataFrame:
     """doc_id and score of every row of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # the model travels with the function; Spark broadcasts functions of this size: sample * dims floats and the projection
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f, m = Features(), shared.value
+        f, m = Features(), model
         for b in batches:
             for lo in range(0, b.num_rows, block):
                 part = b.slice(lo, block)

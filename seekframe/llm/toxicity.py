@@ -1,19 +1,19 @@
 """Toxicity: cumulative-link ordinal regression on sparse text features (operator 7).
 
 Severity grades are 0 (clean), 1, 2 and 3.  Labels only say whether a text is
-toxic, so the grades of labelled toxic texts come from the texts themselves:
-grade 1, 2 or 3 by the thirds of their share of toxic features, clean ones are
-grade 0.  One weight vector is shared by all thresholds,
+toxic, so the grades of labelled toxic texts come from the texts themselves,
+grade 1, 2 or 3 by the thirds of their evidence (log counts of toxic features, summed), clean
+ones are grade 0.  One weight vector is shared by all thresholds,
 P(grade <= g) = sigmoid(theta_g - w.x), theta_0 <= theta_1 <= theta_2, fitted by
 full-batch gradient steps; the score is the expected grade.
 
-Features: words and four-letter word beginnings.  Document frequencies of both
-in the toxic and in the clean labelled texts are counted over *all* labelled
-rows in Spark; features whose smoothed log odds reach ``min_odds`` and whose
-log-likelihood ratio is beyond what chance gives among so many features form
-the vocabulary, at most ``max_features`` by strength, a bound on the model and
-not on the data.  The regression is fitted
-on a bounded sample (``sample`` rows of each label at most, chosen by a hash).
+Features: words and four-letter word beginnings, counted in a bounded sample of
+labelled rows (``sample`` of each label at most, chosen by a hash of the id).
+A feature joins the vocabulary if its smoothed log odds reach ``min_odds`` and
+its log-likelihood ratio is beyond what chance gives among so many features,
+counted once by texts and once by different words before it, so that copies
+of one toxic text don't turn its rare words into signs of toxicity.  At most
+``max_features`` enter, by strength, a bound on the model and not on the data.
 
 Defined cases: a text without any feature of the vocabulary, null and empty
 texts among them, has severity 0; equal texts get
@@ -33,7 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seekframe.llm.common import packed, stored
@@ -93,11 +93,13 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_ordinal(x: np.ndarray, y: np.ndarray, *, steps: int = 400, rate: float = 0.05, l2: float = 1e-4
+def fit_ordinal(x: np.ndarray, y: np.ndarray, *, steps: int = 400, rate: float = 0.05, l2: float = 1e-4,
+                positive: bool = True
                 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ascending thresholds of the cumulative-link model, by Adam on the whole matrix.
 
-    The thresholds are theta_0 and positive gaps, so that they stay in order.
+    The thresholds are theta_0 and positive gaps, so that they stay in order.  With ``positive`` weights stay at
+    zero or above: every feature was chosen as a sign of toxicity, so more of them never lower a grade.
     """
     n, f = x.shape
     p = np.zeros(f + GRADES - 1)
@@ -108,7 +110,7 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, *, steps: int = 400, rate: float =
     row = (1 / share)[y] / GRADES
     for t in range(1, steps + 1):
         w, theta = p[:f], _theta(p[f:])
-        z = x @ w
+        z = (x @ w.astype(x.dtype)).astype(float)
         c = _sigmoid(np.concatenate([np.full((n, 1), -40.0), theta[None, :] - z[:, None], np.full((n, 1), 40.0)], 1))
         lo, hi = c[np.arange(n), y], c[np.arange(n), y + 1]
         prob = np.maximum(hi - lo, 1e-9)
@@ -118,10 +120,12 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, *, steps: int = 400, rate: float =
         gt = np.zeros(GRADES - 1)
         for g in range(GRADES - 1):
             gt[g] = -(row * dhi)[y == g].sum() + (row * dlo)[y == g + 1].sum()
-        grad = np.concatenate([x.T @ gz + l2 * w, _theta_back(p[f:], gt)])
+        grad = np.concatenate([(gz.astype(x.dtype) @ x) + l2 * w, _theta_back(p[f:], gt)])
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad
         p -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+        if positive:
+            p[:f] = np.maximum(p[:f], 0)
     return p[:f], _theta(p[f:])
 
 
@@ -135,16 +139,21 @@ def _theta_back(raw: np.ndarray, gt: np.ndarray) -> np.ndarray:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", teaches: Column | None = None,
-                 min_odds: float = 3.0, min_docs: int = 2, max_features: int = 8192, sample: int = 4000
-                 ) -> ToxicityModel:
+                 min_odds: float = 3.0, max_features: int = 2048, sample: int = 10_000) -> ToxicityModel:
+    """Fit on at most ``sample`` labelled rows of each label for which ``teaches`` (over doc_id) holds."""
+    nothing = ToxicityModel({}, np.zeros(0), np.array([1.0, 2.0, 3.0]) * 40)
     lab = (labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (F.lit(True) if teaches is None else teaches))
            .groupBy("doc_id").agg(F.min(label).cast("int").alias("y"), F.max(label).cast("int").alias("y2"))
            .filter("y = y2").select("doc_id", "y"))
-    labelled = docs.select("doc_id", "text").join(lab, "doc_id").dropDuplicates(["doc_id"])
+    order = F.md5(F.col("doc_id").cast("string"))
+    chosen = (lab.filter("y = 0").orderBy(order, "doc_id").limit(sample)
+              .unionByName(lab.filter("y = 1").orderBy(order, "doc_id").limit(sample)))
+    # 2 * sample ids at most, so the texts need no shuffle to meet them
+    labelled = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]), "labelled")
     totals = {r["y"]: r["n"] for r in labelled.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1 or not n0:
-        return ToxicityModel({}, np.zeros(0), np.array([1.0, 2.0, 3.0]) * 40)
+        return nothing
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, list[int]] = {}
@@ -160,49 +169,69 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", te
                 counts = {}
         yield _counted(counts)
 
-    counted = (labelled.select("text", "y").mapInArrow(names, "feature string, clean long, toxic long")
-               .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
-    counted = stored(counted, "feature-counts")
-    odds = F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("clean") + 0.5) / (n0 + 1.0))
-    both = F.col("toxic") + F.col("clean")
-    # log-likelihood ratio against a feature that does not care; among this many features chance reaches 2 ln(features)
-    ratio = 2 * (_xlog(F.col("toxic"), both * n1 / (n0 + n1)) + _xlog(F.col("clean"), both * n0 / (n0 + n1)))
+    counted = stored(labelled.select("text", "y").mapInArrow(names, "feature string, clean long, toxic long")
+                     .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "feature-counts")
+    # among this many features, chance alone reaches a log-likelihood ratio of about 2 ln(features)
     chance = 2 * math.log(max(counted.count(), 2))
-    picked = (counted.withColumn("odds", odds)
-              .filter((F.col("odds") >= min_odds) & (F.col("toxic") >= min_docs) & (ratio >= chance))
-              .orderBy((F.col("odds") * F.col("toxic")).desc(), "feature").limit(max_features)
-              .select("feature", "odds").toArrow().to_pylist())
-    vocabulary = {r["feature"]: i for i, r in enumerate(picked)}
-    probe = ToxicityModel(vocabulary, np.zeros(len(picked)), np.zeros(3))
+
+    def strong(table: DataFrame) -> list[str]:
+        odds = F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("clean") + 0.5) / (n0 + 1.0))
+        both = F.col("toxic") + F.col("clean")
+        ratio = 2 * (_xlog(F.col("toxic"), both * n1 / (n0 + n1)) + _xlog(F.col("clean"), both * n0 / (n0 + n1)))
+        return [r["feature"] for r in table.filter((odds >= min_odds) & (ratio >= chance))
+                .orderBy(ratio.desc(), "feature").limit(max_features).select("feature").collect()]
+
+    candidates = {f: i for i, f in enumerate(strong(counted))}
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            seen = {(f, y, p) for t, y in zip(b.column("text"), b.column("y").to_pylist())
+                    for f, p in _in_context(t.as_py(), candidates)}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in seen], pa.string()), pa.array([x[1] for x in seen], pa.int32()),
+                 pa.array([x[2] for x in seen], pa.string())], names=["feature", "y", "before"])
+
+    # copies of one text repeat its words before the same words; different words before it are separate evidence
+    around = (labelled.select("text", "y").mapInArrow(contexts, "feature string, y int, before string").distinct()
+              .groupBy("feature").agg(F.count_if(F.col("y") == 1).alias("toxic"), F.count_if(F.col("y") == 0).alias("clean")))
+    vocabulary = {f: i for i, f in enumerate(strong(around))}
+    if not vocabulary:
+        return nothing
+    probe = ToxicityModel(vocabulary, np.zeros(len(vocabulary)), np.zeros(3))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = [probe.values(t.as_py()) for t in b.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").cast(pa.string()), b.column("y"), b.column("n"),
-                 pa.array([g[0] for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.list_(pa.float64()))],
-                names=["doc_id", "y", "n", "idx", "val"])
+                [b.column("doc_id").cast(pa.string()), b.column("y"),
+                 pa.array([g[0] for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.list_(pa.float32()))],
+                names=["doc_id", "y", "idx", "val"])
 
-    order = F.md5(F.col("doc_id").cast("string"))
-    chosen = (lab.filter("y = 0").orderBy(order, "doc_id").limit(sample)
-              .unionByName(lab.filter("y = 1").orderBy(order, "doc_id").limit(sample)))
-    got = (docs.select("doc_id", "text").join(chosen, "doc_id").dropDuplicates(["doc_id"])
-           .select("doc_id", "y", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n"), "text")
-           .mapInArrow(rows, "doc_id string, y int, n long, idx array<int>, val array<double>").toArrow().to_pylist())
+    got = (labelled.select("doc_id", "y", "text")
+           .mapInArrow(rows, "doc_id string, y int, idx array<int>, val array<float>").toArrow().to_pylist())
     got.sort(key=lambda r: r["doc_id"])
-    x = np.zeros((len(got), len(picked)), np.float32)
+    x = np.zeros((len(got), len(vocabulary)), np.float32)
     for row, r in zip(x, got):
         row[r["idx"]] = r["val"]
     y = np.array([r["y"] for r in got])
-    dense = x.sum(1) / np.maximum([r["n"] for r in got], 1)
-    grade = np.zeros(len(got), int)
-    if y.any():
-        cuts = np.quantile(dense[y == 1], [1 / 3, 2 / 3])
-        grade[y == 1] = 1 + (dense[y == 1] > cuts[0]) + (dense[y == 1] > cuts[1])
+    evidence = x.sum(1)
+    cuts = np.quantile(evidence[y == 1], [1 / 3, 2 / 3])
+    grade = y * (1 + (evidence > cuts[0]) + (evidence > cuts[1]))
     weights, thresholds = fit_ordinal(x, grade)
     return ToxicityModel(vocabulary, weights, thresholds)
 
 
+def _in_context(text: str | None, wanted: dict[str, int]) -> Iterator[tuple[str, str]]:
+    """Wanted features of a text with the word before them."""
+    before = ""
+    for w in _WORDS.findall((text or "").lower()):
+        if "=" + w in wanted:
+            yield "=" + w, before
+        if len(w) > STEM and w[:STEM] in wanted:
+            yield w[:STEM], before
+        before = w
+
+
 def _xlog(n: Column, expected: Column) -> Column:
     return F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
 
@@ -213,13 +242,12 @@ def _counted(counts: dict[str, list[int]]) -> pa.RecordBatch:
          pa.array([c[1] for c in counts.values()], pa.int64())], names=["feature", "clean", "toxic"])
 
 
-def _severity(spark: SparkSession, model: ToxicityModel) -> Column:
-    shared = spark.sparkContext.broadcast(model)      # bounded by max_features
+def _severity(model: ToxicityModel) -> Column:
+    # the model, bounded by max_features, travels with the function
 
     @F.pandas_udf("double")
     def severity(texts):
-        m = shared.value
-        return texts.map(m.expected, na_action=None).astype("float64")
+        return texts.map(model.expected, na_action=None).astype("float64")
 
     return severity("text")
 
@@ -227,12 +255,12 @@ def _severity(spark: SparkSession, model: ToxicityModel) -> Column:
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """``docs`` with ``severity`` (expected grade, 0 to 3) and ``grade`` (the nearest whole grade), which replace
     columns of these names."""
-    return docs.withColumn("severity", _severity(docs.sparkSession, model)).withColumn("grade", F.rint("severity").cast("int"))
+    return docs.withColumn("severity", _severity(model)).withColumn("grade", F.rint("severity").cast("int"))
 
 
 def reject_toxic(docs: DataFrame, model: ToxicityModel, *, limit: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose expected grade is below ``limit``, columns as they were."""
-    scored = packed(docs).select("row", _severity(docs.sparkSession, model).alias("severity"))
+    scored = packed(docs).select("row", _severity(model).alias("severity"))
     return scored.filter(F.col("severity") < limit).select("row.*")
 
 
