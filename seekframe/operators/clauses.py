@@ -19,7 +19,7 @@ import json
 import math
 import re
 from dataclasses import dataclass, field
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 from typing import Any, Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -63,7 +63,7 @@ class Match(Clause):
     analyzer: str | None = None
     fuzziness: Any = None
     prefix_length: int = 0
-    max_expansions: int = 50
+    max_expansions: int | None = None
     minimum_should_match: Any = None
     boost: float | None = None
 
@@ -397,6 +397,18 @@ def _is_date_only(value, fmt: str | None) -> bool:
     return isinstance(value, str) and re.fullmatch(r"\d{4}-\d{2}-\d{2}", value.strip()) is not None
 
 
+def _instant(value, fmt: str | None) -> datetime | None:
+    """UTC wall time of a literal that names its own offset (``Z``, ``+05:00``); else None.  An offset beats a time zone."""
+    if isinstance(value, str) and not fmt and re.search(r"T?\d{2}:\d{2}.*([zZ]|[+-]\d{2}:?\d{2})$", value.strip()):
+        try:
+            value = datetime.fromisoformat(value.strip())
+        except ValueError:
+            return None
+    if isinstance(value, datetime) and value.tzinfo is not None:
+        return value.astimezone(timezone.utc).replace(tzinfo=None)
+    return None
+
+
 def _date_literal(value, fmt, tz, target: T.DataType, rf=None) -> tuple[Column, bool]:
     """Foldable timestamp literal of the column's type, and whether it is date-only.
 
@@ -411,8 +423,10 @@ def _date_literal(value, fmt, tz, target: T.DataType, rf=None) -> tuple[Column,
     elif fmt == "epoch_second":
         wall = (datetime(1970, 1, 1) + timedelta(seconds=int(value))).isoformat(sep=" ")
         ntz = F.to_timestamp_ntz(F.lit(wall))
+    elif (instant := _instant(value, fmt)) is not None:
+        ntz, tz = F.to_timestamp_ntz(F.lit(instant.isoformat(sep=" "))), None
     elif isinstance(value, datetime):
-        ntz = F.to_timestamp_ntz(F.lit(value.replace(tzinfo=None).isoformat(sep=" ")))
+        ntz = F.to_timestamp_ntz(F.lit(value.isoformat(sep=" ")))
     elif isinstance(value, date):
         ntz = F.to_timestamp_ntz(F.lit(value.isoformat()))
     elif fmt:
@@ -505,14 +519,14 @@ def fuzzy_max_edits(term: str, fuzziness) -> int:
 
 
 def fuzzy_expansions(ctx: Context, rf: ResolvedField, term: str, edits: int,
-                     prefix_length: int, max_expansions: int) -> Column:
+                     prefix_length: int, max_expansions: int | None) -> Column:
     """Array of vocabulary terms within ``edits`` of ``term`` sharing its first
-    ``prefix_length`` characters, the ``max_expansions`` most frequent first.
+    ``prefix_length`` characters: all of them, or the ``max_expansions`` most frequent.
 
     The vocabulary is the stored term table when the index has one, else the
     distinct tokens of the index.  Candidates are blocked on length and prefix
     before the (thresholded) edit distance is computed; the result is a
-    scalar subquery of at most ``max_expansions`` entries.
+    scalar subquery, one entry for each vocabulary term that close to ``term``.
     """
     vocab = ctx.index.stats.vocabulary(rf.path) if getattr(ctx.index, "stats", None) is not None else None
     if vocab is None:
@@ -523,7 +537,7 @@ def fuzzy_expansions(ctx: Context, rf: ResolvedField, term: str, edits: int,
     if prefix_length > 0:
         cand = cand.filter(F.substring("term", 1, prefix_length) == F.lit(term[:prefix_length]))
     cand = cand.filter(F.levenshtein(F.col("term"), q, edits) >= 0)
-    top = cand.orderBy(F.desc("df"), F.asc("term")).limit(max_expansions)
+    top = cand if max_expansions is None else cand.orderBy(F.desc("df"), F.asc("term")).limit(max_expansions)
     return top.agg(F.coalesce(F.collect_list("term"), F.array().cast("array<string>"))).scalar()
 
 
@@ -580,14 +594,15 @@ def _c_phrase(c: MatchPhrase, ctx: Context) -> Compiled:
         return _c_term(Term(c.field, c.query, c.boost), ctx)
     padded = _padded(rf.tokens)
     needle = phrase_needle(seq)
-    matched = F.contains(padded, F.lit(needle))
+    # rows without all the words never build the padded text
+    matched = _and([F.array_contains(rf.tokens, F.lit(t)) for t in dict.fromkeys(seq)]) & F.contains(padded, F.lit(needle))
     if not ctx.scoring:
         return Compiled(matched, F.lit(boost))
     freq = F.floor((F.length(padded) - F.length(F.replace(padded, F.lit(needle), F.lit(""))))
                    / F.lit(len(needle)))
     n, avg = ctx.n_docs(rf), ctx.avgdl(rf)
     w = _sum([idf(n, ctx.df(rf, t)) for t in dict.fromkeys(seq)])
-    score = F.when(freq > 0, w * tf_norm(freq, F.size(rf.tokens), avg)).otherwise(F.lit(0.0))
+    score = F.when(matched & (freq > 0), w * tf_norm(freq, F.size(rf.tokens), avg)).otherwise(F.lit(0.0))
     return Compiled(matched, score * F.lit(boost))
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 import fnmatch
 import json
 from dataclasses import dataclass
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -71,25 +72,25 @@ def parse_sort(sort) -> list[SortKey]:
     return out
 
 
-def _key_column(df: DataFrame, key: str) -> Column:
-    return F.col(key) if key.startswith("_") else F.col(".".join(f"`{p}`" for p in key.split(".")))
-
-
-def _key_type(df: DataFrame, key: str) -> T.DataType:
-    dt: T.DataType = df.schema
-    for p in key.split("."):
-        dt = dt[p].dataType
-    return dt
+def _sort_key(index: Index, df: DataFrame, key: str) -> tuple[Column, T.DataType]:
+    """A field as sorts see it: keyword sub-fields (``title.exact``) by their field, ``null_value`` in place of null."""
+    if key.startswith("_"):
+        return F.col(key), df.schema[key].dataType
+    rf = index.field(key)
+    if rf.is_array:
+        raise ValueError(f"cannot sort by {key}: it holds several values")
+    return rf.predicate_value, rf.data_type
 
 
 def sort_value_json(col: Column, dt: T.DataType) -> Column:
-    """One sort value as JSON text; dates as epoch milliseconds."""
+    """One sort value as JSON text, exact; dates as epoch milliseconds with up to three decimals (microseconds)."""
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
         if isinstance(dt, T.TimestampType):
-            v = F.unix_millis(col)
+            v = F.unix_micros(col)
         else:  # NTZ values hold UTC wall time
-            v = F.unix_millis(F.convert_timezone(F.lit("UTC"), F.current_timezone(), col).cast("timestamp"))
-        return F.coalesce(v.cast("string"), F.lit("null"))
+            v = F.unix_micros(F.convert_timezone(F.lit("UTC"), F.current_timezone(), col).cast("timestamp"))
+        millis = (v.cast("decimal(20,0)") / F.lit(1000).cast("decimal(4,0)")).cast("decimal(23,3)").cast("string")
+        return F.coalesce(F.regexp_replace(millis, r"\.000$", ""), F.lit("null"))
     if isinstance(dt, T.DateType):
         return F.coalesce(F.unix_millis(col.cast("timestamp")).cast("string"), F.lit("null"))
     return F.regexp_extract(F.to_json(F.array(col)), r"^\[(.*)\]$", 1)
@@ -99,14 +100,14 @@ def _cursor_literal(value, dt: T.DataType) -> Column:
     if value is None:
         return F.lit(None).cast(dt)
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        ms = int(value)
-        ts = F.timestamp_millis(F.lit(ms))
+        ts = F.timestamp_micros(F.lit(int(Decimal(str(value)) * 1000)))
         if isinstance(dt, T.TimestampNTZType):
             return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
         return ts
     if isinstance(dt, T.DateType):
         return F.timestamp_millis(F.lit(int(value))).cast("date")
-    return F.lit(value).cast(dt)
+    # exact numbers come as Decimal; their text converts to any numeric type without loss
+    return F.lit(str(value) if isinstance(value, Decimal) else value).cast(dt)
 
 
 def keyset_after(keys: list[tuple[Column, str, Column]]) -> Column:
@@ -135,7 +136,7 @@ def decode_cursor(cursor: str | None) -> list | None:
     if not cursor:
         return None
     try:
-        values = json.loads(cursor)
+        values = json.loads(cursor, parse_float=Decimal)
     except (TypeError, ValueError) as exc:
         raise ValueError(f"Invalid cursor format: {cursor}") from exc
     if not isinstance(values, list):
@@ -203,9 +204,9 @@ class SearchResult:
 
     @property
     def cursor(self) -> str | None:
-        """Sort values of the last hit of the page (page rows only reach the driver)."""
-        rows = self.hits.select("_sort").collect()
-        return rows[-1]["_sort"] if rows else None
+        """Sort values of the last hit of the page (only that row reaches the driver)."""
+        rows = self.hits.select("_sort").tail(1)
+        return rows[0]["_sort"] if rows else None
 
     def rows(self) -> list:
         return self.hits.collect()
@@ -249,12 +250,15 @@ def search(index: Index, query: Clause | dict | None = None, *, sort=None, size:
         scored = scored.filter(F.col("_score") >= F.lit(float(min_score)))
     if not any(k.field == "_id" for k in keys):
         keys = keys + [SortKey("_id", "asc")]
-    key_cols = [(_key_column(scored, k.field), k.order, _key_type(scored, k.field)) for k in keys]
+    sorts = [(*_sort_key(index, scored, k.field), k.order) for k in keys]
+    key_cols = [(c, o, dt) for c, dt, o in sorts]
     sort_json = F.concat(F.lit("["), F.concat_ws(",", *[sort_value_json(c, dt) for c, _, dt in key_cols]), F.lit("]"))
     values = search_after if search_after is not None else decode_cursor(cursor)
     page = scored
     if values:
-        if len(values) != len(key_cols):
+        if len(values) > len(key_cols):
+            raise ValueError(f"{len(values)} cursor values for {len(key_cols)} sort keys")
+        if len(values) < len(key_cols):
             # a cursor may omit the implicit _id tie-break: pad with nothing after it
             values = list(values) + [None] * (len(key_cols) - len(values))
         page = page.filter(keyset_after([(c, o, _cursor_literal(v, dt))
@@ -297,15 +301,10 @@ def count_frame(index: Index, query: Clause | dict | None = None) -> DataFrame:
 
 def get_by_ids(index: Index, ids: DataFrame, id_col: str = "_id") -> DataFrame:
     """Fetch documents by id; ids without a document give a row of nulls
-    (``found`` false).  A left join from the id table: sort-merge on ``_id``
-    at scale, broadcast of the id side when AQE sees it is small."""
-    from .mutate import fits
-
+    (``found`` false).  A semi join keeps the documents asked for before the
+    left join from the id table; Spark broadcasts the ids where their size allows."""
     want = ids.select(F.col(id_col).cast("string").alias("_id"))
-    small = fits(want)
-    keys = F.broadcast(want.distinct()) if small else want.distinct()
-    # the index is only filtered (semi join against the id list), never shuffled
-    docs = (index.df.join(keys, "_id", "left_semi")
+    docs = (index.df.join(want.distinct(), "_id", "left_semi")
             .select("_id", *[F.col(f"`{c}`") for c in index.source_columns]))
     return (want.join(docs.withColumn("found", F.lit(True)), "_id", "left")
             .withColumn("found", F.coalesce(F.col("found"), F.lit(False))))

@@ -7,6 +7,9 @@ unless the caller passes one (tests do).
 
 from __future__ import annotations
 
+import functools
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings the engine relies on (AQE for runtime re-planning and skew joins).
@@ -16,8 +19,6 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # scalar subqueries of corpus statistics are merged into one aggregate
-    "spark.sql.optimizer.excludedRules": "",
 }
 
 
@@ -29,8 +30,7 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None, app: str
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
          .config("spark.driver.memory", "16g"))
     for k, v in ENGINE_CONF.items():
-        if k != "spark.sql.optimizer.excludedRules":
-            b = b.config(k, v)
+        b = b.config(k, v)
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -38,15 +38,22 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None, app: str
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; ``fallback`` only
-    when the session has none (tests)."""
+@functools.cache
+def _own_dir() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="seekframe-")
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Only a session that runs everything in one process gets a folder of its own where none is set.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if fallback is None:
-            raise RuntimeError("spark.checkpoint.dir is not set")
-        d = fallback() if callable(fallback) else fallback
-        spark.conf.set("spark.checkpoint.dir", d)
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
+        d = _own_dir()
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(d)
     return d

@@ -1,42 +1,9 @@
-"""Reading document tables from files.
-
-``read_table`` is ``spark.read.parquet`` plus one rule for small inputs: a
-file with a single row group is read by a single task however many splits
-Spark plans, so CPU-heavy work on it (tokenising, regex highlighting)
-would run on one core.  When a table has fewer files than the session's
-default parallelism *and* is smaller than ``SMALL_INPUT_BYTES``, its rows are
-spread round-robin over that many partitions.  Filters and column pruning
-still reach the scan (they are pushed below the exchange).  Inputs above the
-size bound -- every table of a real corpus -- are returned untouched, so a
-large scan never pays an extra shuffle for this.
-"""
+"""Reading document tables from files."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Inputs at most this large (bytes) with fewer files than cores are rebalanced.
-SMALL_INPUT_BYTES = 1 << 30
-
-
-def input_size(spark: SparkSession, df: DataFrame) -> tuple[int, int]:
-    """(number of files, total bytes) of a file-based DataFrame."""
-    files = df.inputFiles()
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    total = 0
-    for f in files:
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return len(files), total
-
 
-def read_table(spark: SparkSession, path: str, rebalance: bool = True) -> DataFrame:
-    df = spark.read.parquet(path)
-    if not rebalance:
-        return df
-    par = spark.sparkContext.defaultParallelism
-    n_files, size = input_size(spark, df)
-    if n_files < par and size <= SMALL_INPUT_BYTES:
-        return df.repartition(par)
-    return df
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

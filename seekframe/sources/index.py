@@ -131,8 +131,7 @@ class Index:
         df = indices[0].df
         mapping = Mapping()
         for ix in indices:
-            for k, v in ix.mapping.properties.items():
-                mapping.properties.setdefault(k, v)
+            mapping.merge(ix.mapping)
         for ix in indices[1:]:
             df = df.unionByName(ix.df, allowMissingColumns=True)
         return Index(df, mapping=mapping, name=",".join(i.name for i in indices))
@@ -196,6 +195,8 @@ class Index:
             else:
                 dt = T.ArrayType(dt)
         if spec is None:
+            if self.mapping.dynamic_policy is False and element is None and self.mapping.properties:
+                raise ValueError(f"field {path} is not searchable (dynamic: false, not declared)")
             from .mapping import _infer_spec
             spec = _infer_spec(col_parts[-1], dt, set(), "date")
         is_array = crossed or isinstance(dt, T.ArrayType)

@@ -51,8 +51,6 @@ class FieldSpec:
     normalizer: str | None = None
     format: str | None = None
     coerce: bool = True
-    doc_values: bool = True
-    store: bool = False
     enabled: bool = True
     dynamic: Any = None
     fields: dict[str, "FieldSpec"] = field(default_factory=dict)
@@ -107,10 +105,6 @@ class FieldSpec:
                 out[key] = v
         if not self.index:
             out["index"] = False
-        if not self.doc_values:
-            out["doc_values"] = False
-        if self.store:
-            out["store"] = True
         if not self.coerce:
             out["coerce"] = False
         if self.copy_to:
@@ -132,10 +126,6 @@ def _common(spec: FieldSpec, opts: dict) -> FieldSpec:
             spec.fields["exact"].index = False
         else:
             spec.index = False
-    if opts.get("doc_values") is False:
-        spec.doc_values = False
-    if opts.get("store"):
-        spec.store = True
     if opts.get("null_value") is not None:
         spec.null_value = opts["null_value"]
     if opts.get("copy_to") is not None:
@@ -279,6 +269,18 @@ class Mapping:
             reg.register(analyzer_from_settings(name, spec, tokenizers))
         return reg
 
+    def merge(self, other: "Mapping") -> "Mapping":
+        """Add another mapping's fields and analysis settings; what both declare must be declared alike."""
+        for name, spec in other.properties.items():
+            if self.properties.setdefault(name, spec) != spec:
+                raise ValueError(f"field {name} is declared differently in the mappings to merge")
+        for kind, entries in (other.index_settings.get("analysis") or {}).items():
+            mine = self.index_settings.setdefault("analysis", {}).setdefault(kind, {})
+            for name, entry in entries.items():
+                if mine.setdefault(name, entry) != entry:
+                    raise ValueError(f"analysis {kind} {name} is declared differently in the mappings to merge")
+        return self
+
     def to_dict(self) -> dict:
         out: dict[str, Any] = {"mappings": {"properties": {k: v.to_dict() for k, v in self.properties.items()}}}
         if self._dynamic is not None:
@@ -400,11 +402,11 @@ def _convert(spec: FieldSpec, col: Column, in_type: T.DataType, path: str) -> tu
         if isinstance(in_type, T.StringType) and not spec.coerce:
             errs.append(F.when(col.isNotNull(), F.lit(f"{path}: string not accepted (coerce=false)")))
             return F.lit(None).cast(target), errs
-        out = col.try_cast(target) if isinstance(in_type, T.StringType) else col.cast(target)
+        out = col.try_cast(target)
         errs.append(F.when(col.isNotNull() & out.isNull(), F.lit(f"{path}: not a {t}")))
         return out, errs
     if t == "boolean":
-        out = col.try_cast(T.BooleanType()) if isinstance(in_type, T.StringType) else col.cast("boolean")
+        out = col.try_cast(T.BooleanType())
         errs.append(F.when(col.isNotNull() & out.isNull(), F.lit(f"{path}: not a boolean")))
         return out, errs
     if t == "date":
@@ -426,6 +428,13 @@ def _convert(spec: FieldSpec, col: Column, in_type: T.DataType, path: str) -> tu
         if isinstance(in_type, T.StringType):
             struct_col = F.from_json(col, target)
             errs.append(F.when(col.isNotNull() & struct_col.isNull(), F.lit(f"{path}: not an object")))
+            raw = F.from_json(col, "map<string,string>")
+            for k, sub in spec.properties.items():     # a value that is there but did not convert
+                errs.append(F.when(raw[k].isNotNull() & struct_col.getField(k).isNull(),
+                                   F.lit(f"{path}.{k}: not {'an' if sub.type[0] in 'aeiou' else 'a'} {sub.type}")))
+            if spec.dynamic == "strict":
+                known = F.array(*[F.lit(k) for k in spec.properties])
+                errs.append(F.when(F.size(F.array_except(F.map_keys(raw), known)) > 0, F.lit(f"{path}: unknown field")))
             return struct_col, errs
         if isinstance(in_type, T.StructType):
             names = {f.name: f.dataType for f in in_type.fields}
@@ -438,9 +447,11 @@ def _convert(spec: FieldSpec, col: Column, in_type: T.DataType, path: str) -> tu
                     v = F.lit(None).cast(sub.spark_type())
                 parts.append(v.alias(k))
             extra = [n for n in names if n not in spec.properties]
-            if extra and spec.dynamic == "strict":
-                for n in extra:
+            for n in extra:
+                if spec.dynamic == "strict":
                     errs.append(F.when(col.getField(n).isNotNull(), F.lit(f"{path}.{n}: unknown field")))
+                else:                                  # kept as it came
+                    parts.append(col.getField(n).alias(n))
             return F.when(col.isNotNull(), F.struct(*parts)), errs
         raise TypeError(f"{path}: cannot read {in_type} as object")
     if t == "nested":

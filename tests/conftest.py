@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -12,7 +11,7 @@ def spark():
     from seekframe.session import checkpoint_dir, local_session
 
     s = local_session(4, 4, app="seekframe-tests")
-    checkpoint_dir(s, tempfile.mkdtemp(prefix="seekframe-ckpt-"))
+    checkpoint_dir(s)
     yield s
     s.stop()
 

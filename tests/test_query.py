@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seekframe import (Bool, Exists, Highlight, Match, MatchAll, MultiMatch, Range, Term, Terms, Wildcard,
-                       count, each, from_dict, get_highlight_first, get_highlight_sentence, search, when,
+                       Index, Mapping, count, each, from_dict, get_highlight_first, get_highlight_sentence, search, when,
                        when_else)
 from seekframe.operators.clauses import merge_multi_match, resolve_msm
 
@@ -176,3 +176,46 @@ def test_terms_and_nested(spark):
     q = Bool(must=[Term("comments.author", "x"), Range("comments.n", gte=5)])
     assert sorted(ids(search(ix, q))) == ["a", "b"]
     assert sorted(ids(search(ix, Terms("comments.author", ["y"])))) == ["a"]
+
+
+@pytest.mark.parametrize("order", ["asc", "desc"])
+def test_paging_over_microseconds_nulls_and_ties(spark, order):
+    from datetime import datetime, timedelta
+    t0 = datetime(2024, 1, 1, 0, 0, 0, 17)
+    rows = [(str(i), t0 + timedelta(microseconds=100 * (i // 2))) for i in range(9)] + [("n1", None), ("n2", None)]
+    for kind in ("timestamp", "timestamp_ntz"):
+        ix = Index(spark.createDataFrame(rows, f"_id string, at {kind}"), Mapping().date("at"), name="t")
+        seen, cursor = [], None
+        for _ in range(20):
+            res = search(ix, None, sort=[("at", order)], size=3, cursor=cursor)
+            page = [r["_id"] for r in res.hits.collect()]
+            if not page:
+                break
+            seen += page
+            cursor = res.cursor
+        assert sorted(seen) == sorted(r[0] for r in rows)
+        assert seen == [r["_id"] for r in search(ix, None, sort=[("at", order)], size=50).hits.collect()]
+
+
+def test_too_many_cursor_values(docs):
+    with pytest.raises(ValueError, match="cursor values"):
+        search(docs, None, sort=[("createdAt", "asc")], search_after=[1, "1", "extra"])
+
+
+def test_undeclared_fields_are_not_searchable_without_dynamic(spark):
+    df = spark.createDataFrame([("1", "a", "b")], "_id string, title string, other string")
+    with pytest.raises(ValueError, match="not searchable"):
+        search(Index(df, Mapping().keyword("title").dynamic(False)), Term("other", "b")).hits.collect()
+
+
+def test_building_queries_starts_no_job(spark):
+    from seekframe.plans.catalog import all_queries
+    plans = [n for n in all_queries() if n not in ("batch_search", "search_stored", "batch_search_stored")]
+    sc = spark.sparkContext
+    for name in plans:
+        sc.setJobGroup(name, name)
+        all_queries()[name](spark, "/root/testdata/sf0.001")
+        jobs = sc.statusTracker().getJobIdsForGroup(name)
+        # reading a Parquet schema is one job a table
+        assert all(len(sc.statusTracker().getJobInfo(j).stageIds) == 1 for j in jobs) and len(jobs) <= 3, name
+    sc.setJobGroup("", "")
