@@ -4,10 +4,10 @@
 ``term_stats``  field, term, df
 ``field_stats`` field, n, sum_dl
 
-Built once from an index (``posexplode`` + ``groupBy``; the aggregate is
-partial, so each document's terms are combined in the task that read it)
-and written partitioned by ``field`` and clustered by ``term`` so a lookup of
-a few terms reads a few row groups.
+Built once from an index without a shuffle (a document's tokens stand in one
+row) and written partitioned by ``field`` and range-clustered by (``term``,
+``_id``), so a lookup of a few terms reads a few row groups and a term that
+stands in most documents spreads over many files.
 
 Batch search answers a *table* of queries in one job: query terms join the
 postings on (field, term), per (query, document) the BM25 parts are summed,
@@ -18,7 +18,6 @@ matching most of the corpus sends at most k rows per task to the final step.
 
 from __future__ import annotations
 
-import tempfile
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,7 +28,6 @@ from ..functions.scoring import bm25, round_score
 from ..sources.index import Index
 from ..sources.mapping import token_column_name
 from ..session import checkpoint_dir
-from .mutate import bounded_broadcast, fits
 
 
 @dataclass
@@ -37,9 +35,12 @@ class SearchTables:
     postings: DataFrame
     term_stats: DataFrame
     field_stats: DataFrame
+    fields: tuple[str, ...]     # the fields that the tables cover
 
     # used by the clause compiler: statistics from the stored tables
     def scalar(self, kind: str, path: str, term=None) -> Column | None:
+        if path not in self.fields:
+            return None
         fs = self.field_stats.filter(F.col("field") == F.lit(path))
         if kind == "n_docs":
             return fs.agg(F.max("n")).scalar()
@@ -50,7 +51,9 @@ class SearchTables:
             return ts.agg(F.coalesce(F.max("df"), F.lit(0).cast("bigint"))).scalar()
         return None
 
-    def vocabulary(self, path: str) -> DataFrame:
+    def vocabulary(self, path: str) -> DataFrame | None:
+        if path not in self.fields:
+            return None
         return self.term_stats.filter(F.col("field") == F.lit(path)).select("term", "df")
 
 
@@ -60,22 +63,34 @@ def _text_fields(index: Index, fields: list[str] | None) -> list[str]:
     return [k for k, v in index.mapping.properties.items() if v.is_text and v.index]
 
 
+def _once(value: Column) -> Column:
+    """A generator that gives ``value`` once, so that no later expression repeats its computation."""
+    return F.explode(F.array(value))
+
+
 def build_postings(index: Index, fields: list[str] | None = None, positions: bool = True) -> DataFrame:
+    """Postings without a shuffle: all tokens of a document stand in its row, so each row sorts its own
+    (term, position) pairs and cuts them into runs."""
     names = _text_fields(index, fields)
-    # terms come from the index's single Generate (or stored columns), so the
-    # document length below is the size of an attribute, not a re-tokenisation
-    # per emitted posting
     ix = index.with_tokens(names)
     parts = []
     for f in names:
         toks = F.col(f"`{token_column_name(f)}`")
-        exploded = ix.df.select(
-            "_id", F.lit(f).alias("field"), F.size(toks).cast("bigint").alias("dl"),
-            F.posexplode(toks).alias("pos", "term"))
-        aggs = [F.count(F.lit(1)).alias("tf")]
-        if positions:
-            aggs.append(F.sort_array(F.collect_list("pos")).alias("positions"))
-        parts.append(exploded.groupBy("field", "term", "_id", "dl").agg(*aggs))
+        pairs = F.array_sort(F.transform(toks, lambda t, i: F.struct(t.alias("t"), i.alias("i"))))
+        rows = ix.df.select("_id", F.size(toks).cast("bigint").alias("dl"), _once(pairs).alias("s")).filter("dl > 0")
+        terms = F.col("s.t")
+        before = F.concat(F.array(F.lit(None).cast("string")), F.slice(terms, 1, F.size("s") - 1))
+        starts = F.filter(F.transform(F.arrays_zip(terms.alias("t"), before.alias("p")),
+                                      lambda x, i: F.struct(i.alias("i"), x["t"].alias("t"), (~x["t"].eqNullSafe(x["p"])).alias("new"))),
+                          lambda x: x["new"])
+        rows = rows.select("_id", "dl", "s", _once(starts).alias("st"))
+        ends = F.concat(F.slice(F.col("st.i"), 2, F.size("st")), F.array(F.size("s")))
+        runs = F.transform(F.arrays_zip(F.col("st").alias("st"), ends.alias("e")), lambda r: F.struct(
+            r["st"]["t"].alias("term"), (r["e"] - r["st"]["i"]).cast("bigint").alias("tf"),
+            *([F.transform(F.slice(F.col("s"), r["st"]["i"] + 1, r["e"] - r["st"]["i"]), lambda x: x["i"]).alias("positions")]
+              if positions else [])))
+        parts.append(rows.select("_id", "dl", F.inline(runs)).select(
+            F.lit(f).alias("field"), "term", "_id", "dl", "tf", *(["positions"] if positions else [])))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -102,7 +117,8 @@ def build_field_stats(index: Index, fields: list[str] | None = None) -> DataFram
 
 def build_tables(index: Index, fields: list[str] | None = None, positions: bool = True) -> SearchTables:
     postings = build_postings(index, fields, positions)
-    return SearchTables(postings, build_term_stats(postings), build_field_stats(index, fields))
+    return SearchTables(postings, build_term_stats(postings), build_field_stats(index, fields),
+                        tuple(_text_fields(index, fields)))
 
 
 def scan_tables(index: Index, field: str, terms: DataFrame, positions: bool = False,
@@ -110,33 +126,23 @@ def scan_tables(index: Index, field: str, terms: DataFrame, positions: bool = Fa
     """Search tables of ``field`` restricted to the terms in ``terms.term``,
     built from the index in the same job (no stored postings needed).
 
-    The exploded tokens are semi-joined to the distinct terms (broadcast after
-    a size check) *before* the per-document aggregation, so only postings a
-    query can score are shuffled; document frequencies of those terms are
-    exact because every posting of a kept term is kept."""
-    ix = index.with_tokens([field])
-    toks = F.col(f"`{token_column_name(field)}`")
-    wanted = bounded_broadcast(terms.select("term").distinct())
-    exploded = (ix.df.select("_id", F.lit(field).alias("field"), F.size(toks).cast("bigint").alias("dl"),
-                             F.posexplode(toks).alias("pos", "term"))
-                .join(wanted, "term", "left_semi"))
-    aggs = [F.count(F.lit(1)).alias("tf")]
-    if positions:
-        aggs.append(F.sort_array(F.collect_list("pos")).alias("positions"))
-    post = exploded.groupBy("field", "term", "_id", "dl").agg(*aggs)
+    Postings are semi-joined to the distinct terms, so only those that a query
+    can score go on; document frequencies of those terms are exact because
+    every posting of a kept term is kept."""
+    post = build_postings(index, [field], positions).join(terms.select("term").distinct(), "term", "left_semi")
     if materialize:
         # read twice below (document frequencies and candidates): cut the lineage
         # once with a reliable checkpoint in the session's shared checkpoint folder
-        checkpoint_dir(post.sparkSession, lambda: tempfile.mkdtemp(prefix="seekframe-ckpt-"))
+        checkpoint_dir(post.sparkSession)
         post = post.checkpoint(eager=True)
     term_stats = post.groupBy("field", "term").agg(F.count("tf").alias("df"))
-    return SearchTables(post, term_stats, build_field_stats(index, [field]))
+    return SearchTables(post, term_stats, build_field_stats(index, [field]), (field,))
 
 
-def write_tables(tables: SearchTables, path: str, files_per_field: int = 64, mode: str = "overwrite") -> SearchTables:
-    """Write the three tables under ``path``; postings clustered by term."""
+def write_tables(tables: SearchTables, path: str, mode: str = "overwrite") -> SearchTables:
+    """Write the three tables under ``path``; postings clustered by term and document, so no term is one partition."""
     spark = tables.postings.sparkSession
-    (tables.postings.repartitionByRange(files_per_field, "field", "term")
+    (tables.postings.repartitionByRange("field", "term", "_id")
      .sortWithinPartitions("field", "term", "_id")
      .write.mode(mode).partitionBy("field").parquet(f"{path}/postings"))
     tables.term_stats.write.mode(mode).partitionBy("field").parquet(f"{path}/term_stats")
@@ -145,8 +151,9 @@ def write_tables(tables: SearchTables, path: str, files_per_field: int = 64, mod
 
 
 def read_tables(spark, path: str) -> SearchTables:
-    return SearchTables(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/term_stats"),
-                        spark.read.parquet(f"{path}/field_stats"))
+    stats = spark.read.parquet(f"{path}/field_stats")          # one row a field
+    return SearchTables(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/term_stats"), stats,
+                        tuple(r["field"] for r in stats.select("field").collect()))
 
 
 def refresh_postings(old: DataFrame, index: Index, changed_ids: DataFrame, fields: list[str] | None = None,
@@ -154,7 +161,7 @@ def refresh_postings(old: DataFrame, index: Index, changed_ids: DataFrame, field
     """Postings after a mutation: drop the changed ids, add postings of their
     new versions (deleted ids simply have none).  Only changed documents are
     re-tokenised."""
-    ids = bounded_broadcast(changed_ids.select("_id").distinct())
+    ids = changed_ids.select("_id").distinct()
     kept = old.join(ids, "_id", "left_anti")
     fresh_docs = index.with_df(index.df.join(ids, "_id", "left_semi"))
     fresh = build_postings(fresh_docs, fields, positions)
@@ -176,12 +183,9 @@ def batch_search(tables: SearchTables, queries: DataFrame, query_col: str, id_co
     stats = tables.field_stats.filter(F.col("field") == F.lit(field))
     n = stats.agg(F.max("n")).scalar()
     avgdl = stats.agg(F.max("sum_dl").cast("double") / F.max("n").cast("double")).scalar()
-    # the bound is proven on the query-term rows; joining them to term_stats on
-    # its unique key (field, term) cannot add rows, so the joined side keeps it
-    small = fits(qt)
     qt = qt.join(tables.term_stats, ["field", "term"], "inner")
     post = tables.postings.filter(F.col("field") == F.lit(field)).select("field", "term", "_id", "tf", "dl")
-    cand = post.join(F.broadcast(qt) if small else qt, ["field", "term"], "inner")
+    cand = post.join(qt, ["field", "term"], "inner")
     part = bm25(F.col("tf"), F.col("dl"), n, F.col("df"), avgdl)
     summed = cand.groupBy("query_id", "_id").agg(F.sum(part).alias("_raw"))
     ranked = summed.withColumn("_score", round_score(F.col("_raw")))

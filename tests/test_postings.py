@@ -76,7 +76,7 @@ def test_written_tables_and_stored_stats(spark):
 
     ix = index(spark)
     path = tempfile.mkdtemp(prefix="seekframe-tables-")
-    tables = write_tables(build_tables(ix, ["body"], positions=True), path, files_per_field=2)
+    tables = write_tables(build_tables(ix, ["body"], positions=True), path)
     assert tables.postings.count() == build_postings(ix, ["body"]).count()
     scan = {r["_id"]: r["_score"] for r in matching(ix, Match("body", "cat dog")).collect()}
     stored = Index(ix.df, ix.mapping, id_col="id", stats=tables)
