@@ -15,10 +15,11 @@ Repeated ids in one bulk collapse per field to the last setter
 partial aggregate, so a hot id holding a third of a change set is combined
 map-side before the shuffle.
 
-Scale: the base table is never shuffled for a bounded change set: the change
-side is broadcast after its row count is checked against
-``BROADCAST_MAX_ROWS``; above that the join is left to sort-merge (AQE may
-still convert it or split skewed partitions).
+``seq`` orders the changes of one id and is required wherever an id may repeat.
+
+Scale: joins carry no hints; Spark broadcasts a change set whose size allows it,
+and otherwise sorts and merges, splitting skewed partitions.  Building a
+mutation starts no job.
 """
 
 from __future__ import annotations
@@ -27,12 +28,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.clauses import Context, compile_clause, prepare
 from ..sources.index import Index
 
-# Largest change set (rows) that is broadcast to the base-table join.
-BROADCAST_MAX_ROWS = 2_000_000
 RESERVED = ("seq", "_id", "_set", "op")
 
 
@@ -47,16 +47,6 @@ class Mutation:
         return self.status.agg(F.coalesce(F.bool_or(F.col("error").isNotNull()), F.lit(False)).alias("errors"))
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (counts at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if its row count is proven below ``max_rows``."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
 def _fields(changes: DataFrame) -> list[str]:
     return [c for c in changes.columns if c not in RESERVED]
 
@@ -64,70 +54,98 @@ def _fields(changes: DataFrame) -> list[str]:
 def _with_set(changes: DataFrame) -> DataFrame:
     if "_set" in changes.columns:
         return changes
-    fields = _fields(changes)
-    flags = [F.when(F.col(f"`{f}`").isNotNull(), F.lit(f)) for f in fields]
+    flags = [F.when(_get(path).isNotNull(), F.lit(path)) for path, _ in _paths(changes)]
     return changes.withColumn("_set", F.filter(F.array(*flags), lambda x: x.isNotNull()))
 
 
 def _with_seq(changes: DataFrame) -> DataFrame:
-    if "seq" in changes.columns:
-        return changes
-    return changes.withColumn("seq", F.monotonically_increasing_id())
+    if "seq" not in changes.columns:
+        raise ValueError("changes need a seq column, which says which of several changes of one id comes last")
+    return changes
 
 
 def collapse(changes: DataFrame) -> DataFrame:
-    """One row per ``_id``: per field the value of the last change that sets it,
-    plus ``__set__<f>`` flags and the last ``seq``."""
+    """One row per ``_id``: for each path (a field, or ``field.sub`` down a
+    struct) that any change may set, the value of the last change that sets it
+    (``__new__<path>``), the ``seq`` of that change (``__at__<path>``), and the
+    last ``seq`` of all.
+
+    ``_set`` names fields or dotted paths; naming a struct sets it field by
+    field, so what a change does not name survives.
+    """
     ch = _with_set(_with_seq(changes))
     aggs: list[Column] = [F.max("seq").alias("__seq")]
-    for f in _fields(ch):
-        setter = F.array_contains("_set", F.lit(f))
-        aggs.append(F.max_by(F.col(f"`{f}`"), F.when(setter, F.col("seq"))).alias(f"__new__{f}"))
-        aggs.append(F.bool_or(setter).alias(f"__set__{f}"))
+    for path, parents in _paths(ch):
+        setter = F.arrays_overlap("_set", F.array(*[F.lit(p) for p in parents]))
+        at = F.when(setter, F.col("seq"))
+        aggs.append(F.max_by(_get(path), at).alias(f"__new__{path}"))
+        aggs.append(F.max(at).alias(f"__at__{path}"))
     return ch.groupBy("_id").agg(*aggs)
 
 
-def _apply(base: DataFrame, collapsed: DataFrame, fields: list[str], upsert: bool) -> DataFrame:
-    """Base rows with the collapsed changes applied (+ inserted rows for upsert).
+def _get(path: str) -> Column:
+    return F.col(".".join(f"`{p}`" for p in path.split(".")))
+
+
+def _leaves(name: str, dt: T.DataType) -> list[str]:
+    if isinstance(dt, T.StructType):
+        return [x for f in dt.fields for x in _leaves(f"{name}.{f.name}", f.dataType)]
+    return [name]
+
+
+def _paths(changes: DataFrame) -> list[tuple[str, list[str]]]:
+    """Every leaf path of the change fields with the names under which it may be set: itself and its parents."""
+    out = []
+    for f in _fields(changes):
+        for leaf in _leaves(f, changes.schema[f].dataType):
+            parts = leaf.split(".")
+            out.append((leaf, [".".join(parts[:i + 1]) for i in range(len(parts))]))
+    return out
 
-    A full outer join cannot be broadcast, so upsert is split: existing ids are
-    updated by a left join against the (size-checked, broadcast) change side,
-    and new ids are the changes whose id is not found among the base ids
-    (found by a semi join of the base ``_id`` column against the same small
-    side).  The base is never shuffled for a bounded change set."""
-    small = fits(collapsed)
-    side = F.broadcast(collapsed) if small else collapsed
-    updated = _merge(base.join(side, "_id", "left"), base.columns, fields)
-    if not upsert:
-        return updated
-    found = base.select("_id").join(side, "_id", "left_semi")
-    fresh = collapsed.join(F.broadcast(found) if small else found, "_id", "left_anti")
-    empty = base.limit(0)
-    inserted = _merge(empty.join(fresh, "_id", "right"), base.columns, fields)
-    return updated.unionByName(inserted)
 
+def _apply(base: DataFrame, changes: DataFrame, upsert: bool) -> DataFrame:
+    """Base rows with the changes applied, and with ``upsert`` the rows whose id is new: one join by ``_id``."""
+    return _merge(base.join(collapse(changes), "_id", "full" if upsert else "left"), base, changes)
 
-def _merge(joined: DataFrame, base_cols: list[str], fields: list[str]) -> DataFrame:
+
+def _merge(joined: DataFrame, base: DataFrame, changes: DataFrame) -> DataFrame:
+    fields = _fields(changes)
     out: list[Column] = []
-    for c in base_cols:
-        if c == "_id":
-            out.append(F.col("_id"))
-        elif c in fields:
-            out.append(F.when(F.coalesce(F.col(f"`__set__{c}`"), F.lit(False)),
-                              F.col(f"`__new__{c}`")).otherwise(F.col(f"`{c}`")).alias(c))
-        else:
+    for c in base.columns:
+        old = base.schema[c].dataType
+        if c == "_id" or c not in fields:
             out.append(F.col(f"`{c}`"))
+        else:
+            out.append(_value(c, F.col(f"`{c}`"), old, changes.schema[c].dataType).alias(c))
     for f in fields:
-        if f not in base_cols:
-            out.append(F.when(F.coalesce(F.col(f"`__set__{f}`"), F.lit(False)), F.col(f"`__new__{f}`")).alias(f))
+        if f not in base.columns:
+            dt = changes.schema[f].dataType
+            out.append(_value(f, F.lit(None).cast(dt), dt, dt).alias(f))
     return joined.select(*out)
 
 
+def _value(path: str, old: Column, old_type: T.DataType, new_type: T.DataType) -> Column:
+    """Old value with what the changes set below ``path``; struct fields that no change names stay."""
+    if not isinstance(new_type, T.StructType):
+        return F.when(F.col(f"`__at__{path}`").isNotNull(), F.col(f"`__new__{path}`")).otherwise(old)
+    if not isinstance(old_type, T.StructType):
+        raise TypeError(f"{path}: a struct cannot be merged into {old_type.simpleString()}")
+    new = {f.name: f.dataType for f in new_type.fields}
+    have = {f.name: f.dataType for f in old_type.fields}
+    parts = [(_value(f"{path}.{n}", old.getField(n), dt, new[n]) if n in new else old.getField(n)).alias(n)
+             for n, dt in have.items()]
+    parts += [_value(f"{path}.{n}", F.lit(None).cast(dt), dt, dt).alias(n) for n, dt in new.items() if n not in have]
+    touched = F.lit(False)
+    for leaf in _leaves(path, new_type):
+        touched |= F.col(f"`__at__{leaf}`").isNotNull()
+    return F.when(old.isNotNull() | touched, F.struct(*parts))
+
+
 def _status(changes: DataFrame, base: DataFrame, op: str, ok: int, missing: int | None,
             missing_error: str | None, new_status: int | None = None) -> DataFrame:
-    ch = _with_seq(changes)
+    ch = changes
     ids = ch.select("_id").distinct()
-    found = base.select("_id").join(bounded_broadcast(ids), "_id", "left_semi").withColumn("__found", F.lit(True))
+    found = base.select("_id").join(ids, "_id", "left_semi").withColumn("__found", F.lit(True))
     j = ch.select("seq", "_id").join(found, "_id", "left")
     hit = F.coalesce(F.col("__found"), F.lit(False))
     if new_status is not None:
@@ -142,46 +160,61 @@ def _status(changes: DataFrame, base: DataFrame, op: str, ok: int, missing: int
 def bulk_update(base: DataFrame, changes: DataFrame) -> Mutation:
     """Partial update; ids missing from ``base`` are reported 404 and skipped."""
     ch = _with_seq(changes)
-    fields = _fields(ch)
-    new = _apply(base, collapse(ch), fields, upsert=False)
+    new = _apply(base, ch, upsert=False)
     return Mutation(new, _status(ch, base, "update", 200, 404, "document_missing_exception"))
 
 
 def bulk_upsert(base: DataFrame, changes: DataFrame) -> Mutation:
     """Update existing ids, insert the others (``doc_as_upsert``)."""
     ch = _with_seq(changes)
-    fields = _fields(ch)
-    new = _apply(base, collapse(ch), fields, upsert=True)
+    new = _apply(base, ch, upsert=True)
     return Mutation(new, _status(ch, base, "update", 200, None, None, new_status=201))
 
 
 def bulk_delete(base: DataFrame, ids: DataFrame) -> Mutation:
     """Remove documents by id; unknown ids are a no-op reported ``not_found`` (404, no error)."""
-    ch = _with_seq(ids.select(*[c for c in ids.columns if c in ("seq", "_id")]))
-    new = base.join(bounded_broadcast(ch.select("_id").distinct()), "_id", "left_anti")
+    ch = ids.select(F.col("seq") if "seq" in ids.columns else F.lit(None).cast("long").alias("seq"), "_id")
+    new = base.join(ch.select("_id").distinct(), "_id", "left_anti")
     status = _status(ch, base, "delete", 200, 404, None)
     return Mutation(new, status)
 
 
-def bulk_create(base: DataFrame, docs: DataFrame) -> Mutation:
-    """Append documents; ``_id`` is kept when given, else a random UUID.
+def with_ids(docs: DataFrame) -> DataFrame:
+    """``docs`` with an ``_id``: the given one, else a random UUID.
 
-    The ids are non-deterministic: write ``new`` once and read the ids back
-    from what was written (the versioned table does that); never derive two
-    plans from the un-written frame.
+    The ids are non-deterministic: write the frame once and go on from what was written.
     """
-    d = _with_seq(docs)
-    if "_id" not in d.columns:
-        d = d.withColumn("_id", F.uuid())
-    else:
-        d = d.withColumn("_id", F.coalesce(F.col("_id").cast("string"), F.uuid()))
-    payload = d.drop("seq", "_set", "op")
-    new = base.unionByName(payload, allowMissingColumns=True)
+    given = F.col("_id").cast("string") if "_id" in docs.columns else F.lit(None).cast("string")
+    return docs.withColumn("_id", F.coalesce(given, F.uuid()))
+
+
+def bulk_create(base: DataFrame, docs: DataFrame) -> Mutation:
+    """Append documents; ids as :func:`with_ids` gives them."""
+    d = with_ids(docs if "seq" in docs.columns else docs.withColumn("seq", F.lit(None).cast("long")))
+    new = base.unionByName(d.drop("seq", "_set", "op"), allowMissingColumns=True)
     status = d.select("seq", F.lit("create").alias("op"), "_id", F.lit(201).alias("status"),
                       F.lit(None).cast("string").alias("error"))
     return Mutation(new, status)
 
 
+def bulk_mixed(base: DataFrame, changes: DataFrame) -> Mutation:
+    """Upserts and deletes in one bulk (``op`` is ``upsert`` or ``delete``), each id's in the order of ``seq``.
+
+    A delete wipes what came before it: an id whose last change is a delete
+    goes, and changes after a delete start from an empty document.
+    """
+    ch = _with_seq(changes)
+    wiped = F.max(F.when(F.col("op") == "delete", F.col("seq"))).alias("__wiped")
+    last = ch.groupBy("_id").agg(wiped, F.max("seq").alias("__last"))
+    kept = (ch.join(last.select("_id", "__wiped"), "_id").filter("op = 'upsert' AND (__wiped IS NULL OR seq > __wiped)")
+            .drop("__wiped", "op"))
+    # ids with a delete start anew
+    rest = base.join(last.filter("__wiped IS NOT NULL").select("_id"), "_id", "left_anti")
+    new = _apply(rest, kept, upsert=True)
+    return Mutation(new, _status(ch.filter("op = 'upsert'"), base, "upsert", 200, None, None, new_status=201)
+                    .unionByName(_status(ch.filter("op = 'delete'"), base, "delete", 200, 404, None)))
+
+
 def delete_by_query(index: Index, query) -> Mutation:
     """Keep the rows that do not match; the deleted count is observed on the
     same pass (``mutation.observation.get['deleted']`` after an action)."""

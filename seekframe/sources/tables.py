@@ -1,187 +1,166 @@
-"""Versioned document tables on plain parquet (no table-format jars needed).
-
-Layout under ``root``::
-
-    root/v=<n>/part-*.parquet    immutable versions
-    root/_current                the published version number
-    root/_schema.json            current schema (grows with put_mapping)
-
-A write never touches a path that its plan reads: the new version is written
-to ``v=<n+1>`` and only then published by rewriting ``_current``
-(read-after-write: the next ``read()`` sees it).  Publishing refuses when
-``_current`` moved since the version was read (one writer per table).  All
-file access goes through the Hadoop FileSystem API, so ``root`` may be any
-shared store the cluster can reach.
+"""Document tables in the session's catalog.
+
+A table is an ordinary partitioned Spark table: ``CREATE TABLE IF NOT EXISTS``,
+``DROP TABLE IF EXISTS`` and ``ALTER TABLE ... ADD COLUMNS`` manage it, a create
+appends, and rows lie in ``buckets`` partitions by a hash of ``_id``.  Updates
+and deletes read the touched buckets only, stage their new rows in the shared
+folder, and put them in by dynamic partition overwrite; files of other buckets
+stay as they are.  A rewritten bucket holds a marker row without ``_id``, which
+reads skip, so that a bucket can also be left without documents.
+
+Calls take effect before they return, so a later read sees them.  One writer
+per table: plain files give no isolation between concurrent writers, which
+takes a table format.
 """
 
 from __future__ import annotations
 
-import json
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import mutate
+from ..operators.search import matching
+from ..session import checkpoint_dir
 from .index import Index
 from .mapping import Mapping
 
+BUCKET = "_bucket"
 
-class _FS:
-    def __init__(self, spark: SparkSession, root: str):
-        jvm = spark._jvm
-        self.jvm = jvm
-        self.Path = jvm.org.apache.hadoop.fs.Path
-        self.fs = self.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def exists(self, p: str) -> bool:
-        return self.fs.exists(self.Path(p))
-
-    def write_text(self, p: str, text: str) -> None:
-        tmp = p + ".tmp"
-        out = self.fs.create(self.Path(tmp), True)
-        out.write(bytearray(text.encode("utf-8")))
-        out.close()
-        self.fs.delete(self.Path(p), False)
-        self.fs.rename(self.Path(tmp), self.Path(p))
 
-    def read_text(self, p: str) -> str:
-        stream = self.fs.open(self.Path(p))
-        reader = self.jvm.java.io.BufferedReader(self.jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        lines = []
-        line = reader.readLine()
-        while line is not None:
-            lines.append(line)
-            line = reader.readLine()
-        reader.close()
-        return "\n".join(lines)
+class DocumentTable:
+    """A document table (index) of the catalog."""
 
-    def delete(self, p: str) -> bool:
-        return self.fs.delete(self.Path(p), True)
-
-
-class VersionedTable:
-    """A document table (index) with copy-on-write versions."""
-
-    def __init__(self, spark: SparkSession, root: str, name: str | None = None):
+    def __init__(self, spark: SparkSession, name: str, buckets: int = 64, location: str | None = None):
         self.spark = spark
-        self.root = root.rstrip("/")
-        self.name = name or self.root.rsplit("/", 1)[-1]
-        self._fs = _FS(spark, self.root)
+        self.name = name
+        self.buckets = buckets
+        self.location = location
 
     # ---- lifecycle ------------------------------------------------------
     def exists(self) -> bool:
-        return self._fs.exists(f"{self.root}/_current")
+        return self.spark.catalog.tableExists(self.name)
 
-    def create(self, schema: T.StructType | Mapping, shards: int | None = None) -> bool:
+    def create(self, schema: T.StructType | Mapping) -> bool:
         """Create the table if absent; returns False when it already existed."""
         if self.exists():
             return False
         st = schema.to_struct_type() if isinstance(schema, Mapping) else schema
-        if "_id" not in st.fieldNames():
-            st = T.StructType([T.StructField("_id", T.StringType())] + list(st.fields))
-        self._fs.write_text(f"{self.root}/_schema.json", st.json())
-        self.spark.createDataFrame([], st).write.mode("errorifexists").parquet(f"{self.root}/v=0")
-        self._fs.write_text(f"{self.root}/_current", "0")
-        if shards:
-            self._fs.write_text(f"{self.root}/_shards", str(int(shards)))
+        fields = [T.StructField("_id", T.StringType())] + [f for f in st.fields if f.name != "_id"]
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        at = f" LOCATION '{self.location}'" if self.location else ""
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}, {BUCKET} INT) USING parquet "
+                       f"PARTITIONED BY ({BUCKET}){at}")
         return True
 
     def drop(self) -> bool:
         """Remove the table if present; returns False when there was none."""
-        if not self._fs.exists(self.root):
-            return False
-        return self._fs.delete(self.root)
-
-    def version(self) -> int:
-        if not self.exists():
-            raise FileNotFoundError(f"no such index: {self.root}")
-        return int(self._fs.read_text(f"{self.root}/_current").strip())
+        was = self.exists()
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        return was
 
     def schema(self) -> T.StructType:
-        return T.StructType.fromJson(json.loads(self._fs.read_text(f"{self.root}/_schema.json")))
+        return T.StructType([f for f in self.spark.table(self.name).schema.fields if f.name != BUCKET])
 
     def put_mapping(self, fields: T.StructType | Mapping) -> T.StructType:
         """Add fields; existing ones are kept (additive evolution). Old rows read null."""
-        cur = self.schema()
         add = fields.to_struct_type() if isinstance(fields, Mapping) else fields
-        names = set(cur.fieldNames())
-        merged = T.StructType(list(cur.fields) + [f for f in add.fields if f.name not in names])
-        self._fs.write_text(f"{self.root}/_schema.json", merged.json())
-        return merged
+        names = set(self.schema().fieldNames())
+        new = [f"`{f.name}` {f.dataType.simpleString()}" for f in add.fields if f.name not in names]
+        if new:
+            self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({', '.join(new)})")
+        return self.schema()
+
+    # ---- read -----------------------------------------------------------
+    def _rows(self) -> DataFrame:
+        return self.spark.table(self.name).filter("_id IS NOT NULL")
 
-    # ---- read / publish -------------------------------------------------
     def read(self) -> DataFrame:
-        st = self.schema()
-        df = self.spark.read.parquet(f"{self.root}/v={self.version()}")
-        return conform_to_schema(df, st)
+        return self._rows().drop(BUCKET)
 
     def index(self, mapping: Mapping | None = None, text=()) -> Index:
         return Index(self.read(), mapping, name=self.name, text=text)
 
-    def publish(self, df: DataFrame, based_on: int | None = None) -> int:
-        cur = self.version()
-        if based_on is not None and based_on != cur:
-            raise RuntimeError(f"{self.root} moved from version {based_on} to {cur}; re-run on the new version")
-        nxt = cur + 1
-        shards = self._shards()
-        out = conform_to_schema(df, self.schema())
-        if shards:
-            out = out.repartition(shards, "_id")
-        out.write.mode("errorifexists").parquet(f"{self.root}/v={nxt}")
-        self._fs.write_text(f"{self.root}/_current", str(nxt))
-        return nxt
-
-    def _shards(self) -> int | None:
-        p = f"{self.root}/_shards"
-        return int(self._fs.read_text(p)) if self._fs.exists(p) else None
-
-    # ---- document operations (write + publish) -------------------------
-    def _run(self, mut: mutate.Mutation) -> mutate.Mutation:
-        base_version = self.version()
-        self.publish(mut.new, based_on=base_version)
-        return mut
+    def get(self, _id: str) -> dict | None:
+        rows = self.read().filter((F.col("_id") == str(_id))).limit(1).collect()
+        return rows[0].asDict(recursive=True) if rows else None
+
+    # ---- write ----------------------------------------------------------
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("_id"), F.lit(self.buckets)).cast("int")
+
+    def _stage(self, df: DataFrame) -> DataFrame:
+        path = f"{checkpoint_dir(self.spark)}/staged-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _touched(self, ids: DataFrame) -> list[int]:
+        """Buckets that hold any of the ids; at most ``buckets`` numbers."""
+        return [r["b"] for r in ids.select(self._bucket().alias("b")).distinct().collect()]
+
+    def _replace(self, new: DataFrame, touched: list[int]) -> None:
+        """Put the staged rows ``new`` in place of the touched buckets."""
+        if not touched:
+            return
+        names = self.spark.table(self.name).columns
+        rows = conform_to_schema(new, self.schema()).select(*[f"`{f}`" for f in self.schema().fieldNames()])
+        marks = self.spark.createDataFrame([(b,) for b in touched], f"{BUCKET} int")
+        staged = self._stage(rows.withColumn(BUCKET, self._bucket()).unionByName(marks, allowMissingColumns=True))
+        mode = "spark.sql.sources.partitionOverwriteMode"     # inserts into tables take it from the session only
+        was = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")
+        try:
+            staged.select(*[f"`{c}`" for c in names]).repartition(BUCKET).write.mode("overwrite").insertInto(self.name)
+        finally:
+            self.spark.conf.set(mode, was)
+        self.spark.catalog.refreshTable(self.name)
+
+    def _apply(self, mutation, changes: DataFrame) -> DataFrame:
+        """Run a mutation over the buckets that its ids touch; its status is kept before the table changes."""
+        changes = self._stage(changes)
+        touched = self._touched(changes)
+        base = self._rows().filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        mut = mutation(base, changes)
+        status = self._stage(mut.status)
+        self._replace(mut.new, touched)
+        return status
 
     def bulk_create(self, docs: DataFrame) -> DataFrame:
-        """Append documents; the returned status is read back from the written
-        rows so the generated ids are the stored ones."""
-        base_version = self.version()
-        staged_path = f"{self.root}/_staged_v={base_version + 1}"
-        d = docs if "seq" in docs.columns else docs.withColumn("seq", F.monotonically_increasing_id())
-        d = d.withColumn("_id", F.coalesce(F.col("_id").cast("string"), F.uuid())) if "_id" in d.columns \
-            else d.withColumn("_id", F.uuid())
-        d.write.mode("errorifexists").parquet(staged_path)
-        staged = self.spark.read.parquet(staged_path)
-        mut = mutate.bulk_create(self.read(), staged)
-        self.publish(mut.new, based_on=base_version)
+        """Append documents; the status names the ids that were written."""
+        empty = self.spark.createDataFrame([], self.schema())
+        staged = self._stage(mutate.with_ids(docs))
+        mut = mutate.bulk_create(empty, staged)
+        rows = conform_to_schema(mut.new, self.schema()).select(*[f"`{f}`" for f in self.schema().fieldNames()])
+        rows.withColumn(BUCKET, self._bucket()).write.mode("append").insertInto(self.name)
+        self.spark.catalog.refreshTable(self.name)
         return mut.status
 
     def bulk_update(self, changes: DataFrame) -> DataFrame:
-        return self._run(mutate.bulk_update(self.read(), changes)).status
+        return self._apply(mutate.bulk_update, changes)
 
     def bulk_upsert(self, changes: DataFrame) -> DataFrame:
-        return self._run(mutate.bulk_upsert(self.read(), changes)).status
+        return self._apply(mutate.bulk_upsert, changes)
 
     def bulk_delete(self, ids: DataFrame) -> DataFrame:
-        return self._run(mutate.bulk_delete(self.read(), ids)).status
+        return self._apply(mutate.bulk_delete, ids)
 
-    def delete_by_query(self, query, mapping: Mapping | None = None) -> int:
-        mut = mutate.delete_by_query(self.index(mapping), query)
-        self._run(mut)
-        return int(mut.observation.get["deleted"])
+    def bulk_mixed(self, changes: DataFrame) -> DataFrame:
+        return self._apply(mutate.bulk_mixed, changes)
 
-    def get(self, _id: str) -> dict | None:
-        rows = self.read().filter(F.col("_id") == F.lit(str(_id))).limit(1).collect()
-        return rows[0].asDict(recursive=True) if rows else None
+    def delete_by_query(self, query, mapping: Mapping | None = None) -> int:
+        """Delete the matching documents; returns how many."""
+        hits = self._stage(matching(self.index(mapping), query, with_score=False).select("_id"))
+        self._apply(mutate.bulk_delete, hits)
+        return hits.count()
 
     def update(self, _id: str, doc: dict) -> None:
         """Single partial update; raises when the id does not exist."""
-        ch = mutate.changes_frame(self.spark, [{"_id": _id, "doc": doc}])
-        ch = _align_change_types(ch, self.schema())
-        mut = mutate.bulk_update(self.read(), ch)
-        if mut.status.filter(F.col("status") == 404).limit(1).count():
+        ch = _align_change_types(mutate.changes_frame(self.spark, [{"_id": _id, "doc": doc}]), self.schema())
+        if self.get(_id) is None:
             raise KeyError(f"document {_id} not found in {self.name}")
-        self._run(mut)
+        self.bulk_update(ch)
 
     def delete(self, _id: str) -> None:
         self.bulk_delete(self.spark.createDataFrame([(0, str(_id))], "seq long, _id string"))

@@ -1,13 +1,14 @@
-"""Bulk mutation and the versioned table (document/index service cases)."""
+"""Bulk mutation and document tables (document/index service cases)."""
 
 import tempfile
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from seekframe import Mapping, Term
 from seekframe.operators import mutate
-from seekframe.sources.tables import VersionedTable
+from seekframe.sources.tables import DocumentTable
 
 
 @pytest.fixture()
@@ -52,26 +53,72 @@ def test_create_keeps_duplicates_with_new_ids(spark, base):
     assert new.count() == 5 and new.select("_id").distinct().count() == 5
 
 
-def test_versioned_table_lifecycle(spark):
-    from seekframe import Index
-    root = tempfile.mkdtemp(prefix="seekframe-table-") + "/idx"
-    t = VersionedTable(spark, root)
+@pytest.fixture()
+def table(spark):
+    t = DocumentTable(spark, "docs_" + uuid.uuid4().hex, buckets=8, location="file://" + tempfile.mkdtemp(prefix="seekframe-table-"))
+    yield t
+    t.drop()
+
+
+def test_table_lifecycle(spark, table):
     m = Mapping().keyword("title").integer("n")
-    assert t.create(m) is True and t.create(m) is False
-    docs = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "title string, n int")
-    st = t.bulk_create(docs)
-    written = t.read()
+    assert table.create(m) is True and table.create(m) is False
+    st = table.bulk_create(spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "title string, n int"))
+    written = table.read()
     assert written.count() == 3
     assert sorted(r["_id"] for r in st.collect()) == sorted(r["_id"] for r in written.collect())
     some = written.filter(F.col("title") == "b").first()["_id"]
-    t.update(some, {"n": 20})
-    assert t.get(some)["n"] == 20
+    table.update(some, {"n": 20})
+    assert table.get(some)["n"] == 20
     with pytest.raises(KeyError):
-        t.update("missing", {"n": 1})
-    assert t.delete_by_query(Term("title", "a"), m) == 2
-    assert t.read().count() == 1
-    t.put_mapping(Mapping().keyword("extra"))
-    r = t.read().first()
+        table.update("missing", {"n": 1})
+    assert table.delete_by_query(Term("title", "a"), m) == 2
+    assert table.read().count() == 1
+    table.put_mapping(Mapping().keyword("extra"))
+    r = table.read().first()
     assert r["extra"] is None and r["n"] == 20
-    t.delete("nope")
-    assert t.drop() is True and t.drop() is False and not t.exists()
+    table.delete("nope")
+    table.delete(some)
+    assert table.read().count() == 0
+    assert table.drop() is True and table.drop() is False and not table.exists()
+
+
+def test_writes_leave_other_files_alone(spark, table):
+    table.create(Mapping().keyword("title"))
+    ids = spark.range(200).select(F.col("id").cast("string").alias("_id"), F.lit("x").alias("title"))
+    table.bulk_create(ids)
+    files = lambda: {r["f"] for r in spark.table(table.name).select(F.input_file_name().alias("f")).distinct().collect()}
+    before = files()
+    table.bulk_create(spark.createDataFrame([("new", "y")], "_id string, title string"))
+    assert before < files()                      # an append adds files
+    before = files()
+    table.update("7", {"title": "seven"})
+    gone = before - files()
+    assert gone and all(f.rsplit("/", 2)[1] == next(iter(gone)).rsplit("/", 2)[1] for f in gone)     # one bucket rewritten
+    assert table.read().count() == 201 and table.get("7")["title"] == "seven"
+
+
+def test_two_upserts_keep_both_rows(spark, table):
+    table.create(Mapping().keyword("title"))
+    for k in ("a", "b"):
+        table.bulk_upsert(spark.createDataFrame([(0, k, k)], "seq long, _id string, title string"))
+    assert {r["_id"] for r in table.read().collect()} == {"a", "b"}
+
+
+def test_mixed_changes_follow_seq(spark, table):
+    table.create(Mapping().keyword("title").integer("n"))
+    schema = "seq long, _id string, op string, _set array<string>, title string, n int"
+    table.bulk_mixed(spark.createDataFrame([(0, "a", "upsert", ["title", "n"], "A", 1), (1, "b", "upsert", ["title"], "B", None)], schema))
+    table.bulk_mixed(spark.createDataFrame([(0, "a", "delete", None, None, None), (1, "a", "upsert", ["n"], None, 5),
+                                            (2, "b", "upsert", ["n"], None, 9), (3, "b", "delete", None, None, None)], schema))
+    assert rows(table.read(), "_id", "title", "n") == [("a", None, 5)]
+
+
+def test_update_keeps_what_a_struct_change_does_not_name(spark):
+    base = spark.createDataFrame([("1", (1, "x")), ("2", None)], "_id string, meta struct<a:int,b:string>")
+    ch = spark.createDataFrame([(0, "1", ["meta.a"], (9, None)), (1, "2", ["meta"], (3, "y"))],
+                               "seq long, _id string, _set array<string>, meta struct<a:int,b:string>")
+    got = {r["_id"]: tuple(r["meta"]) for r in mutate.bulk_update(base, ch).new.collect()}
+    assert got == {"1": (9, "x"), "2": (3, "y")}
+    with pytest.raises(ValueError, match="seq"):
+        mutate.bulk_update(base, ch.drop("seq"))
