@@ -13,10 +13,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.clauses import (Bool, Exists, FunctionScore, Match, MatchAll, MatchPhrase,
-                                 MatchPhrasePrefix, MultiMatch, Nested, Range, Raw, ScoreFunction,
-                                 Term, Terms, Wildcard, each, when, when_else)
-from ..operators.search import count_frame, get_by_ids, matching, search
+from ..operators.clauses import Bool, Match, Term
+from ..operators.search import search
 from ..sources.files import read_table
 from ..sources.index import Index
 from ..sources.mapping import Mapping
@@ -97,5 +95,5 @@ def hits_of(res, keep_sort: bool = False) -> DataFrame:
 
 def all_queries() -> dict[str, QueryFn]:
     # import the modules that register the rest
-    from . import catalog_more  # noqa: F401
+    from . import catalog_more, catalog_stored  # noqa: F401
     return dict(REGISTRY)

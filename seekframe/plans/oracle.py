@@ -30,5 +30,7 @@ LIMIT 10
 
 
 def all_sql() -> dict[str, str]:
-    from . import oracle_more  # noqa: F401
+    from . import oracle_more, oracle_stored  # noqa: F401
+
+    oracle_stored.stored_sql()
     return dict(SQL)
