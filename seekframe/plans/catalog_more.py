@@ -152,7 +152,7 @@ def bool_should(spark, d):
 
 @register("bool_must_not")
 def bool_must_not(spark, d):
-    q = Bool(must=[Match("text", W1)], must_not=[Term("lang", "en")])
+    q = Bool(must=[Match("text", W1)], must_not=[Term("source", "src3")])
     return ids_scores(matching(documents_index(spark, d), q))
 
 
@@ -180,17 +180,17 @@ MM_FIELDS = ["url", "html^2"]
 
 @register("mm_best_fields")
 def mm_best_fields(spark, d):
-    return ids_scores(matching(pages_index(spark, d), MultiMatch("example fr", MM_FIELDS)))
+    return ids_scores(matching(pages_index(spark, d), MultiMatch("org blog", MM_FIELDS)))
 
 
 @register("mm_most_fields")
 def mm_most_fields(spark, d):
-    return ids_scores(matching(pages_index(spark, d), MultiMatch("example fr", MM_FIELDS, type="most_fields")))
+    return ids_scores(matching(pages_index(spark, d), MultiMatch("org blog", MM_FIELDS, type="most_fields")))
 
 
 @register("mm_cross_fields")
 def mm_cross_fields(spark, d):
-    return ids_scores(matching(pages_index(spark, d), MultiMatch("example fr", MM_FIELDS, type="cross_fields")))
+    return ids_scores(matching(pages_index(spark, d), MultiMatch("org blog", MM_FIELDS, type="cross_fields")))
 
 
 @register("mm_phrase")
@@ -206,7 +206,7 @@ def mm_phrase_prefix(spark, d):
 
 @register("mm_bool_prefix")
 def mm_bool_prefix(spark, d):
-    q = MultiMatch("exa fr", ["url", "html"], type="bool_prefix")
+    q = MultiMatch("utm blo", ["url", "html"], type="bool_prefix")
     return ids_scores(matching(pages_index(spark, d), q))
 
 
@@ -255,8 +255,8 @@ def raw_column_clause(spark, d):
 def optional_filter(spark, d):
     ix = documents_index(spark, d)
     out = None
-    for label, lang in (("with_lang", "de"), ("without_lang", None)):
-        q = Bool(must=[Match("text", W1)], filter=[when(lang is not None, lambda: Term("lang", lang))])
+    for label, source in (("with_source", "src1"), ("without_source", None)):
+        q = Bool(must=[Match("text", W1)], filter=[when(source is not None, lambda: Term("source", source))])
         part = count_frame(ix, q).select(F.lit(label).alias("variant"), F.col("count"))
         out = part if out is None else out.unionByName(part)
     return out
@@ -268,7 +268,7 @@ def either_filter(spark, d):
     out = None
     for flag in (True, False):
         q = Bool(must=[Match("text", W1)],
-                 filter=[when_else(flag, Term("lang", "fr"), Range("n_chars", lt=500))])
+                 filter=[when_else(flag, Term("source", "src1"), Range("n_chars", lt=500))])
         part = count_frame(ix, q).select(F.lit(flag).alias("flag"), F.col("count"))
         out = part if out is None else out.unionByName(part)
     return out

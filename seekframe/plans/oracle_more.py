@@ -63,8 +63,8 @@ sql("bm25", match_query([W1, W3], any_term("tok", [W1, W3])))
 
 
 def fuzzy_cte(name: str, term: str, edits: int) -> str:
-    return (f"{name} AS (SELECT list(term) AS ex FROM (SELECT term FROM v WHERE abs(length(term) - {len(term)}) <= {edits} "
-            f"AND levenshtein(term, {q(term)}) <= {edits} ORDER BY df DESC, term ASC LIMIT 50))")
+    return (f"{name} AS (SELECT list(term) AS ex FROM v "
+            f"WHERE abs(length(term) - {len(term)}) <= {edits} AND levenshtein(term, {q(term)}) <= {edits})")
 
 
 sql("match_fuzzy", f"""
@@ -150,7 +150,7 @@ FROM d, st_a, ks WHERE {has(W1)} OR source = 'src3'""")
 sql("bool_must_not", f"""
 WITH {D}, {multi_stats({'a': [W1]})}
 SELECT {doc_id()}, round({ms('a', [W1])} * {ONE}, 6) AS _score
-FROM d, st_a WHERE {has(W1)} AND NOT coalesce(lang = 'en', false)""")
+FROM d, st_a WHERE {has(W1)} AND NOT coalesce(source = 'src3', false)""")
 
 _msm_hits = (f"((CASE WHEN {has(W1)} THEN 1 ELSE 0 END) + (CASE WHEN {has(W2)} THEN 1 ELSE 0 END)"
              f" + (CASE WHEN {has(W3)} THEN 1 ELSE 0 END) + (CASE WHEN lang = 'de' THEN 1 ELSE 0 END))")
@@ -172,7 +172,7 @@ FROM d, st_a, st_c WHERE ({has(W1)} OR {has(W3)}) AND NOT coalesce(source = 'src
 # ---- multi_match over pages(url, html^2) ------------------------------------
 
 PG = f"pg AS (SELECT *, {tok('url')} AS tu, {tok('html')} AS th FROM pages)"
-MMT = ["example", "fr"]
+MMT = ["org", "blog"]
 
 
 def pstats(field_tok: str, p: str, terms: list[str]) -> str:
@@ -226,7 +226,7 @@ FROM pg WHERE {_ppu} OR {_pph}""")
 
 
 def _bp(field_tok: str) -> tuple[str, str]:
-    hits = [f"(len(list_filter({field_tok}, lambda x: starts_with(x, {q(t)}))) > 0)" for t in ("exa", "fr")]
+    hits = [f"(len(list_filter({field_tok}, lambda x: starts_with(x, {q(t)}))) > 0)" for t in ("utm", "blo")]
     n = total([f"(CASE WHEN {h} THEN {ONE} ELSE {ZERO} END)" for h in hits])
     return "(" + " OR ".join(hits) + ")", n
 
@@ -265,13 +265,13 @@ FROM d, st_a WHERE {has(W1)} AND length(source) = 4""")
 
 sql("optional_filter", f"""
 WITH {D}
-SELECT 'with_lang' AS variant, count(*) AS count FROM d WHERE {has(W1)} AND lang = 'de'
+SELECT 'with_source' AS variant, count(*) AS count FROM d WHERE {has(W1)} AND source = 'src1'
 UNION ALL
-SELECT 'without_lang' AS variant, count(*) AS count FROM d WHERE {has(W1)}""")
+SELECT 'without_source' AS variant, count(*) AS count FROM d WHERE {has(W1)}""")
 
 sql("either_filter", f"""
 WITH {D}
-SELECT true AS flag, count(*) AS count FROM d WHERE {has(W1)} AND lang = 'fr'
+SELECT true AS flag, count(*) AS count FROM d WHERE {has(W1)} AND source = 'src1'
 UNION ALL
 SELECT false AS flag, count(*) AS count FROM d WHERE {has(W1)} AND n_chars < 500""")
 
