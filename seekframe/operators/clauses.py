@@ -15,19 +15,18 @@ single-row result and no join.
 
 from __future__ import annotations
 
-import json
 import math
 import re
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
 from typing import Any, Callable, Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.analysis import query_terms
-from ..functions.scoring import B, K1, bm25, idf, tf_norm
+from ..functions.scoring import bm25, idf, tf_norm
 from ..sources.index import Index, ResolvedField
 
 # ---------------------------------------------------------------------------
@@ -971,11 +970,6 @@ def from_dict(d: dict) -> Clause:
     raise ValueError(f"unsupported query kind {kind}")
 
 
-def to_json(clause: Clause) -> str:
-    """Compact description, for logs."""
-    return json.dumps(clause, default=lambda o: getattr(o, "__dict__", str(o)))
-
-
 def referenced_fields(clause) -> list[str]:
     """Field paths a clause reads at the top level (nested element fields excluded)."""
     out: list[str] = []

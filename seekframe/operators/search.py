@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.highlight import Highlight, HighlightField, highlight_column
+from ..functions.highlight import Highlight, highlight_column
 from ..functions.scoring import round_score
 from ..sources.index import Index
 from .clauses import Clause, Context, compile_clause, highlight_terms, prepare

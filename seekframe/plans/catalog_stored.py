@@ -14,7 +14,7 @@ from ..operators.search import matching, search
 from ..session import checkpoint_dir
 from ..sources.index import Index
 from ..sources.mapping import Mapping
-from .catalog import FLAGSHIP_TEXT, documents_index, events_index, orders_index, part_index, register, table
+from .catalog import FLAGSHIP_TEXT, events_index, part_index, register, table
 from .catalog_more import docs_with_labels, hits, ids_scores
 
 #: Cursor values between and on events of the driver table, in milliseconds with microseconds behind the point.
