@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import string
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,7 +67,19 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
-def stored(df: DataFrame, name: str, *, partition_by: list[str] | None = None) -> DataFrame:
+@contextlib.contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the jobs inside go when each job is done: what they lead to is on the shared store by then."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     This cuts the lineage: whatever is read from it later survives the loss of
@@ -74,8 +88,6 @@ def stored(df: DataFrame, name: str, *, partition_by: list[str] | None = None) -
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    w = df.write
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    with shuffles_freed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -47,3 +47,18 @@ def components(links: DataFrame) -> DataFrame:
     # a star per component now: every node but the smallest points to it
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         links.select("v", "v").distinct())
+
+
+def roots(parents: DataFrame) -> DataFrame:
+    """(u, v) links, each v once and no cycles -> (node, component), the component being the root above the node.
+
+    Each step doubles how far a node looks up, so the steps are few; roots appear as their own component.
+    """
+    now = stored(parents.select("u", "v"), "parents")
+    while True:
+        up = now.select(F.col("v").alias("u"), F.col("u").alias("above"))
+        now = stored(now.join(up, "u", "left").select(F.coalesce("above", "u").alias("u"), "v",
+                                                      F.col("above").isNotNull().alias("moved")), "parents")
+        if now.filter("moved").isEmpty():
+            return now.select(F.col("v").alias("node"), F.col("u").alias("component")).union(now.select("u", "u").distinct())
+        now = now.select("u", "v")

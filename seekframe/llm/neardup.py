@@ -10,17 +10,22 @@ filled from others by a fixed hash walk before banding (optimal densification),
 so that short texts band as well as long ones.
 
 Bands of ``ROWS`` compressed registers find candidates: a pair at the threshold
-0.85 misses all 32 bands with probability 0.478 ** 32 < 1e-10.  Candidates are
+0.85 misses all 36 bands with probability 0.679 ** 36 < 1e-6.  Candidates are
 thinned by their sizes (exact) and by the Jaccard estimate from the registers,
 corrected for accidental collisions of compressed values, at five standard
 deviations below the threshold, and then confirmed on the full sets.
 
-All pairs of a bucket are never compared.  First each class meets the smallest
-class of its buckets; then the smallest class of each bucket meets the
-bucket's classes that are in other components by then; and at last, only in
-buckets that still hold several components, classes of different components
-meet each other.  Pairs inside one component need no comparison, as its links
-would add nothing to the components.
+All pairs of a bucket are never formed.  First each class meets one class, the
+most central of those that lead its buckets: the one with the fewest registers
+that no other candidate shares, so in a group of edited copies the text that
+they were copied from, or the least edited one.  Confirmed links give components.
+Only buckets that still hold several components go on.  There, shingles that
+only one class holds are counted exactly; a class with too many of them cannot
+reach the threshold with any other and is done.  The rest forms clusters (a
+component, and the single classes that its central class led); clusters that
+share a bucket meet in blocks of about ``BLOCK`` texts, and each two blocks
+report the links that join different components.  Pairs inside one component
+need no comparison, as their links would add nothing to the components.
 
 Defined cases: null and empty texts have an empty set and are linked with
 nothing; a text of fewer words is one shingle; rows equal in doc_id and text
@@ -42,13 +47,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seekframe.llm.common import packed, row_key, stored
-from seekframe.llm.components import components
+from seekframe.llm.components import components, roots
 
-BUCKET_BITS, MANTISSA, ROWS = 7, 10, 4
+BUCKET_BITS, MANTISSA, ROWS = 8, 10, 7
 REGISTERS = 1 << BUCKET_BITS
 BANDS = REGISTERS // ROWS
 EMPTY = 0xFFFF
 CACHE = 300_000
+#: Most texts that a block of the last comparison holds on average.
+BLOCK = 256
 _LOW = np.uint64(64 - BUCKET_BITS)
 _MASK = np.uint64((1 << (64 - BUCKET_BITS)) - 1)
 _STARTS = np.arange(REGISTERS, dtype=np.uint64) << _LOW
@@ -113,10 +120,14 @@ def _walk() -> np.ndarray:
 def densified(regs: np.ndarray, walk: np.ndarray) -> np.ndarray:
     """Rows of registers with the empty ones filled from the first filled one of their walk."""
     out = regs.copy()
-    for r in np.flatnonzero((regs == EMPTY).any(1) & (regs != EMPTY).any(1)):
-        filled = regs[r] != EMPTY
-        for i in np.flatnonzero(~filled):
-            out[r, i] = regs[r, walk[i][filled[walk[i]]][0]]
+    rows = np.flatnonzero((regs == EMPTY).any(1) & (regs != EMPTY).any(1))
+    for step in walk.T:
+        if not len(rows):
+            break
+        have, found = out[rows], regs[rows][:, step]
+        have = np.where((have == EMPTY) & (found != EMPTY), found, have)
+        out[rows] = have
+        rows = rows[(have == EMPTY).any(1)]
     return out
 
 
@@ -169,7 +180,11 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo in range(0, b.num_rows, 2000):
             part = b.slice(lo, 2000)
             regs = np.stack([np.frombuffer(x.as_py(), np.uint16) for x in part.column("regs")])
-            keys = densified(regs, walk).view(np.uint64).view(np.int64)
+            rows = densified(regs, walk)[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)
+            keys = np.zeros(rows.shape[:2], np.uint64)
+            for i in range(ROWS):
+                keys = _mix((keys + rows[:, :, i] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+            keys = keys.view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(part.column("cid").to_numpy(), BANDS)), pa.array(np.tile(bands, len(keys))),
                  pa.array(keys.ravel())], names=["cid", "band", "key"])
@@ -220,6 +235,109 @@ def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, *, percent:
     return stored(left.join(tv, "v").join(tu, "u").select("u", "v", "tu", "tv").mapInArrow(sure, "u long, v long"), "links")
 
 
+def _register_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cid, place and value) of every fourth register."""
+    place = np.arange(0, REGISTERS, 4)
+    for b in batches:
+        if not b.num_rows:
+            continue
+        regs = np.stack([np.frombuffer(x.as_py(), np.uint16) for x in b.column("regs")])[:, ::4].astype(np.int32)
+        full = regs != EMPTY
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(b.column("cid").to_numpy(), full.sum(1))), pa.array(((place << 16) + regs)[full].astype(np.int32))],
+            names=["cid", "value"])
+
+
+def _own(rows: DataFrame, value: str) -> DataFrame:
+    """cid and how many of its values no other class has."""
+    once = rows.groupBy(value).agg(F.min("cid").alias("cid"), F.max("cid").alias("last"))
+    return once.filter("cid = last").groupBy("cid").agg(F.count(F.lit(1)).alias("own"))
+
+
+def _block_links(docs: DataFrame, classes: DataFrame, labelled: DataFrame, *, percent: int, shingle: int) -> DataFrame:
+    """Links between classes of different components in the buckets of ``labelled`` (band, key, cid, component, cluster)."""
+    members = stored(labelled.select("cid", "component", "cluster").distinct(), "open-members")
+    texts = stored(_texts(docs, classes, members.select("cid")), "open-texts")
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = _WordHash()
+        for b in batches:
+            for lo in range(0, b.num_rows, 200):
+                part = b.slice(lo, 200)
+                sets = [shingle_hashes(t.as_py(), cache, shingle) for t in part.column("text")]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(part.column("cid").to_numpy(), [len(h) for h in sets])),
+                     pa.array(np.concatenate(sets).view(np.int64))], names=["cid", "h"])
+
+    own = _own(texts.mapInArrow(hashes, "cid long, h long"), "h")
+    # what a class shares with any other, against what its own size asks for at least
+    alive = stored(members.join(classes.select("cid", F.col("n_shingles").alias("n")), "cid").join(own, "cid", "left")
+                   .withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0)))
+                   .filter(100 * F.col("shared") >= percent * F.col("n"))
+                   .select("cid", "component", "cluster", "n", "shared", (F.col("component") != F.col("cluster")).alias("single")),
+                   "alive")
+    reach = [F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("shared").alias("most")]
+    sizes = stored(alive.groupBy("cluster", "single").agg(F.count(F.lit(1)).alias("size")), "sizes")
+    blocks = stored(alive.join(sizes, ["cluster", "single"])
+                    .withColumn("block", F.pmod(F.xxhash64("cid"), F.ceil(F.col("size") / BLOCK))).join(texts, "cid")
+                    .groupBy("cluster", "single", "block")
+                    .agg(F.collect_list(F.struct("cid", "component", "text")).alias("texts"), *reach), "blocks")
+
+    def fits(x: str, y: str):
+        """Sizes allow the threshold, and so does what the texts share with any other."""
+        c = lambda side, name: F.col(f"{side}.{name}")
+        return ((100 * c(x, "hi") >= percent * c(y, "lo")) & (100 * c(y, "hi") >= percent * c(x, "lo"))
+                & ((100 + percent) * F.least(c(x, "most"), c(y, "most")) >= percent * (c(x, "lo") + c(y, "lo"))))
+
+    in_bucket = stored(labelled.select("band", "key", "cid").join(alive.select("cid", "cluster", "n", "shared"), "cid")
+                       .groupBy("band", "key", "cluster").agg(*reach), "in-bucket")
+    across = (in_bucket.alias("x").join(in_bucket.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key"))
+                                        & (F.col("x.cluster") < F.col("y.cluster")) & fits("x", "y"))
+              .select(F.col("x.cluster").alias("k1"), F.col("y.cluster").alias("k2")).distinct())
+    within = sizes.filter("single").select(F.col("cluster").alias("k1"), F.col("cluster").alias("k2"))
+    near = stored(across.union(within), "cluster-pairs")
+    order = lambda side: F.struct(f"{side}.cluster", f"{side}.single", f"{side}.block")
+    both = (near.alias("p").join(blocks.alias("x"), F.col("p.k1") == F.col("x.cluster"))
+            .join(blocks.alias("y"), (F.col("p.k2") == F.col("y.cluster")) & fits("x", "y") & (order("x") <= order("y"))
+                  & ((F.col("p.k1") != F.col("p.k2")) | F.col("x.single") | F.col("y.single")))
+            .select(F.col("x.texts").alias("t1"), F.col("y.texts").alias("t2")))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = _WordHash()
+
+        def sets(texts: pa.Scalar) -> list[tuple[int, int, set]]:
+            return [(x["cid"], x["component"], set(shingle_hashes(x["text"], cache, shingle).tolist())) for x in texts.as_py()]
+
+        for b in batches:
+            us, vs = [], []
+            for t1, t2 in zip(b.column("t1"), b.column("t2")):
+                one, two = sets(t1), sets(t2)
+                joined: dict[int, int] = {}             # components that a link of this pair of blocks has joined already
+
+                def top(k: int) -> int:
+                    while k in joined:
+                        k = joined[k]
+                    return k
+
+                for u, ku, a in one:
+                    for v, kv, c in two:
+                        if ku == kv or 100 * min(len(a), len(c)) < percent * max(len(a), len(c)) or top(ku) == top(kv):
+                            continue
+                        if (100 + percent) * len(a & c) >= percent * (len(a) + len(c)):
+                            joined[top(ku)] = top(kv)
+                            us.append(u)
+                            vs.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+
+    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = conf.get(name)
+    conf.set(name, "4")                                  # a row holds two blocks of texts
+    try:
+        return stored(both.mapInArrow(compare, "u long, v long"), "block-links")
+    finally:
+        conf.set(name, was)
+
+
 def near_duplicates(docs: DataFrame, *, percent: int = 85, shingle: int = 3) -> DataFrame:
     """doc_id, rk, n_shingles, component_id and leads (the row's text is the one of its group that stays)."""
     rows = stored(sketches(docs, shingle=shingle), "sketches")
@@ -229,48 +347,49 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, shingle: int = 3) ->
              F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs"))
         .withColumn("cid", F.monotonically_increasing_id()), "classes")
     bands = stored(classes.select("cid", "regs").mapInArrow(_band_rows, "cid long, band short, key long"), "bands")
-    buckets = stored(bands.groupBy("band", "key").agg(F.min("cid").alias("least"), F.count(F.lit(1)).alias("n"))
-                     .filter("n > 1").drop("n"), "buckets")
+    buckets = stored(bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "buckets")
     members = stored(bands.join(buckets, ["band", "key"]), "members")
-
-    # first: every class and the smallest one of its buckets
-    pairs = members.filter("cid != least").groupBy(F.col("cid").alias("v")).agg(F.min("least").alias("u")).select("u", "v")
     how = {"percent": percent, "shingle": shingle}
-    links = confirmed(docs, classes, stored(pairs, "pairs"), **how)
-    # second: the smallest class of each bucket and the classes outside its component
-    labels = stored(components(links), "components")
 
-    def labelled(m: DataFrame) -> DataFrame:
-        return (m.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+    # every class meets the most central class that leads a bucket of its own
+    candidates = stored(members.select("cid").distinct(), "candidates")
+    own = stored(_own(classes.select("cid", "regs").join(candidates, "cid", "left_semi").mapInArrow(
+        _register_rows, "cid long, value int"), "value"), "own-registers")
+    central = members.join(own, "cid", "left").withColumn("rank", F.struct(F.coalesce("own", F.lit(0)).alias("own"), "cid"))
+    leads = stored(central.groupBy("band", "key").agg(F.min("rank").alias("lead")), "bucket-leads")
+    pairs = (members.join(leads, ["band", "key"]).filter("cid != lead.cid")
+             .groupBy(F.col("cid").alias("v")).agg(F.min("lead").alias("lead")).select(F.col("lead.cid").alias("u"), "v"))
+    pairs = stored(pairs, "pairs")
+    links = confirmed(docs, classes, pairs, **how)
+
+    # buckets that still hold several components
+    labels = stored(roots(links), "components")         # a class has one lead, and that is more central than itself
+    labelled = (members.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
                 .withColumn("component", F.coalesce("component", "cid")))
-
-    first_of = labels.select(F.col("node").alias("least"), F.col("component").alias("first"))
-    pairs = (labelled(members.filter("cid != least")).join(first_of, "least", "left")
-             .filter(F.col("component") != F.coalesce("first", "least"))
-             .select(F.col("least").alias("u"), F.col("cid").alias("v")).distinct()
-             .join(pairs, ["u", "v"], "left_anti"))
-    links = links.union(confirmed(docs, classes, stored(pairs, "pairs"), **how))
-    # third: in buckets that still hold several components, their classes across components
-    labels = stored(components(links), "components")
-    sized = labelled(members.select("band", "key", "cid")).join(classes.select("cid", "n_shingles"), "cid")
-    several = stored(sized.groupBy("band", "key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"),
-                                                      F.min("cid").alias("least"))
-                     .filter("c1 != c2").select("band", "key", "least"), "several")
-    open_ = stored(sized.join(several, ["band", "key"]).filter("cid != least"), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-    across = (x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key"))
-                     & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.component") != F.col("y.component"))
-                     & (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles")))
-              .select(F.col("x.cid").alias("u"), F.col("y.cid").alias("v")).distinct())
-    links = links.union(confirmed(docs, classes, stored(across, "pairs"), **how))
-    labels = components(links)
+    several = stored(labelled.groupBy("band", "key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
+                     .filter("c1 != c2").select("band", "key"), "several")
+    # a class that is still single belongs to the cluster of the class that led it
+    led = (pairs.join(labels.withColumnRenamed("node", "u"), "u", "left")
+           .select(F.col("v").alias("cid"), F.coalesce("component", "u").alias("led")))
+    labelled = stored(labelled.join(several, ["band", "key"])
+                      .join(labels.select(F.col("node").alias("cid"), F.lit(True).alias("linked")), "cid", "left")
+                      .join(led, "cid", "left")
+                      .withColumn("cluster", F.when(F.col("linked"), F.col("component")).otherwise(F.coalesce("led", "cid")))
+                      .select("band", "key", "cid", "component", "cluster"), "open")
+    # links between these components, then the components of components
+    found = _block_links(docs, classes, labelled, **how)
+    of = labelled.select("cid", "component").distinct()
+    found = (found.join(of.select(F.col("cid").alias("u"), F.col("component").alias("cu")), "u")
+             .join(of.select(F.col("cid").alias("v"), F.col("component").alias("cv")), "v").select(F.col("cu").alias("u"), F.col("cv").alias("v")))
+    merged = stored(components(found), "merged").select(F.col("node").alias("component"), F.col("component").alias("whole"))
 
     grouped = stored(classes.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-                     .select("f1", "f2", "rep", F.coalesce("component", "cid").alias("component")), "grouped")
-    smallest = grouped.groupBy("component").agg(F.min("rep").alias("lead"))
-    of = stored(grouped.join(stored(smallest, "leads"), "component").select("f1", "f2", "lead"), "class-leads")
+                     .withColumn("component", F.coalesce("component", "cid")).join(merged, "component", "left")
+                     .select("f1", "f2", "rep", F.coalesce("whole", "component").alias("component")), "grouped")
+    smallest = stored(grouped.groupBy("component").agg(F.min("rep").alias("lead")), "leads")
+    leads = stored(grouped.join(smallest, "component").select("f1", "f2", "lead"), "class-leads")
     none = F.col("n_shingles") == 0
-    return (rows.drop("regs").join(of, ["f1", "f2"], "left")
+    return (rows.drop("regs").join(leads, ["f1", "f2"], "left")
             .select("doc_id", "rk", "n_shingles",
                     F.when(none, F.col("doc_id")).otherwise(F.col("lead.doc_id")).alias("component_id"),
                     (none | (F.col("doc_id").eqNullSafe(F.col("lead.doc_id")) & (F.col("rk") == F.col("lead.rk")))).alias("leads")))

@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seekframe.llm.common import shared_dir, stored
+from seekframe.llm.common import shared_dir, shuffles_freed, stored
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pattern that splits text before the vocabulary's merges.
@@ -129,8 +129,8 @@ def sequences(docs: DataFrame, *, vocabulary: str = VOCABULARY, length: int = 10
 
 
 def write_shards(docs: DataFrame, path: str, *, vocabulary: str = VOCABULARY, length: int = 1024, per_shard: int = 2048,
-                 key: int = 20240229) -> int:
-    """Write the shards below ``path``; returns the number of sequences."""
+                 key: int = 20240229, passes: int = 4) -> int:
+    """Write the shards below ``path``, which must be new, in ``passes`` ranges; returns the number of sequences."""
     spark = docs.sparkSession
     numbered = stored(sequences(docs, vocabulary=vocabulary, length=length), "sequences")
     # one row for each task of the scan
@@ -154,12 +154,17 @@ def write_shards(docs: DataFrame, path: str, *, vocabulary: str = VOCABULARY, le
                 names=["shard", "slot", "record"])
 
     shards = -(-size // per_shard)
-    (numbered.select(slot("pid", "local").alias("slot"), "n_tokens", "packed")
-     .withColumn("shard", F.floor(F.col("slot") / per_shard))
-     .repartition(shards, "shard")
-     .mapInArrow(records, "shard long, slot long, record binary").sortWithinPartitions("shard", "slot")
-     .select("shard", F.col("record").cast("string").alias("value"))
-     .write.partitionBy("shard").option("lineSep", "\n").text(path))
+    placed = (numbered.select(slot("pid", "local").alias("slot"), "n_tokens", "packed")
+              .withColumn("shard", F.floor(F.col("slot") / per_shard)))
+    # a range of shards at a time, so that only its share of the corpus lies in shuffle files
+    step = -(-shards // passes)
+    with shuffles_freed(spark):
+        for lo in range(0, shards, step):
+            (placed.filter((F.col("shard") >= lo) & (F.col("shard") < lo + step))
+             .repartition(step, "shard")
+             .mapInArrow(records, "shard long, slot long, record binary").sortWithinPartitions("shard", "slot")
+             .select("shard", F.col("record").cast("string").alias("value"))
+             .write.mode("append").partitionBy("shard").option("lineSep", "\n").text(path))
     return size
 
 

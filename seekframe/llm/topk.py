@@ -19,8 +19,6 @@ is repeated is one query for each distinct vector; an empty table gives an empty
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
