@@ -77,9 +77,7 @@ def leaf_budgets(sizes: DataFrame, mix: Mix) -> DataFrame:
         nodes = (sizes.groupBy(*path).agg(F.sum("tokens").alias("tokens"))
                  .withColumn("w", weight)
                  .withColumn("cap", F.when(F.col("w") > 0, F.col("tokens").cast("double") * mix.max_epochs).otherwise(0.0)))
-        # the root's budget is one row, so its join multiplies nothing
-        nodes = nodes.join(parent, above) if above else nodes.withColumn("_one", F.lit(1)).join(
-            parent.withColumn("_one", F.lit(1)), "_one").drop("_one")
+        nodes = nodes.join(parent, above) if above else nodes.withColumn("budget", parent.scalar())
         ratio = F.when(F.col("w") > 0, F.col("cap") / F.col("w")).otherwise(0.0)
         siblings = Window.partitionBy(*above)
         order = siblings.orderBy("ratio", name)
