@@ -191,15 +191,18 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """cid and text of the classes in ``wanted`` (cid)."""
+    """cid and text of the classes in ``wanted`` (cid).
+
+    The classes asked for grow with the corpus, so this is a merge join at every size.
+    """
     keys = stored(classes.join(wanted, "cid", "left_semi").select("cid", F.col("rep.doc_id").alias("k_id"),
                                                                   F.col("rep.rk").alias("k_rk")), "wanted")
-    return (docs.select("doc_id", row_key().alias("rk"), "text")
-            .join(keys, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("rk") == F.col("k_rk")))
-            .select("cid", "text").dropDuplicates(["cid"]))
+    return stored(docs.select("doc_id", row_key().alias("rk"), "text")
+                  .join(keys.hint("merge"), F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("rk") == F.col("k_rk")))
+                  .select("cid", "text").dropDuplicates(["cid"]), "texts")
 
 
-def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, *, percent: int, shingle: int) -> DataFrame:
+def confirmed(texts: DataFrame, classes: DataFrame, pairs: DataFrame, *, percent: int, shingle: int) -> DataFrame:
     """The pairs (u, v) of classes whose sets reach ``percent``: sizes, then estimate, then the sets themselves."""
     a = classes.select(F.col("cid").alias("u"), F.col("n_shingles").alias("nu"), F.col("regs").alias("ru"))
     b = classes.select(F.col("cid").alias("v"), F.col("n_shingles").alias("nv"), F.col("regs").alias("rv"))
@@ -216,7 +219,6 @@ def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, *, percent:
             yield x.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     left = stored(sized.select("u", "v", "nu", "nv", "ru", "rv").mapInArrow(likely, "u long, v long"), "likely")
-    texts = stored(_texts(docs, classes, left.select(F.col("u").alias("cid")).union(left.select("v")).distinct()), "texts")
 
     def sure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, last, known = _WordHash(), None, None
@@ -254,10 +256,10 @@ def _own(rows: DataFrame, value: str) -> DataFrame:
     return once.filter("cid = last").groupBy("cid").agg(F.count(F.lit(1)).alias("own"))
 
 
-def _block_links(docs: DataFrame, classes: DataFrame, labelled: DataFrame, *, percent: int, shingle: int) -> DataFrame:
+def _block_links(texts: DataFrame, classes: DataFrame, labelled: DataFrame, *, percent: int, shingle: int) -> DataFrame:
     """Links between classes of different components in the buckets of ``labelled`` (band, key, cid, component, cluster)."""
     members = stored(labelled.select("cid", "component", "cluster").distinct(), "open-members")
-    texts = stored(_texts(docs, classes, members.select("cid")), "open-texts")
+    texts = stored(texts.join(members.select("cid"), "cid", "left_semi"), "open-texts")
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _WordHash()
@@ -329,7 +331,7 @@ def _block_links(docs: DataFrame, classes: DataFrame, labelled: DataFrame, *, pe
                             vs.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
-    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf, name = texts.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     was = conf.get(name)
     conf.set(name, "4")                                  # a row holds two blocks of texts
     try:
@@ -360,7 +362,8 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, shingle: int = 3) ->
     pairs = (members.join(leads, ["band", "key"]).filter("cid != lead.cid")
              .groupBy(F.col("cid").alias("v")).agg(F.min("lead").alias("lead")).select(F.col("lead.cid").alias("u"), "v"))
     pairs = stored(pairs, "pairs")
-    links = confirmed(docs, classes, pairs, **how)
+    texts = _texts(docs, classes, candidates)
+    links = confirmed(texts, classes, pairs, **how)
 
     # buckets that still hold several components
     labels = stored(roots(links), "components")         # a class has one lead, and that is more central than itself
@@ -377,7 +380,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, shingle: int = 3) ->
                       .withColumn("cluster", F.when(F.col("linked"), F.col("component")).otherwise(F.coalesce("led", "cid")))
                       .select("band", "key", "cid", "component", "cluster"), "open")
     # links between these components, then the components of components
-    found = _block_links(docs, classes, labelled, **how)
+    found = _block_links(texts, classes, labelled, **how)
     of = labelled.select("cid", "component").distinct()
     found = (found.join(of.select(F.col("cid").alias("u"), F.col("component").alias("cu")), "u")
              .join(of.select(F.col("cid").alias("v"), F.col("component").alias("cv")), "v").select(F.col("cu").alias("u"), F.col("cv").alias("v")))
