@@ -79,7 +79,7 @@ def shuffles_freed(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, was)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, *, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     This cuts the lineage: whatever is read from it later survives the loss of
@@ -89,5 +89,5 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
     with shuffles_freed(spark):
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)

@@ -37,7 +37,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import tiktoken
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,20 +93,22 @@ def _walk(n: np.ndarray, size: int, key: int, rounds: range) -> np.ndarray:
 
 
 def sequences(docs: DataFrame, *, vocabulary: str = VOCABULARY, length: int = 1024) -> DataFrame:
-    """pid, local (number within the task), n_tokens and the packed ids (zstd) of every sequence."""
+    """pid, local (number within the task) and the record of every sequence."""
     shared = docs.sparkSession.sparkContext.broadcast(load_ranks(vocabulary))   # one vocabulary file
 
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, squeeze = encoding(shared.value), zstandard.ZstdCompressor(level=1)
+        enc = encoding(shared.value)
         pid, local, rest = TaskContext.get().partitionId(), 0, np.zeros(0, "<u2")
 
         def rows(ids: np.ndarray, counts: list[int]) -> pa.RecordBatch:
             nonlocal local
             k = len(counts)
+            table = np.empty((k, 4 + 2 * length), np.uint8)
+            table[:, :4] = np.array(counts, "<u4")[:, None].view(np.uint8)
+            table[:, 4:] = ids[:k * length].reshape(k, length).view(np.uint8)
             got = pa.RecordBatch.from_arrays(
-                [pa.array([pid] * k, pa.int32()), pa.array(range(local, local + k), pa.int64()), pa.array(counts, pa.int32()),
-                 pa.array([squeeze.compress(ids[i * length:(i + 1) * length].tobytes()) for i in range(k)], pa.binary())],
-                names=["pid", "local", "n_tokens", "packed"])
+                [pa.array(np.full(k, pid, np.int32)), pa.array(np.arange(local, local + k)),
+                 pa.array(list(map(bytes, table)), pa.binary())], names=["pid", "local", "record"])
             local += k
             return got
 
@@ -125,44 +126,37 @@ def sequences(docs: DataFrame, *, vocabulary: str = VOCABULARY, length: int = 10
         if len(rest):
             yield rows(np.concatenate([rest, np.full(length - len(rest), END, "<u2")]), [len(rest)])
 
-    return docs.select("text").mapInArrow(fn, "pid int, local long, n_tokens int, packed binary")
+    return docs.select("text").mapInArrow(fn, "pid int, local long, record binary")
 
 
 def write_shards(docs: DataFrame, path: str, *, vocabulary: str = VOCABULARY, length: int = 1024, per_shard: int = 2048,
                  key: int = 20240229, passes: int = 4) -> int:
     """Write the shards below ``path``, which must be new, in ``passes`` ranges; returns the number of sequences."""
     spark = docs.sparkSession
-    numbered = stored(sequences(docs, vocabulary=vocabulary, length=length), "sequences")
+    numbered = stored(sequences(docs, vocabulary=vocabulary, length=length), "sequences", compression="zstd")
     # one row for each task of the scan
     totals = numbered.groupBy("pid").agg(F.count(F.lit(1)).alias("n")).orderBy("pid").toArrow().to_pydict()
     size = sum(totals["n"])
     if not size:
         return 0
-    offsets = spark.sparkContext.broadcast(dict(zip(totals["pid"], np.cumsum([0, *totals["n"]][:-1]).tolist())))
+    first = np.zeros(totals["pid"][-1] + 1, np.int64)
+    first[totals["pid"]] = np.cumsum([0, *totals["n"]][:-1])
+    offsets = spark.sparkContext.broadcast(first)
 
-    @F.pandas_udf("long")
-    def slot(pid: pd.Series, local: pd.Series) -> pd.Series:
-        return pd.Series(permute((pid.map(offsets.value) + local).to_numpy(), size, key))
-
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_ = zstandard.ZstdDecompressor()
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column("shard"), b.column("slot"),
-                 pa.array([np.uint32(n).astype("<u4").tobytes() + open_.decompress(p.as_py())
-                           for n, p in zip(b.column("n_tokens").to_pylist(), b.column("packed"))], pa.binary())],
-                names=["shard", "slot", "record"])
+    def slots(pid: pd.Series, local: pd.Series) -> pd.Series:
+        return pd.Series(permute(offsets.value[pid.to_numpy()] + local.to_numpy(), size, key))
 
+    # so marked, Spark computes it once a row and not again for the filter
+    slot = F.pandas_udf(slots, "long").asNondeterministic()
     shards = -(-size // per_shard)
-    placed = (numbered.select(slot("pid", "local").alias("slot"), "n_tokens", "packed")
+    placed = (numbered.select(slot("pid", "local").alias("slot"), "record")
               .withColumn("shard", F.floor(F.col("slot") / per_shard)))
     # a range of shards at a time, so that only its share of the corpus lies in shuffle files
     step = -(-shards // passes)
     with shuffles_freed(spark):
         for lo in range(0, shards, step):
             (placed.filter((F.col("shard") >= lo) & (F.col("shard") < lo + step))
-             .repartition(step, "shard")
-             .mapInArrow(records, "shard long, slot long, record binary").sortWithinPartitions("shard", "slot")
+             .repartition(step, "shard").sortWithinPartitions("shard", "slot")
              .select("shard", F.col("record").cast("string").alias("value"))
              .write.mode("append").partitionBy("shard").option("lineSep", "\n").text(path))
     return size
