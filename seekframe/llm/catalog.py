@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from seekframe.llm.common import read
 from seekframe.llm.decontaminate import DECONTAMINATE_SQL, decontaminate_digest
 from seekframe.llm.licenses import licenses_digest, licenses_sql
-from seekframe.llm.linedup import LINEDUP_SQL, linedup_digest
+from seekframe.llm.linedup import LINEDUP_SQL, linedup_digest, linedup_runs_digest
 from seekframe.llm.mixing import mixing_digest, mixing_sql
 from seekframe.llm.neardup import neardup_digest
 from seekframe.llm.quality import quality_digest
@@ -37,6 +37,10 @@ def op4_linedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup_digest(read(spark, sf_dir, "documents"))
 
 
+def op4_linedup_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linedup_runs_digest(read(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_digest(read(spark, sf_dir, "documents"))
 
@@ -62,7 +66,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality, op2_licenses, op3_neardup, op4_linedup, op5_tokens, op6_topk, op7_toxicity, op8_mixing, op9_decontaminate, op10_secrets)}
+    return {f.__name__: f for f in (op1_quality, op2_licenses, op3_neardup, op4_linedup, op5_tokens, op6_topk, op7_toxicity, op8_mixing, op9_decontaminate, op10_secrets,
+                                       op4_linedup_runs)}
 
 
 def llm_sql() -> dict[str, str]:

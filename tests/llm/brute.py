@@ -40,6 +40,21 @@ def near_duplicates(docs: list[tuple], k: int = 3, percent: int = 85) -> dict:
     return {i: (len(s), find(i), find(i) == i) for i, s in sets.items()}
 
 
+def repeated_lines(docs: list[tuple], min_lines: int = 4, min_words: int = 50) -> set[tuple]:
+    """(doc_id, text) rows with different ids -> {(doc_id, place)} of the lines in later copies."""
+    seen, gone = set(), set()
+    for i, t in sorted(docs):
+        lines = [x for x in (y.strip(" \t\n\v\f\r") for y in (t or "").split("\n")) if x]
+        for at in range(len(lines)):
+            for n in range(1, min(min_lines, len(lines) - at) + 1):
+                run = tuple(lines[at:at + n])
+                if n == min_lines or sum(len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in run) >= min_words:
+                    if run in seen:
+                        gone |= {(i, at + k) for k in range(n)}
+                    seen.add(run)
+    return gone
+
+
 ASSIGN = re.compile(r"(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|"
                     r"[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 

@@ -6,11 +6,12 @@ import duckdb
 import numpy as np
 import pytest
 from brute import near_duplicates as brute_near
+from brute import repeated_lines as brute_repeated_lines
 from pyspark.sql import functions as F
 
 from seekframe.llm import decontaminate as dc
 from seekframe.llm.components import components
-from seekframe.llm.linedup import LINEDUP_SQL, deduplicate_lines, linedup_digest
+from seekframe.llm.linedup import LINEDUP_SQL, deduplicate_lines, linedup_digest, linedup_runs_digest, repeated_lines
 from seekframe.llm.mixing import document_mix, mix_documents, mix_picks, mixing_digest, mixing_sql
 from seekframe.llm.neardup import REGISTERS, drop_near_duplicates, estimate, neardup_digest, registers, shingle_hashes
 from seekframe.llm.tokens import END, encoding, load_ranks, permute, read_shards, sequences, tokens_digest, unpermute, write_shards
@@ -143,6 +144,20 @@ def test_line_dedup_keeps_first_copies_and_columns(spark, odd, none):
         deduplicate_lines(odd, min_lines=3)
 
 
+def test_line_dedup_of_runs_of_every_length(spark, documents):
+    three = "\n".join(f"{x} " + "w " * 19 for x in "abc")               # 60 words, 40 in each pair of lines
+    docs = spark.createDataFrame([(1, "x\n" + three), (2, three + "\ny"), (3, three[:85])], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_deleted"] for r in linedup_runs_digest(docs).collect()} == {1: 0, 2: 3, 3: 0}
+    rng = random.Random(6)
+    pool = [f"line {i} " + "w " * rng.choice([1, 8, 15, 30]) for i in range(9)]
+    made = spark.createDataFrame([(i, "\n".join(rng.choices(pool + [""], k=rng.randint(0, 14)))) for i in range(60)],
+                                 "doc_id long, text string")
+    for frame, min_lines in ((made, 4), (made, 8), (documents, 4)):
+        rows = [(r["doc_id"], r["text"]) for r in frame.collect()]
+        got = {(r["doc_id"], r["i"]) for r in repeated_lines(frame, min_lines=min_lines).collect()}
+        assert got == brute_repeated_lines(rows, min_lines) and got
+
+
 # decontamination
 
 def test_decontamination_against_sql(spark, odd):
