@@ -929,7 +929,7 @@ def from_dict(d: dict) -> Clause:
     if kind == "match":
         f, s = _field_body(body, "query")
         return Match(f, s["query"], s.get("operator", "or"), s.get("analyzer"), s.get("fuzziness"),
-                     s.get("prefix_length", 0), s.get("max_expansions", 50),
+                     s.get("prefix_length", 0), s.get("max_expansions"),
                      s.get("minimum_should_match"), s.get("boost"))
     if kind == "match_phrase":
         f, s = _field_body(body, "query")

@@ -105,6 +105,16 @@ def test_dict_form(docs):
         from_dict({"term": {"a": 1}, "match": {"b": "x"}})
 
 
+def test_dict_form_expands_fuzzy_terms_to_all(spark):
+    words = [f"hell{chr(97 + i)}" for i in range(26)] + [f"hel{chr(97 + i)}o" for i in range(26)] + ["h" + chr(97 + i) + "llo" for i in range(26)]
+    words = sorted(set(words))
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "id long, title string")
+    ix = Index(df, Mapping().long("id").text("title"), name="fuzzy", id_col="id")
+    body = {"query": "hello", "fuzziness": 1}
+    assert len(words) > 50 and count(ix, from_dict({"match": {"title": body}})) == len(words)
+    assert from_dict({"match": {"title": body | {"max_expansions": 5}}}).max_expansions == 5
+
+
 def test_score_sort_default_desc_and_tie_break(docs):
     res = search(docs, Match("title", "hello world title"))
     scores = [r["_score"] for r in res.hits.collect()]
