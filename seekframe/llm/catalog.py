@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from seekframe.llm.common import read
 from seekframe.llm.decontaminate import DECONTAMINATE_SQL, decontaminate_digest
-from seekframe.llm.licenses import licenses_digest, licenses_sql
+from seekframe.llm.licenses import licenses_digest, licenses_sql, notices_digest
 from seekframe.llm.linedup import LINEDUP_SQL, linedup_digest, linedup_runs_digest
 from seekframe.llm.mixing import mixing_digest, mixing_sql
 from seekframe.llm.neardup import neardup_digest
@@ -29,6 +29,10 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses_digest(read(spark, sf_dir, "documents"))
 
 
+def op2_licenses_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return notices_digest(read(spark, sf_dir, "documents"))
+
+
 def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup_digest(read(spark, sf_dir, "documents"))
 
@@ -67,7 +71,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_quality, op2_licenses, op3_neardup, op4_linedup, op5_tokens, op6_topk, op7_toxicity, op8_mixing, op9_decontaminate, op10_secrets,
-                                       op4_linedup_runs)}
+                                       op2_licenses_notices, op4_linedup_runs)}
 
 
 def llm_sql() -> dict[str, str]:

@@ -14,6 +14,13 @@ Templates are a parameter of bounded size (a few kB here), and so is all that
 is derived from them alone: the vocabulary's frequencies, one row per template
 word, are the only thing that comes to the driver.
 
+``scan_licenses`` and its SQL take lines as blocks, so a notice that wraps is
+not found there.  ``scan_notices`` takes overlapping windows of the whole text's
+words, twice as long as the longest stretch that may hold a template (twice the
+template's own words), so that every such stretch lies in a window, however the
+text wraps; a template matches where one stretch holds ``threshold`` of its
+words.  Short forms must stand word for word.
+
 Beside that, phrases are found at every place where their words stand
 consecutively in the whole text, over line ends too.
 
@@ -52,6 +59,12 @@ TEMPLATES = {
     "unlicense": "this is free and unencumbered software released into the public domain",
 }
 
+#: Short forms, to be found word for word, and their labels.
+SHORT_FORMS = {
+    "under the mit license": "mit", "under the bsd license": "bsd", "under the isc license": "isc",
+    "under the unlicense": "unlicense", "mozilla public license version 2 0": "mpl-2.0",
+}
+
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same with capitals, for text that is not lower-cased.
 _BETWEEN_ANY = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -82,14 +95,51 @@ def phrase_places(text: Column, phrases: dict[str, str]) -> Column:
     return F.when(text.rlike(can), F.flatten(F.transform(ahead, labels_at)))
 
 
+def _need(words: list[str], threshold: float) -> int:
+    return math.ceil(threshold * len(words) - 1e-9)
+
+
+def _near(scanned: DataFrame, entries: list[tuple[str, list[str], int, int]]) -> DataFrame:
+    """Blocks of ``scanned`` (structs of block, words and others) with the entries (label, distinct words, words
+    needed, span) that the prefix, length and position filters leave: doc_id, rk, b, words and the entry."""
+    vocabulary = sorted({w for _, t, _, _ in entries for w in t})
+    least = min(need for _, _, need, _ in entries)
+    counts = (scanned.select(F.explode(F.flatten(F.col("blocks.words"))).alias("word"))
+              .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    seen = {r["word"]: r["n"] for r in counts.collect()}            # one row per template word
+    order = sorted(vocabulary, key=lambda w: (seen.get(w, 0), w))
+    place = {w: i for i, w in enumerate(order)}
+    ranked = [(label, sorted(t, key=place.__getitem__), need, span) for label, t, need, span in entries]
+    prefixes = sorted({w for _, t, need, _ in ranked for w in t[:len(t) - need + 1]})
+    heads = [F.struct(F.lit(w).alias("head"), F.lit(i + 1).alias("t_at"), F.lit(label).alias("label"),
+                      F.lit(len(t)).alias("t_size"), F.lit(need).alias("need"), F.lit(span).alias("span"),
+                      _strings(t).alias("t_words"))
+             for label, t, need, span in ranked for i, w in enumerate(t[:len(t) - need + 1])]
+    # a row per prefix word: bounded by the templates
+    template = scanned.sparkSession.range(1).select(F.inline(F.array(*heads)))
+
+    b_words = F.col("b.words")
+    sized = (scanned.select("doc_id", "rk", F.explode("blocks").alias("b"))
+             .filter((F.size(b_words) >= least) & F.arrays_overlap(b_words, _strings(prefixes)))
+             .select("doc_id", "rk", "b", F.array_intersect(_strings(order), b_words).alias("words"))
+             .withColumn("b_size", F.size("words")))
+    return (sized.select("*", F.posexplode("words").alias("at", "head"))
+            .join(F.broadcast(template), "head")
+            .filter((F.col("b_size") >= F.col("need"))
+                    & (F.col("at") + 1 <= F.col("b_size") - F.col("need") + 1)
+                    & (1 + F.least(F.col("t_size") - F.col("t_at"), F.col("b_size") - F.col("at") - 1) >= F.col("need"))))
+
+
+def _common() -> list[Column]:
+    return [F.max("common").cast("long").alias("common"), F.max(F.col("common") / F.col("t_size")).alias("containment")]
+
+
 def scan_licenses(docs: DataFrame, *, templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES,
                   threshold: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """(documents, matches): per row of ``docs`` its words and phrase places; per matching block and template
     the block's number in its text, the words in common and the containment."""
     sets = {label: list(dict.fromkeys(t.lower().split())) for label, t in templates.items()}
-    need = {label: math.ceil(threshold * len(t) - 1e-9) for label, t in sets.items()}
-    vocabulary = sorted({w for t in sets.values() for w in t})
-    vocab = _strings(vocabulary)
+    vocab = _strings(sorted({w for t in sets.values() for w in t}))
     text = F.coalesce("text", F.lit(""))
     lines = F.transform(F.split(text, "\n"), lambda line: F.split(line, _BETWEEN_ANY))
     blocks = F.transform("lines", lambda b, i: F.struct(
@@ -100,41 +150,63 @@ def scan_licenses(docs: DataFrame, *, templates: dict[str, str] = TEMPLATES, phr
         docs.select("doc_id", row_key().alias("rk"), text.alias("text"), lines.alias("lines"))
         .select("doc_id", "rk", n_words.alias("n_words"), phrase_places(F.col("text"), phrases).alias("places"),
                 F.filter(blocks, lambda b: F.size(b["words"]) > 0).alias("blocks")), "blocks")
-
-    counts = (scanned.select(F.explode(F.flatten(F.col("blocks.words"))).alias("word"))
-              .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
-    seen = {r["word"]: r["n"] for r in counts.collect()}            # one row per template word
-    order = sorted(vocabulary, key=lambda w: (seen.get(w, 0), w))
-    place = {w: i for i, w in enumerate(order)}
-    ranked = {label: sorted(t, key=place.__getitem__) for label, t in sets.items()}
-    prefixes = sorted({w for label, t in ranked.items() for w in t[:len(t) - need[label] + 1]})
-    heads = [F.struct(F.lit(w).alias("head"), F.lit(i + 1).alias("t_at"), F.lit(label).alias("label"),
-                      F.lit(len(t)).alias("t_size"), F.lit(need[label]).alias("need"), _strings(t).alias("t_words"))
-             for label, t in ranked.items() for i, w in enumerate(t[:len(t) - need[label] + 1])]
-    # a row per prefix word: bounded by the templates
-    template = docs.sparkSession.range(1).select(F.inline(F.array(*heads)))
-
-    b_words = F.col("b.words")
-    sized = (scanned.select("doc_id", "rk", F.explode("blocks").alias("b"))
-             .filter((F.size(b_words) >= min(need.values())) & F.arrays_overlap(b_words, _strings(prefixes)))
-             .select("doc_id", "rk", F.col("b.block").alias("block"),
-                     F.array_intersect(_strings(order), b_words).alias("words"))
-             .withColumn("b_size", F.size("words")))
-    pairs = (sized.select("*", F.posexplode("words").alias("at", "head"))
-             .join(F.broadcast(template), "head")
-             .filter((F.col("b_size") >= F.col("need"))
-                     & (F.col("at") + 1 <= F.col("b_size") - F.col("need") + 1)
-                     & (1 + F.least(F.col("t_size") - F.col("t_at"), F.col("b_size") - F.col("at") - 1) >= F.col("need"))))
+    pairs = _near(scanned, [(label, t, _need(t, threshold), 0) for label, t in sets.items()])
     common = F.size(F.array_intersect("words", "t_words"))
     matches = (pairs.withColumn("common", common).filter(F.col("common") >= F.col("need"))
-               .groupBy("doc_id", "rk", "block", "label")
-               .agg(F.max("common").cast("long").alias("common"),
-                    F.max(F.col("common") / F.col("t_size")).alias("containment")))
+               .groupBy("doc_id", "rk", F.col("b.block").alias("block"), "label").agg(*_common()))
+    return scanned.select("doc_id", "rk", "n_words", "places"), matches
+
+
+def scan_notices(docs: DataFrame, *, templates: dict[str, str] = TEMPLATES, short_forms: dict[str, str] = SHORT_FORMS,
+                 phrases: dict[str, str] = PHRASES, threshold: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """As ``scan_licenses``, with notices found over line ends; ``block`` is the number of a window's first word."""
+    entries = [(label, ws, threshold, 2) for label, ws in ((k, t.lower().split()) for k, t in templates.items())]
+    entries += [(label, p.lower().split(), 1.0, 1) for p, label in short_forms.items()]
+    entries = [(label, list(dict.fromkeys(ws)), _need(list(dict.fromkeys(ws)), least), times * len(ws))
+               for label, ws, least, times in entries]
+    vocabulary = sorted({w for _, t, _, _ in entries for w in t})
+    step = max(span for _, _, _, span in entries)
+    text = F.coalesce("text", F.lit(""))
+    every = F.filter(F.split(text, _BETWEEN_ANY), lambda w: w != "")
+
+    def window(s: Column) -> Column:
+        """Template words from word ``s`` on, with their places in the text."""
+        seq = F.transform(F.slice("every", s + 1, 2 * step), lambda w, i: F.struct((s + i).alias("at"), F.lower(w).alias("word")))
+        return F.struct(s.alias("block"), F.filter(seq, lambda x: x["word"].isin(vocabulary)).alias("seq"))
+
+    starts = F.sequence(F.lit(0), F.greatest(F.size("every") - 1, F.lit(0)), F.lit(step))
+    windows = F.transform(starts, window)
+    least = min(need for _, _, need, _ in entries)
+    blocks = F.transform(F.filter("windows", lambda b: F.size(b["seq"]) >= least), lambda b: F.struct(
+        b["block"].alias("block"), F.array_distinct(b["seq"]["word"]).alias("words"), b["seq"].alias("seq")))
+    scanned = stored(
+        docs.select("doc_id", row_key().alias("rk"), text.alias("text"), every.alias("every"))
+        .select("doc_id", "rk", "text", F.size("every").cast("long").alias("n_words"), windows.alias("windows"))
+        .select("doc_id", "rk", "n_words", phrase_places(F.col("text"), phrases).alias("places"), blocks.alias("blocks")),
+        "windows")
+
+    pairs = _near(scanned, entries).dropDuplicates(["doc_id", "rk", "b", "label", "t_words"])
+    own = F.filter("b.seq", lambda x: F.array_contains(F.col("t_words"), x["word"]))
+    # most different template words in a stretch that starts with one of them
+    stretches = F.transform("own", lambda x: F.size(F.array_distinct(F.transform(
+        F.filter("own", lambda y: (y["at"] >= x["at"]) & (y["at"] < x["at"] + F.col("span"))), lambda y: y["word"]))))
+    matches = (pairs.withColumn("own", own).withColumn("common", F.array_max(stretches))
+               .filter(F.col("common") >= F.col("need"))
+               .groupBy("doc_id", "rk", F.col("b.block").alias("block"), "label").agg(*_common()))
     return scanned.select("doc_id", "rk", "n_words", "places"), matches
 
 
 def licenses_digest(docs: DataFrame) -> DataFrame:
-    scanned, matches = scan_licenses(docs)
+    """Line by line, as licenses_sql."""
+    return _digest(*scan_licenses(docs))
+
+
+def notices_digest(docs: DataFrame) -> DataFrame:
+    """The same columns, notices over line ends and short forms included."""
+    return _digest(*scan_notices(docs))
+
+
+def _digest(scanned: DataFrame, matches: DataFrame) -> DataFrame:
     found = (matches.groupBy(F.col("doc_id").alias("m_id"), F.col("rk").alias("m_rk"))
              .agg(F.collect_set("label").alias("found"), F.max("containment").alias("best")))
     places = F.coalesce("places", F.expr("cast(array() as array<struct<start:bigint,label:string>>)"))

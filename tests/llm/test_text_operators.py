@@ -5,7 +5,7 @@ import pytest
 from brute import base_secrets
 from pyspark.sql import functions as F
 
-from seekframe.llm.licenses import licenses_digest, licenses_sql, scan_licenses
+from seekframe.llm.licenses import TEMPLATES, licenses_digest, licenses_sql, notices_digest, scan_licenses
 from seekframe.llm.quality import fit_quality, held_out, quality_digest, score_quality
 from seekframe.llm.secrets import scan_secrets, secrets_digest
 from seekframe.llm.toxicity import fit_toxicity, reject_toxic, score_toxicity, toxicity_digest
@@ -129,6 +129,23 @@ def test_licence_filters_lose_no_pair(spark):
     assert got == want and want
 
 
+def test_notices_that_wrap_and_short_forms(spark, odd, none):
+    import textwrap
+    filler = "some other words of the same text go on and on " * 9
+    rows = []
+    for n, (label, t) in enumerate(sorted(TEMPLATES.items())):
+        for width in (12, 40, 80):
+            rows.append((len(rows), label, filler * (n % 3) + "\n * " + "\n * ".join(textwrap.wrap(t, width)) + "\n" + filler))
+    rows += [(len(rows), "mit", "Released under the MIT License."), (len(rows) + 1, "", "released under the license of MIT"),
+             (len(rows) + 2, "", ("hereby " + filler).join(["permission is", "granted free of charge", "to any person obtaining",
+                                                              "a copy of this software", "and associated documentation files"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, want string, text string")
+    got = {r["doc_id"]: set(r["labels"].split(",")) for r in notices_digest(docs).collect()}
+    assert all(want in got[i] for i, want, _ in rows)
+    assert got[rows[-3][0]] == {"mit"}
+    assert notices_digest(odd).count() == 11 and notices_digest(none).count() == 0
+
+
 def test_secrets_base_against_brute_force(small, odd):
     docs = small[0]
     for frame in (docs, odd):
