@@ -19,7 +19,10 @@ not found there.  ``scan_notices`` takes overlapping windows of the whole text's
 words, twice as long as the longest stretch that may hold a template (twice the
 template's own words), so that every such stretch lies in a window, however the
 text wraps; a template matches where one stretch holds ``threshold`` of its
-words.  Short forms must stand word for word.
+words.  Short forms must stand word for word.  Templates that each other's text
+would match (the GNU licences) are told apart in each window by their own words
+and pairs of neighbouring words: one goes if the window holds marks of the other
+against it and none of its own.
 
 Beside that, phrases are found at every place where their words stand
 consecutively in the whole text, over line ends too.
@@ -190,12 +193,42 @@ def scan_notices(docs: DataFrame, *, templates: dict[str, str] = TEMPLATES, shor
     # most different template words in a stretch that starts with one of them
     stretches = F.transform("own", lambda x: F.size(F.array_distinct(F.transform(
         F.filter("own", lambda y: (y["at"] >= x["at"]) & (y["at"] < x["at"] + F.col("span"))), lambda y: y["word"]))))
-    matches = (pairs.withColumn("own", own).withColumn("common", F.array_max(stretches))
-               .filter(F.col("common") >= F.col("need"))
-               .groupBy("doc_id", "rk", F.col("b.block").alias("block"), "label").agg(*_common()))
+    found = (pairs.withColumn("own", own).withColumn("common", F.array_max(stretches))
+             .filter(F.col("common") >= F.col("need"))
+             .groupBy("doc_id", "rk", "b", "label").agg(*_common())
+             .groupBy("doc_id", "rk", "b").agg(F.collect_list(F.struct("label", "common", "containment")).alias("got")))
+    matches = (found.select("doc_id", "rk", F.col("b.block").alias("block"), F.col("got.label").alias("labels"),
+                            _marks_of(F.col("b.seq")).alias("marks"), F.explode("got").alias("m"))
+               .select("doc_id", "rk", "block", "labels", "marks", "m.*")
+               .filter(~_beaten(templates, threshold)).drop("labels", "marks"))
     return scanned.select("doc_id", "rk", "n_words", "places"), matches
 
 
+def _marks_of(seq: Column) -> Column:
+    """Words of a window and pairs of neighbouring words."""
+    after = F.slice(seq, 2, F.greatest(F.size(seq) - 1, F.lit(0)))
+    pairs = F.zip_with(F.slice(seq, 1, F.greatest(F.size(seq) - 1, F.lit(0))), after, lambda x, y: F.when(
+        y["at"] == x["at"] + 1, F.concat_ws(" ", x["word"], y["word"])))
+    return F.array_union(seq["word"], F.array_compact(pairs))
+
+
+def _beaten(templates: dict[str, str], threshold: float) -> Column:
+    """Whether a row (label, labels of its window, marks) has a rival there with marks against it and none of its own."""
+    words = {label: t.lower().split() for label, t in templates.items()}
+    marks = {label: [*dict.fromkeys(ws), *dict.fromkeys(map(" ".join, zip(ws, ws[1:])))] for label, ws in words.items()}
+    beaten = F.lit(False)
+    for x, wx in words.items():
+        for y, wy in words.items():
+            if x != y and len({*wx} & {*wy}) >= min(_need([*{*wx}], threshold), _need([*{*wy}], threshold)):
+                own, other = ([m for m in marks[p] if m not in marks[q]] for p, q in ((x, y), (y, x)))
+                if other:
+                    lost = F.arrays_overlap("marks", _strings(other))
+                    if own:
+                        lost &= ~F.arrays_overlap("marks", _strings(own))
+                    beaten |= (F.col("label") == x) & F.array_contains("labels", y) & lost
+    return beaten
+
+
 def licenses_digest(docs: DataFrame) -> DataFrame:
     """Line by line, as licenses_sql."""
     return _digest(*scan_licenses(docs))

@@ -146,6 +146,19 @@ def test_notices_that_wrap_and_short_forms(spark, odd, none):
     assert notices_digest(odd).count() == 11 and notices_digest(none).count() == 0
 
 
+def test_notices_tell_gnu_licences_apart(spark):
+    line = "This work is licensed under the GNU {}General Public License, version 3."
+    gpl, agpl, lgpl = (line.format(x) for x in ("", "Affero ", "Lesser "))
+    far = "\n" + "far away from it " * 60 + "\n"
+    rows = [(1, gpl, "gpl-3.0"), (2, agpl, "agpl-3.0"), (3, lgpl.replace(" GNU", "\nGNU"), "lgpl-3.0"),
+            (4, gpl + "\n" + agpl, "agpl-3.0,gpl-3.0"), (5, lgpl + far + gpl, "gpl-3.0,lgpl-3.0"),
+            (6, gpl + "\nLicensed under the Apache License, Version 2.0", "apache-2.0,gpl-3.0")]
+    got = notices_digest(spark.createDataFrame(rows, "doc_id long, text string, want string"))
+    # gpl is the label of the phrase, beside those of the templates
+    assert {r["doc_id"]: ",".join(x for x in r["labels"].split(",") if x != "gpl") for r in got.collect()} \
+        == {i: want for i, _, want in rows}
+
+
 def test_secrets_base_against_brute_force(small, odd):
     docs = small[0]
     for frame in (docs, odd):
