@@ -9,8 +9,9 @@ zeros and ``MANTISSA`` bits behind them, 16 bits in all.  Empty registers are
 filled from others by a fixed hash walk before banding (optimal densification),
 so that short texts band as well as long ones.
 
-Bands of ``ROWS`` compressed registers find candidates: a pair at the threshold
-0.85 misses all 36 bands with probability 0.679 ** 36 < 1e-6.  Candidates are
+Bands of compressed registers find candidates.  ``banding`` takes as many rows a
+band as leave a pair at the threshold a probability below 1e-6 to miss all bands:
+7 rows in 36 bands at 0.85 (9e-7), 5 rows in 51 bands at 0.8 (2e-9).  Candidates are
 thinned by their sizes (exact) and by the Jaccard estimate from the registers,
 corrected for accidental collisions of compressed values, at five standard
 deviations below the threshold, and then confirmed on the full sets.
@@ -49,9 +50,10 @@ from pyspark.sql import functions as F
 from seekframe.llm.common import packed, row_key, stored
 from seekframe.llm.components import components, roots
 
-BUCKET_BITS, MANTISSA, ROWS = 8, 10, 7
+BUCKET_BITS, MANTISSA = 8, 10
 REGISTERS = 1 << BUCKET_BITS
-BANDS = REGISTERS // ROWS
+#: Highest probability that a pair at the threshold shares no band.
+MISSED = 1e-6
 EMPTY = 0xFFFF
 CACHE = 300_000
 #: Most texts that a block of the last comparison holds on average.
@@ -173,21 +175,30 @@ def sketches(docs: DataFrame, *, shingle: int = 3) -> DataFrame:
         fn, f"doc_id {id_type}, rk long, n_shingles long, f1 long, f2 long, regs binary")
 
 
-def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    walk = _walk()
-    bands = np.arange(BANDS, dtype=np.int16)
-    for b in batches:
-        for lo in range(0, b.num_rows, 2000):
-            part = b.slice(lo, 2000)
-            regs = np.stack([np.frombuffer(x.as_py(), np.uint16) for x in part.column("regs")])
-            rows = densified(regs, walk)[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)
-            keys = np.zeros(rows.shape[:2], np.uint64)
-            for i in range(ROWS):
-                keys = _mix((keys + rows[:, :, i] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-            keys = keys.view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(part.column("cid").to_numpy(), BANDS)), pa.array(np.tile(bands, len(keys))),
-                 pa.array(keys.ravel())], names=["cid", "band", "key"])
+def banding(percent: int) -> tuple[int, int]:
+    """Rows a band and bands for a threshold: the most rows that keep ``MISSED``."""
+    t = percent / 100
+    return next(((r, REGISTERS // r) for r in range(REGISTERS, 1, -1) if (1 - t ** r) ** (REGISTERS // r) < MISSED), (1, REGISTERS))
+
+
+def _band_rows(rows_a_band: int, bands: int):
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        walk = _walk()
+        band = np.arange(bands, dtype=np.int16)
+        for b in batches:
+            for lo in range(0, b.num_rows, 2000):
+                part = b.slice(lo, 2000)
+                regs = np.stack([np.frombuffer(x.as_py(), np.uint16) for x in part.column("regs")])
+                rows = densified(regs, walk)[:, :bands * rows_a_band].reshape(-1, bands, rows_a_band).astype(np.uint64)
+                keys = np.zeros(rows.shape[:2], np.uint64)
+                for i in range(rows_a_band):
+                    keys = _mix((keys + rows[:, :, i] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+                keys = keys.view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(part.column("cid").to_numpy(), bands)), pa.array(np.tile(band, len(keys))),
+                     pa.array(keys.ravel())], names=["cid", "band", "key"])
+
+    return fn
 
 
 def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -348,7 +359,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, shingle: int = 3) ->
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rk")).alias("rep"),
              F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs"))
         .withColumn("cid", F.monotonically_increasing_id()), "classes")
-    bands = stored(classes.select("cid", "regs").mapInArrow(_band_rows, "cid long, band short, key long"), "bands")
+    bands = stored(classes.select("cid", "regs").mapInArrow(_band_rows(*banding(percent)), "cid long, band short, key long"), "bands")
     buckets = stored(bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "buckets")
     members = stored(bands.join(buckets, ["band", "key"]), "members")
     how = {"percent": percent, "shingle": shingle}

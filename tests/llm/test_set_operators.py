@@ -102,6 +102,30 @@ def test_near_duplicates_odd_rows(spark, odd, none):
     assert neardup_digest(none).count() == 0
 
 
+def test_bands_meet_pairs_at_the_threshold():
+    import numpy as np
+    import pyarrow as pa
+
+    from seekframe.llm.neardup import REGISTERS, _band_rows, banding
+    assert banding(85) == (7, 36) and banding(80) == (5, 51) and banding(100) == (REGISTERS, 1)
+    for percent in range(10, 101):
+        r, n = banding(percent)
+        assert (1 - (percent / 100) ** r) ** n < 1e-6 and r * n <= REGISTERS
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 60_000, (20_000, REGISTERS)).astype(np.uint16)
+    b = np.where(rng.random(a.shape) < 0.8, a, rng.integers(0, 60_000, a.shape)).astype(np.uint16)
+
+    def missed(r, n):
+        keys = []
+        for x in (a, b):
+            batch = pa.RecordBatch.from_arrays([pa.array(range(len(x))), pa.array([v.tobytes() for v in x], pa.binary())],
+                                               names=["cid", "regs"])
+            keys.append(np.concatenate([y.column("key").to_numpy() for y in _band_rows(r, n)([batch])]).reshape(-1, n))
+        return int((~(keys[0] == keys[1]).any(1)).sum())
+
+    assert missed(7, 36) > 0 and missed(*banding(80)) == 0        # 7 rows were taken at every threshold
+
+
 def test_components(spark):
     rng = random.Random(9)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(5, 5), (None, 1), (1000, 1001), (1001, 1000)]
