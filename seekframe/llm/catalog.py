@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from seekframe.llm.bytepair import bytepair_digest
 from seekframe.llm.common import read
 from seekframe.llm.decontaminate import DECONTAMINATE_SQL, decontaminate_digest
 from seekframe.llm.licenses import licenses_digest, licenses_sql, notices_digest
 from seekframe.llm.linedup import LINEDUP_SQL, linedup_digest, linedup_runs_digest
 from seekframe.llm.mixing import mixing_digest, mixing_sql
 from seekframe.llm.neardup import neardup_digest
+from seekframe.llm.periodic import periodic_digest
 from seekframe.llm.quality import quality_digest
 from seekframe.llm.secrets import secrets_digest
 from seekframe.llm.tokens import tokens_digest
@@ -69,9 +71,18 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_digest(read(spark, sf_dir, "documents"))
 
 
+def op11_bytepair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytepair_digest(read(spark, sf_dir, "documents"))
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_digest(read(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality, op2_licenses, op3_neardup, op4_linedup, op5_tokens, op6_topk, op7_toxicity, op8_mixing, op9_decontaminate, op10_secrets,
-                                       op2_licenses_notices, op4_linedup_runs)}
+    return {f.__name__: f for f in (op1_quality, op2_licenses, op3_neardup, op4_linedup, op5_tokens, op6_topk, op7_toxicity,
+                                    op8_mixing, op9_decontaminate, op10_secrets, op11_bytepair, op13_periodic,
+                                    op2_licenses_notices, op4_linedup_runs)}
 
 
 def llm_sql() -> dict[str, str]:
