@@ -19,6 +19,7 @@ from seekframe.llm.secrets import secrets_digest
 from seekframe.llm.tokens import tokens_digest
 from seekframe.llm.topk import TOPK_SQL, topk_digest
 from seekframe.llm.toxicity import toxicity_digest
+from seekframe.llm.trie import TRIE_SQL, conversations_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,15 +76,20 @@ def op11_bytepair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytepair_digest(read(spark, sf_dir, "documents"))
 
 
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations_digest(read(spark, sf_dir, "conversations"))
+
+
 def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_digest(read(spark, sf_dir, "documents"))
 
 
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_quality, op2_licenses, op3_neardup, op4_linedup, op5_tokens, op6_topk, op7_toxicity,
-                                    op8_mixing, op9_decontaminate, op10_secrets, op11_bytepair, op13_periodic,
-                                    op2_licenses_notices, op4_linedup_runs)}
+                                    op8_mixing, op9_decontaminate, op10_secrets, op11_bytepair, op12_trie,
+                                    op13_periodic, op2_licenses_notices, op4_linedup_runs)}
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op2_licenses": licenses_sql(), "op4_linedup": LINEDUP_SQL, "op6_topk": TOPK_SQL, "op8_mixing": mixing_sql(), "op9_decontaminate": DECONTAMINATE_SQL}
+    return {"op2_licenses": licenses_sql(), "op4_linedup": LINEDUP_SQL, "op6_topk": TOPK_SQL, "op8_mixing": mixing_sql(), "op9_decontaminate": DECONTAMINATE_SQL,
+            "op12_trie": TRIE_SQL}

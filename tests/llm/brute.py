@@ -100,3 +100,30 @@ def periodic(doc_id, text: str | None) -> tuple:
     sha = [hashlib.sha256(x.encode()).hexdigest() for x in ("".join(f"{s},{k},{q}\n" for s, k, q in runs),
                                                            " ".join(x for i, x in enumerate(w) if i not in gone))]
     return (len(runs), *(best or (None, None, None)), best and 1000 * best[1] // best[2], *sha)
+
+
+def trie(rows: list[tuple]) -> list[tuple]:
+    """(conv_id, turn, role, text) rows without equal turns -> the contract's rows, sorted."""
+    own: dict = {}
+    for c, turn, role, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0)):
+        if c is not None:
+            own.setdefault(c, []).append((role or "", text or ""))
+    members: dict = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        path = own.get(c - c % 5, [])[:h] + turns[h:]
+        for d in range(len(path) + 1):
+            members.setdefault(tuple(path[:d]), []).append((c, d == len(path)))
+    kids: dict = {}
+    for node in members:
+        if node:
+            kids.setdefault(node[:-1], []).append(node)
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        below = kids.get(node, [])
+        leaves[node] = sum(leaves[x] for x in below) or 1
+        saved[node] = sum(saved[x] for x in below) + (len(node[-1][1].encode()) * (len(members[node]) - 1) if node else 0)
+    first = {node: min(m)[0] for node, m in members.items()}
+    return sorted((first[node], len(node), first[node[:-1]] if node else None, len(m), len(kids.get(node, [])), leaves[node], saved[node],
+                   hashlib.sha256(",".join(str(c) for c, end in sorted(m) if end).encode()).hexdigest())
+                  for node, m in members.items())
