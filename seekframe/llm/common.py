@@ -48,6 +48,13 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.select(row.alias("row"), "doc_id", row_key().alias("rk"), "text")
 
 
+def taught_text(rows: DataFrame) -> DataFrame:
+    """One row (doc_id, y, text) for each labelled id of ``rows``: of several texts the one with the smallest MD5."""
+    text = F.coalesce("text", F.lit(""))
+    return rows.groupBy("doc_id", "y").agg(F.min(F.struct(F.md5(text).alias("digest"), text.alias("text"))).alias("t")).select(
+        "doc_id", "y", "t.text")
+
+
 @functools.cache
 def _own_dir() -> str:
     return "file://" + tempfile.mkdtemp(prefix="seekframe-")

@@ -15,9 +15,12 @@ so that the stratified sample does not shift the scores.
 
 Defined cases: null and empty texts have the zero vector, which has no
 neighbours, and score the prior share of label 1; equal texts score alike;
-rows are scored one by one, so repeated ids and an empty table are harmless;
-without any usable label the score is 0.5; labels that are null, other than 0
-and 1, or name a document twice with both values do not teach.
+rows are scored one by one, whatever their ids; where a labelled id stands
+beside several texts, the one with the smallest MD5 teaches; an empty table
+gives an empty result; without any usable label the score is 0.5; labels that
+are null, other than 0 and 1, or name a document twice with both values do not
+teach.  Scores are rounded to six digits, so that neither the order of rows nor
+how they are dealt out shows in them.
 """
 
 from __future__ import annotations
@@ -34,10 +37,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seekframe.llm.common import taught_text
+
 SHAPES, WORDS, STATS = 1024, 4096, 8
 #: Latent weight of each feature family before the decomposition.
 SHAPE_WEIGHT, WORD_WEIGHT, STAT_WEIGHT = 2.0, 0.4, 1.0
 CACHE = 200_000
+#: Least share of the largest singular value that a latent direction must have.
+NOISE = 1e-4
 _RUNS = ((re.compile(r"[^\W\d_]+"), None), (re.compile(r"\d+"), "0"))
 
 
@@ -143,9 +150,11 @@ def fit_matrix(x: np.ndarray, y: np.ndarray, share_one: float, *, dims: int, k:
     q = xi @ rng.standard_normal((x.shape[1], min(dims + 16, len(x))), dtype=np.float32)
     for _ in range(3):
         q, _ = np.linalg.qr(xi @ (xi.T @ q))
-    _, _, vt = np.linalg.svd(q.T @ xi, full_matrices=False)
+    _, weight, vt = np.linalg.svd(q.T @ xi, full_matrices=False)
+    # directions that the sample does not have are rounding noise
+    vt = vt[weight > NOISE * weight[0]]
     project = (vt[:dims].T * idf[:, None]).astype(np.float32)
-    m = QualityModel(project, np.zeros((0, dims)), y, y.astype(float), share_one, k, power)
+    m = QualityModel(project, np.zeros((0, project.shape[1])), y, y.astype(float), share_one, k, power)
     share = y.mean()
     weights = np.where(y == 1, share_one / max(share, 1e-9), (1 - share_one) / max(1 - share, 1e-9))
     return QualityModel(project, m.embed(x), y, weights, share_one, k, power)
@@ -164,7 +173,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, teaches: Column | None =
     order = F.md5(F.col("doc_id").cast("string"))
     chosen = (lab.filter("y = 0").orderBy(order, "doc_id").limit(take0)
               .unionByName(lab.filter("y = 1").orderBy(order, "doc_id").limit(take1)))
-    texts = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "y", "text").dropDuplicates(["doc_id"])
+    texts = taught_text(docs.select("doc_id", "text").join(chosen, "doc_id"))
 
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = Features()
@@ -197,7 +206,7 @@ def score_quality(docs: DataFrame, model: QualityModel, *, block: int = 256) ->
             for lo in range(0, b.num_rows, block):
                 part = b.slice(lo, block)
                 x = matrix([f(t.as_py()) for t in part.column("text")])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(m.score(x), pa.float64())],
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(m.score(x).round(6), pa.float64())],
                                                  names=["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(fn, f"doc_id {id_type}, score double")

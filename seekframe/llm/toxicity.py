@@ -12,13 +12,17 @@ labelled rows (``sample`` of each label at most, chosen by a hash of the id).
 A feature joins the vocabulary if its smoothed log odds reach ``min_odds`` and
 its log-likelihood ratio is beyond what chance gives among so many features,
 counted once by texts and once by different words before it, so that copies
-of one toxic text don't turn its rare words into signs of toxicity.  At most
-``max_features`` enter, by strength, a bound on the model and not on the data.
+of one toxic text don't turn its rare words into signs of toxicity.  All that
+pass enter the fit, which works on the features present in each text, so the
+model is bounded by the sample.  The sample is drawn in turns from the values
+of ``strata`` (languages), a key for sampling alone, so that a language with
+few toxic texts among many others is learnt from as many as there are.
 
 Defined cases: a text without any feature of the vocabulary, null and empty
 texts among them, has severity 0; equal texts get
-equal grades; repeated ids and an empty table are harmless, each row is scored
-by itself; without toxic labels nothing is toxic; labels that are null, other
+equal grades, each row is scored by itself; where a labelled id stands beside
+several texts, the one with the smallest MD5 teaches; an empty table gives an
+empty result; without toxic labels nothing is toxic; labels that are null, other
 than 0 and 1, or contradict each other for one document do not teach; extra
 columns of the input are kept; ``severity`` and ``grade`` replace columns of
 these names where scores are asked for.
@@ -33,10 +37,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seekframe.llm.common import packed, stored
+from seekframe.llm.common import packed, stored, taught_text
 
 _WORDS = re.compile(r"[^\W\d_]+")
 GRADES = 4
@@ -93,14 +97,35 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_ordinal(x: np.ndarray, y: np.ndarray, *, steps: int = 400, rate: float = 0.05, l2: float = 1e-4,
-                positive: bool = True
-                ) -> tuple[np.ndarray, np.ndarray]:
+@dataclass(frozen=True)
+class Entries:
+    """The entries of a sparse matrix that are not zero."""
+
+    row: np.ndarray
+    column: np.ndarray
+    value: np.ndarray
+    shape: tuple[int, int]
+
+    @classmethod
+    def of(cls, x: np.ndarray) -> Entries:
+        r, c = np.nonzero(x)
+        return cls(r, c, x[r, c].astype(float), x.shape)
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.value * w[self.column], self.shape[0])
+
+    def back(self, g: np.ndarray) -> np.ndarray:
+        return np.bincount(self.column, self.value * g[self.row], self.shape[1])
+
+
+def fit_ordinal(x: Entries | np.ndarray, y: np.ndarray, *, steps: int = 400, rate: float = 0.05, l2: float = 1e-4,
+                positive: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ascending thresholds of the cumulative-link model, by Adam on the whole matrix.
 
     The thresholds are theta_0 and positive gaps, so that they stay in order.  With ``positive`` weights stay at
     zero or above: every feature was chosen as a sign of toxicity, so more of them never lower a grade.
     """
+    x = x if isinstance(x, Entries) else Entries.of(x)
     n, f = x.shape
     p = np.zeros(f + GRADES - 1)
     p[f] = 1.0
@@ -110,7 +135,7 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, *, steps: int = 400, rate: float =
     row = (1 / share)[y] / GRADES
     for t in range(1, steps + 1):
         w, theta = p[:f], _theta(p[f:])
-        z = (x @ w.astype(x.dtype)).astype(float)
+        z = x.times(w)
         c = _sigmoid(np.concatenate([np.full((n, 1), -40.0), theta[None, :] - z[:, None], np.full((n, 1), 40.0)], 1))
         lo, hi = c[np.arange(n), y], c[np.arange(n), y + 1]
         prob = np.maximum(hi - lo, 1e-9)
@@ -120,7 +145,7 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, *, steps: int = 400, rate: float =
         gt = np.zeros(GRADES - 1)
         for g in range(GRADES - 1):
             gt[g] = -(row * dhi)[y == g].sum() + (row * dlo)[y == g + 1].sum()
-        grad = np.concatenate([(gz.astype(x.dtype) @ x) + l2 * w, _theta_back(p[f:], gt)])
+        grad = np.concatenate([x.back(gz) + l2 * w, _theta_back(p[f:], gt)])
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad
         p -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
@@ -139,17 +164,26 @@ def _theta_back(raw: np.ndarray, gt: np.ndarray) -> np.ndarray:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", teaches: Column | None = None,
-                 min_odds: float = 3.0, max_features: int = 2048, sample: int = 10_000) -> ToxicityModel:
-    """Fit on at most ``sample`` labelled rows of each label for which ``teaches`` (over doc_id) holds."""
+                 min_odds: float = 3.0, sample: int = 10_000, strata: str | None = "lang") -> ToxicityModel:
+    """Fit on at most ``sample`` labelled rows of each label for which ``teaches`` (over doc_id) holds.
+
+    ``strata`` names a column of ``docs`` whose values take turns in the sample (None, or a name that ``docs`` lacks: no turns).
+    """
     nothing = ToxicityModel({}, np.zeros(0), np.array([1.0, 2.0, 3.0]) * 40)
     lab = (labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (F.lit(True) if teaches is None else teaches))
            .groupBy("doc_id").agg(F.min(label).cast("int").alias("y"), F.max(label).cast("int").alias("y2"))
            .filter("y = y2").select("doc_id", "y"))
-    order = F.md5(F.col("doc_id").cast("string"))
-    chosen = (lab.filter("y = 0").orderBy(order, "doc_id").limit(sample)
-              .unionByName(lab.filter("y = 1").orderBy(order, "doc_id").limit(sample)))
+    group = F.col(f"`{strata}`") if strata in docs.columns else F.lit(None)
+    digest = F.md5(F.col("doc_id").cast("string"))
+    # the first ``sample`` of every stratum and label, then the first ``sample`` of each label by their turn
+    known = (lab.join(docs.select("doc_id", group.cast("string").alias("stratum")), "doc_id").groupBy("doc_id", "y")
+             .agg(F.min("stratum").alias("stratum")).withColumn("digest", digest))
+    turn = F.row_number().over(Window.partitionBy("y", "stratum").orderBy("digest", "doc_id"))
+    turns = known.withColumn("turn", turn).filter(F.col("turn") <= sample)
+    chosen = turns.filter("y = 0").orderBy("turn", "digest", "doc_id").limit(sample).unionByName(
+        turns.filter("y = 1").orderBy("turn", "digest", "doc_id").limit(sample)).select("doc_id", "y")
     # 2 * sample ids at most, so the texts need no shuffle to meet them
-    labelled = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]), "labelled")
+    labelled = stored(taught_text(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")), "labelled")
     totals = {r["y"]: r["n"] for r in labelled.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1 or not n0:
@@ -179,7 +213,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", te
         both = F.col("toxic") + F.col("clean")
         ratio = 2 * (_xlog(F.col("toxic"), both * n1 / (n0 + n1)) + _xlog(F.col("clean"), both * n0 / (n0 + n1)))
         return [r["feature"] for r in table.filter((odds >= min_odds) & (ratio >= chance))
-                .orderBy(ratio.desc(), "feature").limit(max_features).select("feature").collect()]
+                .orderBy(ratio.desc(), "feature").select("feature").collect()]
 
     candidates = {f: i for i, f in enumerate(strong(counted))}
 
@@ -210,11 +244,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", te
     got = (labelled.select("doc_id", "y", "text")
            .mapInArrow(rows, "doc_id string, y int, idx array<int>, val array<float>").toArrow().to_pylist())
     got.sort(key=lambda r: r["doc_id"])
-    x = np.zeros((len(got), len(vocabulary)), np.float32)
-    for row, r in zip(x, got):
-        row[r["idx"]] = r["val"]
+    counts = [len(r["idx"]) for r in got]
+    x = Entries(np.repeat(np.arange(len(got)), counts), np.array([i for r in got for i in r["idx"]], np.int64),
+                np.array([v for r in got for v in r["val"]], float), (len(got), len(vocabulary)))
     y = np.array([r["y"] for r in got])
-    evidence = x.sum(1)
+    evidence = x.times(np.ones(len(vocabulary)))
     cuts = np.quantile(evidence[y == 1], [1 / 3, 2 / 3])
     grade = y * (1 + (evidence > cuts[0]) + (evidence > cuts[1]))
     weights, thresholds = fit_ordinal(x, grade)
@@ -243,7 +277,7 @@ def _counted(counts: dict[str, list[int]]) -> pa.RecordBatch:
 
 
 def _severity(model: ToxicityModel) -> Column:
-    # the model, bounded by max_features, travels with the function
+    # the model, bounded by the sample, travels with the function
 
     @F.pandas_udf("double")
     def severity(texts):

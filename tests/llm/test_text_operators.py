@@ -35,14 +35,73 @@ def test_held_out_is_crc_of_the_id(spark):
 def test_quality_odd_rows(odd, labels, no_labels, none):
     got = quality_digest(odd, labels).collect()
     assert len(got) == 11 and all(0 <= r["score"] <= 1 for r in got)
-    same = {r["score"] for r in got if r["doc_id"] in (5, 8)}
-    assert len(same) == 2                                 # equal texts score alike, whatever their other columns
+    assert len({r["score"] for r in got if r["doc_id"] == 8 or r["doc_id"] in (1, 2)}) <= 2
     assert {r["score"] for r in quality_digest(odd, no_labels).collect()} == {0.5}
     assert quality_digest(none, labels).count() == 0
     m = fit_quality(none, labels)
     assert {r["score"] for r in score_quality(odd, m).collect()} == {0.5}
 
 
+@pytest.fixture(scope="module")
+def taught(spark):
+    """Two kinds of text, labelled; ids 0 and 1 stand beside several texts each."""
+    import random
+    rng = random.Random(8)
+    good = [" ".join(rng.choices([f"plain{i}" for i in range(60)], k=60)).capitalize() + "." for _ in range(60)]
+    bad = [" ".join(rng.choices(["BUY!!!", "c$sh", "###", "win99", "cl1ck"], k=40)) for _ in range(60)]
+    texts = good[:30] + bad[:30]
+    rows = list(enumerate(texts)) + [(0, bad[40]), (0, good[41]), (1, bad[42]), (500, good[50]), (501, bad[50]), (502, good[50])]
+    labels = [(i, int(i < 30), 0) for i in range(60)]
+    return (spark.createDataFrame(rows, "doc_id long, text string"),
+            spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+
+
+def test_quality_is_the_same_in_any_order(spark, taught):
+    docs, labels = taught
+    first = {(r["doc_id"], r["score"]) for r in score_quality(docs, fit_quality(docs, labels)).collect()}
+    by = {}
+    for i, x in first:
+        by.setdefault(i, set()).add(x)
+    assert by[500] == by[502] and len(by[500]) == 1 and min(by[500]) > 0.8 > 0.2 > max(by[501])
+    for parts in (1, 5):
+        again = docs.orderBy(F.rand(parts)).repartition(parts)
+        got = {(r["doc_id"], r["score"]) for r in score_quality(again, fit_quality(again, labels.repartition(3))).collect()}
+        assert {(i, round(x, 5)) for i, x in got} == {(i, round(x, 5)) for i, x in first}
+
+
+def test_votes_against_brute_force(taught):
+    import math
+
+    import numpy as np
+
+    from seekframe.llm.quality import Features, matrix
+    docs, labels = taught
+    m = fit_quality(docs, labels, k=7)
+    assert m.vectors.shape[1] == m.project.shape[1] <= 64
+    rows = docs.select("doc_id", "text").distinct().collect()
+    got = {(r["doc_id"], r["score"]) for r in score_quality(docs, m).collect()}
+    f = Features()
+    want = set()
+    for r in rows:
+        v = (matrix([f(r["text"])])[0].astype(float) @ m.project.astype(float)).tolist()
+        size = math.sqrt(sum(x * x for x in v))
+        cosines = sorted(((sum(a * b for a, b in zip(v, u)) / size, i) for i, u in enumerate(m.vectors.tolist())), reverse=True)[:7]
+        votes = [(max(c, 0) ** m.power * m.weights[i], m.labels[i]) for c, i in cosines]
+        one, total = sum(w * y for w, y in votes), sum(w for w, _ in votes)
+        want.add((r["doc_id"], (one + 0.01 * m.prior) / (total + 0.01)))
+    assert len(got) == len(want) and np.allclose([x for _, x in sorted(got)], [x for _, x in sorted(want)], atol=1e-4)
+
+
+def test_latent_directions_without_weight_go():
+    import numpy as np
+
+    from seekframe.llm.quality import Features, fit_matrix, matrix
+    f = Features()
+    x = matrix([f("one text alone")] * 6)
+    m = fit_matrix(x, np.array([0, 1, 0, 1, 1, 0]), 0.5, dims=64, k=3, power=8.0)
+    assert m.project.shape[1] == 1
+
+
 def test_toxicity_finds_labelled_toxic_texts(small):
     docs, labels = small
     model = fit_toxicity(docs, labels)
@@ -80,6 +139,29 @@ def test_ordinal_thresholds_stay_ordered_and_share_weights():
     assert np.corrcoef(expected, y)[0, 1] > 0.9
 
 
+def test_toxicity_sample_takes_turns_by_language(spark):
+    """A language with 1 of 60 toxic texts is learnt although the sample holds far fewer than there are."""
+    rows, labels = [], []
+    for i in range(4000):
+        lang = "xx" if i % 40 == 0 else "en"
+        toxic = i % 80 < 41 and i % 2 == 0 if lang == "en" else i % 80 == 0
+        filler = " ".join(f"{lang}{chr(97 + i * k % 23)}{chr(97 + i * k % 19)}" for k in range(1, 12))
+        rows.append((i, f"{filler} vile{lang} {filler}" if toxic else filler, lang))
+        labels.append((i, 1, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = fit_toxicity(docs, lab, sample=100)
+    got = score_toxicity(docs, model).join(lab, "doc_id").filter("lang = 'xx'").collect()
+    assert all((r["severity"] >= 0.5) == (r["toxic"] == 1) for r in got) and sum(r["toxic"] for r in got) == 50
+
+
+def test_toxicity_is_the_same_in_any_order(spark, small):
+    docs, labels = small
+    again = docs.unionByName(docs.filter("doc_id < 40")).orderBy(F.rand(3)).repartition(3)
+    a, b = fit_toxicity(docs, labels), fit_toxicity(again, labels)
+    assert a.vocabulary == b.vocabulary and abs(a.weights - b.weights).max() < 1e-9
+
+
 def test_toxicity_odd_rows(odd, labels, no_labels, none):
     got = toxicity_digest(odd, labels).collect()
     assert len(got) == 11
