@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from seekframe.llm.bytepair import bytepair_digest
 from seekframe.llm.common import read
 from seekframe.llm.decontaminate import DECONTAMINATE_SQL, decontaminate_digest
-from seekframe.llm.licenses import licenses_digest, licenses_sql, notices_digest
-from seekframe.llm.linedup import LINEDUP_SQL, linedup_digest, linedup_runs_digest
+from seekframe.llm.licenses import licenses_digest, licenses_sql
+from seekframe.llm.linedup import LINEDUP_SQL, linedup_digest
 from seekframe.llm.mixing import mixing_digest, mixing_sql
 from seekframe.llm.neardup import neardup_digest
 from seekframe.llm.periodic import periodic_digest
@@ -32,10 +32,6 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses_digest(read(spark, sf_dir, "documents"))
 
 
-def op2_licenses_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return notices_digest(read(spark, sf_dir, "documents"))
-
-
 def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup_digest(read(spark, sf_dir, "documents"))
 
@@ -44,10 +40,6 @@ def op4_linedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup_digest(read(spark, sf_dir, "documents"))
 
 
-def op4_linedup_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linedup_runs_digest(read(spark, sf_dir, "documents"))
-
-
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_digest(read(spark, sf_dir, "documents"))
 
@@ -87,7 +79,7 @@ def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_quality, op2_licenses, op3_neardup, op4_linedup, op5_tokens, op6_topk, op7_toxicity,
                                     op8_mixing, op9_decontaminate, op10_secrets, op11_bytepair, op12_trie,
-                                    op13_periodic, op2_licenses_notices, op4_linedup_runs)}
+                                    op13_periodic)}
 
 
 def llm_sql() -> dict[str, str]:

@@ -1,29 +1,26 @@
 """Licence scan: exact set-similarity join of text blocks with templates (operator 2).
 
-A block is a line.  A template matches a block when at least ``threshold`` of
-the template's distinct words stand in the block.  Only words of some template
-can count, so blocks are cut down to those first.  All template words are put
-in one global order, rarest over the blocks of the whole corpus first, and
-three exact filters leave few pairs to compare: a block must hold a word of
-the template's *prefix* (its rarest ``size - need + 1`` words, the block's
-prefix likewise), must be long enough (*length*), and the words after the two
-matching places must still suffice (*position*).  What is left is compared
-whole.  Everything is DataFrame functions.
+A block is a window of the whole text's words; windows overlap and are twice as
+long as the longest stretch that may hold a template (twice the template's own
+words), so every such stretch lies in a window, however the text wraps.  A
+template matches where one stretch holds at least ``threshold`` of its distinct
+words; short forms must stand whole in a stretch of their own length.  Only
+words of some template can count, so windows are cut down to those first.  All
+template words are put in one global order, rarest over the windows of the
+whole corpus first, and three exact filters leave few pairs to compare: a block
+must hold a word of the template's *prefix* (its rarest ``size - need + 1``
+words, the block's prefix likewise), must be long enough (*length*), and the
+words after the two matching places must still suffice (*position*).  What is
+left is compared whole.  Everything is DataFrame functions.
+
+Templates that each other's text would match (the GNU licences) are told apart
+in each window by their own words and pairs of neighbouring words: one goes if
+the window holds marks of the other against it and none of its own.
 
 Templates are a parameter of bounded size (a few kB here), and so is all that
 is derived from them alone: the vocabulary's frequencies, one row per template
 word, are the only thing that comes to the driver.
 
-``scan_licenses`` and its SQL take lines as blocks, so a notice that wraps is
-not found there.  ``scan_notices`` takes overlapping windows of the whole text's
-words, twice as long as the longest stretch that may hold a template (twice the
-template's own words), so that every such stretch lies in a window, however the
-text wraps; a template matches where one stretch holds ``threshold`` of its
-words.  Short forms must stand word for word.  Templates that each other's text
-would match (the GNU licences) are told apart in each window by their own words
-and pairs of neighbouring words: one goes if the window holds marks of the other
-against it and none of its own.
-
 Beside that, phrases are found at every place where their words stand
 consecutively in the whole text, over line ends too.
 
@@ -39,7 +36,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seekframe.llm.common import ascii_lower, row_key, stored
+from seekframe.llm.common import WORD, ascii_lower, row_key, stored
 
 #: Phrases of the contract and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -137,36 +134,18 @@ def _common() -> list[Column]:
     return [F.max("common").cast("long").alias("common"), F.max(F.col("common") / F.col("t_size")).alias("containment")]
 
 
-def scan_licenses(docs: DataFrame, *, templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES,
-                  threshold: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """(documents, matches): per row of ``docs`` its words and phrase places; per matching block and template
-    the block's number in its text, the words in common and the containment."""
-    sets = {label: list(dict.fromkeys(t.lower().split())) for label, t in templates.items()}
-    vocab = _strings(sorted({w for t in sets.values() for w in t}))
-    text = F.coalesce("text", F.lit(""))
-    lines = F.transform(F.split(text, "\n"), lambda line: F.split(line, _BETWEEN_ANY))
-    blocks = F.transform("lines", lambda b, i: F.struct(
-        i.alias("block"), F.array_intersect(F.transform(b, lambda w: F.lower(w)), vocab).alias("words")))
-    n_words = F.aggregate("lines", F.lit(0).cast("long"),
-                          lambda n, b: n + F.size(F.filter(b, lambda w: w != "")))
-    scanned = stored(
-        docs.select("doc_id", row_key().alias("rk"), text.alias("text"), lines.alias("lines"))
-        .select("doc_id", "rk", n_words.alias("n_words"), phrase_places(F.col("text"), phrases).alias("places"),
-                F.filter(blocks, lambda b: F.size(b["words"]) > 0).alias("blocks")), "blocks")
-    pairs = _near(scanned, [(label, t, _need(t, threshold), 0) for label, t in sets.items()])
-    common = F.size(F.array_intersect("words", "t_words"))
-    matches = (pairs.withColumn("common", common).filter(F.col("common") >= F.col("need"))
-               .groupBy("doc_id", "rk", F.col("b.block").alias("block"), "label").agg(*_common()))
-    return scanned.select("doc_id", "rk", "n_words", "places"), matches
+def _entries(templates: dict[str, str], short_forms: dict[str, str], threshold: float) -> list[tuple[str, list[str], int, int]]:
+    """(label, distinct words, words needed, words of a stretch) of templates and short forms."""
+    entries = [(label, t.lower().split(), threshold, 2) for label, t in templates.items()]
+    entries += [(label, p.lower().split(), 1.0, 1) for p, label in short_forms.items()]
+    return [(label, list(dict.fromkeys(ws)), _need(list(dict.fromkeys(ws)), least), times * len(ws)) for label, ws, least, times in entries]
 
 
-def scan_notices(docs: DataFrame, *, templates: dict[str, str] = TEMPLATES, short_forms: dict[str, str] = SHORT_FORMS,
-                 phrases: dict[str, str] = PHRASES, threshold: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """As ``scan_licenses``, with notices found over line ends; ``block`` is the number of a window's first word."""
-    entries = [(label, ws, threshold, 2) for label, ws in ((k, t.lower().split()) for k, t in templates.items())]
-    entries += [(label, p.lower().split(), 1.0, 1) for p, label in short_forms.items()]
-    entries = [(label, list(dict.fromkeys(ws)), _need(list(dict.fromkeys(ws)), least), times * len(ws))
-               for label, ws, least, times in entries]
+def scan_licenses(docs: DataFrame, *, templates: dict[str, str] = TEMPLATES, short_forms: dict[str, str] = SHORT_FORMS,
+                  phrases: dict[str, str] = PHRASES, threshold: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """(documents, matches): per row of ``docs`` its words and phrase places; per matching window and template
+    the number of the window's first word, the most words in common and the containment."""
+    entries = _entries(templates, short_forms, threshold)
     vocabulary = sorted({w for _, t, _, _ in entries for w in t})
     step = max(span for _, _, _, span in entries)
     text = F.coalesce("text", F.lit(""))
@@ -212,33 +191,35 @@ def _marks_of(seq: Column) -> Column:
     return F.array_union(seq["word"], F.array_compact(pairs))
 
 
-def _beaten(templates: dict[str, str], threshold: float) -> Column:
-    """Whether a row (label, labels of its window, marks) has a rival there with marks against it and none of its own."""
+def _rivals(templates: dict[str, str], threshold: float) -> list[tuple[str, str, list[str], list[str]]]:
+    """(label, rival, marks of the label alone, marks of the rival alone) of templates that each other's text would match."""
     words = {label: t.lower().split() for label, t in templates.items()}
     marks = {label: [*dict.fromkeys(ws), *dict.fromkeys(map(" ".join, zip(ws, ws[1:])))] for label, ws in words.items()}
-    beaten = F.lit(False)
+    out = []
     for x, wx in words.items():
         for y, wy in words.items():
             if x != y and len({*wx} & {*wy}) >= min(_need([*{*wx}], threshold), _need([*{*wy}], threshold)):
                 own, other = ([m for m in marks[p] if m not in marks[q]] for p, q in ((x, y), (y, x)))
                 if other:
-                    lost = F.arrays_overlap("marks", _strings(other))
-                    if own:
-                        lost &= ~F.arrays_overlap("marks", _strings(own))
-                    beaten |= (F.col("label") == x) & F.array_contains("labels", y) & lost
+                    out.append((x, y, own, other))
+    return out
+
+
+def _beaten(templates: dict[str, str], threshold: float) -> Column:
+    """Whether a row (label, labels of its window, marks) has a rival there with marks against it and none of its own."""
+    beaten = F.lit(False)
+    for label, rival, own, other in _rivals(templates, threshold):
+        lost = F.arrays_overlap("marks", _strings(other))
+        if own:
+            lost &= ~F.arrays_overlap("marks", _strings(own))
+        beaten |= (F.col("label") == label) & F.array_contains("labels", rival) & lost
     return beaten
 
 
 def licenses_digest(docs: DataFrame) -> DataFrame:
-    """Line by line, as licenses_sql."""
     return _digest(*scan_licenses(docs))
 
 
-def notices_digest(docs: DataFrame) -> DataFrame:
-    """The same columns, notices over line ends and short forms included."""
-    return _digest(*scan_notices(docs))
-
-
 def _digest(scanned: DataFrame, matches: DataFrame) -> DataFrame:
     found = (matches.groupBy(F.col("doc_id").alias("m_id"), F.col("rk").alias("m_rk"))
              .agg(F.collect_set("label").alias("found"), F.max("containment").alias("best")))
@@ -255,32 +236,52 @@ def _digest(scanned: DataFrame, matches: DataFrame) -> DataFrame:
 
 
 def licenses_sql() -> str:
-    sets = {label: list(dict.fromkeys(t.lower().split())) for label, t in TEMPLATES.items()}
-    rows = ",\n  ".join(f"('{label}', {len(t)}, {t!r})" for label, t in sets.items())
+    entries = _entries(TEMPLATES, SHORT_FORMS, 0.8)
+    step = max(span for _, _, _, span in entries)
+    rows = ",\n  ".join(f"('{label}', {len(t)}, {t!r}, {need}, {span})" for label, t, need, span in entries)
+    rivals = ",\n  ".join(f"('{x}', '{y}', {own!r}::VARCHAR[], {other!r})" for x, y, own, other in _rivals(TEMPLATES, 0.8))
+    vocabulary = sorted({w for _, t, _, _ in entries for w in t})
     phrases = ",\n  ".join(f"('{label}', {p.split()!r})" for p, label in PHRASES.items())
-    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     return rf"""
-WITH template(label, size, words) AS (VALUES
+WITH template(label, size, words, need, span) AS (VALUES
   {rows}
+), rival(label, rival, own, other) AS (VALUES
+  {rivals}
 ), phrase(label, words) AS (VALUES
   {phrases}
 ), d AS (
-  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
-         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{word}') AS w
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w
   FROM documents
 ), place AS (
   SELECT r, p.label, unnest(list_filter(range(len(w)), lambda i: w[i + 1:i + len(p.words)] = p.words)) AS start
   FROM d, phrase p WHERE contains(array_to_string(w, ' '), array_to_string(p.words, ' '))
 ), base AS (
   SELECT r, count(*) AS n, min(start) AS lo, max(start) AS hi, list_sort(list(DISTINCT label)) AS labels FROM place GROUP BY r
-), block AS (
-  SELECT r, list_distinct(regexp_extract_all(lower(line), '{word}')) AS words
-  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d)
-), matched AS (
-  SELECT r, label, max(len(list_intersect(b.words, t.words)) / t.size) AS c
-  FROM block b, template t WHERE len(list_intersect(b.words, t.words)) >= ceil(0.8 * t.size - 1e-9) GROUP BY ALL
+), word AS (
+  SELECT r, unnest(w) AS word, unnest(range(len(w))) AS pos FROM d
+), own AS (
+  SELECT * FROM word WHERE word IN ({", ".join(map(repr, vocabulary))})
+), win AS (
+  -- every word stands in the window that starts at or before it and in the one before that
+  SELECT r, (pos // {step} - k) * {step} AS block, list({{'pos': pos, 'word': word}} ORDER BY pos) AS seq
+  FROM own, (VALUES (0), (1)) v(k) WHERE pos // {step} >= k GROUP BY ALL
+), pair AS (
+  SELECT r, block, label, size, need, span, seq, list_filter(seq, lambda x: list_contains(words, x.word)) AS mine
+  FROM win, template WHERE len(list_intersect(list_transform(seq, lambda x: x.word), words)) >= need
+), best AS (
+  SELECT r, block, label, size, need, seq, list_max(list_transform(mine, lambda x: len(list_distinct(list_transform(
+         list_filter(mine, lambda y: y.pos >= x.pos AND y.pos < x.pos + span), lambda y: y.word))))) AS common FROM pair
+), hit AS (
+  SELECT r, block, label, seq, max(common / size) AS c FROM best WHERE common >= need GROUP BY ALL
+), told AS (
+  SELECT h.*, list(label) OVER (PARTITION BY r, block) AS labels,
+         list_concat(list_transform(seq, lambda x: x.word), list_transform(list_filter(range(1, len(seq)), lambda i: seq[i + 1].pos = seq[i].pos + 1),
+                     lambda i: seq[i].word || ' ' || seq[i + 1].word)) AS marks FROM hit h
 ), m AS (
-  SELECT r, list(DISTINCT label) AS labels, max(c) AS best FROM matched GROUP BY r
+  SELECT r, list(DISTINCT label) AS labels, max(c) AS best FROM told t
+  WHERE NOT EXISTS (SELECT 1 FROM rival v WHERE v.label = t.label AND list_contains(t.labels, v.rival)
+                    AND list_has_any(t.marks, v.other) AND NOT list_has_any(t.marks, v.own)) GROUP BY r
 )
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, lo::BIGINT AS first_word, hi::BIGINT AS last_word,
        coalesce(array_to_string(base.labels, ','), '') AS base_labels,

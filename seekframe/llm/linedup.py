@@ -13,12 +13,12 @@ repeat, the bulk of a corpus.
 In an interval at depth d all but the first copy (by doc_id, then place) are
 later copies.  They are deleted if d is ``min_lines`` (a power of two), or if
 d is smaller and the window holds ``min_words`` words or more.  Lengths between
-d and 2d are named by two overlapping ranks of depth d (``every_length``), so no
-repeated run that has ``min_words`` words is too short or of the wrong length; a
-run of more than ``min_lines`` lines is the union of such windows, so the
-maximal runs are the stretches of deleted lines.  The SQL of ``op4_linedup``
-knows windows of 1, 2 and 4 lines only, so that query leaves the other lengths
-out; ``op4_linedup_runs`` has them all.  Everything is DataFrame functions.  No interval is ever gathered: first copies come from a partial
+d and 2d are named by two overlapping ranks of depth d, so no repeated run that
+has ``min_words`` words is too short or of the wrong length.  A run of more than
+``min_lines`` lines is the union of such windows: neighbouring lines belong to
+one run where a deleted window holds both (``joined`` of the second with the
+first), so two runs that only touch stay two.  Everything is DataFrame
+functions.  No interval is ever gathered: first copies come from a partial
 minimum, and lines are told apart from them by place, which no key makes hot.
 
 Defined cases: null text stays null and has no lines; texts are compared line
@@ -78,18 +78,18 @@ def _ahead(at: DataFrame, by: int, *columns: Column) -> DataFrame:
 
 
 def _covered(copies: DataFrame, depth: int) -> DataFrame:
-    return copies.select("doc_id", "rk", F.explode(F.sequence("i", F.col("i") + (depth - 1))).alias("i"))
+    return (copies.select("doc_id", "rk", F.col("i").alias("first"), F.explode(F.sequence("i", F.col("i") + (depth - 1))).alias("i"))
+            .select(*_PLACE, (F.col("i") > F.col("first")).alias("joined")))
 
 
-def repeated_lines(docs: DataFrame, *, min_lines: int = 4, min_words: int = 50, every_length: bool = True) -> DataFrame:
-    """doc_id, rk, i, line of every line that a later copy of a repeated run covers."""
+def repeated_lines(docs: DataFrame, *, min_lines: int = 4, min_words: int = 50) -> DataFrame:
+    """doc_id, rk, i, line and joined (to the line before) of every line that a later copy of a repeated run covers."""
     if min_lines < 1 or min_lines & (min_lines - 1):
         raise ValueError("min_lines must be a power of two")
     lines = stored(_lines(docs), "lines")
     # places are unique: rows equal in doc_id and text are one document
     at = _ranked(lines, ["a", "b"], "depth-1").dropDuplicates(_PLACE)
-    if every_length:
-        at = at.withColumn("counts", F.array("words"))          # words by line, less than min_lines of them
+    at = at.withColumn("counts", F.array("words"))              # words by line, less than min_lines of them
     depth, later = 1, []
     while True:
         at = stored(at, f"suffixes-{depth}")
@@ -99,52 +99,46 @@ def repeated_lines(docs: DataFrame, *, min_lines: int = 4, min_words: int = 50,
         later.append(_covered(copies, depth))
         if depth >= min_lines:
             break
-        for length in range(depth + 1, min(2 * depth, min_lines)) if every_length else ():
+        for length in range(depth + 1, min(2 * depth, min_lines)):
             head = F.aggregate(F.slice("counts", 1, length - depth), F.lit(0), lambda n, c: n + c)
             windows = _ahead(at, length - depth, (head + F.col("words2")).alias("words")).filter(F.col("words") >= min_words)
             later.append(_covered(_later(stored(windows, f"windows-{length}"), ["r1", "r2"]), length))
-        both = [F.concat("counts", "counts2").alias("counts")] if every_length else []
-        pairs = _ahead(at, depth, (F.col("words") + F.col("words2")).alias("words"), *both)
+        pairs = _ahead(at, depth, (F.col("words") + F.col("words2")).alias("words"), F.concat("counts", "counts2").alias("counts"))
         depth *= 2
         at = _ranked(stored(pairs, f"pairs-{depth}"), ["r1", "r2"], f"depth-{depth}")
     gone = later[0]
     for x in later[1:]:
         gone = gone.unionByName(x)
     # each place once, with the line's number in its text
-    return (lines.select(*_PLACE, "line").alias("l")
-            .join(stored(gone.distinct(), "gone").alias("g"), F.col("l.doc_id").eqNullSafe(F.col("g.doc_id"))
-                  & (F.col("l.rk") == F.col("g.rk")) & (F.col("l.i") == F.col("g.i")), "left_semi").distinct())
+    once = gone.groupBy(*_PLACE).agg(F.bool_or("joined").alias("joined"))
+    places = lines.select(*_PLACE, "line").distinct()
+    return (places.alias("l").join(stored(once, "gone").alias("g"), F.col("l.doc_id").eqNullSafe(F.col("g.doc_id"))
+                                   & (F.col("l.rk") == F.col("g.rk")) & (F.col("l.i") == F.col("g.i")))
+            .select("l.*", "g.joined"))
 
 
 def deduplicate_lines(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with later copies deleted from ``text``, and ``n_lines``, ``n_deleted`` and ``n_runs``."""
     gone = (repeated_lines(docs, **how).groupBy("doc_id", "rk")
-            .agg(F.collect_list("i").alias("places"), F.collect_list("line").alias("gone")))
+            .agg(F.collect_list("line").alias("gone"), F.count_if(~F.col("joined")).alias("runs")))
     # exploding one array keeps the split from being repeated for every line
     parts = F.explode(F.array(F.when(F.col("gone").isNotNull(), F.split("text", "\n"))))
     joined = (packed(docs).alias("d").join(gone.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id"))
                                            & (F.col("d.rk") == F.col("g.rk")), "left")
-              .select("row", "text", "places", "gone", parts.alias("parts")))
+              .select("row", "text", "runs", "gone", parts.alias("parts")))
     left = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), "gone")
     cut = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(left, lambda n: F.element_at("parts", n + 1)), "\n"))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(
         F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1)
-    starts = F.array_except("places", F.transform("places", lambda x: x + 1))
     return joined.select(
         *[F.col(f"row.`{c}`") if c != "text" else cut.alias("text") for c in docs.columns],
         n_lines.cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_deleted"),
-        F.when(F.col("gone").isNull(), 0).otherwise(F.size(starts)).cast("long").alias("n_runs"))
+        F.coalesce("runs", F.lit(0)).cast("long").alias("n_runs"))
 
 
 def linedup_digest(docs: DataFrame) -> DataFrame:
-    """The windows of LINEDUP_SQL: 1, 2 and 4 lines."""
-    return deduplicate_lines(docs.select("doc_id", "text"), every_length=False)
-
-
-def linedup_runs_digest(docs: DataFrame) -> DataFrame:
-    """Repeated runs of every length."""
     return deduplicate_lines(docs.select("doc_id", "text"))
 
 
@@ -160,17 +154,21 @@ WITH l AS (
   UNION ALL
   SELECT a.doc_id, a.i, 2, a.t || chr(10) || b.t, a.words + b.words FROM l a JOIN l b ON b.doc_id = a.doc_id AND b.i = a.i + 1
   UNION ALL
+  SELECT a.doc_id, a.i, 3, a.t || chr(10) || b.t || chr(10) || c.t, a.words + b.words + c.words
+  FROM l a JOIN l b ON b.doc_id = a.doc_id AND b.i = a.i + 1 JOIN l c ON c.doc_id = a.doc_id AND c.i = a.i + 2
+  UNION ALL
   SELECT a.doc_id, a.i, 4, a.t || chr(10) || b.t || chr(10) || c.t || chr(10) || e.t, a.words + b.words + c.words + e.words
   FROM l a JOIN l b ON b.doc_id = a.doc_id AND b.i = a.i + 1 JOIN l c ON c.doc_id = a.doc_id AND c.i = a.i + 2
   JOIN l e ON e.doc_id = a.doc_id AND e.i = a.i + 3
 ), n AS (
   SELECT *, row_number() OVER (PARTITION BY d, run ORDER BY doc_id, i) AS copy FROM w
 ), gone AS (
-  SELECT DISTINCT doc_id, unnest(range(i, i + d)) AS i FROM n WHERE copy > 1 AND (d = 4 OR words >= 50)
+  SELECT doc_id, i, bool_or(joined) AS joined
+  FROM (SELECT doc_id, unnest(range(i, i + d)) AS i, unnest(list_transform(range(d), lambda k: k > 0)) AS joined
+        FROM n WHERE copy > 1 AND (d = 4 OR words >= 50)) GROUP BY doc_id, i
 ), per AS (
-  SELECT doc_id, count(*) AS n_deleted, count(*) FILTER (starts) AS n_runs, list(line) AS lines
-  FROM (SELECT g.doc_id, l.line, coalesce(g.i - lag(g.i) OVER (PARTITION BY g.doc_id ORDER BY g.i) <> 1, true) AS starts
-        FROM gone g JOIN l USING (doc_id, i)) GROUP BY doc_id
+  SELECT doc_id, count(*) AS n_deleted, count(*) FILTER (NOT joined) AS n_runs, list(line) AS lines
+  FROM gone JOIN l USING (doc_id, i) GROUP BY doc_id
 )
 SELECT doc_id,
        CASE WHEN lines IS NULL THEN text ELSE array_to_string(list_transform(list_filter(list_transform(string_split(text, chr(10)),

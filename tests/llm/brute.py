@@ -127,3 +127,24 @@ def trie(rows: list[tuple]) -> list[tuple]:
     return sorted((first[node], len(node), first[node[:-1]] if node else None, len(m), len(kids.get(node, [])), leaves[node], saved[node],
                    hashlib.sha256(",".join(str(c) for c, end in sorted(m) if end).encode()).hexdigest())
                   for node, m in members.items())
+
+
+def licence_labels(text: str, templates: dict[str, str], threshold: float) -> set[str]:
+    """Labels of templates of which a stretch of twice their length holds the threshold, rivals told apart by window."""
+    split = {label: t.split() for label, t in templates.items()}
+    need = {label: -(-round(threshold * 100) * len(set(t)) // 100) for label, t in split.items()}
+    marks = {label: set(t) | set(map(" ".join, zip(t, t[1:]))) for label, t in split.items()}
+    vocabulary = {w for t in split.values() for w in t}
+    step = max(2 * len(t) for t in split.values())
+    w, out = WORD.findall(text.translate(LOWER)), set()
+    for at in range(0, len(w), step):
+        window = w[at:at + 2 * step]
+        hit = {label for label, t in split.items()
+               if max(len({*window[i:i + 2 * len(t)]} & {*t}) for i in range(len(window))) >= need[label]}
+        seen = {x for x in window if x in vocabulary}
+        seen |= {f"{a} {b}" for a, b in zip(window, window[1:]) if a in vocabulary and b in vocabulary}
+        for x in hit:
+            rivals = [y for y in hit - {x} if len({*split[x]} & {*split[y]}) >= min(need[x], need[y]) and marks[y] - marks[x]]
+            if not any(seen & (marks[y] - marks[x]) and not seen & (marks[x] - marks[y]) for y in rivals):
+                out.add(x)
+    return out

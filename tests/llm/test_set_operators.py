@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from seekframe.llm import decontaminate as dc
 from seekframe.llm.components import components
-from seekframe.llm.linedup import LINEDUP_SQL, deduplicate_lines, linedup_digest, linedup_runs_digest, repeated_lines
+from seekframe.llm.linedup import LINEDUP_SQL, deduplicate_lines, linedup_digest, repeated_lines
 from seekframe.llm.mixing import document_mix, mix_documents, mix_picks, mixing_digest, mixing_sql
 from seekframe.llm.neardup import REGISTERS, drop_near_duplicates, estimate, neardup_digest, registers, shingle_hashes
 from seekframe.llm.tokens import END, encoding, load_ranks, permute, read_shards, sequences, tokens_digest, unpermute, write_shards
@@ -168,10 +168,20 @@ def test_line_dedup_keeps_first_copies_and_columns(spark, odd, none):
         deduplicate_lines(odd, min_lines=3)
 
 
+def test_runs_that_touch_stay_two(spark):
+    a, b = ([f"{k} line {i} of a passage" for i in range(5)] for k in "ab")
+    docs = spark.createDataFrame([(1, "\n".join(a)), (2, "\n".join(b)), (3, "\n".join(a + b)), (4, "\n".join(a + ["own"] + b)),
+                                  (5, "\n".join(a + b)), (6, "\n".join(a[:4] + b[1:]))], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_deleted"], r["n_runs"]) for r in linedup_digest(docs).collect()}
+    # 5 repeats all of 3, which is one run
+    assert got == {1: (0, 0), 2: (0, 0), 3: (10, 2), 4: (10, 2), 5: (10, 1), 6: (8, 2)}
+    same(linedup_digest(docs), LINEDUP_SQL, documents=docs)
+
+
 def test_line_dedup_of_runs_of_every_length(spark, documents):
     three = "\n".join(f"{x} " + "w " * 19 for x in "abc")               # 60 words, 40 in each pair of lines
     docs = spark.createDataFrame([(1, "x\n" + three), (2, three + "\ny"), (3, three[:85])], "doc_id long, text string")
-    assert {r["doc_id"]: r["n_deleted"] for r in linedup_runs_digest(docs).collect()} == {1: 0, 2: 3, 3: 0}
+    assert {r["doc_id"]: r["n_deleted"] for r in linedup_digest(docs).collect()} == {1: 0, 2: 3, 3: 0}
     rng = random.Random(6)
     pool = [f"line {i} " + "w " * rng.choice([1, 8, 15, 30]) for i in range(9)]
     made = spark.createDataFrame([(i, "\n".join(rng.choices(pool + [""], k=rng.randint(0, 14)))) for i in range(60)],

@@ -2,10 +2,10 @@
 
 import duckdb
 import pytest
-from brute import base_secrets
+from brute import base_secrets, licence_labels
 from pyspark.sql import functions as F
 
-from seekframe.llm.licenses import TEMPLATES, licenses_digest, licenses_sql, notices_digest, scan_licenses
+from seekframe.llm.licenses import TEMPLATES, licenses_digest, licenses_sql, scan_licenses
 from seekframe.llm.quality import fit_quality, held_out, quality_digest, score_quality
 from seekframe.llm.secrets import scan_secrets, secrets_digest
 from seekframe.llm.toxicity import fit_toxicity, reject_toxic, score_toxicity, toxicity_digest
@@ -175,7 +175,8 @@ def test_licences_odd_rows_against_sql(spark, odd, none):
     more = spark.createDataFrame([
         (20, "CC\nBY and cc-by, General\tPublic  License. ALL rights reserved all RIGHTS reserved"),
         (21, "Licensed under the Apache License, Version 2.0 (the License)"),
-        (22, "licensed under the apache"), (23, "cc cc by by"), (24, "Åcc by")], "doc_id long, text string")
+        (22, "licensed under the apache"), (25, "Licensed under the Apache\n# License, Version\n# 2.0" + " far" * 90 + " under the MIT license"),
+        (26, "licensed under the GNU Affero General Public\nLicense, version 3" + " x" * 50 + " licensed under the GNU General Public License version 3"), (23, "cc cc by by"), (24, "Åcc by")], "doc_id long, text string")
     docs = odd.select("doc_id", "text").union(more)
     got = licenses_digest(docs)
     con = duckdb.connect()
@@ -189,6 +190,7 @@ def test_licences_odd_rows_against_sql(spark, odd, none):
     assert sorted(map(tuple, got.select(*cols).collect()), key=key) == sorted(want.fetchall(), key=key)
     by = {r["doc_id"]: r for r in got.filter("doc_id >= 20").collect()}
     assert by[20]["base_labels"] == "cc-by,gpl,reserved" and by[20]["n_base"] == 4
+    assert by[25]["labels"] == "apache-2.0,mit" and by[26]["labels"] == "agpl-3.0,gpl,gpl-3.0"
     assert by[21]["labels"] == "apache-2.0" and by[22]["labels"] == "" and by[23]["n_base"] == 1
     assert licenses_digest(none).count() == 0
 
@@ -199,16 +201,10 @@ def test_licence_filters_lose_no_pair(spark):
     templates = {f"t{k}": " ".join(rng.sample([f"w{i}" for i in range(30)], rng.randint(3, 12))) for k in range(8)}
     lines = [" ".join(rng.choices([f"w{i}" for i in range(30)] + ["other"], k=rng.randint(1, 40))) for _ in range(400)]
     docs = spark.createDataFrame([(i, "\n".join(lines[i * 4:i * 4 + 4])) for i in range(100)], "doc_id long, text string")
-    _, matches = scan_licenses(docs, templates=templates, threshold=0.7)
-    got = {(r["doc_id"], r["block"], r["label"], r["common"]) for r in matches.collect()}
-    want = set()
-    for i in range(100):
-        for b, line in enumerate(lines[i * 4:i * 4 + 4]):
-            for label, t in templates.items():
-                t = set(t.split())
-                if len(t & set(line.split())) >= 0.7 * len(t) - 1e-9:
-                    want.add((i, b, label, len(t & set(line.split()))))
-    assert got == want and want
+    _, matches = scan_licenses(docs, templates=templates, short_forms={}, threshold=0.7)
+    got = {(r["doc_id"], r["label"]) for r in matches.collect()}
+    want = {(r["doc_id"], label) for r in docs.collect() for label in licence_labels(r["text"], templates, 0.7)}
+    assert got == want and 100 < len(want) < 800
 
 
 def test_notices_that_wrap_and_short_forms(spark, odd, none):
@@ -222,10 +218,10 @@ def test_notices_that_wrap_and_short_forms(spark, odd, none):
              (len(rows) + 2, "", ("hereby " + filler).join(["permission is", "granted free of charge", "to any person obtaining",
                                                               "a copy of this software", "and associated documentation files"]))]
     docs = spark.createDataFrame(rows, "doc_id long, want string, text string")
-    got = {r["doc_id"]: set(r["labels"].split(",")) for r in notices_digest(docs).collect()}
+    got = {r["doc_id"]: set(r["labels"].split(",")) for r in licenses_digest(docs).collect()}
     assert all(want in got[i] for i, want, _ in rows)
     assert got[rows[-3][0]] == {"mit"}
-    assert notices_digest(odd).count() == 11 and notices_digest(none).count() == 0
+    assert licenses_digest(odd).count() == 11 and licenses_digest(none).count() == 0
 
 
 def test_notices_tell_gnu_licences_apart(spark):
@@ -235,7 +231,7 @@ def test_notices_tell_gnu_licences_apart(spark):
     rows = [(1, gpl, "gpl-3.0"), (2, agpl, "agpl-3.0"), (3, lgpl.replace(" GNU", "\nGNU"), "lgpl-3.0"),
             (4, gpl + "\n" + agpl, "agpl-3.0,gpl-3.0"), (5, lgpl + far + gpl, "gpl-3.0,lgpl-3.0"),
             (6, gpl + "\nLicensed under the Apache License, Version 2.0", "apache-2.0,gpl-3.0")]
-    got = notices_digest(spark.createDataFrame(rows, "doc_id long, text string, want string"))
+    got = licenses_digest(spark.createDataFrame(rows, "doc_id long, text string, want string"))
     # gpl is the label of the phrase, beside those of the templates
     assert {r["doc_id"]: ",".join(x for x in r["labels"].split(",") if x != "gpl") for r in got.collect()} \
         == {i: want for i, _, want in rows}
