@@ -361,14 +361,14 @@ def prefix_trie(paths: DataFrame, *, shard_rows: int | None = None, room: int =
     """One row for every node: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256.
 
     ``paths`` as :func:`paths_of` or :func:`rebuilt_paths` gives them.
-    ``shard_rows`` bounds a shard (default: a 4,096th of all member turns, 10,000 at least).
+    ``shard_rows`` bounds a shard (default: a 4,096th of all member turns, 1,000 at least).
     """
     seen = stored(paths.groupBy("node").agg(
         F.min("conv_id").alias("conv_id"), F.min("depth").alias("depth"), F.min("parent").alias("parent"),
         F.count(F.lit(1)).alias("n_convs"), F.min("bytes").alias("bytes"),
         F.sum(F.col("length") - F.col("depth") + 1).alias("weight")), "members")
     most = seen.agg(F.max("weight")).first()[0] or 0
-    limit = shard_rows if shard_rows is not None else max(10_000, most // 4096)
+    limit = shard_rows if shard_rows is not None else max(1000, most // 4096)
     heavy = (F.col("weight") > limit) | (F.col("depth") == 0)
     kids = seen.filter("parent is not null").groupBy(F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("n_children"))
     up = seen.select(F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"), heavy.alias("parent_heavy"))
