@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
 from typing import Any, Callable, Iterable
@@ -519,7 +520,7 @@ def fuzzy_max_edits(term: str, fuzziness) -> int:
 
 def fuzzy_expansions(ctx: Context, rf: ResolvedField, term: str, edits: int,
                      prefix_length: int, max_expansions: int | None) -> Column:
-    """Array of vocabulary terms within ``edits`` of ``term`` sharing its first
+    """Vocabulary terms, each with its document frequency, within ``edits`` of ``term`` sharing its first
     ``prefix_length`` characters: all of them, or the ``max_expansions`` most frequent.
 
     The vocabulary is the stored term table when the index has one, else the
@@ -537,7 +538,20 @@ def fuzzy_expansions(ctx: Context, rf: ResolvedField, term: str, edits: int,
         cand = cand.filter(F.substring("term", 1, prefix_length) == F.lit(term[:prefix_length]))
     cand = cand.filter(F.levenshtein(F.col("term"), q, edits) >= 0)
     top = cand if max_expansions is None else cand.orderBy(F.desc("df"), F.asc("term")).limit(max_expansions)
-    return top.agg(F.coalesce(F.collect_list("term"), F.array().cast("array<string>"))).scalar()
+    return top.agg(F.map_from_entries(F.collect_list(F.struct("term", F.col("df").cast("bigint"))))).scalar()
+
+
+def _expansion_column(c: Match, term: str) -> str:
+    """Name of the column that holds a term's expansions (:func:`prepare`)."""
+    return f"_fuzzy_{zlib.crc32(repr((c.field, term, fuzzy_max_edits(term, c.fuzziness), c.prefix_length, c.max_expansions)).encode()):08x}"
+
+
+def _expansion_score(tokens: Column, exp: Column, n: Column, avg: Column) -> Column:
+    """Every expansion is scored like a term, with its own document frequency."""
+    def more(total: Column, word: Column) -> Column:
+        return total + bm25(F.size(F.filter(tokens, lambda x: x == word)), F.size(tokens), n, exp[word], avg)
+
+    return F.aggregate(F.array_intersect(tokens, F.map_keys(exp)), F.lit(0.0), more)
 
 
 def _c_match(c: Match, ctx: Context) -> Compiled:
@@ -551,17 +565,22 @@ def _c_match(c: Match, ctx: Context) -> Compiled:
         return Compiled(F.lit(False), F.lit(0.0))
     tokens = rf.tokens
     if c.fuzziness is not None and any(fuzzy_max_edits(t, c.fuzziness) > 0 for t in terms):
-        hits = []
+        hits, scores = [], []
         for t in terms:
             k = fuzzy_max_edits(t, c.fuzziness)
             if k == 0:
                 hits.append(F.array_contains(tokens, F.lit(t)))
-            else:
-                exp = fuzzy_expansions(ctx, rf, t, k, c.prefix_length, c.max_expansions)
-                hits.append(F.arrays_overlap(tokens, exp))
+                scores.append(_text_term_score(ctx, rf, [t], boost)[1][0])
+                continue
+            name = _expansion_column(c, t)
+            known = ctx.element is None and name in ctx.index.df.columns
+            exp = F.col(name) if known else fuzzy_expansions(ctx, rf, t, k, c.prefix_length, c.max_expansions)
+            hits.append(F.arrays_overlap(tokens, F.map_keys(exp)))
+            scores.append(_expansion_score(tokens, exp, F.col(f"{name}_n"), F.col(f"{name}_avgdl")) if known else F.lit(1.0))
         hit_n = _sum([F.when(h, F.lit(1)).otherwise(F.lit(0)) for h in hits])
         need = len(terms) if c.operator.lower() == "and" else max(1, resolve_msm(c.minimum_should_match, len(terms)))
-        return Compiled(hit_n >= need, hit_n.cast("double") * F.lit(boost))
+        score = _sum([F.when(h, x).otherwise(F.lit(0.0)) for h, x in zip(hits, scores)])
+        return Compiled(hit_n >= need, score * F.lit(boost))
     tfs, parts = _text_term_score(ctx, rf, terms, boost)
     if c.operator.lower() == "and":
         matched = _and([F.array_contains(tokens, F.lit(t)) for t in terms])
@@ -995,9 +1014,42 @@ def referenced_fields(clause) -> list[str]:
     return list(dict.fromkeys(out))
 
 
+def _fuzzy_matches(clause) -> list[Match]:
+    """The fuzzy matches of a clause outside nested queries, those of multi_match included."""
+    clause = from_dict(clause) if isinstance(clause, dict) else clause
+    if isinstance(clause, Match):
+        return [clause] if clause.fuzziness is not None else []
+    if isinstance(clause, MultiMatch):
+        return [m for f, _ in parse_fields(clause.fields)
+                for m in _fuzzy_matches(Match(f, clause.query, analyzer=clause.analyzer, fuzziness=clause.fuzziness))]
+    if isinstance(clause, Bool):
+        return [m for part in (clause.must, clause.should, clause.filter, clause.must_not) for x in _flat(part) for m in _fuzzy_matches(x)]
+    if isinstance(clause, FunctionScore):
+        return [m for x in (clause.query, *(f.get("filter") if isinstance(f, dict) else f.filter for f in clause.functions))
+                if x is not None for m in _fuzzy_matches(x)]
+    return []
+
+
 def prepare(index: Index, clause) -> Index:
-    """The index with token columns for every text field the clause reads."""
-    return index.with_tokens(referenced_fields(clause))
+    """The index with token columns for every text field the clause reads.
+
+    Expansions of fuzzy terms and the statistics that score them stand beside
+    them as columns, since Spark lets no subquery into the lambda that scores
+    a row's words; one ``Generate`` keeps the optimizer from moving them there."""
+    index = index.with_tokens(referenced_fields(clause))
+    ctx, more = Context(index), {}
+    for c in _fuzzy_matches(clause):
+        rf = ctx.field(c.field)
+        if not rf.is_text:
+            continue
+        for t in query_terms(str(c.query), c.analyzer or rf.search_analyzer, index.analyzers):
+            edits, name = fuzzy_max_edits(t, c.fuzziness), _expansion_column(c, t)
+            if edits and name not in more:
+                more[name] = fuzzy_expansions(ctx, rf, t, edits, c.prefix_length, c.max_expansions)
+                more[f"{name}_n"], more[f"{name}_avgdl"] = ctx.n_docs(rf), ctx.avgdl(rf)
+    if not more:
+        return index
+    return index.with_df(index.df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in more.items()])))))
 
 
 # ---------------------------------------------------------------------------

@@ -1,7 +1,7 @@
 """Search tables (postings + statistics) and batch search over them.
 
 ``postings``    field, term, _id, tf, dl, positions   (one row per term per document)
-``term_stats``  field, term, df
+``term_stats``  field, term, df, max_tf, min_dl
 ``field_stats`` field, n, sum_dl
 
 Built once from an index without a shuffle (a document's tokens stand in one
@@ -9,25 +9,22 @@ row) and written partitioned by ``field`` and range-clustered by (``term``,
 ``_id``), so a lookup of a few terms reads a few row groups and a term that
 stands in most documents spreads over many files.
 
-Batch search answers a *table* of queries in one job: query terms join the
-postings on (field, term), per (query, document) the BM25 parts are summed,
-and ``row_number() <= k`` per query keeps the top k.  Spark plans the group
-limit as a partial ``WindowGroupLimit`` before the shuffle, so even a query
-matching most of the corpus sends at most k rows per task to the final step.
+``term_stats`` also holds each term's largest tf and smallest dl, which bound
+its part of any score whatever the average length is (:mod:`.batch`).  After a
+mutation :func:`refresh_tables` merges signed counts of the changed documents.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.analysis import DEFAULT_ANALYZERS, AnalyzerRegistry
-from ..functions.scoring import bm25, round_score
 from ..sources.index import Index
 from ..sources.mapping import token_column_name
-from ..session import checkpoint_dir
+from ..session import staged
 
 
 @dataclass
@@ -76,9 +73,10 @@ def build_postings(index: Index, fields: list[str] | None = None, positions: boo
     parts = []
     for f in names:
         toks = F.col(f"`{token_column_name(f)}`")
-        pairs = F.array_sort(F.transform(toks, lambda t, i: F.struct(t.alias("t"), i.alias("i"))))
+        # where no positions are asked for, plain terms are sorted, which is cheaper than structs
+        pairs = F.array_sort(F.transform(toks, lambda t, i: F.struct(t.alias("t"), i.alias("i")))) if positions else F.array_sort(toks)
         rows = ix.df.select("_id", F.size(toks).cast("bigint").alias("dl"), _once(pairs).alias("s")).filter("dl > 0")
-        terms = F.col("s.t")
+        terms = F.col("s.t") if positions else F.col("s")
         before = F.concat(F.array(F.lit(None).cast("string")), F.slice(terms, 1, F.size("s") - 1))
         starts = F.filter(F.transform(F.arrays_zip(terms.alias("t"), before.alias("p")),
                                       lambda x, i: F.struct(i.alias("i"), x["t"].alias("t"), (~x["t"].eqNullSafe(x["p"])).alias("new"))),
@@ -98,7 +96,7 @@ def build_postings(index: Index, fields: list[str] | None = None, positions: boo
 
 
 def build_term_stats(postings: DataFrame) -> DataFrame:
-    return postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+    return postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"), F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl"))
 
 
 def build_field_stats(index: Index, fields: list[str] | None = None) -> DataFrame:
@@ -121,22 +119,18 @@ def build_tables(index: Index, fields: list[str] | None = None, positions: bool
                         tuple(_text_fields(index, fields)))
 
 
-def scan_tables(index: Index, field: str, terms: DataFrame, positions: bool = False,
-                materialize: bool = True) -> SearchTables:
+def scan_tables(index: Index, field: str, terms: DataFrame) -> SearchTables:
     """Search tables of ``field`` restricted to the terms in ``terms.term``,
     built from the index in the same job (no stored postings needed).
 
-    Postings are semi-joined to the distinct terms, so only those that a query
-    can score go on; document frequencies of those terms are exact because
-    every posting of a kept term is kept."""
-    post = build_postings(index, [field], positions).join(terms.select("term").distinct(), "term", "left_semi")
-    if materialize:
-        # read twice below (document frequencies and candidates): cut the lineage
-        # once with a reliable checkpoint in the session's shared checkpoint folder
-        checkpoint_dir(post.sparkSession)
-        post = post.checkpoint(eager=True)
-    term_stats = post.groupBy("field", "term").agg(F.count("tf").alias("df"))
-    return SearchTables(post, term_stats, build_field_stats(index, [field]), (field,))
+    Tokens that no query asks for go before anything is counted; the rest are
+    counted within their document before the shuffle.  Document frequencies of
+    the terms are exact because every posting of a kept term is kept."""
+    toks = F.col(f"`{token_column_name(field)}`")
+    tokens = index.with_tokens([field]).df.select("_id", F.size(toks).cast("bigint").alias("dl"), F.explode(toks).alias("term"))
+    post = staged(tokens.join(terms.select("term").distinct(), "term", "left_semi")
+                  .groupBy("_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf")).withColumn("field", F.lit(field)), "postings")
+    return SearchTables(post, build_term_stats(post), build_field_stats(index, [field]), (field,))
 
 
 def write_tables(tables: SearchTables, path: str, mode: str = "overwrite") -> SearchTables:
@@ -168,35 +162,35 @@ def refresh_postings(old: DataFrame, index: Index, changed_ids: DataFrame, field
     return kept.unionByName(fresh.select(*old.columns))
 
 
+def refresh_tables(tables: SearchTables, old: Index, new: Index, changed_ids: DataFrame) -> SearchTables:
+    """All three tables after a mutation from ``old`` to ``new`` that changed, added or deleted ``changed_ids``.
+
+    Statistics move by signed counts of the old and new versions of these
+    documents alone; terms that no document holds any more go.  ``max_tf`` and
+    ``min_dl`` only widen, so they stay bounds."""
+    fields = list(tables.fields)
+    ids = changed_ids.select("_id").distinct()
+    positions = "positions" in tables.postings.columns
+    gone = tables.postings.join(ids, "_id", "left_semi").select("field", "term", F.lit(-1).cast("long").alias("df"), "tf", "dl")
+    fresh = build_postings(new.with_df(new.df.join(ids, "_id", "left_semi")), fields, positions)
+    moved = gone.unionByName(fresh.select("field", "term", F.lit(1).cast("long").alias("df"), "tf", "dl"))
+    delta = moved.groupBy("field", "term").agg(F.sum("df").alias("df"), F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl"))
+    # a term that leaves one document and enters another has no row to change in ``df``, but may widen its bounds
+    columns = ["field", "term", "df", "max_tf", "min_dl"]
+    term_stats = (tables.term_stats.select(*columns).unionByName(delta.select(*columns)).groupBy("field", "term")
+                  .agg(F.sum("df").alias("df"), F.max("max_tf").alias("max_tf"), F.min("min_dl").alias("min_dl")).filter("df > 0"))
+    before = build_field_stats(old.with_df(old.df.join(ids, "_id", "left_semi")), fields)
+    after = build_field_stats(new.with_df(new.df.join(ids, "_id", "left_semi")), fields)
+    field_stats = (tables.field_stats.select("field", "n", "sum_dl").unionByName(after)
+                   .unionByName(before.select("field", (-F.col("n")).alias("n"), (-F.col("sum_dl")).alias("sum_dl")))
+                   .groupBy("field").agg(F.sum("n").alias("n"), F.sum("sum_dl").alias("sum_dl")))
+    postings = tables.postings.join(ids, "_id", "left_anti").unionByName(fresh.select(*tables.postings.columns))
+    return SearchTables(postings, term_stats, field_stats, tables.fields)
+
+
 def query_term_table(queries: DataFrame, query_col: str, id_col: str, field: str,
                      analyzer: str | None = None, registry: AnalyzerRegistry | None = None) -> DataFrame:
+    """query_id, field and term of every distinct term of every query."""
     an = (registry or DEFAULT_ANALYZERS).get(analyzer)
     return queries.select(F.col(id_col).alias("query_id"), F.lit(field).alias("field"),
                           F.explode(F.array_distinct(an.column(F.col(query_col)))).alias("term"))
-
-
-def batch_search(tables: SearchTables, queries: DataFrame, query_col: str, id_col: str, field: str,
-                 k: int = 10, analyzer: str | None = None) -> DataFrame:
-    """Top ``k`` documents per query (``query_id, _id, _score, rank``) by BM25
-    over ``field``; ties broken by ``_id``."""
-    qt = query_term_table(queries, query_col, id_col, field, analyzer)
-    stats = tables.field_stats.filter(F.col("field") == F.lit(field))
-    n = stats.agg(F.max("n")).scalar()
-    avgdl = stats.agg(F.max("sum_dl").cast("double") / F.max("n").cast("double")).scalar()
-    qt = qt.join(tables.term_stats, ["field", "term"], "inner")
-    post = tables.postings.filter(F.col("field") == F.lit(field)).select("field", "term", "_id", "tf", "dl")
-    cand = post.join(qt, ["field", "term"], "inner")
-    part = bm25(F.col("tf"), F.col("dl"), n, F.col("df"), avgdl)
-    summed = cand.groupBy("query_id", "_id").agg(F.sum(part).alias("_raw"))
-    ranked = summed.withColumn("_score", round_score(F.col("_raw")))
-    w = Window.partitionBy("query_id").orderBy(F.desc("_score"), F.asc("_id"))
-    return (ranked.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= k)
-            .select("query_id", "_id", "_score", "rank"))
-
-
-def postings_search(tables: SearchTables, field: str, terms: list[str], k: int = 10) -> DataFrame:
-    """One query answered from the postings (reads only the rows of its terms)."""
-    spark = tables.postings.sparkSession
-    q = spark.createDataFrame([(0, t) for t in dict.fromkeys(terms)], "query_id int, term string")
-    return batch_search(tables, q.groupBy("query_id").agg(F.array_join(F.collect_list("term"), " ").alias("q")),
-                        "q", "query_id", field, k, analyzer="whitespace").drop("query_id")

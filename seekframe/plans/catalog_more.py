@@ -11,7 +11,8 @@ from ..operators import mutate
 from ..operators.clauses import (Bool, Exists, FunctionScore, Match, MatchAll, MatchPhrase, MultiMatch,
                                  Nested, Range, Raw, ScoreFunction, Term, Terms, Wildcard, each,
                                  merge_multi_match, when, when_else)
-from ..operators.postings import (batch_search, build_postings, build_term_stats, query_term_table,
+from ..operators.batch import batch_search
+from ..operators.postings import (build_postings, build_term_stats, query_term_table,
                                   refresh_postings, scan_tables)
 from ..operators.search import count_frame, get_by_ids, matching, search
 from ..sources.index import Index
@@ -298,7 +299,7 @@ def boosted_should(spark, d):
 @register("term_stats")
 def term_stats(spark, d):
     post = build_postings(documents_index(spark, d), ["text"], positions=False)
-    return build_term_stats(post)
+    return build_term_stats(post).select("field", "term", "df")
 
 
 # ---------------------------------------------------------------------------

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from ..operators import mutate
 from ..operators.clauses import Bool, Match, Range, Term
-from ..operators.postings import batch_search, build_tables, write_tables
+from ..operators.batch import batch_search
+from ..operators.dictionary import (build_dictionary, fuzzy_stored, phrase_prefix_stored, phrase_stored, wildcard_stored,
+                                    write_dictionary)
+from ..operators.postings import build_tables, refresh_tables, write_tables
 from ..operators.search import matching, search
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, gone_at_exit
 from ..sources.index import Index
 from ..sources.mapping import Mapping
 from .catalog import FLAGSHIP_TEXT, events_index, part_index, register, table
@@ -121,17 +124,26 @@ def dynamic_object(spark, d):
     return good.select("event_id", F.col("props.k").alias("k"), F.col("props.more").alias("more"))
 
 
-def stored_documents(spark, d) -> Index:
+def stored_documents(spark, d, positions=False) -> Index:
     """Documents as ingest leaves them in the shared folder: tokens, postings and statistics are written once."""
     root = f"{checkpoint_dir(spark)}/search-{uuid.uuid4().hex}"
     m = Mapping().long("doc_id").text("text").keyword("lang").keyword("source").long("n_chars")
     good, _ = m.conform(table(spark, d, "documents"))
     good.write.parquet(f"{root}/documents")
+    gone_at_exit(spark, root)
     ix = Index(spark.read.parquet(f"{root}/documents"), m, name="documents", id_col="doc_id")
-    ix.stats = write_tables(build_tables(ix, ["text"], positions=False), f"{root}/tables")
+    ix.stats = write_tables(build_tables(ix, ["text"], positions=positions), f"{root}/tables")
     return ix
 
 
+def stored_dictionary(tables):
+    spark = tables.postings.sparkSession
+    root = f"{checkpoint_dir(spark)}/search-{uuid.uuid4().hex}"
+    out = write_dictionary(build_dictionary(tables.term_stats), root)
+    gone_at_exit(spark, root)
+    return out
+
+
 @register("search_stored")
 def search_stored(spark, d):
     q = Bool(must=[Match("text", FLAGSHIP_TEXT)], filter=[Term("lang", "en")])
@@ -141,3 +153,50 @@ def search_stored(spark, d):
 @register("batch_search_stored")
 def batch_search_stored(spark, d):
     return batch_search(stored_documents(spark, d).stats, table(spark, d, "benchmark"), "text", "item_id", "text", k=3)
+
+
+@register("batch_search_filtered")
+def batch_search_filtered(spark, d):
+    """A third of the queries ask for English, the others for French where the item is even; every fifth also for one source."""
+    ix = stored_documents(spark, d)
+    item = F.col("item_id")
+    where = {"lang": F.when(item % 3 == 0, "en").when(item % 2 == 0, "fr"), "source": F.when(item % 5 == 0, "src1")}
+    return batch_search(ix.stats, table(spark, d, "benchmark"), "text", "item_id", "text", k=3, where=where, documents=ix.df)
+
+
+@register("phrase_stored")
+def phrase_stored_q(spark, d):
+    return phrase_stored(stored_documents(spark, d, positions=True).stats, "text", "of the")
+
+
+@register("phrase_prefix_stored")
+def phrase_prefix_stored_q(spark, d):
+    tables = stored_documents(spark, d, positions=True).stats
+    return phrase_prefix_stored(tables, stored_dictionary(tables), "text", "of the th")
+
+
+@register("fuzzy_stored")
+def fuzzy_stored_q(spark, d):
+    tables = stored_documents(spark, d).stats
+    return fuzzy_stored(tables, stored_dictionary(tables), "text", "licnese permision gnu")
+
+
+@register("wildcard_stored")
+def wildcard_stored_q(spark, d):
+    tables = stored_documents(spark, d).stats
+    return wildcard_stored(tables, stored_dictionary(tables), "text", "*ering?h*")
+
+
+@register("stats_refresh")
+def stats_refresh(spark, d):
+    """Term statistics after one source's texts changed and another source went, from signed counts of these documents."""
+    old = stored_documents(spark, d)
+    docs = old.df
+    source = F.col("source")
+    new = old.with_df(docs.filter(source != "src5").withColumn(
+        "text", F.when(source == "src3", F.concat(F.substring("text", 1, 200), F.lit(" refreshed words"))).otherwise(F.col("text")))
+        .drop("text__tokens"))
+    changed = docs.filter(source.isin("src3", "src5")).select("_id")
+    tables = refresh_tables(old.stats, old, new, changed)
+    return tables.term_stats.select("term", "df").unionByName(tables.field_stats.select(
+        F.lit(None).cast("string").alias("term"), F.expr("n * 1000000000 + sum_dl").alias("df")))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from ..functions.analysis import ENGLISH_STOP_WORDS
 from .catalog_more import W1, W2, W3
-from .oracle import docs_cte, sql
+from .oracle import SQL, docs_cte, sql
 from .sqlgen import (all_terms, any_term, bm25, dbl, idf, match_score, padded, q, stats_cte, tf_norm, tok,
                      total)
 
@@ -62,21 +62,21 @@ sql("match_analyzer", match_query([W1, W2], any_term("tok", [W1, W2])))
 sql("bm25", match_query([W1, W3], any_term("tok", [W1, W3])))
 
 
-def fuzzy_cte(name: str, term: str, edits: int) -> str:
-    return (f"{name} AS (SELECT list(term) AS ex FROM v "
-            f"WHERE abs(length(term) - {len(term)}) <= {edits} AND levenshtein(term, {q(term)}) <= {edits})")
+def fuzzy_query(rows: str, words: list[tuple[str, int]]) -> str:
+    """Every expansion scored like a term; ``rows`` is a relation of _id and tok, ``words`` are words and edits."""
+    found = " UNION ALL ".join(f"SELECT {i} AS w, term, df FROM v WHERE abs(length(term) - {len(t)}) <= {k} AND levenshtein(term, {q(t)}) <= {k}"
+                               for i, (t, k) in enumerate(words))
+    return f"""
+WITH p AS ({rows}),
+st AS (SELECT count(*) FILTER (WHERE tok IS NOT NULL) AS n, CAST(sum(len(tok)) AS DOUBLE) AS sdl FROM p),
+t AS (SELECT _id, term, count(*) AS tf, len(tok) AS dl FROM (SELECT _id, tok, unnest(tok) AS term FROM p) GROUP BY ALL),
+v AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+e AS ({found})
+SELECT _id, round(sum({bm25('t.tf', 't.dl', 'st.n', 'e.df', '(st.sdl / CAST(st.n AS DOUBLE))')}), 6) AS _score
+FROM t JOIN e USING (term), st GROUP BY _id"""
 
 
-sql("match_fuzzy", f"""
-WITH p AS (SELECT *, {tok('p_name')} AS tok FROM part),
-v AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT p_partkey, unnest(tok) AS term FROM p) GROUP BY term),
-{fuzzy_cte('e0', 'widgit', 2)},
-{fuzzy_cte('e1', 'gizmo', 1)}
-SELECT CAST(p_partkey AS VARCHAR) AS _id,
-       round(CAST((CASE WHEN coalesce(list_has_any(tok, e0.ex), false) THEN 1 ELSE 0 END
-                 + CASE WHEN coalesce(list_has_any(tok, e1.ex), false) THEN 1 ELSE 0 END) AS DOUBLE) * {ONE}, 6) AS _score
-FROM p, e0, e1
-WHERE coalesce(list_has_any(tok, e0.ex), false) OR coalesce(list_has_any(tok, e1.ex), false)""")
+sql("match_fuzzy", fuzzy_query(f"SELECT CAST(p_partkey AS VARCHAR) AS _id, {tok('p_name')} AS tok FROM part", [("widgit", 2), ("gizmo", 1)]))
 
 
 def phrase_parts(tokens: str, seq: list[str], prefix: str, n: str, avg: str) -> tuple[str, str, str]:
@@ -535,16 +535,34 @@ WITH d AS (SELECT doc_id, {tok("CASE WHEN source = 'src3' THEN text || ' refresh
            FROM documents)
 {postings_sql('d')}""")
 
-from .sqlgen import bm25 as _bm25  # noqa: E402
 
-sql("batch_search", f"""
+def batch_query(met: str = "") -> str:
+    return f"""
 WITH {D},
 st AS (SELECT count(*) FILTER (WHERE tok IS NOT NULL) AS n, CAST(sum(len(tok)) AS DOUBLE) AS sdl FROM d),
-p AS (SELECT CAST(doc_id AS VARCHAR) AS _id, term, count(*) AS tf, len(tok) AS dl
-      FROM (SELECT doc_id, tok, unnest(tok) AS term FROM d) GROUP BY ALL),
+p AS (SELECT CAST(doc_id AS VARCHAR) AS _id, lang, source, term, count(*) AS tf, len(tok) AS dl
+      FROM (SELECT doc_id, lang, source, tok, unnest(tok) AS term FROM d) GROUP BY ALL),
 ts AS (SELECT term, count(*) AS df FROM p GROUP BY term),
 qt AS (SELECT DISTINCT item_id AS query_id, unnest({tok('text')}) AS term FROM benchmark),
-c AS (SELECT qt.query_id, p._id, round(sum({_bm25('p.tf', 'p.dl', 'st.n', 'ts.df', '(st.sdl / CAST(st.n AS DOUBLE))')}), 6) AS _score
-      FROM qt JOIN p USING (term) JOIN ts USING (term), st GROUP BY qt.query_id, p._id),
+c AS (SELECT qt.query_id, p._id, round(sum({bm25('p.tf', 'p.dl', 'st.n', 'ts.df', '(st.sdl / CAST(st.n AS DOUBLE))')}), 6) AS _score
+      FROM qt JOIN p USING (term) JOIN ts USING (term), st {met} GROUP BY qt.query_id, p._id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY _score DESC, _id ASC) AS rank FROM c)
-SELECT query_id, _id, _score, rank FROM r WHERE rank <= 3""")
+SELECT i.query_id, _id, _score, rank FROM (SELECT DISTINCT item_id AS query_id FROM benchmark) i
+LEFT JOIN (SELECT * FROM r WHERE rank <= 3) r USING (query_id)"""
+
+
+sql("batch_search", batch_query())
+sql("batch_search_filtered", batch_query("""
+      WHERE (CASE WHEN query_id % 3 = 0 THEN p.lang = 'en' WHEN query_id % 2 = 0 THEN p.lang = 'fr' ELSE true END)
+        AND (query_id % 5 <> 0 OR p.source = 'src1')"""))
+sql("fuzzy_stored", fuzzy_query(f"SELECT {doc_id()}, {tok('text')} AS tok FROM documents", [("licnese", 2), ("permision", 2), ("gnu", 1)]))
+sql("wildcard_stored", f"""
+WITH {D} SELECT {doc_id()}, {ONE} AS _score FROM d WHERE len(list_filter(tok, lambda x: x LIKE '%ering_h%')) > 0""")
+sql("phrase_stored", SQL["match_phrase"])
+sql("phrase_prefix_stored", f"WITH {D} SELECT {doc_id()}, {ONE} AS _score FROM d WHERE contains({padded('tok')}, ' of  the  th')")
+sql("stats_refresh", f"""
+WITH t AS (SELECT {tok("CASE WHEN source = 'src3' THEN substring(text, 1, 200) || ' refreshed words' ELSE text END")} AS tok
+           FROM documents WHERE source <> 'src5'),
+u AS (SELECT unnest(list_distinct(tok)) AS term FROM t)
+SELECT term, count(*) AS df FROM u GROUP BY term
+UNION ALL SELECT NULL, CAST(count(*) FILTER (WHERE tok IS NOT NULL) * 1000000000 + sum(len(tok)) AS BIGINT) FROM t""")

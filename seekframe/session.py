@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import functools
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the engine relies on (AQE for runtime re-planning and skew joins).
 ENGINE_CONF = {
@@ -57,3 +58,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def gone_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the folder removed from the shared store when the application ends (it must exist by now)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` into the shared folder and read it back: lineage is cut there and Spark knows the size.
+
+    What the caller keeps is his to write elsewhere; the staged copy goes when the application ends.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/staged-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    gone_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)

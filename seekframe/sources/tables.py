@@ -15,7 +15,6 @@ takes a table format.
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +22,7 @@ from pyspark.sql import types as T
 
 from ..operators import mutate
 from ..operators.search import matching
-from ..session import checkpoint_dir
+from ..session import staged
 from .index import Index
 from .mapping import Mapping
 
@@ -92,9 +91,7 @@ class DocumentTable:
         return F.pmod(F.xxhash64("_id"), F.lit(self.buckets)).cast("int")
 
     def _stage(self, df: DataFrame) -> DataFrame:
-        path = f"{checkpoint_dir(self.spark)}/staged-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return staged(df, "table")
 
     def _touched(self, ids: DataFrame) -> list[int]:
         """Buckets that hold any of the ids; at most ``buckets`` numbers."""

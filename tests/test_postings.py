@@ -5,7 +5,8 @@ from collections import Counter
 
 from seekframe import Index, Match, Mapping, matching, query_terms
 from seekframe.functions.scoring import bm25_py
-from seekframe.operators.postings import batch_search, build_tables, refresh_postings, build_postings
+from seekframe.operators.batch import batch_candidates, batch_search
+from seekframe.operators.postings import build_postings, build_tables, refresh_postings, refresh_tables, scan_tables, query_term_table
 
 TEXTS = ["the cat sat on the mat", "a dog and a cat", "the dog barked", "birds fly", "cat cat cat"]
 QUERIES = ["cat mat", "dog", "fly birds cat", "zebra"]
@@ -41,10 +42,9 @@ def test_batch_search_equals_brute_force(spark):
     qs = spark.createDataFrame([(i, q) for i, q in enumerate(QUERIES)], "qid long, q string")
     res = batch_search(tables, qs, "q", "qid", "body", k=2).collect()
     got = {}
-    for r in sorted(res, key=lambda r: (r["query_id"], r["rank"])):
+    for r in sorted(res, key=lambda r: (r["query_id"], r["rank"] or 0)):
         got.setdefault(r["query_id"], []).append(r["_id"])
-    want = {k: v for k, v in brute(2).items() if v}
-    assert got == want
+    assert got == {k: v or [None] for k, v in brute(2).items()}      # a query without hits is a row of nulls
 
 
 def test_scan_and_postings_scores_agree(spark):
@@ -82,3 +82,85 @@ def test_written_tables_and_stored_stats(spark):
     stored = Index(ix.df, ix.mapping, id_col="id", stats=tables)
     from_stats = {r["_id"]: r["_score"] for r in matching(stored, Match("body", "cat dog")).collect()}
     assert scan == from_stats
+
+
+def random_index(spark, n=400, seed=3):
+    """Common words in nearly every text, rare ones in few."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(seed)
+    common, rare = [f"c{i}" for i in range(6)], [f"r{i}" for i in range(150)]
+    rows = []
+    for i in range(n):
+        words = rng.choices(common, k=rng.randint(1, 20)) + rng.choices(rare, k=rng.randint(0, 4))
+        rng.shuffle(words)
+        rows.append((i, " ".join(words) if i % 50 else None, rng.choice(["en", "fr", None])))
+    ix = Index(spark.createDataFrame(rows, "id long, body string, lang string"), Mapping().long("id").text("body").keyword("lang"), id_col="id")
+    queries = [(q, " ".join(rng.choices(common, k=rng.randint(0, 5)) + rng.choices(rare, k=rng.randint(0, 3))), rng.choice(["en", "fr", None]))
+               for q in range(60)] + [(60, "", None), (61, "unknown words", "en"), (62, "c0", None), (63, None, None)]
+    return ix, spark.createDataFrame(queries, "qid long, q string, lang string"), F
+
+
+def full_scores(ix, tables, queries):
+    """Every document that shares a term with a query, scored in plain Python."""
+    docs = {r["_id"]: (r["body"] or "").split() for r in ix.df.select("_id", "body").collect()}
+    n = ix.df.filter("body is not null").count()
+    avg = sum(map(len, docs.values())) / n
+    df = Counter(w for t in docs.values() for w in set(t))
+    out = {}
+    for r in queries.collect():
+        terms = set((r["q"] or "").split())
+        out[r["qid"]] = {i: round(sum(bm25_py(t.count(w), len(t), n, df[w], avg) for w in terms if w in t), 6)
+                         for i, t in docs.items() if terms & set(t)}
+    return out
+
+
+def test_pruned_batch_gives_the_rows_of_full_scoring(spark):
+    ix, queries, F = random_index(spark)
+    scanned = scan_tables(ix, "body", query_term_table(queries, "q", "qid", "body"))
+    stored = build_tables(ix, ["body"], positions=False)
+    full = full_scores(ix, stored, queries)
+    for tables, seeds in ((stored, 1), (scanned, 16)):
+        got = {}
+        for r in batch_search(tables, queries, "q", "qid", "body", k=5, seeds=seeds).collect():
+            got.setdefault(r["query_id"], []).append((r["rank"], r["_id"], r["_score"]))
+        for qid, scores in full.items():
+            want = sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:5]
+            assert [(i, s) for _, i, s in sorted(got[qid], key=lambda x: x[0] or 0)] == (want or [(None, None)])
+    pairs = sum(map(len, full.values()))
+    assert batch_candidates(stored, queries, "q", "qid", "body", k=5).count() < 0.35 * pairs
+
+
+def test_batch_conditions_by_query(spark):
+    ix, queries, F = random_index(spark, seed=4)
+    tables = build_tables(ix, ["body"], positions=False)
+    lang = {r["_id"]: r["lang"] for r in ix.df.select("_id", "lang").collect()}
+    full = full_scores(ix, tables, queries)
+    # a choice of two: the query's language, or English for every fourth query without one
+    wanted = F.coalesce("lang", F.when(F.col("qid") % 4 == 0, "en"))
+    got = {}
+    for r in batch_search(tables, queries, "q", "qid", "body", k=4, where={"lang": wanted}, documents=ix.df).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["_id"], r["_score"]))
+    for r in queries.collect():
+        ask = r["lang"] or ("en" if r["qid"] % 4 == 0 else None)
+        hits = {i: s for i, s in full[r["qid"]].items() if ask is None or lang[i] == ask}
+        want = sorted(hits.items(), key=lambda x: (-x[1], x[0]))[:4]
+        assert [(i, s) for _, i, s in sorted(got[r["qid"]], key=lambda x: x[0] or 0)] == (want or [(None, None)])
+
+
+def test_refreshed_statistics_equal_rebuilt_ones(spark):
+    ix, _, F = random_index(spark, seed=5)
+    tables = build_tables(ix, ["body"])
+    i = F.col("id")
+    new = ix.with_df(ix.df.filter(i % 7 != 0).withColumn("body", F.when(i % 5 == 0, F.lit("new words r1 r1")).when(i == 3, None).otherwise(F.col("body")))
+                     .unionByName(ix.df.filter("id < 4").withColumn("_id", F.concat("_id", F.lit("x")))))
+    changed = new.df.filter((i % 5 == 0) | (i == 3)).select("_id").union(ix.df.filter(i % 7 == 0).select("_id")).union(
+        new.df.filter(F.col("_id").endswith("x")).select("_id"))
+    got, want = refresh_tables(tables, ix, new, changed), build_tables(new, ["body"])
+    for name, cols in (("term_stats", ["field", "term", "df"]), ("field_stats", ["field", "n", "sum_dl"]), ("postings", ["term", "_id", "tf", "dl"])):
+        a, b = (sorted(map(tuple, getattr(t, name).select(*cols).collect())) for t in (got, want))
+        assert a == b
+    loose = got.term_stats.alias("g").join(want.term_stats.alias("w"), ["field", "term"]).filter("g.max_tf < w.max_tf or g.min_dl > w.min_dl")
+    assert loose.count() == 0

@@ -220,7 +220,8 @@ def test_undeclared_fields_are_not_searchable_without_dynamic(spark):
 
 def test_building_queries_starts_no_job(spark):
     from seekframe.plans.catalog import all_queries
-    plans = [n for n in all_queries() if n not in ("batch_search", "search_stored", "batch_search_stored")]
+    # searches over stored tables write these first
+    plans = [n for n in all_queries() if not n.startswith("batch_search") and not n.endswith("_stored") and n != "stats_refresh"]
     sc = spark.sparkContext
     for name in plans:
         sc.setJobGroup(name, name)
