@@ -251,8 +251,8 @@ class Context:
         # inside a nested element there are no corpus statistics: constant scores
         return self.element is None
 
-    def field(self, path: str) -> ResolvedField:
-        return self.index.field(path, self.element, self.element_path)
+    def field(self, path: str, like: Any = None) -> ResolvedField:
+        return self.index.field(path, self.element, self.element_path, like)
 
     def for_element(self, path: str, var: Column) -> "Context":
         return Context(self.index, var, path)
@@ -464,7 +464,7 @@ def _wildcard_to_like(pattern: str) -> str:
 
 
 def _c_term(c: Term, ctx: Context) -> Compiled:
-    rf = ctx.field(c.field)
+    rf = ctx.field(c.field, c.value)
     boost = _boost(c)
     if rf.is_text:
         v = str(c.value)
@@ -489,8 +489,8 @@ def _c_term(c: Term, ctx: Context) -> Compiled:
 
 
 def _c_terms(c: Terms, ctx: Context) -> Compiled:
-    rf = ctx.field(c.field)
     vals = list(c.values or [])
+    rf = ctx.field(c.field, vals[0] if vals else None)
     if not vals:
         return Compiled(F.lit(False), F.lit(0.0))
     if rf.is_text:
@@ -655,7 +655,7 @@ def _c_wildcard(c: Wildcard, ctx: Context) -> Compiled:
 
 
 def _c_range(c: Range, ctx: Context) -> Compiled:
-    rf = ctx.field(c.field)
+    rf = ctx.field(c.field, next((v for v in (c.gte, c.gt, c.lte, c.lt) if v is not None), None))
     et = rf.element_type
     conds: list[Callable[[Column], Column]] = []
     is_time = isinstance(et, (T.TimestampType, T.TimestampNTZType, T.DateType))

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import mutate
-from ..operators.clauses import Bool, Match, Range, Term
+from ..operators.clauses import Bool, Match, Nested, Range, Term, Terms
 from ..operators.batch import batch_search
 from ..operators.dictionary import (build_dictionary, fuzzy_stored, phrase_prefix_stored, phrase_stored, wildcard_stored,
                                     write_dictionary)
@@ -124,6 +124,54 @@ def dynamic_object(spark, d):
     return good.select("event_id", F.col("props.k").alias("k"), F.col("props.more").alias("more"))
 
 
+def _event_json(spark, d):
+    """Events with a JSON object: event_type under ``kind``, value, and the number of ``props`` under ``k``."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    return table(spark, d, "events").select("event_id", F.to_json(F.struct(
+        F.col("event_type").alias("kind"), "value", F.struct(k.alias("k"), F.array(k, k + 1).alias("pair")).alias("in"))).alias("doc"))
+
+
+@register("dynamic_object_json")
+def dynamic_object_json(spark, d):
+    """One sub-field is declared; the others are kept, found and read back."""
+    m = Mapping().long("event_id").object("doc", lambda o: o.keyword("kind"), dynamic=True)
+    ix = Index(m.conform(_event_json(spark, d))[0], m, name="events", id_col="event_id")
+    q = Bool(filter=[Term("doc.kind", "view"), Range("doc.value", gte=40.0), Range("doc.in.k", lt=60)])
+    return matching(ix, q, with_score=False).select(
+        "_id", F.col("doc.kind").alias("kind"), F.try_variant_get("doc._more", "$.in.pair[1]", "int").alias("second"))
+
+
+@register("dynamic_object_strict")
+def dynamic_object_strict(spark, d):
+    """The inner object declares its own policy: rows with fields that it does not declare are rejected."""
+    m = Mapping().long("event_id").object("doc", lambda o: o.keyword("kind").object("in", lambda i: i.integer("k"), dynamic="strict"))
+    view = F.when(F.get_json_object("doc", "$.kind") == "view", F.regexp_replace("doc", r',"pair":\[[^\]]*\]', "")).otherwise(F.col("doc"))
+    good, rejected = m.conform(_event_json(spark, d).withColumn("doc", view))
+    return (good.select("event_id", F.concat_ws("/", "doc.kind", F.col("doc.in.k").cast("string")).alias("outcome"))
+            .unionByName(rejected.select("event_id", F.array_join("_errors", "; ").alias("outcome"))))
+
+
+@register("dynamic_nested")
+def dynamic_nested(spark, d):
+    """Items from JSON, only their number declared: the query's fields are undeclared."""
+    items = table(spark, d, "lineitem").groupBy("l_orderkey").agg(
+        F.to_json(F.collect_list(F.struct("l_linenumber", "l_quantity", "l_returnflag"))).alias("items"))
+    m = Mapping().long("l_orderkey").nested("items", lambda o: o.integer("l_linenumber"))
+    ix = Index(m.conform(items)[0], m, name="order_items", id_col="l_orderkey")
+    q = Nested("items", Bool(must=[Term("items.l_returnflag", "R"), Range("items.l_quantity", gte=45)]))
+    return ids_scores(matching(ix, q))
+
+
+@register("dynamic_runtime")
+def dynamic_runtime(spark, d):
+    """Undeclared columns become no columns; predicates read them when asked."""
+    m = Mapping().long("event_id").dynamic("runtime")
+    good, _ = m.conform(table(spark, d, "events").select("event_id", "event_type", "value", "user_id"))
+    ix = Index(good, m, name="events", id_col="event_id")
+    q = Bool(filter=[Term("event_type", "click"), Range("value", gte=50), Terms("user_id", [1, 2, 3, 5, 8, 13, 21, 34])])
+    return matching(ix, q, with_score=False).select("_id", F.concat_ws(",", F.array(*map(F.lit, good.columns))).alias("columns"))
+
+
 def stored_documents(spark, d, positions=False) -> Index:
     """Documents as ingest leaves them in the shared folder: tokens, postings and statistics are written once."""
     root = f"{checkpoint_dir(spark)}/search-{uuid.uuid4().hex}"

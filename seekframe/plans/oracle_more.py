@@ -566,3 +566,14 @@ WITH t AS (SELECT {tok("CASE WHEN source = 'src3' THEN substring(text, 1, 200) |
 u AS (SELECT unnest(list_distinct(tok)) AS term FROM t)
 SELECT term, count(*) AS df FROM u GROUP BY term
 UNION ALL SELECT NULL, CAST(count(*) FILTER (WHERE tok IS NOT NULL) * 1000000000 + sum(len(tok)) AS BIGINT) FROM t""")
+
+K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
+sql("dynamic_object_json", f"""
+SELECT CAST(event_id AS VARCHAR) AS _id, event_type AS kind, {K} + 1 AS second FROM events
+WHERE event_type = 'view' AND value >= 40 AND {K} < 60""")
+sql("dynamic_object_strict", f"""
+SELECT event_id, CASE WHEN event_type = 'view' THEN 'view/' || {K} ELSE 'doc.in: unknown field' END AS outcome FROM events""")
+sql("dynamic_nested", SQL["nested_exists"])
+sql("dynamic_runtime", """
+SELECT CAST(event_id AS VARCHAR) AS _id, 'event_id,_more' AS columns FROM events
+WHERE event_type = 'click' AND value >= 50 AND user_id IN (1, 2, 3, 5, 8, 13, 21, 34)""")

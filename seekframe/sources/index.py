@@ -8,13 +8,15 @@ terms) and how to get corpus statistics.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date, datetime
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.analysis import AnalyzerRegistry
-from .mapping import FieldSpec, Mapping, token_column_name
+from .mapping import MORE, FieldSpec, Mapping, token_column_name
 
 META_COLUMNS = ("_index", "_id")
 
@@ -162,8 +164,37 @@ class Index:
         return self.with_df(self.df.select("*", F.inline(F.array(F.struct(*need)))))
 
     # ------------------------------------------------------------------
-    def field(self, path: str, element: Column | None = None, element_path: str | None = None) -> ResolvedField:
-        """Resolve a dotted field path (optionally relative to a nested element)."""
+    def _undeclared(self, parts: list[str], base: T.DataType, at: Column | None, like: Any) -> tuple[Column, T.DataType, bool] | None:
+        """An undeclared field from the VARIANT of the innermost level that has one, read as the type of ``like``.
+
+        ``at`` is the element that ``parts`` start from (None: the row)."""
+        kind = (T.BooleanType() if isinstance(like, bool) else T.DoubleType() if isinstance(like, (int, float))
+                else T.TimestampType() if isinstance(like, (date, datetime)) else T.StringType())
+        for cut in range(len(parts) - 1, -1, -1):
+            walked = _walk_type(base, parts[:cut])
+            if walked is None:
+                continue
+            dt, crossed = walked
+            while isinstance(dt, T.ArrayType):
+                dt, crossed = dt.elementType, True
+            if not isinstance(dt, T.StructType) or MORE not in dt.fieldNames() or not isinstance(dt[MORE].dataType, T.VariantType):
+                continue
+            rest = "$" + "".join(f"['{p}']" for p in parts[cut:])
+            names = [*parts[:cut], MORE]
+            value = at
+            for n in names if at is not None else ():
+                value = value.getField(n)
+            value = F.col(".".join(f"`{n}`" for n in names)) if at is None else value
+            if crossed:
+                return F.transform(value, lambda x: F.try_variant_get(x, rest, kind.simpleString())), T.ArrayType(kind), True
+            return F.try_variant_get(value, rest, kind.simpleString()), kind, False
+        return None
+
+    def field(self, path: str, element: Column | None = None, element_path: str | None = None, like: Any = None) -> ResolvedField:
+        """Resolve a dotted field path (optionally relative to a nested element).
+
+        ``like`` is a value that the field is compared with; it gives the type of fields that no mapping declares
+        and no column holds."""
         col_parts, spec, sub = self.mapping.resolve(path)
         if element is not None:
             prefix = element_path.split(".")
@@ -176,29 +207,35 @@ class Index:
             base_type = _walk_type(self.df.schema, prefix)
             elem_type = base_type[0].elementType if base_type else None
             walked = _walk_type(elem_type, inner) if elem_type is not None else None
-            if walked is None:
+            more = self._undeclared(inner, elem_type, element, like) if walked is None and elem_type is not None else None
+            if walked is None and more is None:
                 raise ValueError(f"unknown field {path}")
-            dt, crossed = walked
-            value = element
-            for p in inner:
-                value = value.getField(p)
+            if more is None:
+                dt, crossed = walked
+                value = element
+                for p in inner:
+                    value = value.getField(p)
         else:
             walked = _walk_type(self.df.schema, col_parts)
-            if walked is None:
+            more = self._undeclared(col_parts, self.df.schema, None, like) if walked is None else None
+            if walked is None and more is None:
                 raise ValueError(f"unknown field {path}")
-            dt, crossed = walked
-            value = F.col(".".join(f"`{p}`" for p in col_parts))
-        if crossed:
+            if more is None:
+                dt, crossed = walked
+                value = F.col(".".join(f"`{p}`" for p in col_parts))
+        if more is not None:
+            value, dt, crossed = more
+        elif crossed:
             # a path through an array of structs reads an array of leaf values
             if isinstance(dt, T.ArrayType):
                 value = F.flatten(value)
             else:
                 dt = T.ArrayType(dt)
         if spec is None:
-            if self.mapping.dynamic_policy is False and element is None and self.mapping.properties:
+            if self.mapping.policy_at(path.split(".")) is False and self.mapping.properties:
                 raise ValueError(f"field {path} is not searchable (dynamic: false, not declared)")
             from .mapping import _infer_spec
-            spec = _infer_spec(col_parts[-1], dt, set(), "date")
+            spec = _infer_spec(path.rsplit(".", 1)[-1], dt, set(), "date")
         is_array = crossed or isinstance(dt, T.ArrayType)
         if not spec.index and element is None:
             raise ValueError(f"field {path} is not searchable (index: false)")

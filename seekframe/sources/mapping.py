@@ -157,6 +157,10 @@ def spec_from_dict(d: dict) -> FieldSpec:
     return FieldSpec("custom", custom=dict(d))
 
 
+#: Field that holds what an object, or the index, has beside its declared fields.
+MORE = "_more"
+
+
 class Mapping:
     """Builder and holder of an index schema."""
 
@@ -259,7 +263,17 @@ class Mapping:
     # ---- derived views ------------------------------------------------------
     @property
     def dynamic_policy(self) -> Any:
-        return True if self._dynamic is None else self._dynamic
+        return True if self._dynamic is None else _policy(self._dynamic)
+
+    def policy_at(self, parts: list[str]) -> Any:
+        """Policy for undeclared fields of the innermost declared level that the path passes."""
+        policy, props = self.dynamic_policy, self.properties
+        for p in parts:
+            spec = props.get(p)
+            if spec is None:
+                break
+            policy, props = _own_policy(spec, policy), spec.properties
+        return policy
 
     def analyzers(self) -> AnalyzerRegistry:
         reg = AnalyzerRegistry()
@@ -387,7 +401,7 @@ def token_column_name(path: str) -> str:
 # conform job
 # ---------------------------------------------------------------------------
 
-def _convert(spec: FieldSpec, col: Column, in_type: T.DataType, path: str) -> tuple[Column, list[Column]]:
+def _convert(spec: FieldSpec, col: Column, in_type: T.DataType, path: str, policy: Any = True) -> tuple[Column, list[Column]]:
     """Converted value and error-message columns (null when fine) for one field."""
     errs: list[Column] = []
     t = spec.type
@@ -423,65 +437,18 @@ def _convert(spec: FieldSpec, col: Column, in_type: T.DataType, path: str) -> tu
     if t == "disabled" or (t == "object" and not spec.enabled):
         out = col if isinstance(in_type, T.StringType) else F.to_json(col)
         return out, errs
+    if t in ("object", "nested") and isinstance(in_type, (T.StringType, T.VariantType)):
+        v = F.try_parse_json(col) if isinstance(in_type, T.StringType) else col
+        errs.append(F.when(col.isNotNull() & v.isNull(), F.lit(f"{path}: not {'an object' if t == 'object' else 'a list of objects'}")))
+        value, more = _from_variant(spec, v, path, policy)
+        return value, errs + more
     if t == "object":
-        target = spec.spark_type()
-        if isinstance(in_type, T.StringType):
-            struct_col = F.from_json(col, target)
-            errs.append(F.when(col.isNotNull() & struct_col.isNull(), F.lit(f"{path}: not an object")))
-            raw = F.from_json(col, "map<string,string>")
-            for k, sub in spec.properties.items():     # a value that is there but did not convert
-                errs.append(F.when(raw[k].isNotNull() & struct_col.getField(k).isNull(),
-                                   F.lit(f"{path}.{k}: not {'an' if sub.type[0] in 'aeiou' else 'a'} {sub.type}")))
-            if spec.dynamic == "strict":
-                known = F.array(*[F.lit(k) for k in spec.properties])
-                errs.append(F.when(F.size(F.array_except(F.map_keys(raw), known)) > 0, F.lit(f"{path}: unknown field")))
-            return struct_col, errs
         if isinstance(in_type, T.StructType):
-            names = {f.name: f.dataType for f in in_type.fields}
-            parts = []
-            for k, sub in spec.properties.items():
-                if k in names:
-                    v, e = _convert(sub, col.getField(k), names[k], f"{path}.{k}")
-                    errs.extend(e)
-                else:
-                    v = F.lit(None).cast(sub.spark_type())
-                parts.append(v.alias(k))
-            extra = [n for n in names if n not in spec.properties]
-            for n in extra:
-                if spec.dynamic == "strict":
-                    errs.append(F.when(col.getField(n).isNotNull(), F.lit(f"{path}.{n}: unknown field")))
-                else:                                  # kept as it came
-                    parts.append(col.getField(n).alias(n))
-            return F.when(col.isNotNull(), F.struct(*parts)), errs
+            return _from_struct(spec, col, in_type, path, policy)
         raise TypeError(f"{path}: cannot read {in_type} as object")
     if t == "nested":
-        target = spec.spark_type()
-        if isinstance(in_type, T.StringType):
-            arr = F.from_json(col, target)
-            errs.append(F.when(col.isNotNull() & arr.isNull(), F.lit(f"{path}: not a list of objects")))
-            return arr, errs
         if isinstance(in_type, T.ArrayType) and isinstance(in_type.elementType, T.StructType):
-            names = {f.name: f.dataType for f in in_type.elementType.fields}
-
-            def element(e):
-                parts = []
-                for k, sub in spec.properties.items():
-                    if k in names:
-                        v, _ = _convert(sub, e.getField(k), names[k], f"{path}.{k}")
-                    else:
-                        v = F.lit(None).cast(sub.spark_type())
-                    parts.append(v.alias(k))
-                return F.struct(*parts)
-
-            out = F.transform(col, element)
-            # element errors: a value present in the input that did not convert
-            for k, sub in spec.properties.items():
-                if k in names and sub.type not in ("text", "keyword", "object", "nested", "disabled"):
-                    def bad(e, k=k, sub=sub):  # noqa: B023 - bound per field on purpose
-                        v, _ = _convert(sub, e.getField(k), names[k], path)
-                        return e.getField(k).isNotNull() & v.isNull()
-                    errs.append(F.when(F.exists(col, _lambda1(bad)), F.lit(f"{path}.{k}: bad element value")))
-            return out, errs
+            return _elements(col, lambda e: _from_struct(spec, e, in_type.elementType, path, policy))
         raise TypeError(f"{path}: cannot read {in_type} as nested")
     if t == "custom":
         target = spec.spark_type()
@@ -493,9 +460,90 @@ def _convert(spec: FieldSpec, col: Column, in_type: T.DataType, path: str) -> tu
     raise ValueError(f"unknown type {t}")
 
 
-def _lambda1(fn):
-    # higher-order functions inspect the arity; bind extra values by closure only
-    return lambda e: fn(e)
+def _policy(value: Any) -> Any:
+    """The policy that a request names, in words or as a boolean."""
+    return {"true": True, "false": False}.get(value, value) if isinstance(value, str) else value
+
+
+def _own_policy(spec: FieldSpec, policy: Any) -> Any:
+    """An object's own policy for undeclared fields, else that of the level above."""
+    return policy if spec.dynamic is None else _policy(spec.dynamic)
+
+
+def _from_struct(spec: FieldSpec, col: Column, in_type: T.StructType, path: str, policy: Any) -> tuple[Column, list[Column]]:
+    """A struct by the declared sub-fields; undeclared ones are errors (``strict``) or stay as they came."""
+    policy = _own_policy(spec, policy)
+    names = {f.name: f.dataType for f in in_type.fields}
+    parts, errs = [], []
+    for k, sub in spec.properties.items():
+        if k in names:
+            v, e = _convert(sub, col.getField(k), names[k], f"{path}.{k}", policy)
+            errs.extend(e)
+        else:
+            v = F.lit(None).cast(sub.spark_type())
+        parts.append(v.alias(k))
+    for n in names:
+        if n not in spec.properties:
+            if policy == "strict":
+                errs.append(F.when(col.getField(n).isNotNull(), F.lit(f"{path}.{n}: unknown field")))
+            else:
+                parts.append(col.getField(n).alias(n))
+    return F.when(col.isNotNull(), F.struct(*parts)), errs
+
+
+def _elements(array: Column, one: Callable[[Column], tuple[Column, list[Column]]]) -> tuple[Column, list[Column]]:
+    """Every element converted, and the distinct errors of all elements as one message."""
+    def messages(e: Column) -> Column:
+        errs = one(e)[1]
+        return F.array_compact(F.array(*errs)) if errs else F.array().cast("array<string>")
+
+    found = F.array_distinct(F.flatten(F.transform(array, messages)))
+    return F.transform(array, lambda e: one(e)[0]), [F.when(F.size(found) > 0, F.array_join(found, "; "))]
+
+
+def _from_variant(spec: FieldSpec, v: Column, path: str, policy: Any) -> tuple[Column, list[Column]]:
+    """A value of parsed JSON by its declaration, at any depth.
+
+    Undeclared fields of an object are an error (``strict``) or stay, whatever
+    their types, in its ``_more`` field, a VARIANT that is null where there are none.
+    """
+    t = spec.type
+    there = v.isNotNull() & ~F.is_variant_null(v)
+    if t in ("text", "keyword"):
+        return F.try_variant_get(v, "$", "string"), []
+    if t in ("date", "disabled") or t == "object" and not spec.enabled:
+        return _convert(spec, F.try_variant_get(v, "$", "string"), T.StringType(), path, policy)
+    if t not in ("object", "nested"):
+        kind = T.BooleanType() if t == "boolean" else NUMERIC_TYPES.get(t) or spec.spark_type()
+        out = F.try_variant_get(v, "$", kind.simpleString())
+        errs = [F.when(there & out.isNull(), F.lit(f"{path}: not {'an' if t[0] in 'aeiou' else 'a'} {t}"))]
+        if not spec.coerce:
+            errs.append(F.when(F.schema_of_variant(v) == "STRING", F.lit(f"{path}: string not accepted (coerce=false)")))
+        return out, errs
+    policy = _own_policy(spec, policy)
+    fields = F.try_variant_get(v, "$", "map<string,variant>")
+
+    def of(v: Column, fields: Column) -> tuple[Column, list[Column]]:
+        parts, errs = [], []
+        for k, sub in spec.properties.items():
+            value, e = _from_variant(sub, F.try_element_at(fields, F.lit(k)), f"{path}.{k}", policy)
+            parts.append(value.alias(k))
+            errs.extend(e)
+        extra = F.map_filter(fields, lambda k, x: ~k.isin(list(spec.properties))) if spec.properties else fields
+        if policy == "strict":
+            errs.append(F.when(F.size(extra) > 0, F.lit(f"{path}: unknown field")))
+        else:
+            parts.append(F.when(F.size(extra) > 0, F.parse_json(F.to_json(extra))).alias(MORE))
+        return F.when(fields.isNotNull(), F.struct(*parts)), errs
+
+    if t == "object":
+        value, errs = of(v, fields)
+        return value, [F.when(there & fields.isNull(), F.lit(f"{path}: not an object")), *errs]
+    # one object counts as a list of one
+    elements = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.when(fields.isNotNull(), F.array(v)))
+    value, errs = _elements(elements, lambda e: of(e, F.try_variant_get(e, "$", "map<string,variant>")))
+    odd = F.exists(elements, lambda e: F.try_variant_get(e, "$", "map<string,variant>").isNull() & ~F.is_variant_null(e))
+    return value, [F.when(there & (elements.isNull() | odd), F.lit(f"{path}: not a list of objects")), *errs]
 
 
 def conform(mapping: Mapping, df: DataFrame, with_tokens: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -506,7 +554,7 @@ def conform(mapping: Mapping, df: DataFrame, with_tokens: bool = True) -> tuple[
     errs: list[Column] = []
     for name, spec in mapping.properties.items():
         if name in in_types:
-            value, e = _convert(spec, F.col(f"`{name}`"), in_types[name], name)
+            value, e = _convert(spec, F.col(f"`{name}`"), in_types[name], name, policy)
             errs.extend(e)
         else:
             value = F.lit(None).cast(spec.spark_type())
@@ -515,9 +563,11 @@ def conform(mapping: Mapping, df: DataFrame, with_tokens: bool = True) -> tuple[
     for c in unknown:
         if policy == "strict":
             errs.append(F.when(F.col(f"`{c}`").isNotNull(), F.lit(f"{c}: unknown field (dynamic=strict)")))
-        else:
-            # true / runtime: added as its own column; false: kept in _source only
+        elif policy != "runtime":
+            # true: added as its own column; false: kept in _source only
             out_cols.append(F.col(f"`{c}`"))
+    if unknown and policy == "runtime":     # no column of their own: read when a query names them
+        out_cols.append(F.to_variant_object(F.struct(*[F.col(f"`{c}`") for c in unknown])).alias(MORE))
     err_array = F.filter(F.array(*errs), lambda x: x.isNotNull()) if errs else F.array().cast("array<string>")
     staged = df.select(*out_cols, err_array.alias("_errors"), *[F.col(f"`{c}`").alias(f"__in__{c}") for c in in_types])
     good = staged.filter(F.size("_errors") == 0).select(*[F.col(f"`{c}`") for c in _out_names(mapping, meta, unknown, policy)])
@@ -530,7 +580,9 @@ def conform(mapping: Mapping, df: DataFrame, with_tokens: bool = True) -> tuple[
 
 def _out_names(mapping: Mapping, meta: list[str], unknown: list[str], policy: Any) -> list[str]:
     names = list(meta) + list(mapping.properties)
-    if policy != "strict":
+    if policy == "runtime":
+        names += [MORE] if unknown else []
+    elif policy != "strict":
         names += unknown
     return names
 

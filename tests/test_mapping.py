@@ -2,7 +2,7 @@
 
 import pytest
 
-from seekframe import Mapping, query_terms, tokenize
+from seekframe import Bool, Exists, Index, Mapping, Nested, Range, Term, matching, query_terms, tokenize
 from seekframe.functions.analysis import analyzer_from_settings
 
 
@@ -49,3 +49,71 @@ def test_ngram_analyzer(spark):
     got = [r[0] for r in df.select(an.column(df.t)).collect()]
     assert got == [an.terms("Abcd"), []]
     assert an.terms("Abcd") == ["ab", "abc", "bc", "bcd", "cd"]
+
+
+JSON = [(1, '{"a":7,"z":5,"o":{"b":"x","y":true}}'), (2, '{"a":"abc"}'), (3, "[1]"), (4, None), (5, "nope"), (6, '{"a":null,"z":"five"}'),
+        (7, '{"a":"8"}'), (8, "{}")]
+
+
+def json_rows(spark, rows=JSON):
+    return spark.createDataFrame(rows, "id long, doc string")
+
+
+def test_undeclared_fields_of_json_objects_stay(spark):
+    m = Mapping().long("id").object("doc", lambda o: o.integer("a").object("o", lambda i: i.keyword("b")))
+    good, bad = m.conform(json_rows(spark))
+    rows = {r["id"]: r["doc"] for r in good.collect()}
+    assert set(rows) == {1, 4, 6, 7, 8} and rows[4] is None and rows[1]["a"] == 7 and rows[7]["a"] == 8 and rows[1]["o"]["b"] == "x"
+    assert rows[1]["_more"].toJson() == '{"z":5}' and rows[1]["o"]["_more"].toJson() == '{"y":true}' and rows[7]["_more"] is None
+    assert {r["id"]: r["_errors"] for r in bad.collect()} == {2: ["doc.a: not an integer"], 3: ["doc: not an object"], 5: ["doc: not an object"]}
+    ix = Index(good, m, id_col="id")
+
+    def found(q):
+        return sorted(int(r["_id"]) for r in matching(ix, q, with_score=False).collect())
+
+    assert found(Term("doc.z", 5)) == [1] and found(Term("doc.z", "five")) == [6] and found(Range("doc.z", gt=4.5)) == [1]
+    assert found(Term("doc.o.y", True)) == [1] and found(Exists("doc.z")) == [1, 6] and found(Term("doc.none", 1)) == []
+
+
+def test_policies_at_every_level(spark):
+    inner = lambda i: i.keyword("b")
+    strict = Mapping().long("id").object("doc", lambda o: o.keyword("a").object("o", inner, dynamic="strict").keyword("z"))
+    good, bad = strict.conform(json_rows(spark))
+    assert {r["id"] for r in bad.filter("exists(_errors, e -> e like '%unknown%')").collect()} == {1}
+    outer = Mapping().long("id").object("doc", lambda o: o.keyword("a").object("o", inner, dynamic=True), dynamic="strict")
+    _, bad = outer.conform(json_rows(spark))
+    assert {r["id"]: r["_errors"] for r in bad.collect() if "unknown" in str(r["_errors"])} \
+        == {1: ["doc: unknown field"], 6: ["doc: unknown field"]}
+    quiet = Mapping().long("id").object("doc", lambda o: o.keyword("a"), dynamic=False)
+    good, _ = quiet.conform(json_rows(spark))
+    assert {r["id"]: r["doc"]["_more"] and r["doc"]["_more"].toJson() for r in good.collect() if r["doc"]}[6] == '{"z":"five"}'
+    with pytest.raises(ValueError, match="not searchable"):
+        matching(Index(good, quiet, id_col="id"), Term("doc.z", 5))
+    inherited = Mapping().long("id").dynamic("strict").object("doc", lambda o: o.keyword("a"))
+    assert {r["id"] for r in inherited.conform(json_rows(spark))[1].collect()} == {1, 3, 5, 6}
+
+
+def test_nested_elements_keep_or_reject_undeclared_fields(spark):
+    rows = [(1, '[{"a":1,"q":"x"},{"a":2}]'), (2, '[{"a":"no"},{"a":"no"}]'), (3, '{"a":3,"q":"y"}'), (4, "[1]"), (5, "[]"), (6, None)]
+    m = Mapping().long("id").nested("doc", lambda o: o.integer("a"))
+    good, bad = m.conform(json_rows(spark, rows))
+    assert {r["id"]: r["_errors"] for r in bad.collect()} == {2: ["doc.a: not an integer"], 4: ["doc: not a list of objects"]}
+    ix = Index(good, m, id_col="id")
+    both = Nested("doc", Bool(must=[Term("doc.q", "x"), Term("doc.a", 1)]))
+    neither = Nested("doc", Bool(must=[Term("doc.q", "x"), Term("doc.a", 2)]))
+    assert [r["_id"] for r in matching(ix, both).collect()] == ["1"] and matching(ix, neither).count() == 0
+    strict = Mapping().long("id").nested("doc", lambda o: o.integer("a"), dynamic="strict")
+    assert {r["id"] for r in strict.conform(json_rows(spark, rows))[1].collect()} == {1, 2, 3, 4}
+    structs = spark.sql("select 1L as id, array(named_struct('a', '1', 'q', 'x')) as doc union all select 2L, array(named_struct('a', 'n', 'q', null))")
+    good, bad = m.conform(structs)
+    assert good.first()["doc"][0].asDict() == {"a": 1, "q": "x"} and bad.first()["_errors"] == ["doc.a: not a integer"]
+    assert [r["id"] for r in strict.conform(structs)[1].orderBy("id").collect()] == [1, 2]
+
+
+def test_runtime_fields_are_read_by_predicates_alone(spark):
+    m = Mapping().long("id").dynamic("runtime")
+    df = spark.createDataFrame([(1, "red", 2.5), (2, "blue", None)], "id long, colour string, size double")
+    good, _ = m.conform(df)
+    assert good.columns == ["id", "_more"]
+    ix = Index(good, m, id_col="id")
+    assert [r["_id"] for r in matching(ix, Bool(filter=[Term("colour", "red"), Range("size", gte=2)])).collect()] == ["1"]
