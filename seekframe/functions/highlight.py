@@ -141,6 +141,55 @@ def wrap_hits(text: Column, terms: list[str], patterns: list[str],
     return out
 
 
+#: A phrase is its words in order; the last one may be a prefix.
+Phrase = tuple[tuple[str, ...], bool]
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), lambda v: body(v)), 1)
+
+
+def _with_phrases(text: Column, phrases: list[Phrase], body) -> Column:
+    """``body(pieces, hits)``: the text as words and what stands between them, and the numbers of the pieces
+    that are words of an occurrence of a phrase."""
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s){WORD_CLASS}+|(?:(?!{WORD_CLASS}).)+"), 0)
+
+    def words(p: Column) -> Column:
+        numbered = F.transform(p, lambda x, i: F.struct(F.lower(x).alias("w"), i.alias("i")))
+        return F.filter(numbered, lambda x: F.regexp_like(x["w"], F.lit(f"^{WORD_CLASS}")))
+
+    def places(w: Column, phrase: Phrase) -> Column:
+        terms, prefix = phrase
+        m = len(terms)
+
+        def here(k: Column) -> Column:
+            met = F.lit(True)
+            for j, t in enumerate(terms):
+                word = F.get(w, k + j)["w"]
+                met &= word.startswith(t) if prefix and j == m - 1 else word == F.lit(t)
+            return met
+
+        starts = F.filter(F.transform(w, lambda x, k: k), lambda k: (k <= F.size(w) - m) & here(k))
+        return F.flatten(F.transform(starts, lambda k: F.slice(w["i"], k + 1, m)))
+
+    return _let(pieces, lambda p: _let(words(p), lambda w: _let(
+        F.array_distinct(F.concat(*[places(w, ph) for ph in phrases])), lambda hits: body(p, hits))))
+
+
+def wrap_phrases(text: Column, phrases: list[Phrase], terms: list[str], pre: str, post: str) -> Column:
+    """Wrap the words of phrase occurrences, and no others; words that ``terms`` will wrap anyway are left to that."""
+    if not phrases:
+        return text
+
+    def marked(pieces: Column, hits: Column) -> Column:
+        return F.array_join(F.transform(pieces, lambda x, i: F.when(
+            F.array_contains(hits, i) & (~F.lower(x).isin(terms) if terms else F.lit(True)), F.concat(F.lit(pre), x, F.lit(post)))
+            .otherwise(x)), "")
+
+    return _with_phrases(text, phrases, marked)
+
+
 def _class_escape(chars: str) -> str:
     return "".join("\\" + c if c in "\\]^-[&" else {"\t": "\\t", "\n": "\\n"}.get(c, c) for c in chars)
 
@@ -158,8 +207,10 @@ def fragments(text: Column, scanner: str | None, size: int, boundary_chars: str,
 
 
 def highlight_column(text: Column, terms: list[str], patterns: list[str], hf: HighlightField,
-                     defaults: Highlight | None = None) -> Column:
-    """``array<string>`` of highlighted fragments of ``text`` (null when nothing to show)."""
+                     defaults: Highlight | None = None, phrases: list[Phrase] = ()) -> Column:
+    """``array<string>`` of highlighted fragments of ``text`` (null when nothing to show).
+
+    Words of ``phrases`` are wrapped where the whole phrase stands in the fragment."""
     d = defaults or Highlight()
     pre = list(hf.pre_tags or d.pre_tags or DEFAULT_PRE_TAGS)
     post = list(hf.post_tags or d.post_tags or DEFAULT_POST_TAGS)
@@ -173,8 +224,8 @@ def highlight_column(text: Column, terms: list[str], patterns: list[str], hf: Hi
         fallback = F.when(text.isNotNull(), F.array(F.substring(text, 1, no_match)))
     else:
         fallback = F.lit(None).cast("array<string>")
-    rx = hit_regex(terms, patterns)
-    if rx is None:
+    rx, phrases = hit_regex(terms, patterns), list(phrases)
+    if rx is None and not phrases:
         return fallback
     if nfrag == 0:
         frags = F.array(text)
@@ -182,15 +233,18 @@ def highlight_column(text: Column, terms: list[str], patterns: list[str], hf: Hi
         frags = fragments(text, hf.boundary_scanner, size,
                           hf.boundary_chars or DEFAULT_BOUNDARY_CHARS,
                           hf.boundary_max_scan or DEFAULT_BOUNDARY_MAX_SCAN)
-    rxl = F.lit(rx)
-    kept = F.filter(frags, lambda f: F.regexp_like(f, rxl))
+
+    def n_hits(f: Column) -> Column:
+        found = F.lit(0) if rx is None else F.size(F.regexp_extract_all(f, F.lit(rx), 0))
+        return found + _with_phrases(f, phrases, lambda p, hits: F.size(hits)) if phrases else found
+
+    kept = F.filter(frags, lambda f: F.regexp_like(f, F.lit(rx)) if not phrases else n_hits(f) > 0)
     if order == "score" and nfrag != 0:
-        ranked = F.transform(kept, lambda f, i: F.struct(
-            (-F.size(F.regexp_extract_all(f, rxl, 0))).alias("k"), i.alias("i"), f.alias("f")))
+        ranked = F.transform(kept, lambda f, i: F.struct((-n_hits(f)).alias("k"), i.alias("i"), f.alias("f")))
         kept = F.transform(F.array_sort(ranked), lambda s: s.getField("f"))
     if nfrag:
         kept = F.slice(kept, 1, nfrag)
-    wrapped = F.transform(kept, lambda f: wrap_hits(f, terms, patterns, pre, post))
+    wrapped = F.transform(kept, lambda f: wrap_hits(wrap_phrases(f, phrases, terms, pre[0], post[0]), terms, patterns, pre, post))
     return F.when(F.size(kept) > 0, wrapped).otherwise(fallback)
 
 

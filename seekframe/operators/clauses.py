@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.analysis import query_terms
+from ..functions.highlight import Phrase
 from ..functions.scoring import bm25, idf, tf_norm
 from ..sources.index import Index, ResolvedField
 
@@ -1057,10 +1058,24 @@ def prepare(index: Index, clause) -> Index:
 # ---------------------------------------------------------------------------
 
 
-def highlight_terms(clause: Clause | None, fname: str, index: Index) -> tuple[list[str], list[str]]:
-    """(exact terms, wildcard patterns) that ``clause`` looks for in ``fname``."""
+def highlight_terms(clause: Clause | None, fname: str, index: Index) -> tuple[list[str], list[str], list[Phrase]]:
+    """(exact terms, wildcard patterns, phrases) that ``clause`` looks for in ``fname``."""
     terms: list[str] = []
     pats: list[str] = []
+    phrases: list[Phrase] = []
+
+    def phrase(q, analyzer, prefix=False):
+        """A phrase's words in order; a phrase of one word is a term or a prefix."""
+        try:
+            rf = index.field(fname)
+            analyzer = analyzer or rf.search_analyzer
+        except ValueError:
+            pass
+        seq = index.analyzers.get(analyzer).terms(str(q))
+        if len(seq) > 1:
+            phrases.append((tuple(seq), prefix))
+        else:
+            (pats if prefix else terms).extend(t + "*" if prefix else t for t in seq)
 
     def an_terms(q, analyzer, rf_name):
         try:
@@ -1075,13 +1090,10 @@ def highlight_terms(clause: Clause | None, fname: str, index: Index) -> tuple[li
             return
         if isinstance(c, dict):
             c = from_dict(c)
-        if isinstance(c, (Match, MatchPhrase)) and c.field == fname:
+        if isinstance(c, Match) and c.field == fname:
             terms.extend(an_terms(c.query, c.analyzer, fname))
-        elif isinstance(c, MatchPhrasePrefix) and c.field == fname:
-            seq = an_terms(c.query, c.analyzer, fname)
-            terms.extend(seq[:-1])
-            if seq:
-                pats.append(seq[-1] + "*")
+        elif isinstance(c, (MatchPhrase, MatchPhrasePrefix)) and c.field == fname:
+            phrase(c.query, c.analyzer, isinstance(c, MatchPhrasePrefix))
         elif isinstance(c, Term) and c.field == fname:
             terms.append(str(c.value))
         elif isinstance(c, Terms) and c.field == fname:
@@ -1092,9 +1104,10 @@ def highlight_terms(clause: Clause | None, fname: str, index: Index) -> tuple[li
             names = [f for f, _ in parse_fields(c.fields)]
             if fname in names:
                 seq = an_terms(c.query, c.analyzer, fname)
-                if c.type in ("phrase_prefix", "bool_prefix") and seq:
-                    terms.extend(seq[:-1] if c.type == "phrase_prefix" else [])
-                    pats.extend([seq[-1] + "*"] if c.type == "phrase_prefix" else [t + "*" for t in seq])
+                if c.type in ("phrase", "phrase_prefix"):
+                    phrase(c.query, c.analyzer, c.type == "phrase_prefix")
+                elif c.type == "bool_prefix":
+                    pats.extend(t + "*" for t in seq)
                 else:
                     terms.extend(seq)
         elif isinstance(c, Bool):
@@ -1106,4 +1119,4 @@ def highlight_terms(clause: Clause | None, fname: str, index: Index) -> tuple[li
             walk(c.query)
 
     walk(clause)
-    return list(dict.fromkeys(terms)), list(dict.fromkeys(pats))
+    return list(dict.fromkeys(terms)), list(dict.fromkeys(pats)), list(dict.fromkeys(phrases))

@@ -217,15 +217,16 @@ def _highlight_map(index: Index, query, hl: Highlight) -> Column | None:
     for hf in hl.fields:
         q = hf.highlight_query or hl.highlight_query or query
         names = [hf.name] + [m for m in hf.matched_fields if m != hf.name]
-        terms, pats = [], []
+        terms, pats, phrases = [], [], []
         for n in names:
-            t, p = highlight_terms(q, n, index)
+            t, p, ph = highlight_terms(q, n, index)
             terms += t
             pats += p
+            phrases += ph
         terms, pats = list(dict.fromkeys(terms)), list(dict.fromkeys(pats))
         base = index.field(hf.name).value if "." not in hf.name or hf.name.split(".")[0] in index.df.columns \
             else F.col(hf.name)
-        entries += [F.lit(hf.name), highlight_column(base, terms, pats, hf, hl)]
+        entries += [F.lit(hf.name), highlight_column(base, terms, pats, hf, hl, list(dict.fromkeys(phrases)))]
     if not entries:
         return None
     return F.map_filter(F.create_map(*entries), lambda k, v: v.isNotNull())

@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import mutate
-from ..operators.clauses import Bool, Match, Nested, Range, Term, Terms
+from ..functions.highlight import Highlight, get_highlight_first
+from ..operators.clauses import Bool, Match, MatchPhrase, Nested, Range, Term, Terms
 from ..operators.batch import batch_search
 from ..operators.dictionary import (build_dictionary, fuzzy_stored, phrase_prefix_stored, phrase_stored, wildcard_stored,
                                     write_dictionary)
@@ -17,7 +18,7 @@ from ..operators.search import matching, search
 from ..session import checkpoint_dir, gone_at_exit
 from ..sources.index import Index
 from ..sources.mapping import Mapping
-from .catalog import FLAGSHIP_TEXT, events_index, part_index, register, table
+from .catalog import FLAGSHIP_TEXT, documents_index, events_index, part_index, register, table
 from .catalog_more import docs_with_labels, hits, ids_scores
 
 #: Cursor values between and on events of the driver table, in milliseconds with microseconds behind the point.
@@ -172,6 +173,14 @@ def dynamic_runtime(spark, d):
     return matching(ix, q, with_score=False).select("_id", F.concat_ws(",", F.array(*map(F.lit, good.columns))).alias("columns"))
 
 
+@register("highlight_phrase")
+def highlight_phrase(spark, d):
+    """Only words of the phrase's own occurrences are tagged."""
+    res = search(documents_index(spark, d), MatchPhrase("text", "of the"), sort=[("n_chars", "desc")], size=30, source=False,
+                 highlight=Highlight(number_of_fragments=0).field("text"))
+    return res.hits.select("_id", get_highlight_first(F.col("_highlight"), "text").alias("text_hl"))
+
+
 def stored_documents(spark, d, positions=False) -> Index:
     """Documents as ingest leaves them in the shared folder: tokens, postings and statistics are written once."""
     root = f"{checkpoint_dir(spark)}/search-{uuid.uuid4().hex}"

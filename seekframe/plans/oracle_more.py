@@ -577,3 +577,12 @@ sql("dynamic_nested", SQL["nested_exists"])
 sql("dynamic_runtime", """
 SELECT CAST(event_id AS VARCHAR) AS _id, 'event_id,_more' AS columns FROM events
 WHERE event_type = 'click' AND value >= 50 AND user_id IN (1, 2, 3, 5, 8, 13, 21, 34)""")
+
+_PIECE = r"[\p{L}\p{N}\p{M}_]+|[^\p{L}\p{N}\p{M}_]+"
+sql("highlight_phrase", f"""
+WITH {D},
+h AS (SELECT *, regexp_extract_all(text, {q(_PIECE)}) AS p FROM d WHERE contains({padded('tok')}, ' of  the ')
+      ORDER BY n_chars DESC, CAST(doc_id AS VARCHAR) LIMIT 30)
+SELECT {doc_id()}, array_to_string(list_transform(p, lambda x, i: CASE
+  WHEN lower(x) = 'of' AND lower(p[i + 2]) = 'the' OR lower(x) = 'the' AND i > 2 AND lower(p[i - 2]) = 'of' THEN '<em>' || x || '</em>'
+  ELSE x END), '') AS text_hl FROM h""")
