@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Callable, Iterator
 
 import ahocorasick
@@ -79,7 +80,7 @@ class BytePairs:
         self.ranks = ranks
         self.bytes_of = {r: b for b, r in ranks.items()}
         self._split = regex.compile(pattern).findall
-        self._memo = _Recent(lambda p: np.array(self.encode_piece(p.encode()), "<u4").tobytes(), memo, lambda p: len(p) <= KEEP)
+        self._memo = _Recent(lambda p: self._packed(self.encode_piece(p.encode())), memo, lambda p: len(p) <= KEEP)
         self._compatible = _Recent(lambda pair: pair[1] not in self.unreachable and self._separate(*pair), 4 * memo)
         if tables is None:
             self._trie()
@@ -179,6 +180,10 @@ class BytePairs:
                 token = longest[at] if at < n else None
         return out
 
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
         return b"".join(map(self._memo.__getitem__, self._split(text)))
