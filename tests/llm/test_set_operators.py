@@ -300,11 +300,24 @@ def test_top_k_against_sql(spark):
     assert topk_digest(e.limit(0)).count() == 0
 
 
-def test_top_k_blocks_agree(spark, monkeypatch):
-    import seekframe.llm.topk as t
+def test_top_k_blocks_agree(spark):
     rng = random.Random(2)
-    e = spark.createDataFrame([(i, [rng.uniform(-1, 1) for _ in range(8)]) for i in range(500)], "vec_id long, embedding array<float>")
+    e = spark.createDataFrame([(i, [rng.uniform(-1, 1) for _ in range(8)]) for i in range(500)]
+                              + [(7, [0.5] * 8), (900, [0.1, 0.2]), (903, [0.3, 0.1])], "vec_id long, embedding array<float>")
     one = rows(top_k(e, F.col("vec_id") % 7 == 0, k=5))
-    monkeypatch.setattr(t, "QUERY_BLOCK", 10)
-    monkeypatch.setattr(t, "VECTOR_BLOCK", 60)
-    assert rows(top_k(e, F.col("vec_id") % 7 == 0, k=5)) == one
+    for block in (60, 13):
+        assert rows(top_k(e, F.col("vec_id") % 7 == 0, k=5, block=block)) == one
+
+
+def test_a_floor_stops_the_walk_early_and_loses_nothing():
+    from seekframe.llm.topk import threshold_search
+    rng = np.random.default_rng(4)
+    x = np.floor(rng.normal(size=(3000, 6)) * 100)
+    ids = np.arange(3000)
+    lists = np.ascontiguousarray(np.argsort(x, axis=0, kind="stable").T)
+    for _ in range(20):
+        q = np.floor(rng.normal(size=6) * 100)
+        full = sorted(zip(-(x @ q), ids))[:10]
+        floor = -full[4][0]
+        got_id, got = threshold_search(ids, x, lists, q, -1, 10, floor)
+        assert [(-s, i) for i, s in zip(got_id, got) if s >= floor] == [r for r in full if -r[0] >= floor]
