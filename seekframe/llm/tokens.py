@@ -11,7 +11,8 @@ same when executors are lost.
 Training order: a keyed Feistel network permutes the smallest even-bit domain
 that holds N, and cycle-walking (applying it again to whatever lands at N or
 beyond) makes it a permutation of 0 to N - 1.  The permuted number is the
-sequence's slot; ``per_shard`` neighbouring slots make a shard.  Every shard is
+sequence's slot; ``per_shard`` neighbouring slots make a shard.  Slots are
+range-partitioned by whole shards, each range written in order.  Every shard is
 one sorted file of records of the same size, so slot s lies in shard
 s // per_shard at byte (s % per_shard) * stride, which is all that a reader
 needs to read on from any slot.  Files are written by Spark's text writer, so
@@ -48,6 +49,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 END = 50256
 ROUNDS = 6
+#: Sequences of a shard: some 17 MB at the default length.
+PER_SHARD = 8192
 
 
 def load_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
@@ -129,9 +132,12 @@ def sequences(docs: DataFrame, *, vocabulary: str = VOCABULARY, length: int = 10
     return docs.select("text").mapInArrow(fn, "pid int, local long, record binary")
 
 
-def write_shards(docs: DataFrame, path: str, *, vocabulary: str = VOCABULARY, length: int = 1024, per_shard: int = 2048,
+def write_shards(docs: DataFrame, path: str, *, vocabulary: str = VOCABULARY, length: int = 1024, per_shard: int = PER_SHARD,
                  key: int = 20240229, passes: int = 4) -> int:
-    """Write the shards below ``path``, which must be new, in ``passes`` ranges; returns the number of sequences."""
+    """Write the shards below ``path``, which must be new, in ``passes`` ranges; returns the number of sequences.
+
+    A task takes a range of neighbouring shards, whole ones, in slot order, so it writes one file for each of them.
+    """
     spark = docs.sparkSession
     numbered = stored(sequences(docs, vocabulary=vocabulary, length=length), "sequences", compression="zstd")
     # one row for each task of the scan
@@ -156,13 +162,13 @@ def write_shards(docs: DataFrame, path: str, *, vocabulary: str = VOCABULARY, le
     with shuffles_freed(spark):
         for lo in range(0, shards, step):
             (placed.filter((F.col("shard") >= lo) & (F.col("shard") < lo + step))
-             .repartition(step, "shard").sortWithinPartitions("shard", "slot")
+             .repartitionByRange(step, "shard").sortWithinPartitions("shard", "slot")
              .select("shard", F.col("record").cast("string").alias("value"))
              .write.mode("append").partitionBy("shard").option("lineSep", "\n").text(path))
     return size
 
 
-def read_shards(spark: SparkSession, path: str, *, length: int = 1024, per_shard: int = 2048, start: int = 0) -> DataFrame:
+def read_shards(spark: SparkSession, path: str, *, length: int = 1024, per_shard: int = PER_SHARD, start: int = 0) -> DataFrame:
     """slot, shard, n_tokens and ids of every sequence from slot ``start`` on; earlier shards are not opened."""
     stride = 4 + 2 * length + 1
 
