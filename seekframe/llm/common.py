@@ -12,6 +12,8 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seekframe.session import gone_at_exit
+
 #: Words of the word-based contracts: ASCII digits, lower-case letters, anything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -97,4 +99,5 @@ def stored(df: DataFrame, name: str, *, compression: str = "snappy") -> DataFram
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
     with shuffles_freed(spark):
         df.write.parquet(path, compression=compression)
+    gone_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)

@@ -58,6 +58,8 @@ EMPTY = 0xFFFF
 CACHE = 300_000
 #: Most texts that a block of the last comparison holds on average.
 BLOCK = 256
+#: Shingles that a block holds, some, whatever its texts are long (but for a longer single text).
+BLOCK_SHINGLES = 100_000
 _LOW = np.uint64(64 - BUCKET_BITS)
 _MASK = np.uint64((1 << (64 - BUCKET_BITS)) - 1)
 _STARTS = np.arange(REGISTERS, dtype=np.uint64) << _LOW
@@ -290,9 +292,11 @@ def _block_links(texts: DataFrame, classes: DataFrame, labelled: DataFrame, *, p
                    .select("cid", "component", "cluster", "n", "shared", (F.col("component") != F.col("cluster")).alias("single")),
                    "alive")
     reach = [F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("shared").alias("most")]
-    sizes = stored(alive.groupBy("cluster", "single").agg(F.count(F.lit(1)).alias("size")), "sizes")
+    # a block is bounded in texts and in the shingles that these hold
+    parts = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES))
+    sizes = stored(alive.groupBy("cluster", "single").agg(parts.alias("parts")), "sizes")
     blocks = stored(alive.join(sizes, ["cluster", "single"])
-                    .withColumn("block", F.pmod(F.xxhash64("cid"), F.ceil(F.col("size") / BLOCK))).join(texts, "cid")
+                    .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("parts"))).join(texts, "cid")
                     .groupBy("cluster", "single", "block")
                     .agg(F.collect_list(F.struct("cid", "component", "text")).alias("texts"), *reach), "blocks")
 
@@ -310,45 +314,54 @@ def _block_links(texts: DataFrame, classes: DataFrame, labelled: DataFrame, *, p
     within = sizes.filter("single").select(F.col("cluster").alias("k1"), F.col("cluster").alias("k2"))
     near = stored(across.union(within), "cluster-pairs")
     order = lambda side: F.struct(f"{side}.cluster", f"{side}.single", f"{side}.block")
+
+    def side(name: str, which: int):
+        return F.transform(f"{name}.texts", lambda x: F.struct(F.lit(which).alias("side"), x["cid"].alias("cid"),
+                                                               x["component"].alias("component"), x["text"].alias("text")))
+
     both = (near.alias("p").join(blocks.alias("x"), F.col("p.k1") == F.col("x.cluster"))
             .join(blocks.alias("y"), (F.col("p.k2") == F.col("y.cluster")) & fits("x", "y") & (order("x") <= order("y"))
                   & ((F.col("p.k1") != F.col("p.k2")) | F.col("x.single") | F.col("y.single")))
-            .select(F.col("x.texts").alias("t1"), F.col("y.texts").alias("t2")))
+            .select(F.monotonically_increasing_id().alias("pair"), F.concat(side("x", 0), side("y", 1)).alias("texts"))
+            .select("pair", F.inline("texts")))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The texts of a pair of blocks come one after the other, a row each."""
         cache = _WordHash()
 
-        def sets(texts: pa.Scalar) -> list[tuple[int, int, set]]:
-            return [(x["cid"], x["component"], set(shingle_hashes(x["text"], cache, shingle).tolist())) for x in texts.as_py()]
+        def links(one: list, two: list) -> Iterator[tuple[int, int]]:
+            joined: dict[int, int] = {}                 # components that a link of this pair of blocks has joined already
+
+            def top(k: int) -> int:
+                while k in joined:
+                    k = joined[k]
+                return k
+
+            for u, ku, a in one:
+                for v, kv, c in two:
+                    if ku == kv or 100 * min(len(a), len(c)) < percent * max(len(a), len(c)) or top(ku) == top(kv):
+                        continue
+                    if (100 + percent) * len(a & c) >= percent * (len(a) + len(c)):
+                        joined[top(ku)] = top(kv)
+                        yield u, v
+
+        def batch(found: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([u for u, _ in found], pa.int64()), pa.array([v for _, v in found], pa.int64())],
+                                              names=["u", "v"])
 
+        last, sides = None, ([], [])
         for b in batches:
-            us, vs = [], []
-            for t1, t2 in zip(b.column("t1"), b.column("t2")):
-                one, two = sets(t1), sets(t2)
-                joined: dict[int, int] = {}             # components that a link of this pair of blocks has joined already
-
-                def top(k: int) -> int:
-                    while k in joined:
-                        k = joined[k]
-                    return k
-
-                for u, ku, a in one:
-                    for v, kv, c in two:
-                        if ku == kv or 100 * min(len(a), len(c)) < percent * max(len(a), len(c)) or top(ku) == top(kv):
-                            continue
-                        if (100 + percent) * len(a & c) >= percent * (len(a) + len(c)):
-                            joined[top(ku)] = top(kv)
-                            us.append(u)
-                            vs.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
-
-    conf, name = texts.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    was = conf.get(name)
-    conf.set(name, "4")                                  # a row holds two blocks of texts
-    try:
-        return stored(both.mapInArrow(compare, "u long, v long"), "block-links")
-    finally:
-        conf.set(name, was)
+            found: list[tuple[int, int]] = []
+            rows = (b.column(c).to_pylist() for c in ("pair", "side", "cid", "component"))
+            for pair, which, cid, component, text in zip(*rows, b.column("text")):
+                if pair != last:
+                    found += links(*sides)
+                    last, sides = pair, ([], [])
+                sides[which].append((cid, component, set(shingle_hashes(text.as_py(), cache, shingle).tolist())))
+            yield batch(found)
+        yield batch(list(links(*sides)))
+
+    return stored(both.mapInArrow(compare, "u long, v long"), "block-links")
 
 
 def near_duplicates(docs: DataFrame, *, percent: int = 85, shingle: int = 3) -> DataFrame:
