@@ -30,10 +30,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scoring import bm25, idf, round_score, tf_norm
 from ..session import staged
-from .postings import SearchTables, query_term_table
+from ..sources.index import Index
+from .postings import SearchTables, query_term_table, scan_tables
 
 #: More than rounding can move a score.
 _MARGIN = 1e-5
@@ -129,6 +131,38 @@ def batch_search(tables: SearchTables, queries: DataFrame, query_col: str, id_co
         F.col("asked").alias("query_id"), "_id", "_score", "rank")
 
 
+def each_items(index: Index, items: DataFrame, item_col: str, field: str, *, boost_col: str | None = None) -> DataFrame:
+    """One should-clause for every row of ``items`` (``_id``, ``_score`` of the documents that any of them matches).
+
+    On a text field an item is matched like a query, elsewhere it is one value.  Items
+    are summed up by term first, so a document costs as many rows as it holds terms of any item.
+    """
+    boost = F.lit(1.0) if boost_col is None else F.coalesce(F.col(boost_col).cast("double"), F.lit(1.0))
+    rf = index.field(field)
+    if rf.is_text:
+        an = index.analyzers.get(rf.search_analyzer)
+        terms = items.select(F.explode(F.array_distinct(an.column(F.col(item_col)))).alias("term"), boost.alias("boost"))
+        terms = staged(terms.groupBy("term").agg(F.sum("boost").alias("boost")), "items")
+        tables = index.stats if index.stats is not None and field in index.stats.fields else scan_tables(index, field, terms)
+        n, avgdl = tables.scalar("n_docs", field), tables.scalar("avgdl", field)
+        known = terms.join(tables.term_stats.filter(F.col("field") == F.lit(field)).select("term", "df"), "term")
+        post = tables.postings.filter(F.col("field") == F.lit(field)).select("term", "_id", "tf", "dl")
+        part = F.col("boost") * bm25(F.col("tf"), F.col("dl"), n, F.col("df"), avgdl)
+        return post.join(known, "term").groupBy("_id").agg(round_score(F.sum(part)).alias("_score"))
+    value = F.col(item_col).cast(rf.element_type)
+    if rf.spec.normalizer in ("lowercase", "lower"):
+        value = F.lower(value)
+    wanted = (items.select(value.alias("value"), boost.alias("boost")).filter("value is not null")
+              .groupBy("value").agg(F.sum("boost").alias("boost")))
+    held = index.df.select("_id", (F.explode(F.array_distinct(rf.predicate_value)) if rf.is_array else rf.predicate_value).alias("value"))
+    hits = held.join(wanted, "value")
+    if isinstance(rf.element_type, T.StringType):            # keyword: a value's weight is its idf
+        n = index.df.agg(F.count_if(rf.value.isNotNull())).scalar()
+        hits = hits.join(hits.groupBy("value").agg(F.count(F.lit(1)).alias("df")), "value")
+        hits = hits.withColumn("boost", F.col("boost") * idf(n, F.col("df")))
+    return hits.groupBy("_id").agg(round_score(F.sum("boost")).alias("_score"))
+
+
 def postings_search(tables: SearchTables, field: str, terms: list[str], k: int = 10) -> DataFrame:
     """One query answered from the postings (reads only the rows of its terms)."""
     spark = tables.postings.sparkSession

@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
 from typing import Any, Callable, Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,8 +51,10 @@ class Term(Clause):
 
 @dataclass
 class Terms(Clause):
+    """Any of the values: a list, or a DataFrame of one column where there are many."""
+
     field: str
-    values: list
+    values: list | DataFrame
     boost: float | None = None
 
 
@@ -490,6 +492,8 @@ def _c_term(c: Term, ctx: Context) -> Compiled:
 
 
 def _c_terms(c: Terms, ctx: Context) -> Compiled:
+    if isinstance(c.values, DataFrame):
+        return _c_terms_of(c, ctx)
     vals = list(c.values or [])
     rf = ctx.field(c.field, vals[0] if vals else None)
     if not vals:
@@ -505,6 +509,24 @@ def _c_terms(c: Terms, ctx: Context) -> Compiled:
     return Compiled(matched, F.lit(_boost(c)))
 
 
+def _c_terms_of(c: Terms, ctx: Context) -> Compiled:
+    """Values from a table, as a subquery that Spark plans as a semi join (or an existence join inside other clauses)."""
+    name = c.values.columns[0]
+    sample = {"double": 0.0, "float": 0.0, "bigint": 0, "int": 0, "boolean": True}.get(c.values.dtypes[0][1], "")
+    rf = ctx.field(c.field, sample)
+    value = F.col(f"`{name}`").cast("string" if rf.is_text else rf.element_type)
+    if rf.spec.normalizer in ("lowercase", "lower"):
+        value = F.lower(value)
+    values = c.values.select(value.alias("_value")).filter("_value is not null").distinct()
+    if not rf.is_text and not rf.is_array:
+        return Compiled(rf.predicate_value.isin(values), F.lit(_boost(c)))
+    if ctx.element is not None:
+        raise ValueError(f"{c.field}: a table of values needs one value a row or element")
+    # documents by the terms they hold: no subquery goes into a row's array
+    held = ctx.index.df.select("_id", F.explode(rf.tokens if rf.is_text else rf.predicate_value).alias("_value"))
+    return Compiled(F.col("_id").isin(held.join(values, "_value", "left_semi").select("_id")), F.lit(_boost(c)))
+
+
 def fuzzy_max_edits(term: str, fuzziness) -> int:
     """Edits allowed for ``term``; ``AUTO`` = 0 below 3 chars, 1 for 3-5, 2 above."""
     if fuzziness is None:
@@ -1097,7 +1119,7 @@ def highlight_terms(clause: Clause | None, fname: str, index: Index) -> tuple[li
         elif isinstance(c, Term) and c.field == fname:
             terms.append(str(c.value))
         elif isinstance(c, Terms) and c.field == fname:
-            terms.extend(str(v) for v in c.values)
+            terms.extend(str(v) for v in c.values if not isinstance(c.values, DataFrame))
         elif isinstance(c, Wildcard) and c.field == fname:
             pats.append(str(c.value))
         elif isinstance(c, MultiMatch):

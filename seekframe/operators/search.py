@@ -13,11 +13,13 @@ from __future__ import annotations
 
 import fnmatch
 import json
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from decimal import Decimal
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -183,13 +185,34 @@ def source_columns(index: Index, source) -> list[Column]:
 # ---------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Page:
+    """A page that was run: its rows, the number of all matches, and the cursor of the next page."""
+
+    rows: list
+    total: int
+    cursor: str | None
+
+    @property
+    def is_empty(self) -> bool:
+        return not self.rows
+
+
 class SearchResult:
     """Lazy search result.  ``hits`` is the page; ``matches`` every matching
-    row (with ``_score``), from which ``total`` is counted."""
+    row (with ``_score``), from which ``total`` is counted.  ``page()`` gives
+    rows, total and cursor from one run."""
 
-    def __init__(self, hits: DataFrame, matches: DataFrame):
-        self.hits = hits
+    def __init__(self, matches: DataFrame, paged: Callable[[DataFrame], DataFrame]):
         self.matches = matches
+        self._paged = paged
+        self.hits = paged(matches)
+
+    def page(self) -> Page:
+        """Run the search once: matches are counted on their way into the page."""
+        seen = Observation(f"matches-{uuid.uuid4().hex}")
+        rows = self._paged(self.matches.observe(seen, F.count(F.lit(1)).alias("total"))).collect()
+        return Page(rows, seen.get["total"], rows[-1]["_sort"] if rows else None)
 
     @property
     def total(self) -> int:
@@ -255,27 +278,28 @@ def search(index: Index, query: Clause | dict | None = None, *, sort=None, size:
     key_cols = [(c, o, dt) for c, dt, o in sorts]
     sort_json = F.concat(F.lit("["), F.concat_ws(",", *[sort_value_json(c, dt) for c, _, dt in key_cols]), F.lit("]"))
     values = search_after if search_after is not None else decode_cursor(cursor)
-    page = scored
     if values:
         if len(values) > len(key_cols):
             raise ValueError(f"{len(values)} cursor values for {len(key_cols)} sort keys")
         if len(values) < len(key_cols):
             # a cursor may omit the implicit _id tie-break: pad with nothing after it
             values = list(values) + [None] * (len(key_cols) - len(values))
-        page = page.filter(keyset_after([(c, o, _cursor_literal(v, dt))
-                                         for (c, o, dt), v in zip(key_cols, values)]))
     order = [c.asc_nulls_last() if o == "asc" else c.desc_nulls_last() for c, o, _ in key_cols]
-    page = page.withColumn("_sort", sort_json).orderBy(*order)
-    if from_:
-        page = page.offset(int(from_))
-    page = page.limit(int(size))
     cols = [F.col("_index"), F.col("_id"), F.col("_score")] + source_columns(index, source) + [F.col("_sort")]
     if highlight is not None:
         hmap = _highlight_map(index, query, highlight)
         if hmap is not None:
             cols.append(hmap.alias("_highlight"))
-    hits = page.select(*cols)
-    return SearchResult(hits, scored)
+
+    def paged(page: DataFrame) -> DataFrame:
+        if values:
+            page = page.filter(keyset_after([(c, o, _cursor_literal(v, dt)) for (c, o, dt), v in zip(key_cols, values)]))
+        page = page.withColumn("_sort", sort_json).orderBy(*order)
+        if from_:
+            page = page.offset(int(from_))
+        return page.limit(int(size)).select(*cols)
+
+    return SearchResult(scored, paged)
 
 
 def matching(index: Index, query: Clause | dict | None = None, with_score: bool = True) -> DataFrame:

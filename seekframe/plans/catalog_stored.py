@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import mutate
 from ..functions.highlight import Highlight, get_highlight_first
 from ..operators.clauses import Bool, Match, MatchPhrase, Nested, Range, Term, Terms
-from ..operators.batch import batch_search
+from ..operators.batch import batch_search, each_items
 from ..operators.dictionary import (build_dictionary, fuzzy_stored, phrase_prefix_stored, phrase_stored, wildcard_stored,
                                     write_dictionary)
 from ..operators.postings import build_tables, refresh_tables, write_tables
@@ -18,6 +18,7 @@ from ..operators.search import matching, search
 from ..session import checkpoint_dir, gone_at_exit
 from ..sources.index import Index
 from ..sources.mapping import Mapping
+from ..sources.tables import write_bucketed
 from .catalog import FLAGSHIP_TEXT, documents_index, events_index, part_index, register, table
 from .catalog_more import docs_with_labels, hits, ids_scores
 
@@ -257,3 +258,55 @@ def stats_refresh(spark, d):
     tables = refresh_tables(old.stats, old, new, changed)
     return tables.term_stats.select("term", "df").unionByName(tables.field_stats.select(
         F.lit(None).cast("string").alias("term"), F.expr("n * 1000000000 + sum_dl").alias("df")))
+
+
+# ---- clauses from tables, page and total in one run, layout that joins use ----
+
+@register("terms_table")
+def terms_table(spark, d):
+    """Orders of the customers of one segment, without those that hold a returned item of full quantity."""
+    buyers = table(spark, d, "customer").filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey")
+    full = table(spark, d, "lineitem").filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 49)).select("l_orderkey")
+    m = Mapping().long("o_orderkey").long("o_custkey").keyword("o_orderstatus")
+    ix = Index(table(spark, d, "orders"), m, name="orders", id_col="o_orderkey")
+    return ids_scores(matching(ix, Bool(must=[Terms("o_custkey", buyers, boost=2.0)], must_not=[Terms("o_orderkey", full)])))
+
+
+@register("terms_table_text")
+def terms_table_text(spark, d):
+    """Documents that hold any word of the short benchmark items, French ones aside."""
+    words = table(spark, d, "benchmark").filter(F.col("item_id") % 7 == 0).select(F.explode(F.split(F.lower("text"), " ")).alias("word"))
+    return ids_scores(matching(documents_index(spark, d), Bool(filter=[Terms("text", words)], must_not=[Term("lang", "fr")])))
+
+
+@register("each_items_table")
+def each_items_table(spark, d):
+    """A should-clause for every benchmark item: its first three words, boosted by its number."""
+    items = table(spark, d, "benchmark").select(F.array_join(F.slice(F.split("text", " "), 1, 3), " ").alias("words"),
+                                                (F.col("item_id") % 3 + 1).alias("boost"))
+    return each_items(documents_index(spark, d), items, "words", "text", boost_col="boost")
+
+
+@register("page_and_total")
+def page_and_total(spark, d):
+    """Rows, total, cursor and empty flag of a page from one run."""
+    res = search(documents_index(spark, d), Bool(must=[Match("text", FLAGSHIP_TEXT)], filter=[Term("lang", "en")]),
+                 sort=[("n_chars", "desc")], size=25, source=["n_chars"])
+    page = res.page()
+    rows = [(r["_id"], r["n_chars"], page.total, r["_sort"] == page.cursor, page.is_empty) for r in page.rows]
+    return spark.createDataFrame(rows, "_id string, n_chars long, total long, last boolean, empty boolean")
+
+
+@register("bucketed_join")
+def bucketed_join(spark, d):
+    """Orders and items in buckets by order: neither side of the join nor the sums by order are exchanged."""
+    run = uuid.uuid4().hex
+    tables = []
+    for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        path = f"{checkpoint_dir(spark)}/search-{name}-{run}"
+        keyed = table(spark, d, name).withColumn("_id", F.col(key).cast("string"))
+        tables.append(write_bucketed(keyed, f"bucketed_{name}_{run}", "_id", 16, path))
+        gone_at_exit(spark, path)
+    orders, items = tables
+    return (orders.select("_id", "o_orderstatus").join(items.select("_id", "l_linenumber"), "_id")
+            .groupBy("_id", "o_orderstatus").agg(F.count("l_linenumber").alias("n_items")))

@@ -586,3 +586,27 @@ h AS (SELECT *, regexp_extract_all(text, {q(_PIECE)}) AS p FROM d WHERE contains
 SELECT {doc_id()}, array_to_string(list_transform(p, lambda x, i: CASE
   WHEN lower(x) = 'of' AND lower(p[i + 2]) = 'the' OR lower(x) = 'the' AND i > 2 AND lower(p[i - 2]) = 'of' THEN '<em>' || x || '</em>'
   ELSE x END), '') AS text_hl FROM h""")
+
+sql("terms_table", f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS _id, {dbl(2.0)} AS _score FROM orders
+WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
+  AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 49)""")
+sql("terms_table_text", f"""
+WITH {D}, w AS (SELECT list(DISTINCT word) AS ws FROM (SELECT unnest(string_split(lower(text), ' ')) AS word FROM benchmark WHERE item_id % 7 = 0))
+SELECT {doc_id()}, {ZERO} AS _score FROM d, w WHERE list_has_any(tok, ws) AND lang <> 'fr'""")
+sql("each_items_table", f"""
+WITH {D},
+st AS (SELECT count(*) FILTER (WHERE tok IS NOT NULL) AS n, CAST(sum(len(tok)) AS DOUBLE) AS sdl FROM d),
+p AS (SELECT CAST(doc_id AS VARCHAR) AS _id, term, count(*) AS tf, len(tok) AS dl FROM (SELECT doc_id, tok, unnest(tok) AS term FROM d) GROUP BY ALL),
+ts AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+i AS (SELECT term, CAST(sum(item_id % 3 + 1) AS DOUBLE) AS boost
+      FROM (SELECT item_id, unnest(list_distinct({tok("array_to_string(string_split(text, ' ')[1:3], ' ')")})) AS term FROM benchmark) GROUP BY term)
+SELECT p._id, round(sum(i.boost * {bm25('p.tf', 'p.dl', 'st.n', 'ts.df', '(st.sdl / CAST(st.n AS DOUBLE))')}), 6) AS _score
+FROM i JOIN p USING (term) JOIN ts USING (term), st GROUP BY p._id""")
+sql("page_and_total", f"""
+WITH {D}, m AS (SELECT *, CAST(doc_id AS VARCHAR) AS _id, count(*) OVER () AS total FROM d WHERE {any_term('tok', ['ering', 'retion'])} AND lang = 'en'),
+r AS (SELECT * FROM m ORDER BY n_chars DESC, _id LIMIT 25)
+SELECT _id, n_chars, total, row_number() OVER (ORDER BY n_chars DESC, _id) = (SELECT count(*) FROM r) AS last, false AS empty FROM r""")
+sql("bucketed_join", """
+SELECT CAST(o_orderkey AS VARCHAR) AS _id, o_orderstatus, count(*) AS n_items
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL""")
