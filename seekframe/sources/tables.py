@@ -2,11 +2,14 @@
 
 A table is an ordinary partitioned Spark table: ``CREATE TABLE IF NOT EXISTS``,
 ``DROP TABLE IF EXISTS`` and ``ALTER TABLE ... ADD COLUMNS`` manage it, a create
-appends, and rows lie in ``buckets`` partitions by a hash of ``_id``.  Updates
-and deletes read the touched buckets only, stage their new rows in the shared
-folder, and put them in by dynamic partition overwrite; files of other buckets
-stay as they are.  A rewritten bucket holds a marker row without ``_id``, which
-reads skip, so that a bucket can also be left without documents.
+appends, and rows lie in buckets, partitions by a hash of ``_id``.  Their number
+is a property of the table, set from the expected size when it is created, so
+that a bucket stays near ``BUCKET_BYTES``.  Updates and deletes read the touched
+buckets only, stage their new rows in the shared folder, and put them in by
+dynamic partition overwrite; files of other buckets stay as they are, and a
+bucket that is left without documents is dropped.  Writes are rebalanced by
+bucket: Spark splits large buckets over tasks and joins small ones, so neither a
+hot bucket nor the number of buckets bounds a task.
 
 Calls take effect before they return, so a later read sees them.  One writer
 per table: plain files give no isolation between concurrent writers, which
@@ -27,31 +30,45 @@ from .index import Index
 from .mapping import Mapping
 
 BUCKET = "_bucket"
+#: What a bucket should hold: what one changed document costs to rewrite at most.
+BUCKET_BYTES = 1 << 30
+MOST_BUCKETS = 1 << 16
+_PROPERTY = "seekframe.buckets"
 
 
 class DocumentTable:
     """A document table (index) of the catalog."""
 
     def __init__(self, spark: SparkSession, name: str, buckets: int = 64, location: str | None = None):
+        """``buckets`` counts where the table does not exist yet and no size is expected."""
         self.spark = spark
         self.name = name
-        self.buckets = buckets
         self.location = location
+        self._buckets = buckets
+
+    @property
+    def buckets(self) -> int:
+        if self.exists():
+            known = dict(self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect())
+            return int(known.get(_PROPERTY, self._buckets))
+        return self._buckets
 
     # ---- lifecycle ------------------------------------------------------
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
 
-    def create(self, schema: T.StructType | Mapping) -> bool:
+    def create(self, schema: T.StructType | Mapping, expected_bytes: int | None = None) -> bool:
         """Create the table if absent; returns False when it already existed."""
         if self.exists():
             return False
+        if expected_bytes is not None:
+            self._buckets = min(max(-(-expected_bytes // BUCKET_BYTES), 1), MOST_BUCKETS)
         st = schema.to_struct_type() if isinstance(schema, Mapping) else schema
         fields = [T.StructField("_id", T.StringType())] + [f for f in st.fields if f.name != "_id"]
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
         at = f" LOCATION '{self.location}'" if self.location else ""
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}, {BUCKET} INT) USING parquet "
-                       f"PARTITIONED BY ({BUCKET}){at}")
+                       f"PARTITIONED BY ({BUCKET}){at} TBLPROPERTIES ('{_PROPERTY}' = '{self._buckets}')")
         return True
 
     def drop(self) -> bool:
@@ -73,11 +90,8 @@ class DocumentTable:
         return self.schema()
 
     # ---- read -----------------------------------------------------------
-    def _rows(self) -> DataFrame:
-        return self.spark.table(self.name).filter("_id IS NOT NULL")
-
     def read(self) -> DataFrame:
-        return self._rows().drop(BUCKET)
+        return self.spark.table(self.name).drop(BUCKET)
 
     def index(self, mapping: Mapping | None = None, text=()) -> Index:
         return Index(self.read(), mapping, name=self.name, text=text)
@@ -101,24 +115,32 @@ class DocumentTable:
         """Put the staged rows ``new`` in place of the touched buckets."""
         if not touched:
             return
-        names = self.spark.table(self.name).columns
         rows = conform_to_schema(new, self.schema()).select(*[f"`{f}`" for f in self.schema().fieldNames()])
-        marks = self.spark.createDataFrame([(b,) for b in touched], f"{BUCKET} int")
-        staged = self._stage(rows.withColumn(BUCKET, self._bucket()).unionByName(marks, allowMissingColumns=True))
+        rows = self._stage(rows.withColumn(BUCKET, self._bucket()))
+        left = {r[BUCKET] for r in rows.select(BUCKET).distinct().collect()}
         mode = "spark.sql.sources.partitionOverwriteMode"     # inserts into tables take it from the session only
         was = self.spark.conf.get(mode)
         self.spark.conf.set(mode, "dynamic")
         try:
-            staged.select(*[f"`{c}`" for c in names]).repartition(BUCKET).write.mode("overwrite").insertInto(self.name)
+            self._balanced(rows).write.mode("overwrite").insertInto(self.name)
         finally:
             self.spark.conf.set(mode, was)
+        empty = [b for b in touched if b not in left]
+        if empty:
+            parts = ", ".join(f"PARTITION ({BUCKET} = {b})" for b in empty)
+            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {parts}")
         self.spark.catalog.refreshTable(self.name)
 
+    def _balanced(self, rows: DataFrame) -> DataFrame:
+        """Rows in the table's column order, dealt by bucket into tasks of a bounded size."""
+        names = self.spark.table(self.name).columns
+        return rows.select(*[f"`{c}`" for c in names]).hint("rebalance", BUCKET)
+
     def _apply(self, mutation, changes: DataFrame) -> DataFrame:
         """Run a mutation over the buckets that its ids touch; its status is kept before the table changes."""
         changes = self._stage(changes)
         touched = self._touched(changes)
-        base = self._rows().filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        base = self.spark.table(self.name).filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
         mut = mutation(base, changes)
         status = self._stage(mut.status)
         self._replace(mut.new, touched)
@@ -130,7 +152,7 @@ class DocumentTable:
         staged = self._stage(mutate.with_ids(docs))
         mut = mutate.bulk_create(empty, staged)
         rows = conform_to_schema(mut.new, self.schema()).select(*[f"`{f}`" for f in self.schema().fieldNames()])
-        rows.withColumn(BUCKET, self._bucket()).write.mode("append").insertInto(self.name)
+        self._balanced(rows.withColumn(BUCKET, self._bucket())).write.mode("append").insertInto(self.name)
         self.spark.catalog.refreshTable(self.name)
         return mut.status
 

@@ -122,3 +122,41 @@ def test_update_keeps_what_a_struct_change_does_not_name(spark):
     assert got == {"1": (9, "x"), "2": (3, "y")}
     with pytest.raises(ValueError, match="seq"):
         mutate.bulk_update(base, ch.drop("seq"))
+
+
+def test_the_plain_table_holds_documents_only(spark, table):
+    table.create(Mapping().keyword("title"))
+    table.bulk_create(spark.range(50).select(F.col("id").cast("string").alias("_id"), F.lit("x").alias("title")))
+    table.bulk_delete(spark.range(49).select(F.lit(0).cast("long").alias("seq"), F.col("id").cast("string").alias("_id")))
+    assert [r["_id"] for r in spark.table(table.name).collect()] == ["49"]      # no rows but documents, for any reader
+    assert spark.sql(f"SHOW PARTITIONS {table.name}").count() == 1
+    table.delete("49")
+    assert spark.table(table.name).count() == 0 and table.get("49") is None
+    table.bulk_upsert(spark.createDataFrame([(0, "49", "back")], "seq long, _id string, title string"))
+    assert table.get("49")["title"] == "back"
+
+
+def test_buckets_follow_the_expected_size(spark, table):
+    from seekframe.sources.tables import BUCKET_BYTES, DocumentTable
+
+    table.create(Mapping().keyword("title"), expected_bytes=int(9.5 * BUCKET_BYTES))
+    assert table.buckets == 10 and DocumentTable(spark, table.name).buckets == 10       # a property of the table
+    table.bulk_create(spark.range(500).select(F.col("id").cast("string").alias("_id"), F.lit("x").alias("title")))
+    assert spark.sql(f"SHOW PARTITIONS {table.name}").count() == 10
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, table):
+    table.create(Mapping().keyword("title"), expected_bytes=1)
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k", "spark.sql.files.openCostInBytes": "1",
+             "spark.sql.files.maxPartitionBytes": "100k"}
+    was = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        table.bulk_create(spark.range(40_000).repartition(8).select(F.col("id").cast("string").alias("_id"), F.md5(F.col("id").cast("string")).alias("title")))
+        files = spark.table(table.name).select(F.input_file_name().alias("f")).distinct().count()
+        table.bulk_upsert(spark.createDataFrame([(0, "1", "one")], "seq long, _id string, title string"))
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert files > 2 and table.read().count() == 40_000 and table.get("1")["title"] == "one"
