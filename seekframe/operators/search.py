@@ -151,33 +151,52 @@ def decode_cursor(cursor: str | None) -> list | None:
 # ---------------------------------------------------------------------------
 
 
+def _hits(path: str, patterns: list[str]) -> bool:
+    """Whether a pattern names the path or a level above it."""
+    parts = path.split(".")
+    return any(fnmatch.fnmatchcase(".".join(parts[:n]), p) for p in patterns for n in range(1, len(parts) + 1))
+
+
+def _pruned(col: Column, dt: T.DataType, path: str, includes: list[str] | None, excludes: list[str]) -> Column | None:
+    """The value with the wanted sub-fields only, in structs and lists as they were; None if none is wanted."""
+    if isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.StructType):
+        if _pruned(F.lit(None), dt.elementType, path, includes, excludes) is None:
+            return None
+        return F.transform(col, lambda x: _pruned(x, dt.elementType, path, includes, excludes))
+    if isinstance(dt, T.StructType):
+        parts = [(f.name, _pruned(col.getField(f.name), f.dataType, f"{path}.{f.name}", includes, excludes)) for f in dt.fields]
+        kept = [v.alias(n) for n, v in parts if v is not None]
+        return F.when(col.isNotNull(), F.struct(*kept)) if kept else None
+    wanted = (includes is None or _hits(path, includes)) and not _hits(path, excludes)
+    return col if wanted else None
+
+
 def source_columns(index: Index, source) -> list[Column]:
     cols = index.source_columns
-    if source is True or source is None:
-        chosen = cols
-    elif source is False:
+    if source is False or isinstance(source, dict) and source.get("enabled") is False:
         return []
-    elif isinstance(source, dict):
-        if source.get("enabled") is False:
-            return []
-        chosen = cols
-        inc = source.get("includes")
-        exc = source.get("excludes")
-        if inc:
-            chosen = [c for c in chosen if any(fnmatch.fnmatchcase(c, p) for p in inc)]
-        if exc:
-            chosen = [c for c in chosen if not any(fnmatch.fnmatchcase(c, p) for p in exc)]
+    if source is True or source is None:
+        return [F.col(f"`{c}`") for c in cols]
+    if isinstance(source, dict):
+        includes, excludes = source.get("includes") or None, list(source.get("excludes") or [])
     else:
-        out = []
-        for name in source:
-            if "." in name:
-                out.append(F.col(".".join(f"`{p}`" for p in name.split("."))).alias(name))
-            elif any(ch in name for ch in "*?"):
-                out.extend(F.col(f"`{c}`") for c in cols if fnmatch.fnmatchcase(c, name))
-            else:
-                out.append(F.col(f"`{name}`"))
-        return out
-    return [F.col(f"`{c}`") for c in chosen]
+        includes, excludes = list(source), []
+        # in the order asked for
+        tops = [[c for c in cols if fnmatch.fnmatchcase(c, n.split(".")[0])] for n in includes]
+        unknown = [n for n, t in zip(includes, tops) if not t and not set(n) & set("*?")]
+        if unknown:
+            raise ValueError(f"unknown source field {unknown[0]}")
+        cols = list(dict.fromkeys(c for t in tops for c in t))
+    plain = not any("." in p for p in [*(includes or []), *excludes])
+    out = []
+    for c in cols:
+        if plain:                              # whole columns, so that nothing is taken apart
+            v = F.col(f"`{c}`") if (includes is None or _hits(c, includes)) and not _hits(c, excludes) else None
+        else:
+            v = _pruned(F.col(f"`{c}`"), index.df.schema[c].dataType, c, includes, excludes)
+        if v is not None:
+            out.append(v.alias(c))
+    return out
 
 
 # ---------------------------------------------------------------------------

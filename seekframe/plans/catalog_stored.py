@@ -310,3 +310,13 @@ def bucketed_join(spark, d):
     orders, items = tables
     return (orders.select("_id", "o_orderstatus").join(items.select("_id", "l_linenumber"), "_id")
             .groupBy("_id", "o_orderstatus").agg(F.count("l_linenumber").alias("n_items")))
+
+
+@register("source_dotted")
+def source_dotted(spark, d):
+    """Dotted names give structs with the named sub-fields."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    ev = table(spark, d, "events").select("event_id", F.struct(k.alias("k"), F.struct("event_type", "value").alias("of")).alias("meta"))
+    ix = Index(ev, Mapping().long("event_id"), name="events", id_col="event_id")
+    res = search(ix, None, sort=[("event_id", "asc")], size=500, source=["meta.of.event_type", "meta.k"])
+    return res.hits.select("_id", F.to_json("meta").alias("meta"))

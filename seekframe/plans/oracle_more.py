@@ -610,3 +610,7 @@ SELECT _id, n_chars, total, row_number() OVER (ORDER BY n_chars DESC, _id) = (SE
 sql("bucketed_join", """
 SELECT CAST(o_orderkey AS VARCHAR) AS _id, o_orderstatus, count(*) AS n_items
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL""")
+
+sql("source_dotted", f"""
+SELECT CAST(event_id AS VARCHAR) AS _id, '{{"k":' || {K} || ',"of":{{"event_type":"' || event_type || '"}}}}' AS meta
+FROM events ORDER BY event_id LIMIT 500""")

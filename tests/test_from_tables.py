@@ -81,3 +81,23 @@ def test_bucketed_tables_join_without_exchange(spark):
     assert len(a.inputFiles()) == 8
     for t in ("bucketed_a", "bucketed_b"):
         spark.sql(f"DROP TABLE {t}")
+
+
+def test_dotted_source_names_keep_their_structs(spark):
+    rows = [("1", (1, "x", (True,)), [(1, "p"), (2, "q")], 9), ("2", None, None, 8)]
+    df = spark.createDataFrame(rows, "_id string, meta struct<k:int,s:string,in:struct<deep:boolean>>, items array<struct<n:int,t:string>>, z int")
+    ix = Index(df)
+
+    def first(source):
+        got = search(ix, None, sort=[("_id", "asc")], source=source).hits.drop("_index", "_id", "_score", "_sort")
+        rows = [r.asDict(recursive=True) for r in got.collect()]
+        assert len(rows) == 2 and all(v is None or k == "z" for k, v in rows[1].items())
+        return rows[0]
+
+    assert first(["meta.k", "items.t"]) == {"meta": {"k": 1}, "items": [{"t": "p"}, {"t": "q"}]}
+    assert first(["z", "meta.in"]) == {"z": 9, "meta": {"in": {"deep": True}}}
+    assert first(["meta.*"]) == {"meta": {"k": 1, "s": "x", "in": {"deep": True}}}
+    assert first({"excludes": ["meta.in.deep", "items"]}) == {"meta": {"k": 1, "s": "x"}, "z": 9}
+    assert first({"includes": ["meta", "z"], "excludes": ["meta.s"]}) == {"meta": {"k": 1, "in": {"deep": True}}, "z": 9}
+    with pytest.raises(ValueError, match="unknown source field"):
+        search(ix, None, source=["nothing"])
