@@ -34,6 +34,12 @@ def tf_norm(tf: Column, dl: Column, avgdl: Column, k1: float = K1, b: float = B)
     return tf * F.lit(k1 + 1.0) / (tf + norm)
 
 
+def tf_norm_bound(max_tf: Column, min_dl_per_tf: Column, avgdl: Column, k1: float = K1, b: float = B) -> Column:
+    """At least ``tf_norm`` of every posting of a term, whatever the average length is: tf / (tf + norm), divided by tf."""
+    rest = F.lit(1.0 - b) / max_tf.cast("double") + F.lit(b) * min_dl_per_tf / avgdl
+    return F.lit(k1 + 1.0) / (F.lit(1.0) + F.lit(k1) * rest)
+
+
 def bm25(tf: Column, dl: Column, n_docs: Column, df: Column, avgdl: Column,
          k1: float = K1, b: float = B) -> Column:
     """BM25 contribution of one term; 0 where the term is absent."""

@@ -4,10 +4,11 @@ Scoring every document that shares a term with a query costs the product of
 queries and documents, as common words stand nearly everywhere.  Three steps
 avoid that and give the same rows:
 
-1. *Floor.*  Each query's rarest terms are scored alone.  Parts are never
-   negative, so the k-th best of these sums is a floor of the k-th best score.
+1. *Floor.*  Each query's rarest terms are scored alone, and the k best documents
+   by these are scored in full.  The least of these k scores is a floor of the
+   k-th best score of all.
 2. *Essential terms.*  A term's part is at most its idf times the tf factor of
-   its largest tf and smallest dl (``term_stats``).  A query's terms with the
+   its largest tf and smallest dl / tf (``term_stats``).  A query's terms with the
    smallest bounds, as many as sum up to less than the floor, cannot bring a
    document among the first k by themselves; the others are essential.  Only
    documents with an essential term are candidates, and only those whose
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scoring import bm25, idf, round_score, tf_norm
+from ..functions.scoring import bm25, idf, round_score, tf_norm_bound
 from ..session import staged
 from ..sources.index import Index
 from .postings import SearchTables, query_term_table, scan_tables
@@ -48,9 +49,10 @@ class _Batch:
                  analyzer: str | None, where: dict[str, Column] | None, documents: DataFrame | None, seeds: int):
         self.k = k
         self.post = tables.postings.filter(F.col("field") == F.lit(field)).select("term", "_id", "tf", "dl")
-        stats = tables.field_stats.filter(F.col("field") == F.lit(field))
-        self.n = stats.agg(F.max("n")).scalar()
-        self.avgdl = stats.agg(F.max("sum_dl").cast("double") / F.max("n").cast("double")).scalar()
+        # one row, read once for all steps
+        known = tables.field_stats.filter(F.col("field") == F.lit(field)).agg(F.max("n"), F.max("sum_dl")).first()
+        n, total = known[0] or 0, known[1] or 0
+        self.n, self.avgdl = F.lit(n).cast("bigint"), F.lit(total / n if n else None).cast("double")
         self.conditions = list(where or {})
         self.given = self.documents = None
         if where:
@@ -61,12 +63,15 @@ class _Batch:
                                 .distinct(), "conditions")
         qt = query_term_table(queries, query_col, id_col, field, analyzer).select("query_id", "term").distinct()
         known = tables.term_stats.filter(F.col("field") == F.lit(field)).drop("field")
-        bound = idf(self.n, F.col("df")) * tf_norm(F.col("max_tf"), F.col("min_dl"), self.avgdl)
+        bound = idf(self.n, F.col("df")) * tf_norm_bound(F.col("max_tf"), F.col("min_dl_per_tf"), self.avgdl)
         terms = staged(qt.join(known, "term").select("query_id", "term", "df", bound.alias("bound")), "terms")
         before = Window.partitionBy("query_id").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
         rare = terms.withColumn("seen", F.coalesce(F.sum("df").over(before), F.lit(0))).filter(F.col("seen") < seeds * k)
         best = Window.partitionBy("query_id").orderBy(F.desc("got"))
-        floors = (self._passing(self._scored(rare)).withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k)
+        # the best by rare terms are scored in full: k documents reach at least the least of these scores
+        few = staged(self._passing(self._scored(rare)).withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k)
+                     .select("query_id", "_id").join(terms.select("query_id", "term", "df"), "query_id"), "first")
+        floors = (self.post.join(few, ["term", "_id"]).groupBy("query_id", "_id").agg(F.sum(self._part()).alias("got"))
                   .groupBy("query_id").agg(F.when(F.count(F.lit(1)) == k, F.min("got")).alias("floor")))
         upto = Window.partitionBy("query_id").orderBy("bound", F.desc("df"), "term")
         small = F.sum("bound").over(upto) < F.col("floor") - _MARGIN
@@ -109,14 +114,14 @@ class _Batch:
 
 def batch_candidates(tables: SearchTables, queries: DataFrame, query_col: str, id_col: str, field: str, k: int = 10,
                      analyzer: str | None = None, *, where: dict[str, Column] | None = None, documents: DataFrame | None = None,
-                     seeds: int = 16) -> DataFrame:
+                     seeds: int = 64) -> DataFrame:
     """query_id and _id of the pairs that :func:`batch_search` scores in full."""
     return _Batch(tables, queries, query_col, id_col, field, k, analyzer, where, documents, seeds).candidates().select("query_id", "_id")
 
 
 def batch_search(tables: SearchTables, queries: DataFrame, query_col: str, id_col: str, field: str, k: int = 10,
                  analyzer: str | None = None, *, where: dict[str, Column] | None = None, documents: DataFrame | None = None,
-                 seeds: int = 16) -> DataFrame:
+                 seeds: int = 64) -> DataFrame:
     """Top ``k`` documents per query (``query_id, _id, _score, rank``) by BM25 over ``field``; ties broken by ``_id``.
 
     A query without hits is one row of nulls.  ``documents`` holds ``_id`` and the

@@ -1,7 +1,7 @@
 """Search tables (postings + statistics) and batch search over them.
 
 ``postings``    field, term, _id, tf, dl, positions   (one row per term per document)
-``term_stats``  field, term, df, max_tf, min_dl
+``term_stats``  field, term, df, max_tf, min_dl_per_tf
 ``field_stats`` field, n, sum_dl
 
 Built once from an index without a shuffle (a document's tokens stand in one
@@ -9,7 +9,7 @@ row) and written partitioned by ``field`` and range-clustered by (``term``,
 ``_id``), so a lookup of a few terms reads a few row groups and a term that
 stands in most documents spreads over many files.
 
-``term_stats`` also holds each term's largest tf and smallest dl, which bound
+``term_stats`` also holds each term's largest tf and smallest dl / tf, which bound
 its part of any score whatever the average length is (:mod:`.batch`).  After a
 mutation :func:`refresh_tables` merges signed counts of the changed documents.
 """
@@ -96,7 +96,8 @@ def build_postings(index: Index, fields: list[str] | None = None, positions: boo
 
 
 def build_term_stats(postings: DataFrame) -> DataFrame:
-    return postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"), F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl"))
+    return postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"), F.max("tf").alias("max_tf"),
+                                                   F.min(F.col("dl") / F.col("tf")).alias("min_dl_per_tf"))
 
 
 def build_field_stats(index: Index, fields: list[str] | None = None) -> DataFrame:
@@ -127,10 +128,16 @@ def scan_tables(index: Index, field: str, terms: DataFrame) -> SearchTables:
     counted within their document before the shuffle.  Document frequencies of
     the terms are exact because every posting of a kept term is kept."""
     toks = F.col(f"`{token_column_name(field)}`")
-    tokens = index.with_tokens([field]).df.select("_id", F.size(toks).cast("bigint").alias("dl"), F.explode(toks).alias("term"))
-    post = staged(tokens.join(terms.select("term").distinct(), "term", "left_semi")
+    # one entry without a term for every document, so that the same pass gives the statistics of all documents
+    tokens = index.with_tokens([field]).df.select("_id", F.size(toks).cast("bigint").alias("dl"),
+                                                  F.explode(F.concat(toks, F.array(F.lit(None).cast("string")))).alias("term"))
+    wanted = terms.select(F.col("term").alias("wanted")).distinct()
+    wanted = wanted.unionByName(wanted.sparkSession.range(1).select(F.lit(None).cast("string").alias("wanted")))
+    kept = staged(tokens.join(wanted, F.col("term").eqNullSafe(F.col("wanted")), "left_semi")
                   .groupBy("_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf")).withColumn("field", F.lit(field)), "postings")
-    return SearchTables(post, build_term_stats(post), build_field_stats(index, [field]), (field,))
+    post = kept.filter("term is not null")
+    whole = kept.filter("term is null").groupBy("field").agg(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("sum_dl"))
+    return SearchTables(post, build_term_stats(post), whole, (field,))
 
 
 def write_tables(tables: SearchTables, path: str, mode: str = "overwrite") -> SearchTables:
@@ -167,18 +174,19 @@ def refresh_tables(tables: SearchTables, old: Index, new: Index, changed_ids: Da
 
     Statistics move by signed counts of the old and new versions of these
     documents alone; terms that no document holds any more go.  ``max_tf`` and
-    ``min_dl`` only widen, so they stay bounds."""
+    ``min_dl_per_tf`` only widen, so they stay bounds."""
     fields = list(tables.fields)
     ids = changed_ids.select("_id").distinct()
     positions = "positions" in tables.postings.columns
     gone = tables.postings.join(ids, "_id", "left_semi").select("field", "term", F.lit(-1).cast("long").alias("df"), "tf", "dl")
     fresh = build_postings(new.with_df(new.df.join(ids, "_id", "left_semi")), fields, positions)
     moved = gone.unionByName(fresh.select("field", "term", F.lit(1).cast("long").alias("df"), "tf", "dl"))
-    delta = moved.groupBy("field", "term").agg(F.sum("df").alias("df"), F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl"))
+    delta = moved.groupBy("field", "term").agg(F.sum("df").alias("df"), F.max("tf").alias("max_tf"),
+                                                 F.min(F.col("dl") / F.col("tf")).alias("min_dl_per_tf"))
     # a term that leaves one document and enters another has no row to change in ``df``, but may widen its bounds
-    columns = ["field", "term", "df", "max_tf", "min_dl"]
+    columns = ["field", "term", "df", "max_tf", "min_dl_per_tf"]
     term_stats = (tables.term_stats.select(*columns).unionByName(delta.select(*columns)).groupBy("field", "term")
-                  .agg(F.sum("df").alias("df"), F.max("max_tf").alias("max_tf"), F.min("min_dl").alias("min_dl")).filter("df > 0"))
+                  .agg(F.sum("df").alias("df"), F.max("max_tf").alias("max_tf"), F.min("min_dl_per_tf").alias("min_dl_per_tf")).filter("df > 0"))
     before = build_field_stats(old.with_df(old.df.join(ids, "_id", "left_semi")), fields)
     after = build_field_stats(new.with_df(new.df.join(ids, "_id", "left_semi")), fields)
     field_stats = (tables.field_stats.select("field", "n", "sum_dl").unionByName(after)
