@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import mutate
 from ..functions.highlight import Highlight, get_highlight_first
-from ..operators.clauses import Bool, Match, MatchPhrase, Nested, Range, Term, Terms
+from ..operators.clauses import Bool, FunctionScore, Match, MatchPhrase, Nested, Range, ScoreFunction, Term, Terms
 from ..operators.batch import batch_search, each_items
 from ..operators.dictionary import (build_dictionary, fuzzy_stored, phrase_prefix_stored, phrase_stored, wildcard_stored,
                                     write_dictionary)
@@ -20,7 +20,7 @@ from ..sources.index import Index
 from ..sources.mapping import Mapping
 from ..sources.tables import write_bucketed
 from .catalog import FLAGSHIP_TEXT, documents_index, events_index, part_index, register, table
-from .catalog_more import docs_with_labels, hits, ids_scores
+from .catalog_more import W1, docs_with_labels, hits, ids_scores
 
 #: Cursor values between and on events of the driver table, in milliseconds with microseconds behind the point.
 TS_ASC, TS_DESC = "1704067207179.575", "1706659032194.062"
@@ -320,3 +320,25 @@ def source_dotted(spark, d):
     ix = Index(ev, Mapping().long("event_id"), name="events", id_col="event_id")
     res = search(ix, None, sort=[("event_id", "asc")], size=500, source=["meta.of.event_type", "meta.k"])
     return res.hits.select("_id", F.to_json("meta").alias("meta"))
+
+
+@register("function_score_modes")
+def function_score_modes(spark, d):
+    """Every way to combine functions with one way to combine them with the query, and the other way round."""
+    ix = documents_index(spark, d)
+    out = None
+    modes = [(m, "multiply") for m in ("multiply", "sum", "avg", "max", "min", "first")] \
+        + [("sum", m) for m in ("replace", "sum", "avg", "max", "min")]
+    for score_mode, boost_mode in modes:
+        q = FunctionScore(Match("text", W1), [ScoreFunction(2.0, Term("lang", "en")), ScoreFunction(3.0, Range("n_chars", gte=2000))],
+                          score_mode=score_mode, boost_mode=boost_mode)
+        part = ids_scores(matching(ix, q)).select(F.lit(f"{score_mode}/{boost_mode}").alias("modes"), "_id", "_score")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("deleted_count")
+def deleted_count(spark, d):
+    """How many documents a deletion by query removes, and their ids, from its status rows."""
+    status = mutate.delete_by_query(events_index(spark, d), Term("event_type", "error")).status
+    return status.agg(F.count_if(F.col("status") == 200).alias("deleted"), F.count_distinct("_id").alias("ids"))

@@ -1,8 +1,8 @@
 """DuckDB oracles of the queries in :mod:`seekframe.plans.catalog_more`.
 
-Highlight fragmenting (``highlight_fragments``, ``highlight_boundary``,
-``highlight_order``) and the shard layout (``write_layout``) have no oracle:
-DuckDB's regex engine has no look-ahead and no Spark partition hash.
+The shard layout (``write_layout``) has no oracle: DuckDB has no Spark partition
+hash.  Its regex engine has no look-around either, so fragments are cut by
+patterns that take the blank after a fragment along.
 """
 
 from __future__ import annotations
@@ -614,3 +614,52 @@ FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL""")
 sql("source_dotted", f"""
 SELECT CAST(event_id AS VARCHAR) AS _id, '{{"k":' || {K} || ',"of":{{"event_type":"' || event_type || '"}}}}' AS meta
 FROM events ORDER BY event_id LIMIT 500""")
+
+
+def chunks(text: str, size: int) -> str:
+    """Fragments of at most ``size`` characters that end where a word ends, as the default fragmenter cuts them."""
+    found = f"regexp_extract_all({text}, {q(rf'(?s)(?:[^ \t\n\f\r](?:.{{0,{size - 2}}}[^ \t\n\f\r])?(?:[ \t\n\f\r]|$)|[^ \t\n\f\r]{{1,{size}}})')})"
+    return f"list_transform({found}, lambda f: regexp_replace(f, '[ \\t\\n\\f\\r]$', ''))"
+
+
+def sentences(text: str) -> str:
+    parts = f"string_split(regexp_replace({text}, '([.!?])[ \\t\\n\\f\\r]+', '\\1' || chr(1), 'g'), chr(1))"
+    return f"list_filter({parts}, lambda f: length(trim(f)) > 0)"
+
+
+def n_hits(f: str, terms: list[str]) -> str:
+    return f"len(list_filter({tok(f)}, lambda w: list_contains([{', '.join(map(q, terms))}], w)))"
+
+
+def fragment_query(frags: str, n: int, by_score: bool = False) -> str:
+    kept = f"list_filter(frags, lambda f: {n_hits('f', EN)} > 0)"
+    if by_score:      # most hits first, then by place
+        ranked = f"list_sort(list_transform({kept}, lambda f, i: {{'k': -{n_hits('f', EN)}, 'i': i, 'f': f}}))"
+        kept = f"list_transform({ranked}, lambda r: r.f)"
+    return f"""{scored_docs(EN, ', text', any_term('tok', EN) + " AND lang = 'en'")},
+t AS (SELECT _id, _score, {frags} AS frags FROM s ORDER BY _score DESC, _id ASC LIMIT 10),
+k AS (SELECT _id, list_transform(({kept})[1:{n}], lambda f: {hl('f', EN)}) AS kept FROM t)
+"""
+
+
+sql("highlight_fragments", fragment_query(chunks("text", 80), 3) + """
+SELECT _id, CAST(len(kept) AS BIGINT) AS n_fragments, array_to_string(kept, ' | ') AS text_hl FROM k""")
+sql("highlight_boundary", fragment_query(sentences("text"), 2) + "SELECT _id, array_to_string(kept, ' | ') AS text_hl FROM k")
+sql("highlight_order", fragment_query(chunks("text", 60), 2, by_score=True) + "SELECT _id, array_to_string(kept, ' | ') AS text_hl FROM k")
+
+sql("deleted_count", "SELECT count(*) AS deleted, count(DISTINCT event_id) AS ids FROM events WHERE event_type = 'error'")
+
+_both = "(CASE WHEN lang = 'en' AND n_chars >= 2000 THEN {both} WHEN lang = 'en' THEN {first} WHEN n_chars >= 2000 THEN {second} ELSE CAST(1 AS DOUBLE) END)"
+_SCORE = {"multiply": 6.0, "sum": 5.0, "avg": 2.5, "max": 3.0, "min": 2.0, "first": 2.0}
+_BOOST = {"multiply": "{q} * {f}", "replace": "{f}", "sum": "{q} + {f}", "avg": "({q} + {f}) / CAST(2 AS DOUBLE)",
+          "max": "greatest({q}, {f})", "min": "least({q}, {f})"}
+
+
+def mode_row(score_mode: str, boost_mode: str) -> str:
+    f = _both.format(both=dbl(_SCORE[score_mode]), first=dbl(2), second=dbl(3))
+    return (f"SELECT '{score_mode}/{boost_mode}' AS modes, {doc_id()}, round(({_BOOST[boost_mode].format(q=ms('a', [W1]), f=f)}) * {ONE}, 6) AS _score "
+            f"FROM d, st_a WHERE {has(W1)}")
+
+
+sql("function_score_modes", f"WITH {D}, {multi_stats({'a': [W1]})}\n" + "\nUNION ALL\n".join(
+    [mode_row(m, "multiply") for m in _SCORE] + [mode_row("sum", m) for m in _BOOST if m != "multiply"]))
