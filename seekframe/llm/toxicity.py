@@ -14,9 +14,9 @@ its log-likelihood ratio is beyond what chance gives among so many features,
 counted once by texts and once by different words before it, so that copies
 of one toxic text don't turn its rare words into signs of toxicity.  All that
 pass enter the fit, which works on the features present in each text, so the
-model is bounded by the sample.  The sample is drawn in turns from the values
-of ``strata`` (languages), a key for sampling alone, so that a language with
-few toxic texts among many others is learnt from as many as there are.
+model is bounded by the sample.  The values of ``strata`` (languages, few), a key
+for sampling alone, give equal shares of the sample or all that they have, so
+that a language with few toxic texts among many others is learnt from them.
 
 Defined cases: a text without any feature of the vocabulary, null and empty
 texts among them, has severity 0; equal texts get
@@ -37,7 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seekframe.llm.common import packed, stored, taught_text
@@ -167,7 +167,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", te
                  min_odds: float = 3.0, sample: int = 10_000, strata: str | None = "lang") -> ToxicityModel:
     """Fit on at most ``sample`` labelled rows of each label for which ``teaches`` (over doc_id) holds.
 
-    ``strata`` names a column of ``docs`` whose values take turns in the sample (None, or a name that ``docs`` lacks: no turns).
+    ``strata`` names a column of ``docs`` with few values that share the sample (None, or a name that ``docs`` lacks: one share).
     """
     nothing = ToxicityModel({}, np.zeros(0), np.array([1.0, 2.0, 3.0]) * 40)
     lab = (labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (F.lit(True) if teaches is None else teaches))
@@ -175,13 +175,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", te
            .filter("y = y2").select("doc_id", "y"))
     group = F.col(f"`{strata}`") if strata in docs.columns else F.lit(None)
     digest = F.md5(F.col("doc_id").cast("string"))
-    # the first ``sample`` of every stratum and label, then the first ``sample`` of each label by their turn
     known = (lab.join(docs.select("doc_id", group.cast("string").alias("stratum")), "doc_id").groupBy("doc_id", "y")
-             .agg(F.min("stratum").alias("stratum")).withColumn("digest", digest))
-    turn = F.row_number().over(Window.partitionBy("y", "stratum").orderBy("digest", "doc_id"))
-    turns = known.withColumn("turn", turn).filter(F.col("turn") <= sample)
-    chosen = turns.filter("y = 0").orderBy("turn", "digest", "doc_id").limit(sample).unionByName(
-        turns.filter("y = 1").orderBy("turn", "digest", "doc_id").limit(sample)).select("doc_id", "y")
+             .agg(F.coalesce(F.min("stratum"), F.lit("")).alias("stratum")).withColumn("digest", digest))
+    sizes = known.groupBy("y", "stratum").agg(F.count(F.lit(1)).alias("n")).collect()       # a row a label and language
+    shares = [(r["y"], r["stratum"], min(1.0, _level([x["n"] for x in sizes if x["y"] == r["y"]], sample) / r["n"])) for r in sizes]
+    share = docs.sparkSession.createDataFrame(shares, "y int, stratum string, share double")
+    # a hash of the id says whether a row is in its stratum's share, so no stratum is sorted
+    drawn = known.join(F.broadcast(share), ["y", "stratum"]).filter(F.pmod(F.xxhash64("digest"), F.lit(1 << 40)) < F.col("share") * (1 << 40))
+    chosen = drawn.filter("y = 0").orderBy("digest", "doc_id").limit(sample).unionByName(
+        drawn.filter("y = 1").orderBy("digest", "doc_id").limit(sample)).select("doc_id", "y")
     # 2 * sample ids at most, so the texts need no shuffle to meet them
     labelled = stored(taught_text(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")), "labelled")
     totals = {r["y"]: r["n"] for r in labelled.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -255,6 +257,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", te
     return ToxicityModel(vocabulary, weights, thresholds)
 
 
+def _level(sizes: list[int], total: int) -> float:
+    """How much each stratum gives at most, so that all together give ``total`` or all that they have."""
+    left = total
+    for i, n in enumerate(sorted(sizes)):
+        even = left / (len(sizes) - i)
+        if n > even:
+            return even
+        left -= n
+    return float(max(sizes))
+
+
 def _in_context(text: str | None, wanted: dict[str, int]) -> Iterator[tuple[str, str]]:
     """Wanted features of a text with the word before them."""
     before = ""

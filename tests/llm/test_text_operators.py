@@ -155,6 +155,11 @@ def test_toxicity_sample_takes_turns_by_language(spark):
     assert all((r["severity"] >= 0.5) == (r["toxic"] == 1) for r in got) and sum(r["toxic"] for r in got) == 50
 
 
+def test_strata_share_the_sample():
+    from seekframe.llm.toxicity import _level
+    assert _level([5], 10) == 5 and _level([100], 10) == 10 and _level([2, 100, 100], 20) == 9 and _level([3, 3, 3], 100) == 3
+
+
 def test_toxicity_is_the_same_in_any_order(spark, small):
     docs, labels = small
     again = docs.unionByName(docs.filter("doc_id < 40")).orderBy(F.rand(3)).repartition(3)
