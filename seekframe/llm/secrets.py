@@ -108,7 +108,7 @@ def scan_secrets(docs: DataFrame, *, scope: int = 200) -> DataFrame:
     some = (parts.filter(F.size("weak") > 0)
             .select("doc_id", "rk", F.inline(F.concat("strong", "weak")), ).distinct())
     bins = F.floor(F.col("start") / scope)
-    last = F.floor((F.col("stop") - 1) / scope)
+    last = F.floor(F.col("stop") / scope)              # ends count as points, so a gap of exactly scope is one bin
     # a part stands in every bin that it touches; a weak part looks one bin further on either side
     whole = some.withColumn("bin", F.explode(F.sequence(bins, last))).select(
         "doc_id", "rk", "bin", F.col("start").alias("o_start"), F.col("kind").alias("o_kind"),

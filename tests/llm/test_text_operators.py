@@ -262,3 +262,26 @@ def test_weak_parts_need_a_complement(spark, none):
     assert by[4] == "assign:0:17,endpoint:21:41" and by[5] == "" and by[6] == "" and by[7] == ""
     assert (8, "access:0:20,blob:21:57") in got and (8, "") in got       # one id, two texts
     assert scan_secrets(none).count() == 0
+
+
+def test_linked_parts_against_brute_force(spark):
+    import random
+
+    from seekframe.llm.secrets import COMPLEMENT, KINDS, strong_parts, weak_parts
+    rng = random.Random(12)
+    bits = ["user: alice", "login=bob99", "Ab3" * 12, "Zz9" * 14, "https://db.example/x", "10.0.0.1:80", "password=hunter22",
+            "AKIA" + "B" * 16, "0123456789abcdef" * 2, "secret: ab"]
+    texts = ["".join(rng.choice(bits) + " x" * rng.choice([1, 20, 90, 99, 100, 101, 250]) + " " for _ in range(rng.randint(0, 12)))
+             for _ in range(80)]
+    texts[0] = (bits[0] + " y" * 4000 + " " + bits[2]) * 3                    # parts far apart in a long text
+    # gaps of exactly the scope, one more and one less, on and beside the borders of bins
+    texts += [" " * (before - 11) + "user: alice" + " " * gap + "Ab3" * 12 for before in (199, 200, 201) for gap in (199, 200, 201)]
+    texts += [" " * (before - 36) + "Ab3" * 12 + " " * gap + "user: alice" for before in (199, 200, 201) for gap in (199, 200, 201)]
+    got = {r["doc_id"]: {tuple(p) for p in r["linked"]} for r in
+           scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), scope=200).collect()}
+    for i, t in enumerate(texts):
+        weak, every = weak_parts(t), strong_parts(t) + weak_parts(t)
+        want = {(s, k, e) for s, k, e in weak
+                if any(KINDS[ok] in COMPLEMENT[KINDS[k]] and os - e <= 200 and s - oe <= 200 for os, ok, oe in every)}
+        assert got[i] == want
+    assert sum(map(len, got.values())) > 90
