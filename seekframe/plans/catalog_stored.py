@@ -18,7 +18,7 @@ from ..operators.search import matching, search
 from ..session import checkpoint_dir, gone_at_exit
 from ..sources.index import Index
 from ..sources.mapping import Mapping
-from ..sources.tables import write_bucketed
+from ..sources.tables import DocumentTable, write_bucketed
 from .catalog import FLAGSHIP_TEXT, documents_index, events_index, part_index, register, table
 from .catalog_more import W1, docs_with_labels, hits, ids_scores
 
@@ -342,3 +342,22 @@ def deleted_count(spark, d):
     """How many documents a deletion by query removes, and their ids, from its status rows."""
     status = mutate.delete_by_query(events_index(spark, d), Term("event_type", "error")).status
     return status.agg(F.count_if(F.col("status") == 200).alias("deleted"), F.count_distinct("_id").alias("ids"))
+
+
+@register("index_lifecycle")
+def index_lifecycle(spark, d):
+    """Create twice, write, read what was written, delete by query, drop twice: what each call replies."""
+    run = uuid.uuid4().hex
+    path = f"{checkpoint_dir(spark)}/search-table-{run}"
+    t = DocumentTable(spark, f"lifecycle_{run}", location=path)
+    m = Mapping().long("c_custkey").keyword("c_name").keyword("c_mktsegment")
+    steps = [("create", t.create(m, expected_bytes=1 << 30)), ("create again", t.create(m))]
+    gone_at_exit(spark, path)
+    docs = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("_id"), "c_custkey", "c_name", "c_mktsegment")
+    written = t.bulk_create(docs)
+    read = t.read()                                    # a read right after the write sees it
+    replied = written.filter("status = 201").select("_id").join(read.select("_id"), "_id", "left_semi").count()
+    steps += [("read after write", read.count()), ("ids replied and read", replied),
+              ("deleted by query", t.delete_by_query(Term("c_mktsegment", "BUILDING"), m)), ("left", t.read().count()),
+              ("drop", t.drop()), ("drop again", t.drop())]
+    return spark.createDataFrame([(i, name, int(v)) for i, (name, v) in enumerate(steps)], "step int, call string, reply long")

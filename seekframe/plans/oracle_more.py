@@ -663,3 +663,8 @@ def mode_row(score_mode: str, boost_mode: str) -> str:
 
 sql("function_score_modes", f"WITH {D}, {multi_stats({'a': [W1]})}\n" + "\nUNION ALL\n".join(
     [mode_row(m, "multiply") for m in _SCORE] + [mode_row("sum", m) for m in _BOOST if m != "multiply"]))
+
+sql("index_lifecycle", """
+WITH c AS (SELECT count(*) AS n, count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS b FROM customer)
+SELECT step, call, CAST(reply AS BIGINT) AS reply FROM c, LATERAL (VALUES (0, 'create', 1), (1, 'create again', 0), (2, 'read after write', n),
+  (3, 'ids replied and read', n), (4, 'deleted by query', b), (5, 'left', n - b), (6, 'drop', 1), (7, 'drop again', 0)) v(step, call, reply)""")

@@ -222,7 +222,7 @@ def test_building_queries_starts_no_job(spark):
     from seekframe.plans.catalog import all_queries
     # searches over stored tables write these first
     plans = [n for n in all_queries() if not n.startswith("batch_search") and not n.endswith("_stored")
-             and n not in ("stats_refresh", "each_items_table", "page_and_total", "bucketed_join")]
+             and n not in ("stats_refresh", "each_items_table", "page_and_total", "bucketed_join", "index_lifecycle")]
     sc = spark.sparkContext
     for name in plans:
         sc.setJobGroup(name, name)
