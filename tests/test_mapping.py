@@ -117,3 +117,20 @@ def test_runtime_fields_are_read_by_predicates_alone(spark):
     assert good.columns == ["id", "_more"]
     ix = Index(good, m, id_col="id")
     assert [r["_id"] for r in matching(ix, Bool(filter=[Term("colour", "red"), Range("size", gte=2)])).collect()] == ["1"]
+
+
+def test_conform_parses_json_once(spark):
+    """Neither the split into good and rejected rows nor the declared fields repeat the conversion."""
+    from pyspark.sql import functions as F
+
+    m = Mapping().object("doc", lambda o: o.keyword("kind").object("in", lambda i: i.integer("k").integer("l"), dynamic="strict"))
+    rows = [('{"kind":"a","in":{"k":1,"l":"2"}}',), ('{"kind":"b","in":{"k":"x","z":1}}',), ("nothing",), (None,), ('{"in":7}',), ('{"more":[1]}',)]
+    df = spark.createDataFrame(rows, "doc string")
+    good, rejected = m.conform(df.select(F.concat("doc", F.lit(" ")).alias("doc")))
+    for out in (good, rejected):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parse_json(doc") + plan.count("ParseJson(doc") <= 1 and plan.count("map_filter") + plan.count("mapfilter") <= 2
+    got = {(r["doc"]["kind"], r["doc"]["in"] and tuple(r["doc"]["in"])) if r["doc"] else None for r in good.select("doc").collect()}
+    assert got == {("a", (1, 2)), None, (None, None)}
+    assert sorted("; ".join(r["_errors"]) for r in rejected.collect()) == [
+        "doc.in.k: not an integer; doc.in: unknown field", "doc.in: not an object", "doc: not an object"]
