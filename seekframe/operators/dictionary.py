@@ -1,16 +1,18 @@
 """Indexes of the vocabulary and searches over postings that use them.
 
 ``grams``     field, gram, term, df     2- and 3-character pieces of ``^term$``
-``variants``  field, variant, term, df  each term with up to two characters left out
+``variants``  field, variant, term, df  the first PREFIX characters of each term with up to two left out
 
-Both grow with the vocabulary, not with the documents, and are written sorted
-by their key, so a lookup of a few keys reads a few row groups.
+Both grow with the vocabulary, not with the documents.  The vocabulary is dealt
+out first, in parts of TERMS_A_PART terms; each part makes its own pieces and is
+written sorted by their key, so a lookup of a few keys reads a few pages of each.
 
 *Wildcards and prefixes* ask for terms that hold all pieces of the pattern's
 literal parts (an intersection by count) and check those against the pattern.
 *Fuzzy terms*: two words within e edits meet in a form that each reaches by
-leaving out at most e characters, so the variants of the query's word, a few
-hundred, look up all candidates; the edit distance decides.  *Phrases* intersect
+leaving out at most e characters, and so do their beginnings of equal length,
+so the variants of the beginning of the query's word, a few dozen, look up all
+candidates; the edit distance of the whole words decides.  *Phrases* intersect
 the postings' positions: an occurrence starts at position minus offset, and a
 start that all offsets share is a phrase.  The rarest term comes first and the
 others are read for its documents only.
@@ -37,6 +39,10 @@ BEGIN, END = "\x02", "\x03"
 SIZES = (2, 3)
 #: Edits that the variants cover.
 MOST_EDITS = 2
+#: Characters of a term that the variants cover: a longer word has no more of them (22 at most).
+PREFIX = 6
+#: Terms whose pieces one task makes and sorts.
+TERMS_A_PART = 1 << 16
 
 
 @dataclass
@@ -61,17 +67,23 @@ def build_dictionary(term_stats: DataFrame) -> Dictionary:
         return F.transform(F.sequence(F.lit(1), F.greatest(F.length(marked) - (k - 1), F.lit(1))), lambda i: F.substring(marked, i, F.lit(k)))
 
     grams = F.array_distinct(F.flatten(F.array(*map(pieces, SIZES))))
-    one = _left_out(F.array("term"))
-    variants = F.array_distinct(F.concat(F.array("term"), one, _left_out(F.array_distinct(one))))
+    beginning = F.array(F.substring("term", 1, PREFIX))
+    one = _left_out(beginning)
+    variants = F.array_distinct(F.concat(beginning, one, _left_out(F.array_distinct(one))))
     return Dictionary(vocabulary.select("field", F.explode(grams).alias("gram"), "term", "df"),
                       vocabulary.select("field", F.explode(variants).alias("variant"), "term", "df"), vocabulary)
 
 
 def write_dictionary(d: Dictionary, path: str, mode: str = "overwrite") -> Dictionary:
-    for name, key in (("grams", "gram"), ("variants", "variant"), ("vocabulary", "term")):
-        (getattr(d, name).repartitionByRange("field", key, "term").sortWithinPartitions("field", key, "term")
+    spark = d.vocabulary.sparkSession
+    d.vocabulary.write.mode(mode).partitionBy("field").parquet(f"{path}/vocabulary")
+    vocabulary = spark.read.schema(d.vocabulary.schema).parquet(f"{path}/vocabulary")
+    parts = -(-max(vocabulary.count(), 1) // TERMS_A_PART)
+    dealt = build_dictionary(vocabulary.repartition(parts, "field", "term"))
+    for name, key in (("grams", "gram"), ("variants", "variant")):
+        (getattr(dealt, name).sortWithinPartitions("field", key, "term")
          .write.mode(mode).partitionBy("field").parquet(f"{path}/{name}"))
-    return read_dictionary(d.vocabulary.sparkSession, path)
+    return read_dictionary(spark, path)
 
 
 def read_dictionary(spark, path: str) -> Dictionary:
@@ -119,7 +131,7 @@ def fuzzy_terms(d: Dictionary, field: str, word: str, edits: int, *, prefix_leng
     """Terms of ``field`` within ``edits`` of ``word`` that share its first ``prefix_length`` characters."""
     if edits > MOST_EDITS:
         raise ValueError(f"the variants cover {MOST_EDITS} edits")
-    found = (d.variants.filter((F.col("field") == field) & F.col("variant").isin(deletions(word, edits)))
+    found = (d.variants.filter((F.col("field") == field) & F.col("variant").isin(deletions(word[:PREFIX], edits)))
              .select("term", "df").distinct().filter(F.levenshtein(F.col("term"), F.lit(word), edits) >= 0))
     if prefix_length:
         found = found.filter(F.substring("term", 1, prefix_length) == word[:prefix_length])

@@ -105,3 +105,23 @@ def test_phrases_from_positions(setup):
     for text in ("to be", "to be to", "be to be to be", "to", "to to", "no such"):
         assert rows(phrase_stored(tables, "body", text)) == rows(matching(ix, MatchPhrase("body", text)))
     assert phrase_stored(tables, "body", "  ").count() == 0
+
+
+def test_fuzzy_terms_of_long_words(spark):
+    """The variants cover the beginnings of words; edits fall anywhere."""
+    rng = random.Random(5)
+    base = ["".join(rng.choices("abcd", k=rng.randint(5, 14))) for _ in range(40)]
+
+    def changed(w):
+        for _ in range(rng.randint(0, 3)):
+            i, c = rng.randrange(len(w) + 1), rng.choice("abcd")
+            w = rng.choice([w[:i] + c + w[i:], w[:i] + w[i + 1:], w[:i] + c + w[i + 1:]])
+        return w
+
+    words = sorted({changed(w) for w in base for _ in range(15)})
+    stats = spark.createDataFrame([("body", w, 1) for w in words], "field string, term string, df long")
+    d = write_dictionary(build_dictionary(stats), f"{checkpoint_dir(spark)}/dictionary-long")
+    assert d.variants.groupBy("term").count().agg({"count": "max"}).first()[0] <= 22
+    for w in base[:6] + [changed(w) for w in base[6:12]]:
+        for k in (1, 2):
+            assert {r["term"] for r in fuzzy_terms(d, "body", w, k).collect()} == {t for t in words if edits(w, t) <= k}
