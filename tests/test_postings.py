@@ -164,3 +164,55 @@ def test_refreshed_statistics_equal_rebuilt_ones(spark):
         assert a == b
     loose = got.term_stats.alias("g").join(want.term_stats.alias("w"), ["field", "term"]).filter("g.max_tf < w.max_tf or g.min_dl_per_tf > w.min_dl_per_tf")
     assert loose.count() == 0
+
+
+def counting(spark, kind="string"):
+    """A function that hands on its argument, and how often it was called."""
+    from pyspark.sql import functions as F
+
+    calls = spark.sparkContext.accumulator(0)
+    return F.udf(lambda x: (calls.add(1), x)[1], kind), calls
+
+
+def test_written_tables_build_postings_once(spark):
+    import tempfile
+
+    from seekframe.operators.postings import write_tables
+
+    ix = index(spark)
+    seen, calls = counting(spark)
+    counted = ix.with_df(ix.df.withColumn("body", seen("body")))
+    tables = write_tables(build_tables(counted, ["body"]), tempfile.mkdtemp(prefix="seekframe-tables-"))
+    assert calls.value == 2 * len(TEXTS)                # postings, and the statistics of the field
+    want = build_tables(ix, ["body"]).term_stats
+    assert sorted(map(tuple, tables.term_stats.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_postings_are_sorted_by_batch_and_whole(spark):
+    """Equal ids, documents without words, one document longer than the others together, several batches."""
+    import regex
+
+    texts = [("b", "x y x"), ("a", "y"), ("a", "y y é"), ("c", None), ("d", ""), ("e", " ".join(f"w{i % 7}" for i in range(3000))), (None, "x")]
+    df = spark.createDataFrame(texts * 3, "_id string, body string").coalesce(1)
+    ix = Index(df, Mapping().text("body"))
+    want = sorted((t, i or "", len(ws), tuple(at)) for i, x in texts * 3 for ws in [regex.findall(r"\w+", x or "")]
+                  for t in set(ws) for at in [[k for k, w in enumerate(ws) if w == t]])
+    for size in (4, 10000):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            got = [(r["term"], r["_id"] or "", r["dl"], tuple(r["positions"]), r["tf"]) for r in build_postings(ix, ["body"]).collect()]
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert sorted(x[:4] for x in got) == want and all(x[4] == len(x[3]) for x in got)
+    assert [x[0] for x in got] == sorted(x[0] for x in got)
+
+
+def test_refresh_finds_the_changed_documents_once(spark):
+    ix = index(spark)
+    tables = build_tables(ix, ["body"])
+    seen, calls = counting(spark)
+    changed = ix.df.filter("id < 2").select(seen("_id").alias("_id"))
+    out = refresh_tables(tables, ix, ix.with_df(ix.df.filter("id <> 1")), changed)
+    assert {r["term"]: r["df"] for r in out.term_stats.collect()}["cat"] == 2
+    assert [tuple(r) for r in out.field_stats.select("n", "sum_dl").collect()] == [(4, 14)]
+    assert calls.value == 2
