@@ -216,3 +216,38 @@ def test_refresh_finds_the_changed_documents_once(spark):
     assert {r["term"]: r["df"] for r in out.term_stats.collect()}["cat"] == 2
     assert [tuple(r) for r in out.field_stats.select("n", "sum_dl").collect()] == [(4, 14)]
     assert calls.value == 2
+
+
+def test_narrow_conditions_leave_few_candidates(spark):
+    """Words that are rare only among the documents that pass: their floors and bounds count these alone."""
+    import random
+
+    rng = random.Random(6)
+    common, words = [f"c{j}" for j in range(6)], [f"e{j}" for j in range(12)]
+    rows = []
+    for i in range(600):
+        # every fifth text is French; the words that English texts hold are rare there
+        own = rng.choices(words, k=4) if i % 5 else [words[i // 50]] if i % 50 == 0 else []
+        rows.append((i, " ".join(common + own), "en" if i % 5 else "fr"))
+    rows += [(7, "e1 c0 c0", "fr"), (7, "e2", None)]                # one document in three rows, which passes by one
+    ix = Index(spark.createDataFrame(rows, "id long, body string, lang string"), Mapping().long("id").text("body").keyword("lang"), id_col="id")
+    asked = [(q, " ".join(common + words[q:q + 6]), "fr" if q < 4 else "de") for q in range(5)] + [(None, "e1", "fr"), (9, "c1 e1", None)]
+    queries = spark.createDataFrame(asked, "qid long, q string, lang string")
+    tables = build_tables(ix, ["body"], positions=False)
+    docs = {}
+    for i, text, lang in rows:
+        docs.setdefault(str(i), []).append((text.split(), lang))
+    n, avg = len(rows), sum(len(t.split()) for _, t, _ in rows) / len(rows)
+    df = Counter(w for _, t, _ in rows for w in set(t.split()))
+    got, pairs = {}, 0
+    args = (tables, queries, "q", "qid", "body")
+    where = {"where": {"lang": queries["lang"]}, "documents": ix.df}
+    for r in batch_search(*args, k=3, **where).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"] or 0, r["_id"], r["_score"]))
+    for qid, text, lang in asked:
+        full = {i: round(sum(bm25_py(t.count(w), len(t), n, df[w], avg) for t, _ in parts for w in set(text.split()) if w in t), 6)
+                for i, parts in docs.items() if any(set(t) & set(text.split()) for t, _ in parts) and (lang is None or lang in [x for _, x in parts])}
+        pairs += len(full) if qid in range(4) else 0
+        want = sorted(full.items(), key=lambda x: (-x[1], x[0]))[:3] if qid is not None else []
+        assert [(i, s) for _, i, s in sorted(got[qid])] == (want or [(None, None)])
+    assert batch_candidates(*args, k=3, seeds=4, **where).filter("query_id < 4").count() < 0.2 * pairs
